@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -52,3 +53,16 @@ def store(df: DataFrame, name: str) -> DataFrame:
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package to the Python workers, unless PYTHONPATH already leads them to it."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    sc = spark.sparkContext
+    if root in os.environ.get("PYTHONPATH", "").split(os.pathsep) or getattr(sc, "_clinloom_sent", False):
+        return
+    archive = shutil.make_archive(
+        os.path.join(tempfile.mkdtemp(prefix="spark-"), "clinloom"), "zip", root, "clinloom"
+    )
+    sc.addPyFile(archive)
+    sc._clinloom_sent = True
