@@ -7,19 +7,50 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from clinloom.llm import byte_bpe
+from clinloom.llm import byte_bpe, langid, minhash, quality, secrets, token_files, toxicity
 from clinloom.session import read_table
 
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.op4(read_table(spark, sf_dir, "documents"))
+
+
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.op6(read_table(spark, sf_dir, "documents"))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.op7(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.op8(read_table(spark, sf_dir, "documents"), WORD_BPE)
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.op9(read_table(spark, sf_dir, "documents"), BYTE_RANKS, public_tokenizers.PATTERN)
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.op10(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_minhash": op3_minhash,
+        "op4_language": op4_language,
+        "op6_secrets": op6_secrets,
+        "op7_toxicity": op7_toxicity,
+        "op8_token_files": op8_token_files,
         "op9_byte_bpe": op9_byte_bpe,
+        "op10_quality": op10_quality,
     }
 
 
