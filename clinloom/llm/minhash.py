@@ -1,16 +1,19 @@
 """MinHash near-duplicate groups with odd sketches.
 
 1. A task hashes the distinct five-word shingles of each text, takes ``BANDS * ROWS`` MinHash values,
-   and folds the numbered values into a parity bitmap (odd sketch) of 256 bits.
+   and folds the numbered values into a parity bitmap (odd sketch) of 256 bits. The whole set is folded
+   into a second parity bitmap, of 512 bits: the population count of two sets' XOR there is never above
+   the size of their symmetric difference, so it rules pairs out without error.
 2. Texts with equal shingle sets form one class (a grouped minimum). Only classes go on.
-3. Bands put classes into buckets. Two classes of a bucket are compared by size and by the population
-   count of the XOR of their sketches, which estimates a similarity near one precisely; what may reach
-   the threshold is confirmed on the full sets.
-4. A bucket is first compared with one of its classes, another in each band, and the links found give
-   provisional groups. Then, in each bucket, every class outside the bucket's largest group meets all
-   classes of other groups. So all pairs of a bucket are settled, by a link, by a common group or by a
-   comparison, while the members of a large group of near copies are not compared with one another.
-   That second step deals a large bucket out over many partitions by a hash of the class.
+3. Bands put classes into buckets. Two classes of a bucket are compared by size and by both XOR counts;
+   the first estimates similarities near one precisely, whatever the sets' sizes. What may reach the
+   threshold is confirmed on the full sets.
+4. Each class first meets one class of each of its buckets, and the nearest of those by the bitmaps is
+   confirmed. These links give provisional groups. Then, in each bucket, every class outside the bucket's
+   largest group meets all classes of other groups, the nearest pairs are confirmed first, and of the
+   others those that are still in different groups. So all pairs of a bucket are settled, by a link,
+   by a common group or by a comparison, while the members of a large group of near copies are not
+   compared with one another. A large bucket is dealt out over many partitions by a hash of the class.
 5. Connected components of the links give component_id.
 
 With 32 bands of 4 rows a pair of similarity 0.75 shares no band with probability 5e-6. A sketch of
@@ -38,7 +41,8 @@ from clinloom.session import store
 
 WIDTH = 5
 BANDS, ROWS = 32, 4
-SKETCH_WORDS = 4  # of 64 bits
+SKETCH_WORDS = 4  # of 64 bits, of the MinHash values' bitmap
+PARITY_WORDS = 8  # of the whole set's
 #: Least estimated similarity that is confirmed on full sets, for a threshold of 0.75.
 ESTIMATE_FLOOR = 0.52
 #: Classes of a bucket that share a partition of the second step.
@@ -103,6 +107,13 @@ def odd_sketch(values: np.ndarray) -> np.ndarray:
     return np.packbits(parity.astype(np.uint8).reshape(len(values), bits), axis=1).view(">i8").astype(np.int64)
 
 
+def parity(hashes: np.ndarray) -> np.ndarray:
+    """Parity bitmap of a whole set, as 64-bit words."""
+    bits = 64 * PARITY_WORDS
+    flips = np.bincount((_mix(hashes) >> np.uint64(40)).astype(np.int64) % bits, minlength=bits) & 1
+    return np.packbits(flips.astype(np.uint8)).view(">i8").astype(np.int64)
+
+
 def band_hashes(values: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
         out = np.broadcast_to(np.arange(BANDS, dtype=np.uint64) + np.uint64(1), (len(values), BANDS)).copy()
@@ -112,7 +123,8 @@ def band_hashes(values: np.ndarray) -> np.ndarray:
 
 
 def signatures(documents: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, set_key (128-bit digest of the set), sketch and bands; null where empty."""
+    """doc_id, n_shingles, set_key (128-bit digest of the set), sketch (both bitmaps) and bands; null where
+    empty."""
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
     def make():
@@ -126,7 +138,7 @@ def signatures(documents: DataFrame) -> DataFrame:
                 some = full[at : at + 64]
                 values = min_hashes([sets[i] for i in some])
                 for i, s, b in zip(some, odd_sketch(values), band_hashes(values), strict=True):
-                    sketch[i], bands[i] = s.tolist(), b
+                    sketch[i], bands[i] = s.tolist() + parity(sets[i]).tolist(), b
                     keys[i] = hashlib.blake2b(sets[i].tobytes(), digest_size=16).digest()
             return [pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary()), pa.array(sketch, pa.list_(pa.int64())), pa.array(bands, pa.list_(pa.int64()))]
 
@@ -135,20 +147,30 @@ def signatures(documents: DataFrame) -> DataFrame:
     return add_columns(docs, "n_shingles long, set_key binary, sketch array<long>, bands array<long>", make).drop("text")
 
 
+def _differ(a: str, b: str, words: range):
+    return sum(F.bit_count(F.col(f"{a}.s{k}").bitwiseXOR(F.col(f"{b}.s{k}"))) for k in words)
+
+
 def _estimate(a: str, b: str):
     """Similarity of two classes' sets from their sketches; -1 where the sketches differ in half of the
     bits or more."""
     bits, samples = 64 * SKETCH_WORDS, BANDS * ROWS
-    differ = sum(F.bit_count(F.col(f"{a}.s{k}").bitwiseXOR(F.col(f"{b}.s{k}"))) for k in range(SKETCH_WORDS))
-    inside = 1 - 2 * differ / F.lit(float(bits))
+    inside = 1 - 2 * _differ(a, b, range(SKETCH_WORDS)) / F.lit(float(bits))
     return F.when(inside > 0, 1 + F.log(inside) * F.lit(bits / (4.0 * samples))).otherwise(-1.0)
 
 
+def _distance(a: str, b: str):
+    """Least size of the symmetric difference, by both sizes together."""
+    return _differ(a, b, range(SKETCH_WORDS, SKETCH_WORDS + PARITY_WORDS)) / (F.col(f"{a}.n_shingles") + F.col(f"{b}.n_shingles"))
+
+
 def _possible(a: str, b: str):
-    """Sizes allow 100 * common >= 75 * union, and so do the sketches."""
+    """Sizes allow 100 * common >= 75 * union, which is a symmetric difference of at most a seventh of
+    both sizes, and so do both bitmaps."""
     small = F.least(f"{a}.n_shingles", f"{b}.n_shingles")
     large = F.greatest(f"{a}.n_shingles", f"{b}.n_shingles")
-    return (100 * small >= 75 * large) & (_estimate(a, b) >= ESTIMATE_FLOOR)
+    apart = 7 * _differ(a, b, range(SKETCH_WORDS, SKETCH_WORDS + PARITY_WORDS)) <= small + large
+    return (100 * small >= 75 * large) & apart & (_estimate(a, b) >= ESTIMATE_FLOOR)
 
 
 def _confirmed(pairs: DataFrame, documents: DataFrame) -> DataFrame:
@@ -197,16 +219,19 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
         .select("bucket", "n", F.col("hub.rep").alias("hub")),
         "hubs",
     )
-    slim = classes.select("rep", "n_shingles", *[F.col("sketch")[k].alias(f"s{k}") for k in range(SKETCH_WORDS)])
+    words = range(SKETCH_WORDS + PARITY_WORDS)
+    slim = classes.select("rep", "n_shingles", *[F.col("sketch")[k].alias(f"s{k}") for k in words])
     shared = store(laid.join(hubs, "bucket"), "buckets")
-    first = shared.where("rep <> hub").select(F.least("rep", "hub").alias("u"), F.greatest("rep", "hub").alias("v")).distinct()
-    first = _promising(first, slim)
-    first = store(first, "pairs")
-    links = store(_confirmed(first, documents), "links")
+    a, b = slim.alias("a"), slim.alias("b")
+    first = shared.where("rep <> hub").select("rep", "hub").distinct()
+    first = first.alias("p").join(a, F.col("p.rep") == F.col("a.rep")).join(b, F.col("p.hub") == F.col("b.rep"))
+    first = first.where(_possible("a", "b")).select(F.col("p.rep").alias("rep"), F.col("p.hub").alias("hub"), _distance("a", "b").alias("far"))
+    first = first.groupBy("rep").agg(F.min(F.struct("far", "hub")).alias("best"))
+    first = store(first.select(F.least("rep", "best.hub").alias("u"), F.greatest("rep", "best.hub").alias("v")).distinct(), "pairs")
+    links = store(_confirmed(first, documents), "links").unionByName(same_id)
 
     # what is still in different groups within a bucket
-    group = connected_components(links.unionByName(same_id))
-    labelled = shared.select("bucket", "n", "rep").join(group, shared["rep"] == group["node"], "left")
+    labelled = shared.select("bucket", "n", "rep").join(connected_components(links), F.col("rep") == F.col("node"), "left")
     labelled = store(labelled.select("bucket", "n", "rep", F.coalesce("component", "rep").alias("label")), "labelled")
     sizes = labelled.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("k"))
     main = sizes.groupBy("bucket").agg(F.max(F.struct("k", "label")).alias("top"), F.count(F.lit(1)).alias("groups"))
@@ -215,15 +240,22 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     chunks = F.ceil(F.col("n") / F.lit(CHUNK)).cast("int")
     rows = open_.withColumn("chunk", F.pmod(F.xxhash64("rep"), chunks.cast("long")).cast("int")).alias("b")
     asks = open_.where("label <> main").withColumn("chunk", F.explode(F.sequence(F.lit(0), chunks - 1))).alias("a")
-    met = (
-        asks.join(rows, (F.col("a.bucket") == F.col("b.bucket")) & (F.col("a.chunk") == F.col("b.chunk")) & (F.col("a.label") != F.col("b.label")) & _possible("a", "b"))
-        .select(F.least("a.rep", "b.rep").alias("u"), F.greatest("a.rep", "b.rep").alias("v"))
-        .distinct()
-        .join(first, ["u", "v"], "left_anti")
-    )
-    rest = store(_confirmed(store(met, "pairs"), documents), "links")
-
-    group = connected_components(links.unionByName(rest).unionByName(same_id))
+    met = asks.join(
+        rows,
+        (F.col("a.bucket") == F.col("b.bucket")) & (F.col("a.chunk") == F.col("b.chunk")) & (F.col("a.label") != F.col("b.label")) & _possible("a", "b"),
+    ).select(F.least("a.rep", "b.rep").alias("u"), F.greatest("a.rep", "b.rep").alias("v"), _distance("a", "b").alias("far"))
+    met = store(met.groupBy("u", "v").agg(F.min("far").alias("far")), "met")
+    ends = met.select("u", "v", "far", F.explode(F.array("u", "v")).alias("of"))
+    nearest = ends.groupBy("of").agg(F.min(F.struct("far", "u", "v")).alias("best")).select("best.u", "best.v").distinct()
+    nearest = store(nearest, "pairs")
+    links = links.unionByName(store(_confirmed(nearest, documents), "links"))
+    group = store(connected_components(links), "groups")
+    left = met.join(group.select(F.col("node").alias("u"), F.col("component").alias("cu")), "u", "left")
+    left = left.join(group.select(F.col("node").alias("v"), F.col("component").alias("cv")), "v", "left")
+    left = left.where(F.coalesce("cu", "u") != F.coalesce("cv", "v")).select("u", "v").join(nearest, ["u", "v"], "left_anti")
+    links = links.unionByName(store(_confirmed(store(left, "pairs"), documents), "links"))
+
+    group = connected_components(links)
     named = member.join(group, member["rep"] == group["node"], "left")
     named = named.groupBy("doc_id").agg(F.min(F.coalesce("component", "rep")).alias("component_id"))
     named = store(named, "named").withColumnRenamed("doc_id", "of")
@@ -235,9 +267,3 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
         F.col("doc_id").eqNullSafe(F.coalesce("component_id", "doc_id")).alias("kept"),
     )
 
-
-def _promising(pairs: DataFrame, slim: DataFrame) -> DataFrame:
-    """Those of the pairs (u, v) whose sizes and sketches allow a link."""
-    a, b = slim.alias("a"), slim.alias("b")
-    met = pairs.join(a, F.col("u") == F.col("a.rep")).join(b, F.col("v") == F.col("b.rep"))
-    return met.where(_possible("a", "b")).select("u", "v")
