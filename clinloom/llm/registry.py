@@ -7,13 +7,25 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from clinloom.llm import byte_bpe, langid, minhash, quality, secrets, token_files, toxicity
+from clinloom.llm import byte_bpe, langid, leaks, minhash, pseudonyms, quality, secrets, token_files, toxicity, web_archive
 from clinloom.session import read_table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+#: For the query alone; an application passes its own secret.
+QUERY_KEY = b"pseudonym key of the registered query"
+
+
+def op1_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonyms.op1(read_table(spark, sf_dir, "documents"), QUERY_KEY)
+
+
+def op2_web_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return web_archive.op2(read_table(spark, sf_dir, "pages"))
+
+
 def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
@@ -22,6 +34,10 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.op4(read_table(spark, sf_dir, "documents"))
 
 
+def op5_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks.op5(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.op6(read_table(spark, sf_dir, "documents"))
 
@@ -44,8 +60,11 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_pseudonyms": op1_pseudonyms,
+        "op2_web_archive": op2_web_archive,
         "op3_minhash": op3_minhash,
         "op4_language": op4_language,
+        "op5_leaks": op5_leaks,
         "op6_secrets": op6_secrets,
         "op7_toxicity": op7_toxicity,
         "op8_token_files": op8_token_files,

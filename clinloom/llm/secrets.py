@@ -132,6 +132,24 @@ def _joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+def redact(df: DataFrame, text: str = "text", mark: str = "[SECRET]") -> DataFrame:
+    """``df`` with every found span of ``text``, base or linked, replaced by ``mark``; overlapping spans
+    become one. A null text stays null, other rows without spans stay as they were."""
+    scanned = scan(df, text)
+    spans = F.array_sort(F.concat("base", "added"))
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    body = F.col(text)
+
+    def step(state, s):
+        inside = s["start"] < state["at"]
+        piece = F.when(inside, F.lit("")).otherwise(F.concat(body.substr(state["at"] + 1, s["start"] - state["at"]), F.lit(mark)))
+        return F.struct(F.greatest(state["at"], s["end"]).alias("at"), F.concat(state["out"], piece).alias("out"))
+
+    whole = F.aggregate(spans, start, step, lambda s: F.concat(s["out"], body.substr(s["at"] + 1, F.length(body))))
+    new = F.when(F.size("base") + F.size("added") > 0, whole).otherwise(body)
+    return scanned.withColumn(text, new).drop("base", "added")
+
+
 def op6(documents: DataFrame) -> DataFrame:
     """Per document: doc_id, n_assign, n_access, n_hex, base_sha256, spans; and n_weak."""
     found = scan(documents.select("doc_id", "text"))
