@@ -30,18 +30,19 @@ from pyspark.sql import functions as F
 from clinloom.llm.common import rows_in_slices
 from clinloom.session import shared_dir, ship_package, store
 
-CACHE_PIECES = 400_000
+#: Stretches, and pieces, that a Python worker remembers; past it a memory starts anew.
+CACHE_STRETCHES, CACHE_PIECES = 400_000, 900_000
 MANIFEST = "part int, path string, docs long, tokens long, width int"
 
 
 class _Memory(dict):
     """From a stretch of text to its ids as little-endian uint32 bytes; fills itself."""
 
-    def __init__(self, make):
-        self.make = make
+    def __init__(self, make, most: int):
+        self.make, self.most = make, most
 
     def __missing__(self, key):
-        if len(self) >= CACHE_PIECES:
+        if len(self) >= self.most:
             self.clear()
         ids = self.make(key)
         if len(key) <= 64:
@@ -51,9 +52,11 @@ class _Memory(dict):
 
 class WordEncoder:
     """Encodes whole texts as the tokenizers library does with this vocabulary. White space separates
-    pieces there and is dropped, so stretches between white space are encoded apart and remembered. In an
-    ASCII stretch the vocabulary's pattern is applied here and only its pieces go to the library's model;
-    every other stretch, and any that may hold a special token, goes through the library whole."""
+    pieces there and is dropped, so stretches between white space are encoded apart and remembered. In a
+    stretch of printable ASCII and Latin-1 letters, which its normaliser only lower-cases, the vocabulary's
+    pattern is applied here and only the pieces go to the library's model, their bytes written as its byte
+    alphabet has them; every other stretch, and any that may hold a special token, goes through the library
+    whole."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -61,16 +64,27 @@ class WordEncoder:
         tokenizer = Tokenizer.from_file(path)
         model = tokenizer.model
         pack = lambda ids: np.array(ids, "<u4").tobytes()
-        piece = _Memory(lambda x: pack([t.id for t in model.tokenize(x)]))
-        # the vocabulary's own pattern, for lower-case ASCII without white space
-        pieces = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+").findall
+        # the byte alphabet: printable bytes stand for themselves, the others follow from 256 on
+        shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
+        letter = {b: chr(b) for b in shown} | {b: chr(256 + n) for n, b in enumerate(b for b in range(256) if b not in shown)}
+        table = [letter[b] for b in range(256)]
+
+        def merge(x: str) -> bytes:
+            written = x if x.isascii() else "".join(map(table.__getitem__, x.encode("utf-8")))
+            return pack([t.id for t in model.tokenize(written)])
+
+        piece = _Memory(merge, CACHE_PIECES)
+        plain = re.compile(r"[!-~\xc0-\xd6\xd8-\xf6\xf8-\xff]*").fullmatch
+        # the vocabulary's own pattern, for lower-case letters of that kind
+        pieces = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^a-z0-9\xdf-\xf6\xf8-\xff]+").findall
 
         def stretch(x: bytes) -> bytes:
-            if x.isascii() and b"<|" not in x and x.isalnum() | (min(x) > 32 and max(x) < 127):
-                return b"".join(map(piece.__getitem__, pieces(x.decode("ascii").lower())))
-            return pack(tokenizer.encode(x.decode("utf-8"), add_special_tokens=False).ids)
+            text = x.decode("utf-8")
+            if plain(text) and "<|" not in text:
+                return b"".join(map(piece.__getitem__, pieces(text.lower())))
+            return pack(tokenizer.encode(text, add_special_tokens=False).ids)
 
-        self.stretches = _Memory(stretch)
+        self.stretches = _Memory(stretch, CACHE_STRETCHES)
         self.vocabulary = tokenizer.get_vocab_size(with_added_tokens=True)
 
     def encode(self, text: str) -> bytes:
