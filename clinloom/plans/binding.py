@@ -91,6 +91,16 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
         "select event_id, person_id, start_date, end_date, case when target_domain = 'Drug' then target_id else 0 end as concept_id, coalesce(source_concept_id, 0) as source_concept_id, code from mapped"
         " qualify row_number() over (partition by event_id order by target_id desc nulls last) = 1",
     ),
+    # labelled cases with predictions
+    "cases": (
+        (),
+        f"select p_partkey as case_id, {_DOMAIN} as domain, case when p_partkey % 5 < 3 then 'development' else 'held_out' end as split, p_brand as family_id,"
+        f" case when p_partkey % 4 = 0 then 'ABSTAIN' else 'MAP' end as expected_decision, case when p_partkey % 4 <> 0 then 2000000 + {_BRAND} * 10 + {_TYPE_NO} end as expected_id,"
+        " case when p_partkey % 7 = 0 then 'ABSTAIN' else 'MAP' end as raw_decision,"
+        f" case when p_partkey % 7 = 0 then null when p_partkey % 3 = 0 then 2000000 + {_BRAND} * 10 + ({_TYPE_NO} + 1) % 6 else 2000000 + {_BRAND} * 10 + {_TYPE_NO} end as raw_id,"
+        " (p_partkey * 37 % 101) / 100.0 as score, case when p_partkey % 7 <> 0 and (p_partkey * 37 % 101) / 100.0 >= 0.5 then 'MAP' else 'ABSTAIN' end as decision,"
+        f" case when p_partkey % 6 = 0 then [2000000 + {_BRAND} * 10] else [2000000 + {_BRAND} * 10 + {_TYPE_NO}, 2000000 + {_BRAND} * 10] end as candidates from part",
+    ),
 }
 
 
@@ -194,3 +204,24 @@ class Clinic:
         ingredient, standard = 3000000 + F.expr(_BRAND), 2000000 + F.expr(_BRAND) * 10 + F.expr(_TYPE_NO)
         pair = lambda a, d: part.select(a.alias("ancestor_id"), d.alias("descendant_id")).distinct()
         return pair(ingredient, standard).unionByName(pair(standard, standard)).unionByName(pair(ingredient, ingredient))
+
+    @cached_property
+    def cases(self) -> DataFrame:
+        key = F.col("p_partkey")
+        own = 2000000 + F.expr(_BRAND) * 10 + F.expr(_TYPE_NO)
+        other = 2000000 + F.expr(_BRAND) * 10 + (F.expr(_TYPE_NO) + 1) % 6
+        first = 2000000 + F.expr(_BRAND) * 10
+        score = (key * 37 % 101) / 100.0
+        return self.raw("part").select(
+            key.alias("case_id"),
+            F.expr(_DOMAIN).alias("domain"),
+            F.when(key % 5 < 3, "development").otherwise("held_out").alias("split"),
+            F.col("p_brand").alias("family_id"),
+            F.when(key % 4 == 0, "ABSTAIN").otherwise("MAP").alias("expected_decision"),
+            F.when(key % 4 != 0, own).alias("expected_id"),
+            F.when(key % 7 == 0, "ABSTAIN").otherwise("MAP").alias("raw_decision"),
+            F.when(key % 7 == 0, None).when(key % 3 == 0, other).otherwise(own).alias("raw_id"),
+            score.alias("score"),
+            F.when((key % 7 != 0) & (score >= 0.5), "MAP").otherwise("ABSTAIN").alias("decision"),
+            F.when(key % 6 == 0, F.array(first)).otherwise(F.array(own, first)).alias("candidates"),
+        )
