@@ -9,7 +9,8 @@
    the first estimates similarities near one precisely, whatever the sets' sizes. What may reach the
    threshold is confirmed on the full sets.
 4. Each class first meets one class of each of its buckets, and the nearest of those by the bitmaps is
-   confirmed. These links give provisional groups. Then, in each bucket, every class outside the bucket's
+   confirmed. These links give provisional groups, which some turns of delegates, one of a group in a
+   bucket against one of the bucket's largest group, join further. Then, in each bucket, every class outside the bucket's
    largest group meets all classes of other groups, the nearest pairs are confirmed first, and of the
    others those that are still in different groups. So all pairs of a bucket are settled, by a link,
    by a common group or by a comparison, while the members of a large group of near copies are not
@@ -45,6 +46,8 @@ SKETCH_WORDS = 4  # of 64 bits, of the MinHash values' bitmap
 PARITY_WORDS = 8  # of the whole set's
 #: Least estimated similarity that is confirmed on full sets, for a threshold of 0.75.
 ESTIMATE_FLOOR = 0.52
+#: Most turns of joining groups by delegates; whatever they leave apart is settled after them.
+TURNS = 2
 #: Classes of a bucket that share a partition of the second step.
 CHUNK = 256
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -194,6 +197,36 @@ def _confirmed(pairs: DataFrame, documents: DataFrame) -> DataFrame:
     return both.where(100 * common >= 75 * (F.size("hu") + F.size("hv") - common)).select("u", "v")
 
 
+def _groups(shared: DataFrame, label_of: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(bucket, n, rep, label) with each class's group, its own where it has none, and (bucket, main) with
+    the largest group of each bucket that has several."""
+    labelled = shared.select("bucket", "n", "rep").join(label_of, "rep", "left")
+    labelled = store(labelled.select("bucket", "n", "rep", F.coalesce("label", "rep").alias("label")), "labelled")
+    sizes = labelled.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("k"))
+    main = sizes.groupBy("bucket").agg(F.max(F.struct("k", "label")).alias("top"), F.count(F.lit(1)).alias("groups"))
+    return labelled, store(main.where("groups > 1").select("bucket", F.col("top.label").alias("main")), "main")
+
+
+def _lower(joined: DataFrame, name: str) -> DataFrame:
+    """(label, to): groups that links join (x, y: labels) under smaller labels. Each label takes its least
+    neighbour, and eight steps along those; longer chains stay apart here and are joined at the end."""
+    both = joined.select(F.greatest("x", "y").alias("label"), F.least("x", "y").alias("to")).where("label <> to")
+    least = store(both.groupBy("label").agg(F.min("to").alias("to")), name)
+    out = least
+    for _ in range(3):
+        further = out.select(F.col("label").alias("to"), F.col("to").alias("next"))
+        out = out.join(further, "to", "left").select("label", F.coalesce("next", "to").alias("to"))
+    return store(out, name)
+
+
+def _moved(label_of: DataFrame, moves: DataFrame) -> DataFrame:
+    """``label_of`` with the groups of ``moves`` (label, to) under their new labels; a class alone has its
+    own label and moves too."""
+    known = label_of.join(moves, "label", "left").select("rep", F.coalesce("to", "label").alias("label"))
+    alone = moves.join(label_of.select(F.col("rep").alias("label")), "label", "left_anti").select(F.col("label").alias("rep"), F.col("to").alias("label"))
+    return store(known.unionByName(alone), "labels")
+
+
 def near_duplicates(documents: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept. See the module's text."""
     signed = store(signatures(documents), "signed")
@@ -230,12 +263,30 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     first = store(first.select(F.least("rep", "best.hub").alias("u"), F.greatest("rep", "best.hub").alias("v")).distinct(), "pairs")
     links = store(_confirmed(first, documents), "links").unionByName(same_id)
 
+    # groups that share a bucket are joined by delegates, each to its nearest one, before all pairs are
+    # settled; joining moves a group under another's label, which may be one step behind but never unites
+    # what no link joins
+    label_of = connected_components(links).select(F.col("node").alias("rep"), F.col("component").alias("label"))
+    label_of = store(label_of, "labels")
+    tried = first
+    for turn in range(TURNS):
+        labelled, main = _groups(shared, label_of)
+        pick = F.min(F.struct(F.xxhash64("rep", "bucket", F.lit(turn)).alias("h"), F.col("rep").alias("rep")))
+        delegates = store(labelled.join(main, "bucket").groupBy("bucket", "label", "main").agg(pick["rep"].alias("rep")), "delegates")
+        hosts = delegates.where("label = main").select("bucket", F.col("rep").alias("host"), F.col("label").alias("to"))
+        ask = delegates.where("label <> main").select("bucket", "rep", "label").join(hosts, "bucket").select("rep", "host", "label", "to").distinct()
+        ask = ask.alias("p").join(a, F.col("p.rep") == F.col("a.rep")).join(b, F.col("p.host") == F.col("b.rep")).where(_possible("a", "b"))
+        ask = ask.select("p.label", "p.to", F.least("p.rep", "p.host").alias("u"), F.greatest("p.rep", "p.host").alias("v"), _distance("a", "b").alias("far"))
+        ask = ask.join(tried, ["u", "v"], "left_anti").groupBy("label").agg(F.min(F.struct("far", "u", "v", "to")).alias("best"))
+        ask = store(ask.select("label", "best.u", "best.v", "best.to"), "pairs")
+        pairs = ask.select("u", "v").distinct()
+        more = store(_confirmed(pairs, documents), "links")
+        links, tried = links.unionByName(more), tried.unionByName(pairs)
+        joined = ask.join(more, ["u", "v"], "left_semi").select(F.col("label").alias("x"), F.col("to").alias("y"))
+        label_of = _moved(label_of, _lower(joined, "moves"))
+
     # what is still in different groups within a bucket
-    labelled = shared.select("bucket", "n", "rep").join(connected_components(links), F.col("rep") == F.col("node"), "left")
-    labelled = store(labelled.select("bucket", "n", "rep", F.coalesce("component", "rep").alias("label")), "labelled")
-    sizes = labelled.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("k"))
-    main = sizes.groupBy("bucket").agg(F.max(F.struct("k", "label")).alias("top"), F.count(F.lit(1)).alias("groups"))
-    main = store(main.where("groups > 1").select("bucket", F.col("top.label").alias("main")), "main")
+    labelled, main = _groups(shared, label_of)
     open_ = store(labelled.join(main, "bucket").join(slim, "rep"), "open")
     chunks = F.ceil(F.col("n") / F.lit(CHUNK)).cast("int")
     rows = open_.withColumn("chunk", F.pmod(F.xxhash64("rep"), chunks.cast("long")).cast("int")).alias("b")
@@ -243,17 +294,20 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     met = asks.join(
         rows,
         (F.col("a.bucket") == F.col("b.bucket")) & (F.col("a.chunk") == F.col("b.chunk")) & (F.col("a.label") != F.col("b.label")) & _possible("a", "b"),
-    ).select(F.least("a.rep", "b.rep").alias("u"), F.greatest("a.rep", "b.rep").alias("v"), _distance("a", "b").alias("far"))
-    met = store(met.groupBy("u", "v").agg(F.min("far").alias("far")), "met")
-    ends = met.select("u", "v", "far", F.explode(F.array("u", "v")).alias("of"))
-    nearest = ends.groupBy("of").agg(F.min(F.struct("far", "u", "v")).alias("best")).select("best.u", "best.v").distinct()
+    ).select(
+        F.least(F.struct("a.rep", "a.label"), F.struct("b.rep", "b.label")).alias("x"), F.greatest(F.struct("a.rep", "a.label"), F.struct("b.rep", "b.label")).alias("y"), _distance("a", "b").alias("far")
+    )
+    met = met.groupBy(F.col("x.rep").alias("u"), F.col("y.rep").alias("v")).agg(F.first("x.label").alias("lu"), F.first("y.label").alias("lv"), F.min("far").alias("far"))
+    met = store(met.join(tried, ["u", "v"], "left_anti"), "met")
+    ends = met.select("u", "v", "far", "lu", "lv", F.explode(F.array("u", "v")).alias("of"))
+    nearest = ends.groupBy("of").agg(F.min(F.struct("far", "u", "v", "lu", "lv")).alias("best")).select("best.u", "best.v", "best.lu", "best.lv").distinct()
     nearest = store(nearest, "pairs")
-    links = links.unionByName(store(_confirmed(nearest, documents), "links"))
-    group = store(connected_components(links), "groups")
-    left = met.join(group.select(F.col("node").alias("u"), F.col("component").alias("cu")), "u", "left")
-    left = left.join(group.select(F.col("node").alias("v"), F.col("component").alias("cv")), "v", "left")
-    left = left.where(F.coalesce("cu", "u") != F.coalesce("cv", "v")).select("u", "v").join(nearest, ["u", "v"], "left_anti")
-    links = links.unionByName(store(_confirmed(store(left, "pairs"), documents), "links"))
+    found = store(_confirmed(nearest.select("u", "v"), documents), "links")
+    moves = _lower(nearest.join(found, ["u", "v"], "left_semi").select(F.col("lu").alias("x"), F.col("lv").alias("y")), "moves")
+    left = met.join(nearest.select("u", "v"), ["u", "v"], "left_anti")
+    left = left.join(moves.select(F.col("label").alias("lu"), F.col("to").alias("mu")), "lu", "left").join(moves.select(F.col("label").alias("lv"), F.col("to").alias("mv")), "lv", "left")
+    left = left.where(F.coalesce("mu", "lu") != F.coalesce("mv", "lv")).select("u", "v")
+    links = links.unionByName(found).unionByName(store(_confirmed(store(left, "pairs"), documents), "links"))
 
     group = connected_components(links)
     named = member.join(group, member["rep"] == group["node"], "left")
