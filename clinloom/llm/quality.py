@@ -125,7 +125,8 @@ def grow(x: np.ndarray, y: np.ndarray, signs: list[int]) -> Trees:
     share = np.clip(y.mean() if len(y) else 1.0, 1e-3, 1 - 1e-3)
     base = float(np.log(share / (1 - share)))
     feature, limit, left, value, roots = [], [], [], [], []
-    edges = [np.unique(np.quantile(x[:, k], np.linspace(0, 1, BINS + 1)[1:-1])) for k in range(x.shape[1])]
+    cuts = np.linspace(0, 1, BINS + 1)[1:-1]
+    edges = [np.unique(np.quantile(x[:, k], cuts)) if len(x) else np.empty(0) for k in range(x.shape[1])]
     binned = np.stack([np.searchsorted(e, x[:, k], side="left") for k, e in enumerate(edges)], axis=1)
     score = np.full(len(y), base)
 

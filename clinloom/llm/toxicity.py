@@ -8,7 +8,9 @@ logistic loss,
     prior * E_pos[l(+)] + max(0, E_unl[l(-)] - prior * E_pos[l(-)]),
 
 and where the second term is negative, its gradient is turned so that the model does not fit the
-unlabelled positives away. The prior is the share of label 1 among the labelled training rows.
+unlabelled positives away. The prior is the share of label 1 among the labelled training rows, or where it
+is smaller the mixture's bound: no feature can be rarer among the unlabelled than the prior times its share
+of the positives, so the least such ratio, over features that ``SUPPORT`` of the positives have, bounds it.
 Training uses bounded samples, the least by a hash of the id: ``POSITIVE_ROWS`` and ``UNLABELLED_ROWS``.
 Features are the ``FEATURES`` ones that tell most, by count times log lift among the positives.
 
@@ -35,6 +37,7 @@ POSITIVE_ROWS, UNLABELLED_ROWS = 4_000, 12_000
 #: A feature is used if positives have it so often, and if prior * lift, the share of positives among
 #: documents with it, is so large.
 FEATURES, LEAST_POSITIVE, LEAST_SHARE = 4_096, 5, 0.35
+SUPPORT = 0.05
 STEPS, RATE, RIDGE = 300, 0.1, 2e-4
 THRESHOLD = 0.3
 _WORD = re.compile(r"\w+").findall
@@ -127,7 +130,6 @@ def train(documents: DataFrame, labels: DataFrame) -> ToxicityModel:
     at = chosen.columns.index("text")
     seen = store(add_columns(chosen, "features array<long>", make).drop("text"), "features")
     shares = marked.agg(F.avg("toxic")).first()[0]
-    prior = float(np.clip(shares or 0.0, 1e-3, 0.5))
     sizes = {r["positive"]: r["n"] for r in seen.groupBy("positive").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not sizes.get(True):
         return ToxicityModel({}, np.empty(0), -500.0)
@@ -135,8 +137,12 @@ def train(documents: DataFrame, labels: DataFrame) -> ToxicityModel:
     counts = seen.select("positive", F.explode("features").alias("f")).groupBy("f").agg(
         F.count_if("positive").alias("p"), F.count_if(~F.col("positive")).alias("u")
     )
+    counts = store(counts.where(F.col("p") >= LEAST_POSITIVE), "counts")
     lift = (F.col("p") / n_pos) / ((F.col("u") + 1) / F.lit(float(n_unl)))
     gain = F.col("p") * F.log(lift)
+    supported = counts.where(F.col("p") >= max(LEAST_POSITIVE, SUPPORT * n_pos))
+    mixed = supported.agg(F.min(1 / lift)).first()[0]
+    prior = float(np.clip(min(shares or 0.0, mixed or 1.0), 1e-3, 0.5))
     likely = prior * lift >= LEAST_SHARE
     best = counts.where((F.col("p") >= LEAST_POSITIVE) & likely).orderBy(gain.desc(), "f").limit(FEATURES)
     index = {r["f"]: k for k, r in enumerate(best.select("f").collect())}

@@ -1,0 +1,358 @@
+"""The ten operators against brute force, and their edge cases, on small fixtures."""
+
+from __future__ import annotations
+
+import base64
+import hashlib
+import random
+import re
+import struct
+import zlib
+from collections import Counter
+
+import numpy as np
+import public_tokenizers as public
+import pytest
+import tiktoken
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from clinloom.llm import byte_bpe, components, langid, leaks, minhash, pseudonyms, quality, secrets, token_files, toxicity, web_archive
+from clinloom.llm.registry import BYTE_RANKS, QUERY_KEY, WORD_BPE
+
+WORDS = "alpha beta gamma delta river stone cloud amber quiet seven lemon north copper velvet signal harbor".split()
+
+
+def prose(seed: int, n: int) -> str:
+    r = random.Random(seed)
+    return " ".join(r.choice(WORDS) + r.choice(["", "s", "ing"]) for _ in range(n))
+
+
+def odd_rows(spark, texts):
+    """Documents with a clashing extra column, repeated rows and null ids."""
+    rows = [(i, t, "en", "s", 1, "x") for i, t in enumerate(texts)] + [(0, texts[0], "en", "s", 1, "x"), (None, texts[0], None, None, None, None)]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, score string")
+
+
+EDGE = [prose(1, 30), None, "", " \n\t", "one", "é漢😀 ’s it's", prose(2, 5000)]
+
+
+def test_byte_bpe(spark):
+    ranks = byte_bpe.load_ranks(BYTE_RANKS)
+    enc = tiktoken.Encoding("own", pat_str=public.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    ours = byte_bpe.Encoder(ranks, public.PATTERN)
+    r = random.Random(5)
+    for _ in range(3000):
+        s = "".join(r.choice("aaabcdeth é漢😀  \n'slt1 2#\x85 ") for _ in range(r.randint(0, 40)))
+        assert np.frombuffer(ours.encode(s), "<i4").tolist() == enc.encode_ordinary(s)
+    got = byte_bpe.op9(odd_rows(spark, EDGE), BYTE_RANKS, public.PATTERN).collect()
+    assert len(got) == len(EDGE) + 2
+    for row in got:
+        text = (EDGE[row.doc_id] if row.doc_id is not None else EDGE[0]) or ""
+        tokens = enc.encode_ordinary(text)
+        assert row.n_tokens == len(tokens)
+        assert row.ids_sha256 == hashlib.sha256(" ".join(map(str, tokens)).encode()).hexdigest()
+        assert row.decoded_sha256 == hashlib.sha256(text.encode()).hexdigest()
+    long = "ab" * 50_000
+    assert byte_bpe.merge_piece(long.encode(), ranks) == enc.encode_ordinary(long)
+    assert byte_bpe.op9(odd_rows(spark, EDGE).limit(0), BYTE_RANKS, public.PATTERN).count() == 0
+
+
+def shingles(text):
+    w = (text or "").encode().translate(minhash._LOWER).split()
+    return frozenset(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else frozenset()
+
+
+def linked_components(rows):
+    sets = {i: shingles(t) for i, t in rows}
+    parent = {i: i for i in sets}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    ids = sorted(sets)
+    for k, a in enumerate(ids):
+        for b in ids[k + 1 :]:
+            both = len(sets[a] & sets[b])
+            if sets[a] and sets[b] and 100 * both >= 75 * (len(sets[a]) + len(sets[b]) - both):
+                x, y = find(a), find(b)
+                parent[max(x, y)] = min(x, y)
+    return {i: (len(sets[i]), find(i)) for i in ids}
+
+
+def test_minhash_against_all_pairs(spark):
+    r = random.Random(3)
+    texts = list(EDGE)
+    for seed in range(12):
+        base = prose(seed + 50, r.randint(20, 150)).split()
+        for _ in range(12):
+            copy = list(base)
+            for _ in range(r.randint(0, 6)):
+                copy[r.randrange(len(copy))] = r.choice(WORDS) + "x"
+            texts.append(" ".join(copy))
+    texts += [texts[20]] * 30 + ["Alpha beta", "ALPHA  beta", "alpha beta gamma"]
+    got = minhash.near_duplicates(odd_rows(spark, texts)).collect()
+    want = linked_components(list(enumerate(texts)))
+    assert len(got) == len(texts) + 2
+    for row in got:
+        if row.doc_id is None:
+            assert row.component_id is None and row.kept
+        else:
+            assert (row.n_shingles, row.component_id) == want[row.doc_id]
+            assert row.kept == (row.doc_id == row.component_id)
+    assert minhash.near_duplicates(odd_rows(spark, texts).limit(0)).count() == 0
+
+
+def test_odd_sketch_estimates_high_similarity():
+    r = np.random.default_rng(1)
+    base = r.integers(0, 2**63, 400).astype(np.uint64)
+    other = base.copy()
+    other[:40] = r.integers(0, 2**63, 40).astype(np.uint64)
+    a, b = minhash.odd_sketch(minhash.min_hashes([np.unique(base), np.unique(other)]))
+    differ = sum(int(x & (2**64 - 1)).bit_count() for x in (a ^ b).tolist())
+    bits, k = 64 * minhash.SKETCH_WORDS, minhash.BANDS * minhash.ROWS
+    assert 1 + bits / (4 * k) * np.log(1 - 2 * differ / bits) == pytest.approx(360 / 440, abs=0.15)
+    apart = minhash.parity(np.unique(base)) ^ minhash.parity(np.unique(other))
+    assert sum(int(x & (2**64 - 1)).bit_count() for x in apart.tolist()) <= 80
+
+
+def test_components_of_a_path(spark):
+    edges = spark.createDataFrame([(i + 1, i) for i in range(60)] + [(100, 101), (5, 5), (None, 3)], "u long, v long")
+    got = {r.node: r.component for r in components.connected_components(edges).collect()}
+    assert got == {**{i: 0 for i in range(61)}, 100: 100, 101: 100}
+    assert components.connected_components(edges.limit(0)).count() == 0
+
+
+def test_language(spark):
+    tongue = {"en": "the and with that this have from", "fr": "le une avec dans être pour où", "de": "der und nicht eine über zwölf"}
+    r = random.Random(2)
+    rows = [(i, " ".join(r.choice(tongue[k].split()) for _ in range(30)), k) for i, k in enumerate(list(tongue) * 40)]
+    rows += [(500, None, "en"), (501, "", "en"), (502, "123 ...", None), (503, rows[1][1], None)]
+    got = {x.doc_id: x for x in langid.op4(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    for i, _, k in rows[:120]:
+        assert got[i].lang_pred == k and 0 <= got[i].score <= 1
+        assert got[i].held_out == (zlib.crc32(str(i).encode()) % 3 == 1)
+    assert [got[i].lang_pred for i in (500, 501, 502, 503)] == ["und", "und", "und", "fr"]
+    none = spark.createDataFrame([(1, "text", None)], "doc_id long, text string, lang string")
+    assert langid.op4(none).first().lang_pred == "und"
+    assert langid.op4(none.limit(0)).count() == 0
+
+
+def test_leaks(spark):
+    items = [(k, prose(900 + k, 12 + 2 * k).replace(" ", f" w{k}x ", 3) + f" answer: word{k} last{k}.") for k in range(8)] + [(50, None), (51, "tiny item")]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    docs, want = [], set()
+    for i in range(60):
+        text = prose(2000 + i, 120)
+        if i % 6 == 0:
+            k = i // 6 % 8
+            item = items[k][1].split()
+            if i % 12 == 0:
+                del item[3]  # a paraphrase that lost a word
+            text = text[:200] + " " + " ".join(item) + " " + text[200:]
+            want.add((i, k))
+        docs.append((i, text))
+    docs += [(100, None), (101, ""), (102, "a tiny item here"), (103, "tiny and item")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in leaks.op5(frame, benchmark).collect()}
+    assert got == want | {(102, 51)}
+    assert leaks.op5(frame.limit(0), benchmark).count() == 0
+    assert leaks.op5(frame, benchmark.limit(0)).count() == 0
+    assert leaks.common_subsequence([1, 2, 3, 2], np.array([2, 9, 3, 1, 2])) == 3
+
+
+ASSIGN = re.compile(r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
+
+
+def base_spans(t):
+    out = [(m.start(), 0, m.end(), "assign") for m in ASSIGN.finditer(t) if len(m[1]) >= 6]
+    out += [(m.start(), 1, m.end(), "access") for m in re.finditer("AKIA[A-Z0-9]+", t) if len(m[0]) >= 20]
+    out += [(m.start(), 2, m.end(), "hex") for m in re.finditer("[0-9a-f]+", t) if len(m[0]) >= 24]
+    return sorted(out)
+
+
+def test_secrets(spark):
+    weak = "wJalrXUtnFEMIK7MDENGbPxRfiCYEXAMPLEKEY9"
+    r = random.Random(9)
+    bits = ["password", "Token", "api_key", "APIKEY", "secret", '"', "'", " ", ":", "=", "abc", "AKIA", "B" * 16, "0f" * 12, "é", "😀", "\n", "x-._/+=", "\n\n"]
+    texts = ["".join(r.choice(bits) for _ in range(r.randint(0, 25))) for _ in range(400)]
+    texts += [None, "", f"client_id=abc123 key {weak}", f"{weak} alone", f"{weak}\n\nclient_id=abc123", f"user=bob {'x ' * 400} {weak}", "token=" + "a" * 30_000]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for row in secrets.op6(rows).collect():
+        t = texts[row.doc_id] or ""
+        base = base_spans(t)
+        joined = ",".join(f"{k}:{a}:{b}" for a, _, b, k in base)
+        assert (row.n_assign, row.n_access, row.n_hex) == tuple(sum(x[3] == k for x in base) for k in ("assign", "access", "hex"))
+        assert row.base_sha256 == hashlib.sha256(joined.encode()).hexdigest()
+        assert set(filter(None, joined.split(","))) <= set(row.spans.split(","))
+    n = {r.doc_id - 400: r.n_weak for r in secrets.op6(rows).where("doc_id >= 400").collect()}
+    assert n == {0: 0, 1: 0, 2: 2, 3: 0, 4: 0, 5: 0, 6: 0}
+    clean = {r.doc_id: r.text for r in secrets.redact(rows).collect()}
+    assert clean[402] == "[SECRET] key [SECRET]" and clean[400] is None and clean[403] == texts[403]
+
+
+def test_toxicity(spark):
+    r = random.Random(4)
+    docs, labels = [], []
+    for i in range(600):
+        bad = i % 8 == 0
+        words = prose(i + 3000, 40).split()
+        if bad:
+            words[5:5] = r.sample(["vile", "scumbag", "rotten"], 2)
+        docs.append((i, " ".join(words)))
+        if i % 2 == 0:
+            labels.append((i, int(bad)))
+    docs += [(1000, None), (1001, "")]
+    d, m = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    got = {x.doc_id: x for x in toxicity.op7(d, m).collect()}
+    assert all(got[i].predicted == int(i % 8 == 0) for i in range(600))
+    assert all(got[i].held_out == (zlib.crc32(str(i).encode()) % 4 == 2) for i in range(600))
+    assert got[1000].predicted == got[1001].predicted == 0
+    assert toxicity.op7(d, m.limit(0)).agg(F.max("score")).first()[0] < 1e-6
+    assert toxicity.op7(d.limit(0), m).count() == 0
+
+
+def test_token_files(spark):
+    texts = EDGE + ["<|endoftext|> End<|startoftext|>", "ÉCOLE ÿ×÷ don't 12"]
+    frame = odd_rows(spark, texts)
+    library = Tokenizer.from_file(WORD_BPE)
+    coded = lambda t: np.array(library.encode(t or "", add_special_tokens=False).ids + [1], "<u4")
+    manifest = token_files.write(frame, WORD_BPE, 1)
+    got = sorted(token_files.read(manifest).collect(), key=lambda r: r.start)
+    ids = [r.doc_id for r in got]
+    assert ids == [None, 0, 0, *range(1, len(texts))]
+    at = 0
+    for row in got:
+        want = coded(texts[row.doc_id or 0])
+        assert (row.start, row.n_tokens, row.ids) == (at, len(want), want.tolist())
+        at += len(want)
+    digests = {r.doc_id: r.ids_crc32 for r in token_files.op8(frame, WORD_BPE).collect()}
+    assert all(digests[i] == zlib.crc32(coded(t).tobytes()) for i, t in enumerate(texts))
+    assert token_files.op8(frame.limit(0), WORD_BPE).count() == 0
+    r, ours = random.Random(3), token_files.WordEncoder(WORD_BPE)
+    bits = ["a", "B", "É", "ü", "×", "'", "s", "ll", "ß", "İ", "Σ", "́", "1", " ", "\n", "\x1c", "\x85", "<|", "endoftext", "|>", "漢", "!", "\x00", "\x7f"]
+    for _ in range(3000):
+        s = "".join(r.choice(bits) for _ in range(r.randint(0, 12)))
+        assert np.frombuffer(ours.encode(s), "<u4").tolist() == library.encode(s, add_special_tokens=False).ids
+
+
+def counted(text):
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    seen = Counter(zip(words, words[1:], words[2:], strict=False))
+    inside = {j for i, t in enumerate(zip(words, words[1:], words[2:], strict=False)) if seen[t] > 1 for j in (i, i + 1, i + 2)}
+    return len(words), sum(map(len, words)), sum(text.count(c) for c in "#*$%&|<>"), len(lines) - len(set(lines)), len(inside)
+
+
+def test_quality(spark):
+    r = random.Random(6)
+    texts = EDGE + ["a b c a b c a", "x\nx\n\ny\nx", "# | <> $ & a\x0bb\x0cc"] + [" ".join(r.choice("ab") for _ in range(r.randint(0, 30))) for _ in range(60)]
+    good = [prose(7000 + i, 80) for i in range(150)]
+    bad = [prose(7500 + i, 80).replace(" ", "!! ").upper() for i in range(60)]
+    rows = list(enumerate(texts + good + bad))
+    labels = [(i, int(i < len(texts) + 150)) for i, _ in rows[len(texts) :]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {x.doc_id: x for x in quality.op10(docs, spark.createDataFrame(labels, "doc_id long, quality int")).collect()}
+    for i, t in rows:
+        n, chars, symbols, lines, repeats = counted(t)
+        x = got[i]
+        assert (x.n_words, x.word_chars, x.n_symbols, x.n_dup_lines, x.n_repeat_words) == (n, chars, symbols, lines, repeats)
+        assert x.base_failed == (n < 50 or 100 * repeats > 50 * n)
+        assert not (x.base_failed and x.kept)
+    first = len(texts)
+    assert np.mean([got[first + i].kept for i in range(150)]) > 0.95
+    assert np.mean([got[first + 150 + i].kept for i in range(60)]) < 0.05
+    assert quality.op10(docs.limit(0), spark.createDataFrame([], "doc_id long, quality int")).count() == 0
+
+
+def test_trees_are_monotone():
+    r = np.random.default_rng(0)
+    x = r.random((3000, 2))
+    y = (np.sin(6 * x[:, 0]) + x[:, 1] + r.normal(0, 0.3, 3000) > 0.6).astype(float)
+    trees = quality.grow(x, y, [-1, 0])
+    grid = np.linspace(0, 1, 101)
+    for other in (0.1, 0.5, 0.9):
+        p = trees.probability(np.stack([grid, np.full(101, other)], axis=1))
+        assert (np.diff(p) <= 1e-12).all()
+
+
+def test_web_archive(spark):
+    html = ["<p>é</p>", None, "", "<p>é</p>", "x" * 300_000, "<p>\r\n\r\nWARC/1.1</p>", "<p>é</p>"]
+    rows = [(5 - i, f"http://h/{i}\nz" if i else None, h, "extra") for i, h in enumerate(html)] + [(None, "u", "<p>é</p>", "e"), (5, "u", "<p>é</p>", "e")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, record_type string")
+    first = {}
+    for p in sorted((r for r in rows if r[0] is not None), key=lambda r: r[0]):
+        first.setdefault(p[2] or "", p[0])
+    got = sorted(map(tuple, web_archive.op2(pages).drop("url").collect()), key=repr)
+    want = []
+    for page, _, h, _ in rows:
+        body = (h or "").encode()
+        f = first[h or ""]
+        want.append((page, len(body), base64.b32encode(hashlib.sha1(body).digest()).decode(), *(("response", None) if f == page else ("revisit", f))))
+    assert got == sorted(want, key=repr)
+    assert web_archive.op2(pages.limit(0)).count() == 0
+
+
+class Bytes:
+    def __init__(self, data):
+        self.data = data
+
+    def read_at(self, n, at):
+        return self.data[at : at + n]
+
+
+def test_zip64_directory():
+    name, body = b"big.warc", b"stored bytes"
+    local = struct.pack("<4s5H3I2H", b"PK\x03\x04", 45, 0, 0, 0, 0, 0, 0xFFFFFFFF, 0xFFFFFFFF, len(name), 4) + name + b"\x99\x99\x00\x00"
+    extra = struct.pack("<HHQQQ", 1, 24, len(body), len(body), 0)
+    entry = struct.pack("<4s6H3I5H2I", b"PK\x01\x02", 45, 45, 0, 0, 0, 0, 0, 0xFFFFFFFF, 0xFFFFFFFF, len(name), len(extra), 0, 0, 0, 0, 0xFFFFFFFF) + name + extra
+    at = len(local) + len(body)
+    wide = struct.pack("<4sQ2H2I4Q", b"PK\x06\x06", 44, 45, 45, 0, 0, 1, 1, len(entry), at)
+    locator = struct.pack("<4sIQI", b"PK\x06\x07", 0, at + len(entry), 1)
+    end = struct.pack("<4s4H2IH", b"PK\x05\x06", 0, 0, 0xFFFF, 0xFFFF, 0xFFFFFFFF, 0xFFFFFFFF, 3) + b"end"
+    file = Bytes(local + body + entry + wide + locator + end)
+    (member,) = web_archive.directory(file, len(file.data))
+    assert (member.name, member.size, member.header) == ("big.warc", len(body), 0)
+    assert file.read_at(member.size, web_archive.stored_at(file, member)) == body
+    with pytest.raises(ValueError):
+        web_archive.directory(Bytes(b"no zip"), 6)
+
+
+def test_pseudonyms(spark):
+    permute = pseudonyms.Permutation(QUERY_KEY)
+    values = ["4111 1111 1111 1111", "GB82 WEST 1234 5698 7654 32", "078-05-1120", "2024-02-29", "31.12.1999", "02/28/2001", "10.0.0.1", "+1 (212) 555-0199", "a.b@mail2.example.org"]
+    for v in values:
+        text = f"see {v}, and {v} again"
+        new, found = pseudonyms.rewrite(text, permute)
+        assert len(found) == 2 and v not in new and pseudonyms.rewrite(new, permute, back=True)[0] == text
+        first, second = re.fullmatch("see (.*), and (.*) again", new).groups()
+        width = "+" if v == "10.0.0.1" else ""  # an address's numbers have one to three digits
+        shape = lambda s: re.sub(f"[A-Za-z0-9]{width}", "x", s)
+        assert first == second and shape(first) == shape(v)
+    digits = re.sub(r"\D", "", pseudonyms.rewrite(values[0], permute)[0])
+    assert pseudonyms.luhn(digits[:-1]) == int(digits[-1])
+    for plain in ("4111 1111 1111 1112", "2024-02-30", "300.1.1.1", "000-12-3456", "1.2.3", "hash 11acdfb36bb72224148e6160f674b4be45601bff"):
+        assert pseudonyms.rewrite(plain, permute) == (plain, [])
+    assert sorted(permute("small", x, 100) for x in range(100)) == list(range(100))
+    got = {r.doc_id: r for r in pseudonyms.op1(odd_rows(spark, EDGE), QUERY_KEY).where("doc_id is not null").collect()}
+    assert all(got[i].text == t and got[i].n_found == 0 for i, t in enumerate(EDGE))
+
+
+def test_pipeline_against_stages_by_hand(spark, tmp_path):
+    import corpus_pipeline
+
+    base = [prose(8000 + i, 60) for i in range(30)]
+    item = "quartz lantern bridge walnut ember falcon meadow thunder pepper granite willow orchid saffron juniper marble"
+    texts = base + [base[0], base[1] + " extra", None, "12 34", base[2][:150] + " " + item + " " + base[2][150:], prose(9999, 60) + " token = abcdefgh"]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = {r.doc_id: r for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
+    assert set(got) == {*range(30), 35}
+    enc = tiktoken.Encoding("own", pat_str=public.PATTERN, mergeable_ranks=byte_bpe.load_ranks(BYTE_RANKS), special_tokens={})
+    for i in range(30):
+        assert got[i].ids == enc.encode_ordinary(texts[i]) and got[i].n_tokens == len(got[i].ids)
+    assert enc.decode(got[35].ids) == texts[35].replace("token = abcdefgh", "[SECRET]")
