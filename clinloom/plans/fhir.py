@@ -248,7 +248,7 @@ def b17(spark, sf_dir):
     return rows.select("p_partkey", units.canonical_unit(F.col("system"), F.col("code")).alias("unit"))
 
 
-B18 = """select t as target_table, full_url, encounter_ref from res, unnest(case resource_type when 'Condition' then ['condition_occurrence', 'observation'] when 'Observation' then ['measurement', 'observation']
+B18 = """select distinct t as target_table, full_url, encounter_ref from res, unnest(case resource_type when 'Condition' then ['condition_occurrence', 'observation'] when 'Observation' then ['measurement', 'observation']
  when 'Procedure' then ['procedure_occurrence', 'measurement', 'observation', 'device_exposure'] else ['drug_exposure'] end) u(t)"""
 
 
@@ -257,7 +257,12 @@ def b18(spark, sf_dir):
     return extract.event_contexts(_entries(spark, sf_dir))[0]
 
 
-@query("b19", _sql("select order_key as bundle_id, full_url, 'UNRESOLVED_SUBJECT' as violation from res where order_key % 10 = 3 union all select order_key, null, 'NO_PATIENT' from (select distinct o_orderkey as order_key from orders where o_orderkey % 97 <> 0 and o_orderkey % 10 = 3)"))
+# equal lines of an order give equal resources, in some tables
+_DOUBLED = """ union all select order_key, full_url, v from (select order_key, full_url from res union all select order_key, 'urn:uuid:m-' || substr(full_url, 10) from res where line = 3) e
+ join (select full_url from res group by 1 having count(*) > 1 union all select 'urn:uuid:m-' || substr(full_url, 10) from res where line = 3 group by 1 having count(*) > 1) using (full_url), (select unnest(['DUPLICATE_FULL_URL', 'DUPLICATE_IDENTITY']) as v)"""
+
+
+@query("b19", _sql("select order_key as bundle_id, full_url, 'UNRESOLVED_SUBJECT' as violation from res where order_key % 10 = 3 union all select order_key, null, 'NO_PATIENT' from (select distinct o_orderkey as order_key from orders where o_orderkey % 97 <> 0 and o_orderkey % 10 = 3)" + _DOUBLED))
 def b19(spark, sf_dir):
     e = _entries(spark, sf_dir)
     return extract.bundle_violations(e.where("not (resource_type = 'Patient' and bundle_id % 10 = 3)"))
