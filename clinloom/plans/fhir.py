@@ -7,8 +7,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clinloom.functions import coding, dates, ids, units
-from clinloom.operators import extract
-from clinloom.plans.binding import Clinic
+from clinloom.operators import derive, extract, standardise
+from clinloom.plans.binding import VIEWS, Clinic
+from clinloom.plans.clinical import CONDITION_ERAS
 from clinloom.plans.registry import query
 from clinloom.sources import bundles as source
 
@@ -272,3 +273,31 @@ def b19(spark, sf_dir):
 def b19_counts(spark, sf_dir):
     return extract.resource_counts(_entries(spark, sf_dir))
 
+
+
+_SLICE = ", ".join(
+    [
+        "",
+        f"concept as ({VIEWS['concept'][1]})",
+        f"relationship as ({VIEWS['relationship'][1]})",
+        """ev as (select cast('0x' || substr(sha256(full_url), 1, 15) as bigint) as event_id, cast(substr(person_ref, 9) as bigint) as person_id, 'PART' as vocabulary_id, code, day as start_date,
+ case when line = 2 then day + 5 else day end as end_date from (select distinct * from res) where published and resource_type = 'Condition')""",
+        f"mapped as ({VIEWS['mapped'][1].replace('from event e', 'from ev e')})",
+        f"condition as ({VIEWS['condition'][1]})",
+    ]
+)
+
+
+@query("d1_bundles", _sql(f"{_SLICE} {CONDITION_ERAS}"))
+def d1_bundles(spark, sf_dir):
+    """Condition eras from bundles: parse, keep what may be published, extract, standardise, collapse."""
+    c = Clinic(spark, sf_dir)
+    found = extract.extract_conditions(source.entries(bundles(c))).distinct().select(
+        ids.hash_id(F.col("full_url")).alias("event_id"),
+        F.regexp_extract("person_ref", "^Patient/(.*)$", 1).cast("long").alias("person_id"),
+        F.lit("PART").alias("vocabulary_id"),
+        "code",
+        "start_date",
+        "end_date",
+    )
+    return derive.condition_era(standardise.map_conditions(found, c.concept, c.relationship))
