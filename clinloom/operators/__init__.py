@@ -1,0 +1 @@
+"""Operators from DataFrames to DataFrames."""

@@ -1,0 +1 @@
+"""Empty on purpose: the operator inventory has no streaming operator."""
