@@ -5,7 +5,8 @@ is worked off block by block) every document is turned once into the numbers of
 for all others) and stored. Then
 
 1. document frequencies of the words over all segments of ``SEGMENT`` words give the TF-IDF weights;
-   words in more than ``MAX_SHARE`` of the segments have weight 0;
+   words in more than ``MAX_SHARE`` of the segments have weight 0; an item that could be held with none of
+   its weighted words, so that this search could miss it, is left out of it and goes to step 4;
 2. a randomised SVD of the matrix of all passages (two neighbouring segments, of the documents and of
    the items): each task sums A'(A.Omega) over its passages, Spark adds the sums by blocks of words, and the
    Nystroem form of that one product gives the latent directions;
@@ -332,13 +333,113 @@ def _search(numbers: DataFrame, block: _Block, weight: np.ndarray, directions: n
                     if row and row > best.get((doc, item), (-1.0,)):
                         best[doc, item] = row
             if best:
-                rows = [(doc_ids[d], ids[i], c, s, t, a, b) for (d, i), (s, t, c, a, b) in sorted(best.items())]
-                kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.int64(), pa.int64()]
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=[c.split()[0] for c in RESULT.split(", ")])
+                yield _as_batch([(doc_ids[d], ids[i], c, s, t, a, b) for (d, i), (s, t, c, a, b) in sorted(best.items())])
 
     return numbers.mapInArrow(find, RESULT)
 
 
+def _needed(n: int) -> int:
+    """Words of an item of ``n`` words that a text which holds it has at least."""
+    return next(k for k in range(n + 1) if k / n >= LCS_SHARE) if n >= SHORT else n
+
+
+def _split(block: _Block, weight: np.ndarray) -> tuple[_Block, _Block]:
+    """The block's items for the latent search, and those that a text could hold without two of their weighted
+    words in one of the segments that they lie in."""
+    parts = []
+    weighted = [int((weight[w] > 0).sum()) for w in block.words]
+    exact = [k < n - _needed(n) + n // SEGMENT + 3 for k, n in zip(weighted, map(len, block.words), strict=True)]
+    for which in (False, True):
+        part = _Block([])
+        part.index = block.index
+        part.ids, part.words, part.answers = ([x for x, e in zip(xs, exact, strict=True) if e == which] for xs in (block.ids, block.words, block.answers))
+        parts.append(part)
+    return parts[0], parts[1]
+
+
+class _Holders:
+    """Which documents hold enough of an item's words: lists of the items of each word."""
+
+    def __init__(self, items: list[list[int]], size: int):
+        self.size, self.items = size, len(items)
+        self.needed = np.array([_needed(len(w)) for w in items])
+        pairs = [np.unique(w, return_counts=True) for w in items]
+        word = np.concatenate([w for w, _ in pairs])
+        order = np.argsort(word, kind="stable")
+        self.item = np.repeat(np.arange(len(items)), [len(w) for w, _ in pairs])[order]
+        self.times = np.concatenate([n for _, n in pairs])[order]
+        self.n = np.bincount(word, minlength=size)
+        self.first = np.cumsum(self.n) - self.n
+
+    def pairs(self, documents: list[np.ndarray]) -> list[tuple[int, int]]:
+        """(document, item) for a list of documents."""
+        flat = np.concatenate(documents)
+        owner = np.repeat(np.arange(len(documents)), [len(d) for d in documents])
+        some = flat >= 0
+        some[some] = self.n[flat[some]] > 0
+        key = np.unique(owner[some] * self.size + flat[some])
+        doc, word = key // self.size, key % self.size
+        n = self.n[word]
+        total = int(n.sum())
+        if total > 2_000_000 and len(documents) > 1:
+            half = len(documents) // 2
+            return self.pairs(documents[:half]) + [(d + half, k) for d, k in self.pairs(documents[half:])]
+        at = np.arange(total) - np.repeat(np.cumsum(n) - n, n) + np.repeat(self.first[word], n)
+        held = np.bincount(np.repeat(doc, n) * self.items + self.item[at], self.times[at], minlength=len(documents) * self.items)
+        docs, items = np.nonzero(held.reshape(len(documents), self.items) >= self.needed)
+        return list(zip(docs.tolist(), items.tolist(), strict=True))
+
+
+def _search_exactly(numbers: DataFrame, block: _Block, size: int) -> DataFrame:
+    """Pairs of the block's items, without weights."""
+    shared = numbers.sparkSession.sparkContext.broadcast((_Holders(block.words, size), block.ids, block.words, block.answers))
+
+    def find(batches):
+        holders, ids, item_words, answers = shared.value
+        mark = np.zeros(size + 1, bool)  # the last place is for words outside the block, -1
+        # a widespread passage is checked once
+        memory: dict[tuple[int, bytes], tuple | None] = {}
+
+        def best(item: int, document: np.ndarray) -> tuple | None:
+            words = item_words[item]
+            n = len(words)
+            mark[words] = True
+            before = np.append(0, np.cumsum(mark[document]))
+            mark[words] = False
+            at = np.arange(0, len(document), SEGMENT)
+            low, high = np.maximum(0, at - n), np.minimum(len(document), at + 2 * SEGMENT + n)
+            found = None
+            for k in np.flatnonzero(before[high] - before[low] >= holders.needed[item]).tolist():
+                region = item, document[low[k] : high[k]].tobytes()
+                if region not in memory:
+                    if len(memory) >= 20_000:
+                        memory.clear()
+                    row = _checked(words, answers[item], document, int(at[k]), 0.0)
+                    memory[region] = row and row[:2]
+                row = memory[region]
+                if row and (found is None or row > found[:2]):
+                    found = (*row, int(low[k]), int(high[k]))
+                    if row == (1.0, 1.0):
+                        break
+            return found
+
+        for part in rows_in_slices(batches, 256):
+            documents = [np.frombuffer(b or b"", np.int32) for b in part.column(1).to_pylist()]
+            doc_ids, rows = part.column(0).to_pylist(), []
+            for doc, item in holders.pairs(documents) if documents else ():
+                if row := best(item, documents[doc]):
+                    rows.append((doc_ids[doc], ids[item], None, *row))
+            if rows:
+                yield _as_batch(rows)
+
+    return numbers.mapInArrow(find, RESULT)
+
+
+def _as_batch(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.int64(), pa.int64()]
+    return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=[c.split()[0] for c in RESULT.split(", ")])
+
+
 def find_leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The pairs of a document and a benchmark item that it holds, with the region's words."""
     spark = documents.sparkSession
@@ -351,9 +452,11 @@ def find_leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
         numbers = store(_numbers(documents, block), "numbers")
         df, n = _document_frequency(numbers, size)
         weight = np.where(df <= max(MAX_SHARE * n, 2), np.log((n + 1) / (df + 1)), 0.0)
-        if not weight.any():
-            weight = np.log((n + 1) / (df + 1)) + 1e-6
-        result = result.unionByName(_search(numbers, block, weight, _latent(numbers, block, weight)))
+        latent, exact = _split(block, weight)
+        if latent.words:
+            result = result.unionByName(_search(numbers, latent, weight, _latent(numbers, block, weight)))
+        if exact.words:
+            result = result.unionByName(_search_exactly(numbers, exact, size))
     return result
 
 

@@ -356,3 +356,19 @@ def test_pipeline_against_stages_by_hand(spark, tmp_path):
     for i in range(30):
         assert got[i].ids == enc.encode_ordinary(texts[i]) and got[i].n_tokens == len(got[i].ids)
     assert enc.decode(got[35].ids) == texts[35].replace("token = abcdefgh", "[SECRET]")
+
+
+def test_leaks_of_a_widespread_item(spark):
+    item = "granite lantern walks over nine silent harbors while copper owls count falling maple leaves. answer: eleven owls"
+    rare = "quartz meadow ember falcon pepper willow orchid saffron juniper marble thunder walnut bridge saddle"
+    docs = [(i, prose(4000 + i, 60) + (f" {item} " if i % 3 == 0 else " ") + prose(5000 + i, 40)) for i in range(300)]
+    docs[3] = (3, docs[3][1].replace(" silent", "").replace("copper ", ""))  # a paraphrase
+    docs[7] = (7, docs[7][1] + " " + rare)
+    benchmark = spark.createDataFrame([(1, item), (2, rare)], "item_id long, text string")
+    for n in (300, 12):  # the share of segments that is too large for a weight hangs on their number
+        frame = spark.createDataFrame(docs[:n], "doc_id long, text string")
+        got = leaks.op5(frame, benchmark).collect()
+        assert {(r.doc_id, r.item_id) for r in got} == {(i, 1) for i in range(0, n, 3)} | {(7, 2)}
+        for r in got:
+            words = leaks.words_of(docs[r.doc_id][1])[r.start_word : r.end_word]
+            assert r.item_id == 2 or {"granite", "owls", "eleven"} <= set(words)
