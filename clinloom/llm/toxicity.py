@@ -11,7 +11,10 @@ and where the second term is negative, its gradient is turned so that the model
 unlabelled positives away. The prior is the share of label 1 among the labelled training rows, or where it
 is smaller the mixture's bound: no feature can be rarer among the unlabelled than the prior times its share
 of the positives, so the least such ratio, over features that ``SUPPORT`` of the positives have, bounds it.
-Training uses bounded samples, the least by a hash of the id: ``POSITIVE_ROWS`` and ``UNLABELLED_ROWS``.
+Of each ratio the upper confidence limit counts (``DEVIATIONS`` of its logarithm), so that noise does not make
+the bound small. A feature's share of the unlabelled is that of all training documents. The positives, and the
+unlabelled ones of the gradient steps, are bounded samples, the least by a hash of the id: ``POSITIVE_ROWS``
+and ``UNLABELLED_ROWS``.
 Features are the ``FEATURES`` ones that tell most, by count times log lift among the positives.
 
 Nulls and edge cases: a null or empty text, or one without words, scores the model's bias; without a
@@ -30,14 +33,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clinloom.llm.common import add_columns, crc32_mod
+from clinloom.llm.common import add_columns, crc32_mod, rows_in_slices
 from clinloom.session import store
 
 POSITIVE_ROWS, UNLABELLED_ROWS = 4_000, 12_000
 #: A feature is used if positives have it so often, and if prior * lift, the share of positives among
 #: documents with it, is so large.
 FEATURES, LEAST_POSITIVE, LEAST_SHARE = 4_096, 5, 0.35
-SUPPORT = 0.05
+SUPPORT, DEVIATIONS = 0.05, 2.0
 STEPS, RATE, RIDGE = 300, 0.1, 2e-4
 THRESHOLD = 0.3
 _WORD = re.compile(r"\w+").findall
@@ -133,15 +136,16 @@ def train(documents: DataFrame, labels: DataFrame) -> ToxicityModel:
     sizes = {r["positive"]: r["n"] for r in seen.groupBy("positive").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not sizes.get(True):
         return ToxicityModel({}, np.empty(0), -500.0)
-    n_pos, n_unl = sizes[True], max(1, sizes.get(False, 0))
-    counts = seen.select("positive", F.explode("features").alias("f")).groupBy("f").agg(
-        F.count_if("positive").alias("p"), F.count_if(~F.col("positive")).alias("u")
-    )
-    counts = store(counts.where(F.col("p") >= LEAST_POSITIVE), "counts")
-    lift = (F.col("p") / n_pos) / ((F.col("u") + 1) / F.lit(float(n_unl)))
+    n_pos = sizes[True]
+    held = seen.where("positive").select(F.explode("features").alias("f")).groupBy("f").agg(F.count(F.lit(1)).alias("p"))
+    held = store(held.where(F.col("p") >= LEAST_POSITIVE), "held")
+    everywhere, n_unl = _counts(documents.where("doc_id is not null"), [r["f"] for r in held.select("f").collect()])
+    counts = store(held.join(everywhere, "f", "left").select("f", "p", F.coalesce("u", F.lit(0)).alias("u")), "counts")
+    lift = (F.col("p") / n_pos) / ((F.col("u") + 1) / F.lit(float(max(1, n_unl))))
     gain = F.col("p") * F.log(lift)
     supported = counts.where(F.col("p") >= max(LEAST_POSITIVE, SUPPORT * n_pos))
-    mixed = supported.agg(F.min(1 / lift)).first()[0]
+    limit = F.exp(DEVIATIONS * F.sqrt(1 / F.col("p") + 1 / (F.col("u") + 1))) / lift
+    mixed = supported.agg(F.min(limit)).first()[0]
     prior = float(np.clip(min(shares or 0.0, mixed or 1.0), 1e-3, 0.5))
     likely = prior * lift >= LEAST_SHARE
     best = counts.where((F.col("p") >= LEAST_POSITIVE) & likely).orderBy(gain.desc(), "f").limit(FEATURES)
@@ -152,6 +156,30 @@ def train(documents: DataFrame, labels: DataFrame) -> ToxicityModel:
     return ToxicityModel(index, weight, bias)
 
 
+def _counts(documents: DataFrame, features: list[int]) -> tuple[DataFrame, int]:
+    """How many of all documents have each of the features (f, u), which the positives' sample bounds, and
+    the number of documents."""
+    spark = documents.sparkSession
+    shared = spark.sparkContext.broadcast(np.array(sorted(features), np.int64))
+
+    def count(batches):
+        known = shared.value
+        index = {f: k for k, f in enumerate(known.tolist())}
+        memory = _Words(lambda w: frozenset(index[f] for f in word_features(w) if f in index))
+        total, n = np.zeros(len(known), np.int64), 0
+        for part in rows_in_slices(batches):
+            places = [k for t in part.column(0).to_pylist() for k in document_features(t, memory)]
+            total += np.bincount(np.array(places, np.int64), minlength=len(known))
+            n += part.num_rows
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(known[at], -1)), pa.array(np.append(total[at], n))], names=["f", "u"])
+
+    rows = documents.select("text").mapInArrow(count, "f long, u long").groupBy("f").agg(F.sum("u").alias("u"))
+    rows = store(rows, "everywhere")
+    n = rows.where("f = -1").first()
+    return rows.where("f >= 0"), n["u"] if n else 0
+
+
 def _restrict(seen: DataFrame, index: dict[int, int]) -> DataFrame:
     """``features`` as places of the kept ones."""
     shared = seen.sparkSession.sparkContext.broadcast(index)

@@ -372,3 +372,22 @@ def test_leaks_of_a_widespread_item(spark):
         for r in got:
             words = leaks.words_of(docs[r.doc_id][1])[r.start_word : r.end_word]
             assert r.item_id == 2 or {"granite", "owls", "eleven"} <= set(words)
+
+
+def test_toxicity_prior_of_rare_texts(spark, monkeypatch):
+    r = random.Random(8)
+    slurs = [a + b for a in ("vile", "scum", "filth", "wretch", "creep") for b in ("bag", "dor", "mak", "lin", "tus", "gar")]
+    docs, labels = [], []
+    for i in range(6000):
+        bad = i % 100 == 0
+        words = prose(i + 20_000, 20).split() + (r.sample(slurs, 8) if bad else [])
+        docs.append((i, " ".join(words)))
+        if bad or i % 100 == 1:
+            labels.append((i, int(bad)))
+    monkeypatch.setattr(toxicity, "UNLABELLED_ROWS", 600)  # a sample that holds about six toxic texts
+    seen = {}
+    fit = toxicity.fit
+    monkeypatch.setattr(toxicity, "fit", lambda rows, positive, size, prior: seen.update(prior=prior) or fit(rows, positive, size, prior))
+    model = toxicity.train(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert 0.01 <= seen["prior"] <= 0.025
+    assert all(toxicity.word_features(w)[0] in model.index for w in slurs)
