@@ -391,3 +391,18 @@ def test_toxicity_prior_of_rare_texts(spark, monkeypatch):
     model = toxicity.train(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int"))
     assert 0.01 <= seen["prior"] <= 0.025
     assert all(toxicity.word_features(w)[0] in model.index for w in slurs)
+
+
+def test_pseudonyms_beside_other_digits_and_capitals():
+    permute = pseudonyms.Permutation(QUERY_KEY)
+    card, iban = "4111 1111 1111 1111", "BE68 5390 0754 7034"
+    for value, before, after in [
+        (card, "", " 12/27"), ("4111111111111111", "", " 123"), ("4111111111111111", "ref 123 ", ""), (card, "no 77 ", " 88 99 12"),
+        (iban, "", " EUR"), ("AT61 1904 3002 3457 3201", "", " BIC"), ("BE68539007547034", "", " PAID"), (iban, "AB13 ", " and"),
+    ]:
+        new, found = pseudonyms.rewrite(before + value + after, permute)
+        alone = pseudonyms.rewrite(value, permute)[0]
+        assert alone != value and new == before + alone + after
+        assert [s[:2] for s in found] == [(len(before), len(before + value))]
+    for plain in ("x4111111111111111", "4111111111111111.5", "4111 1111 1111 1112 12/27", "BE69 5390 0754 7034 EUR"):
+        assert pseudonyms.rewrite(plain, permute) == (plain, [])
