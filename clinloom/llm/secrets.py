@@ -2,8 +2,8 @@
 
 Base kinds, leftmost and non-overlapping for each kind: ``assign`` (a keyword, an assignment sign and a
 value of six characters or more), ``access`` (an access identifier of 20 or more) and ``hex`` (24 or
-more). The method adds ``weak`` spans: a token of 32 to 64 base-64 characters that mixes cases and
-digits (a possible secret key), a user or client identifier assignment, and an endpoint (a URL or host
+more). The method adds ``weak`` spans: a token of 32 base-64 characters or more that mixes cases and
+digits (a possible secret key; a sign of assignment may stand before it), a user or client identifier assignment, and an endpoint (a URL or host
 with a service word). No one of them is reported alone. Texts are cut into scopes at blank lines; an
 interval join within each scope, a sweep over its parts in order of their starts, reports a weak part
 only when a complementary part (another of identifier, secret, endpoint; base spans count as their
@@ -26,7 +26,7 @@ HEX = r"[0-9a-f]{24,}"  # likewise
 LEAST_VALUE = 6
 #: Weak parts by role.
 WEAK = {
-    "secret": r"(?<![A-Za-z0-9+/=])(?=[A-Za-z0-9+/]{0,63}[a-z])(?=[A-Za-z0-9+/]{0,63}[A-Z])(?=[A-Za-z0-9+/]{0,63}[0-9])[A-Za-z0-9+/]{32,64}={0,2}(?![A-Za-z0-9+/=])",
+    "secret": r"(?<![A-Za-z0-9+/])(?=[A-Za-z0-9+/]*[a-z])(?=[A-Za-z0-9+/]*[A-Z])(?=[A-Za-z0-9+/]*[0-9])[A-Za-z0-9+/]{32,}+={0,2}(?![A-Za-z0-9+/=])",
     "identifier": r"(?i)\b(?:client_?id|account_?id|access_?key_?id|user(?:name)?)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9_.@-]{3,64}",
     "endpoint": r"(?i)\b(?:https?|amqps?|postgres(?:ql)?|mysql|mongodb|redis|s3)://[A-Za-z0-9_.:@-]{3,200}",
 }
