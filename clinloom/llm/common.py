@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from sys import getsizeof
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -14,6 +15,23 @@ from clinloom.session import ship_package
 SLICE_ROWS = 512
 
 
+class Memory(dict):
+    """From a key to what ``make`` gives for it; fills itself. Past ``most`` bytes, as estimated, it starts anew.
+    Made in a task, it goes with the task."""
+
+    def __init__(self, make: Callable, most: int = 32 << 20):
+        self.make, self.most, self.bytes = make, most, 0
+
+    def __missing__(self, key):
+        value = self.make(key)
+        self.bytes += 120 + getsizeof(key) + getsizeof(value)
+        if self.bytes > self.most:
+            self.clear()
+            self.bytes = 120 + getsizeof(key) + getsizeof(value)
+        self[key] = value
+        return value
+
+
 def rows_in_slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, rows):

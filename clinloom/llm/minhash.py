@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clinloom.llm.common import add_columns
+from clinloom.llm.common import Memory, add_columns
 from clinloom.llm.components import connected_components
 from clinloom.session import store
 
@@ -51,7 +51,6 @@ TURNS = 2
 #: Classes of a bucket that share a partition of the second step.
 CHUNK = 256
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
-_CACHE_WORDS = 500_000
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -62,14 +61,6 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class _Words(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= _CACHE_WORDS:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
 def shingle_hashes(text: str | None, words: dict, width: int = WIDTH) -> np.ndarray:
     """Sorted distinct 64-bit hashes of a text's shingles."""
     # bytes.split() cuts at \x20 and \x09-\x0D, no more
@@ -131,7 +122,7 @@ def signatures(documents: DataFrame) -> DataFrame:
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
     def make():
-        words = _Words()
+        words = Memory(xxhash.xxh3_64_intdigest)
 
         def work(part):
             sets = [shingle_hashes(t, words) for t in part.column(1).to_pylist()]
@@ -182,7 +173,7 @@ def _confirmed(pairs: DataFrame, documents: DataFrame) -> DataFrame:
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, "doc_id", "left_semi")
 
     def make():
-        words = _Words()
+        words = Memory(xxhash.xxh3_64_intdigest)
 
         def work(part):
             found = [shingle_hashes(t, words).view(np.int64) for t in part.column(1).to_pylist()]

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clinloom.llm.common import add_columns, crc32_mod, rows_in_slices
+from clinloom.llm.common import Memory, add_columns, crc32_mod, rows_in_slices
 from clinloom.session import store
 
 POSITIVE_ROWS, UNLABELLED_ROWS = 4_000, 12_000
@@ -44,7 +44,6 @@ SUPPORT, DEVIATIONS = 0.05, 2.0
 STEPS, RATE, RIDGE = 300, 0.1, 2e-4
 THRESHOLD = 0.3
 _WORD = re.compile(r"\w+").findall
-_CACHE_WORDS = 500_000
 
 
 def word_features(word: str) -> list[int]:
@@ -52,17 +51,6 @@ def word_features(word: str) -> list[int]:
     return [xxhash.xxh32_intdigest("=" + word), *(xxhash.xxh32_intdigest("^" + word[:n]) for n in range(3, min(6, len(word)) + 1))]
 
 
-class _Words(dict):
-    def __init__(self, make):
-        self.make = make
-
-    def __missing__(self, word):
-        if len(self) >= _CACHE_WORDS:
-            self.clear()
-        value = self[word] = self.make(word)
-        return value
-
-
 def document_features(text: str | None, memory: dict) -> set[int]:
     return set().union(*map(memory.__getitem__, set(_WORD((text or "").lower()))))
 
@@ -75,7 +63,7 @@ class ToxicityModel:
 
     def scorer(self):
         index, weight, bias = self.index, self.weight, self.bias
-        memory = _Words(lambda w: frozenset(index[f] for f in word_features(w) if f in index))
+        memory = Memory(lambda w: frozenset(index[f] for f in word_features(w) if f in index))
 
         def score(texts):
             out = np.full(len(texts), bias)
@@ -127,7 +115,7 @@ def train(documents: DataFrame, labels: DataFrame) -> ToxicityModel:
     chosen = documents.select("doc_id", "text").join(F.broadcast(confirmed.unionByName(others)), "doc_id")
 
     def make():
-        memory = _Words(word_features)
+        memory = Memory(word_features)
         return lambda part: [[sorted(document_features(t, memory)) for t in part.column(at).to_pylist()]]
 
     at = chosen.columns.index("text")
@@ -165,7 +153,7 @@ def _counts(documents: DataFrame, features: list[int]) -> tuple[DataFrame, int]:
     def count(batches):
         known = shared.value
         index = {f: k for k, f in enumerate(known.tolist())}
-        memory = _Words(lambda w: frozenset(index[f] for f in word_features(w) if f in index))
+        memory = Memory(lambda w: frozenset(index[f] for f in word_features(w) if f in index))
         total, n = np.zeros(len(known), np.int64), 0
         for part in rows_in_slices(batches):
             places = [k for t in part.column(0).to_pylist() for k in document_features(t, memory)]
