@@ -1,27 +1,32 @@
 """Benchmark decontamination by latent semantic retrieval.
 
-Texts are lower-cased word sequences. For a block of benchmark items (``ITEM_BLOCK``; a larger benchmark
-is worked off block by block) every document is turned once into the numbers of the block's words (one
-for all others) and stored. Then
+Texts are lower-cased word sequences. For a block of benchmark items (``BLOCK_WORDS`` words at most, or one item;
+a larger benchmark is worked off block by block) every document is turned once into the numbers of the
+block's words (one for all others) and stored. Then
 
 1. document frequencies of the words over all segments of ``SEGMENT`` words give the TF-IDF weights;
    words in more than ``MAX_SHARE`` of the segments have weight 0; an item that could be held with none of
    its weighted words, so that this search could miss it, is left out of it and goes to step 4;
 2. a randomised SVD of the matrix of all passages (two neighbouring segments, of the documents and of
-   the items): each task sums A'(A.Omega) over its passages, Spark adds the sums by blocks of words, and the
-   Nystroem form of that one product gives the latent directions;
+   the items): each task sums A'(A.Omega) over its passages, Spark adds the sums by blocks of words, first those
+   of ``ADDED_TASKS`` tasks and then their sums, and the Nystroem form of that one product gives the latent
+   directions;
 3. passages and items are projected, cosines of at least ``COSINE`` make candidates; those that share
-   ``OVERLAP`` of the item passage's squared weights are checked by the longest common subsequence of the item and the text around the passage (by bit
-   parallelism), and by the share of the item's answer, its words after the last "answer:" or else its
-   last sentence, that lies there too. Paraphrases drop and change words, so the subsequence need not be
-   whole.
+   ``OVERLAP`` of the item passage's squared weights are checked by the longest common subsequence of the item
+   and the text around the passage (by bit parallelism), and by the share of the item's answer, its words after
+   the last "answer:" or else its last sentence, that lies there too. Paraphrases drop and change words, so the
+   subsequence need not be whole. An item that stands in a text word for word is found beside this by the hash of
+   its rarest run of words, whatever lies around it; where the latent search doesn't see it, its cosine is null;
+4. the items left out in step 1 are checked in all texts that have enough of their words, without weights, and
+   with a null cosine.
 
 What a task sends on is a sum over the block's words, or one row for each confirmed pair. No table of
-the corpus is broadcast; the block's vocabulary and projection are, bounded by ``ITEM_BLOCK`` items.
+the corpus is broadcast; the block's vocabulary and projection are, bounded by ``BLOCK_WORDS``.
 
 Nulls and edge cases: null or empty texts match nothing; a null doc_id or item_id is carried; items of
-fewer than ``SHORT`` words must appear whole; repeated rows give repeated pairs; very long texts are
-searched whole; empty tables give no rows.
+fewer than ``SHORT`` words must appear whole; repeated rows give repeated pairs, and so do repeated items; of several
+places of an item in a text the one with the largest shares is told, of equal ones the latest; very long texts are
+searched whole; other columns are not read, whatever their names; empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -34,10 +39,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clinloom.llm.common import add_columns, rows_in_slices
-from clinloom.session import ship_package, store
+from clinloom.llm.common import Memory, add_columns, rows_in_slices
+from clinloom.session import discard, ship_package, store
 
-ITEM_BLOCK = 4_000
+#: Words of the items of a block.
+BLOCK_WORDS = 400_000
+#: Tasks whose sums are added first, and words of a block of sums.
+ADDED_TASKS, SUM_WORDS = 256, 64
+#: Words of the run by which an item that stands word for word is looked up.
+RUN = 4
 SEGMENT = 16
 MAX_SHARE = 0.005
 RANK = 64
@@ -97,30 +107,23 @@ class _Block:
                 yield k, np.array(words[at : at + 2 * SEGMENT])
 
 
-class _Stretches(dict):
+def _stretches(index: dict[str, int]) -> Memory:
     """From a stretch between ASCII white space, which no word crosses, to its words' numbers."""
-
-    def __init__(self, index: dict[str, int]):
-        self.number = {w: k.to_bytes(4, "little") for w, k in index.items()}
-
-    def __missing__(self, stretch: bytes) -> bytes:
-        if len(self) >= 500_000:
-            self.clear()
-        get = self.number.get
-        value = self[stretch] = b"".join([get(w, b"\xff\xff\xff\xff") for w in words_of(stretch.decode("utf-8"))])
-        return value
-
-    def numbers(self, text: str | None) -> bytes:
-        return b"".join(map(self.__getitem__, text.encode("utf-8").split())) if text else b""
+    get = {w: k.to_bytes(4, "little") for w, k in index.items()}.get
+    return Memory(lambda stretch: b"".join([get(w, b"\xff\xff\xff\xff") for w in words_of(stretch.decode("utf-8"))]))
 
 
 def _blocks(benchmark: DataFrame) -> Iterator[_Block]:
-    rows, texts = benchmark.where("text is not null").select(F.col("item_id").cast("long"), "text").orderBy("item_id", "text"), []
+    """The items in order, block by block; the driver holds one block."""
+    rows = benchmark.where("text is not null").select(F.col("item_id").cast("long"), "text").orderBy("item_id", "text")
+    texts, size = [], 0
     for row in rows.toLocalIterator():
-        texts.append((row[0], row[1]))
-        if len(texts) == ITEM_BLOCK:
+        n = len(words_of(row[1]))
+        if texts and size + n > BLOCK_WORDS:
             yield _Block(texts)
-            texts = []
+            texts, size = [], 0
+        texts.append((row[0], row[1]))
+        size += n
     if texts:
         yield _Block(texts)
 
@@ -130,10 +133,10 @@ def _numbers(documents: DataFrame, block: _Block) -> DataFrame:
     shared = documents.sparkSession.sparkContext.broadcast(block.index)
 
     def make():
-        memory = _Stretches(shared.value)
+        get = _stretches(shared.value).__getitem__
 
         def work(part):
-            return [pa.array([memory.numbers(text) for text in part.column(1).to_pylist()], pa.binary())]
+            return [pa.array([b"".join(map(get, text.encode("utf-8").split())) if text else b"" for text in part.column(1).to_pylist()], pa.binary())]
 
         return work
 
@@ -183,6 +186,13 @@ def _slices(batches, weight):
         yield part, _Slice(blobs, weight)
 
 
+SUMS = "part int, rows int, sums binary"
+
+
+def _sums(part: int, rows: int, values: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([rows], pa.int32()), pa.array([values.tobytes()], pa.binary())], names=["part", "rows", "sums"])
+
+
 def _document_frequency(numbers: DataFrame, size: int) -> tuple[np.ndarray, int]:
     """Segments that hold each word, and all segments."""
 
@@ -211,9 +221,12 @@ def _latent(numbers: DataFrame, block: _Block, weight: np.ndarray, seed: int = 7
     omega = np.random.default_rng(seed).standard_normal((size, rank)).astype(np.float32)
     table = omega * weight[:, None].astype(np.float32)
     shared = numbers.sparkSession.sparkContext.broadcast((weight, table))
-    step = 64
+    step = SUM_WORDS
 
     def add(batches):
+        from pyspark import TaskContext
+
+        part = TaskContext.get().partitionId() // ADDED_TASKS
         weight, table = shared.value
         total = np.zeros((size, rank), np.float32)
         for _, piece in _slices(batches, weight):
@@ -226,15 +239,16 @@ def _latent(numbers: DataFrame, block: _Block, weight: np.ndarray, seed: int = 7
         for k in range(0, size, step):
             one = total[k : k + step]
             if one.any():
-                yield pa.RecordBatch.from_arrays([pa.array([k // step], pa.int32()), pa.array([one.tobytes()], pa.binary())], names=["rows", "sums"])
+                yield _sums(part, k // step, one.astype(np.float64))
 
-    def join_up(key, table):  # a row from each task, of step words
-        total = sum(np.frombuffer(blob.as_buffer(), np.float32).astype(np.float64) for blob in table.column("sums"))
-        return pa.table([pa.array([key[0].as_py()], pa.int32()), pa.array([total.tobytes()], pa.binary())], names=["rows", "sums"])
+    def join_up(key, table):
+        total = sum(np.frombuffer(blob.as_buffer(), np.float64) for blob in table.column("sums"))
+        return pa.Table.from_batches([_sums(-1 if len(key) == 1 else key[1].as_py(), key[0].as_py(), total)])
 
-    sums = numbers.mapInArrow(add, "rows int, sums binary").groupBy("rows").applyInArrow(join_up, "rows int, sums binary")
+    # a group has ADDED_TASKS rows at most, then as many as there are such groups
+    sums = numbers.mapInArrow(add, SUMS).groupBy("rows", "part").applyInArrow(join_up, SUMS).groupBy("rows").applyInArrow(join_up, SUMS)
     product = np.zeros((size, rank))
-    for rows, blob in sums.collect():  # word by direction, bounded by the block
+    for _, rows, blob in sums.collect():  # word by direction, bounded by the block
         one = np.frombuffer(blob, np.float64).reshape(-1, rank)
         product[rows * step : rows * step + len(one)] += one
     product *= weight[:, None]
@@ -285,6 +299,55 @@ class _Overlap:
         return p[good], q[good]
 
 
+class _Runs:
+    """Where texts hold an item word for word: its rarest run of ``RUN`` words (of all its words if it has fewer)
+    is looked up by hash, and the whole item is compared there."""
+
+    def __init__(self, items: list[list[int]], df: np.ndarray):
+        self.items = [np.array(words, np.int32) for words in items]
+        of_length: dict[int, list[tuple[int, int, int]]] = {}
+        for k, words in enumerate(items):
+            n = min(RUN, len(words))
+            at = min(range(len(words) - n + 1), key=lambda i: sorted(df[words[i : i + n]].tolist()))
+            of_length.setdefault(n, []).append((int(self._hash(self.items[k][at : at + n], n)[0]), k, at))
+        self.tables = []
+        for n, rows in of_length.items():
+            key, item, at = np.array(sorted(rows), np.int64).T
+            mark = np.zeros(1 << 20, bool)
+            mark[key & 0xFFFFF] = True
+            self.tables.append((n, key, item, at, mark))
+
+    @staticmethod
+    def _hash(words: np.ndarray, n: int) -> np.ndarray:
+        """Of each run of ``n`` words, 62 bits."""
+        h = np.zeros(max(0, len(words) - n + 1), np.uint64)
+        with np.errstate(over="ignore"):
+            for k in range(n):
+                h = (h + words[k : len(words) - n + 1 + k].astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+                h ^= h >> np.uint64(29)
+        return (h >> np.uint64(2)).astype(np.int64)
+
+    def found(self, documents: list[np.ndarray]) -> dict[tuple[int, int], tuple[int, int]]:
+        """(document, item) to the first place where it stands, as a range of words."""
+        out: dict[tuple[int, int], tuple[int, int]] = {}
+        flat = np.concatenate(documents) if documents else np.empty(0, np.int32)
+        start = np.concatenate([[0], np.cumsum([len(d) for d in documents])]).astype(np.int64)
+        for n, key, item, offset, mark in self.tables:
+            h = self._hash(flat, n)
+            some = np.flatnonzero(mark[h & 0xFFFFF])
+            low, high = np.searchsorted(key, h[some]), np.searchsorted(key, h[some], side="right")
+            some, low, high = some[high > low], low[high > low], high[high > low]
+            docs = np.searchsorted(start, some, side="right") - 1
+            for place, doc, a, b in zip(some.tolist(), docs.tolist(), low.tolist(), high.tolist(), strict=True):
+                for k in range(a, b):
+                    which = int(item[k])
+                    if (doc, which) not in out:
+                        words, at = self.items[which], place - int(offset[k])
+                        if at >= start[doc] and at + len(words) <= start[doc + 1] and np.array_equal(flat[at : at + len(words)], words):
+                            out[doc, which] = (at - int(start[doc]), at - int(start[doc]) + len(words))
+        return out
+
+
 def _checked(words: list[int], answer: list[int], document: np.ndarray, at: int, cosine: float) -> tuple | None:
     """(LCS share, answer share, cosine, region) if the text around a passage holds the item."""
     n = len(words)
@@ -299,20 +362,20 @@ def _checked(words: list[int], answer: list[int], document: np.ndarray, at: int,
     return (share, told, cosine, low, high) if told >= ANSWER_SHARE else None
 
 
-def _search(numbers: DataFrame, block: _Block, weight: np.ndarray, directions: np.ndarray) -> DataFrame:
+def _search(numbers: DataFrame, block: _Block, weight: np.ndarray, directions: np.ndarray, df: np.ndarray) -> DataFrame:
     table = directions * weight[:, None].astype(np.float32)
     owners, vectors = [], []
     for k, words in block.passages():
         owners.append(k)
         vectors.append(table[words].sum(axis=0))
     shared = numbers.sparkSession.sparkContext.broadcast(
-        (weight, table, np.array(owners), _unit(np.array(vectors)).astype(np.float32).T.copy(), _Overlap(block, weight), block.ids, block.words, block.answers)
+        (weight, table, np.array(owners), _unit(np.array(vectors)).astype(np.float32).T.copy(), _Overlap(block, weight), _Runs(block.words, df), block.ids, block.words, block.answers)
     )
     # weighted words that every item has; a passage with fewer than two or so many is no candidate
     least = min(2, min(int((weight[w] > 0).sum()) for w in block.words))
 
     def find(batches):
-        weight, table, owners, items, overlap, ids, item_words, answers = shared.value
+        weight, table, owners, items, overlap, runs, ids, item_words, answers = shared.value
         for part, piece in _slices(batches, weight):
             doc_ids = part.column(0).to_pylist()
             hits = np.bincount(piece.segment, minlength=int(piece.first[-1]))
@@ -320,7 +383,7 @@ def _search(numbers: DataFrame, block: _Block, weight: np.ndarray, directions: n
             near = hits.copy()
             near[:-1] += hits[1:] * piece.goes_on()[:-1].astype(near.dtype)
             some = np.flatnonzero(near >= least)
-            best: dict[tuple[int, int], tuple] = {}
+            best: dict[tuple[int, int], tuple] = {k: (1.0, 1.0, -1.0, *place) for k, place in runs.found(piece.words).items()}
             for at in range(0, len(some), 4096):
                 chunk = some[at : at + 4096]
                 cosines = _unit(sums[:, chunk].T) @ items
@@ -333,7 +396,7 @@ def _search(numbers: DataFrame, block: _Block, weight: np.ndarray, directions: n
                     if row and row > best.get((doc, item), (-1.0,)):
                         best[doc, item] = row
             if best:
-                yield _as_batch([(doc_ids[d], ids[i], c, s, t, a, b) for (d, i), (s, t, c, a, b) in sorted(best.items())])
+                yield _as_batch([(doc_ids[d], ids[i], c if c >= 0 else None, s, t, a, b) for (d, i), (s, t, c, a, b) in sorted(best.items())])
 
     return numbers.mapInArrow(find, RESULT)
 
@@ -454,9 +517,10 @@ def find_leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
         weight = np.where(df <= max(MAX_SHARE * n, 2), np.log((n + 1) / (df + 1)), 0.0)
         latent, exact = _split(block, weight)
         if latent.words:
-            result = result.unionByName(_search(numbers, latent, weight, _latent(numbers, block, weight)))
+            result = result.unionByName(store(_search(numbers, latent, weight, _latent(numbers, block, weight), df), "leaks"))
         if exact.words:
-            result = result.unionByName(_search_exactly(numbers, exact, size))
+            result = result.unionByName(store(_search_exactly(numbers, exact, size), "leaks"))
+        discard(numbers)  # a block's copy of the corpus goes before the next one's is made
     return result
 
 
