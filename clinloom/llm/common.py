@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from sys import getsizeof
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -16,19 +15,18 @@ SLICE_ROWS = 512
 
 
 class Memory(dict):
-    """From a key to what ``make`` gives for it; fills itself. Past ``most`` bytes, as estimated, it starts anew.
-    Made in a task, it goes with the task."""
+    """From a string to what ``make`` gives for it, a few numbers; fills itself. It holds ``most`` keys of up to 64
+    characters (some 200 bytes each with their values), then starts anew. Made in a task, it goes with the task."""
 
-    def __init__(self, make: Callable, most: int = 32 << 20):
-        self.make, self.most, self.bytes = make, most, 0
+    def __init__(self, make: Callable, most: int = 150_000):
+        self.make, self.most = make, most
 
     def __missing__(self, key):
         value = self.make(key)
-        self.bytes += 120 + getsizeof(key) + getsizeof(value)
-        if self.bytes > self.most:
-            self.clear()
-            self.bytes = 120 + getsizeof(key) + getsizeof(value)
-        self[key] = value
+        if len(key) <= 64:
+            if len(self) >= self.most:
+                self.clear()
+            self[key] = value
         return value
 
 

@@ -109,8 +109,13 @@ class _Block:
 
 def _stretches(index: dict[str, int]) -> Memory:
     """From a stretch between ASCII white space, which no word crosses, to its words' numbers."""
-    get = {w: k.to_bytes(4, "little") for w, k in index.items()}.get
-    return Memory(lambda stretch: b"".join([get(w, b"\xff\xff\xff\xff") for w in words_of(stretch.decode("utf-8"))]))
+    get, none = {w: k.to_bytes(4, "little") for w, k in index.items()}.get, b"\xff\xff\xff\xff"
+
+    def numbers(stretch: bytes) -> bytes:
+        text = stretch.decode("utf-8").lower()
+        return get(text, none) if text.isalnum() else b"".join([get(w, none) for w in _WORD(text)])
+
+    return Memory(numbers)
 
 
 def _blocks(benchmark: DataFrame) -> Iterator[_Block]:

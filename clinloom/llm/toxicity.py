@@ -63,7 +63,7 @@ class ToxicityModel:
 
     def scorer(self):
         index, weight, bias = self.index, self.weight, self.bias
-        memory = Memory(lambda w: frozenset(index[f] for f in word_features(w) if f in index))
+        memory = Memory(lambda w: tuple(index[f] for f in word_features(w) if f in index))
 
         def score(texts):
             out = np.full(len(texts), bias)
@@ -115,7 +115,7 @@ def train(documents: DataFrame, labels: DataFrame) -> ToxicityModel:
     chosen = documents.select("doc_id", "text").join(F.broadcast(confirmed.unionByName(others)), "doc_id")
 
     def make():
-        memory = Memory(word_features)
+        memory = Memory(lambda w: tuple(word_features(w)))
         return lambda part: [[sorted(document_features(t, memory)) for t in part.column(at).to_pylist()]]
 
     at = chosen.columns.index("text")
@@ -153,7 +153,7 @@ def _counts(documents: DataFrame, features: list[int]) -> tuple[DataFrame, int]:
     def count(batches):
         known = shared.value
         index = {f: k for k, f in enumerate(known.tolist())}
-        memory = Memory(lambda w: frozenset(index[f] for f in word_features(w) if f in index))
+        memory = Memory(lambda w: tuple(index[f] for f in word_features(w) if f in index))
         total, n = np.zeros(len(known), np.int64), 0
         for part in rows_in_slices(batches):
             places = [k for t in part.column(0).to_pylist() for k in document_features(t, memory)]
