@@ -13,7 +13,8 @@ revisits that refer to it. A task writes one archive, under a name of its own at
 Nulls and edge cases: a null html is the empty payload, and empty payloads count as equal; rows with
 the smallest page_id, repeated rows among them, are all responses; null page_ids come after all others and
 are carried; a null url leaves the target out, line breaks in one become blanks; very long payloads are
-whole; no pages give no archive and no rows.
+whole; columns besides page_id, url and html are not read, whatever their names; no pages give no archive and
+no rows.
 """
 
 from __future__ import annotations
@@ -38,8 +39,10 @@ from clinloom.session import shared_dir, ship_package, store
 
 DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
 DATE = "1970-01-01T00:00:00Z"
-#: Records that a reading task takes in one range.
-RANGE_RECORDS = 128
+#: Records, and bytes of them, that are read in one range (a longer record is a range alone).
+RANGE_RECORDS, RANGE_BYTES = 128, 8 << 20
+#: Archive bytes, and archives' indexes, that a reading task takes.
+TASK_BYTES, TASK_ARCHIVES = 32 << 20, 16
 MANIFEST = "path string, records long"
 RECORD = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string"
 
@@ -230,9 +233,12 @@ def write(pages: DataFrame, folder: str | None = None) -> DataFrame:
 
 
 def locate(archives: DataFrame) -> DataFrame:
-    """Ranges of records in ``archives`` (path): path, start, and the records' lengths."""
+    """Ranges of neighbouring records in ``archives`` (path): path, start, and the records' lengths."""
     spark = archives.sparkSession
     ship_package(spark)
+    # an explicit number of tasks, as a path says nothing of the bytes behind it
+    archives = archives.select("path")
+    archives = archives.repartition(-(-max(1, archives.count()) // TASK_ARCHIVES), "path")
 
     def run(batches):
         for batch in batches:
@@ -242,17 +248,21 @@ def locate(archives: DataFrame) -> DataFrame:
                     lines = file.read_at(members[INDEX].size, stored_at(file, members[INDEX])).decode("utf-8").split("\n")
                     base = stored_at(file, members[DATA])
                 entries = [json.loads(x) for x in lines if x]
-                starts, lengths = [], []
-                for k in range(0, len(entries), RANGE_RECORDS):
-                    starts.append(base + entries[k]["offset"])
-                    lengths.append([e["length"] for e in entries[k : k + RANGE_RECORDS]])
+                starts, lengths, size = [], [], 0
+                for e in entries:
+                    if not starts or len(lengths[-1]) == RANGE_RECORDS or size + e["length"] > RANGE_BYTES:
+                        starts.append(base + e["offset"])
+                        lengths.append([])
+                        size = 0
+                    lengths[-1].append(e["length"])
+                    size += e["length"]
                 yield pa.RecordBatch.from_arrays([pa.array([path] * len(starts)), pa.array(starts, pa.int64()), pa.array(lengths, pa.list_(pa.int64()))], names=["path", "start", "lengths"])
 
     return archives.select("path").mapInArrow(run, "path string, start long, lengths array<long>")
 
 
 def read(archives: DataFrame) -> DataFrame:
-    """The records of ``archives`` (path), read by ranges."""
+    """The records of ``archives`` (path), read by ranges, which are dealt out by the bytes behind them."""
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string()]
@@ -267,10 +277,14 @@ def read(archives: DataFrame) -> DataFrame:
                     at += n
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
 
-    return locate(archives).repartition(F.xxhash64("path", "start")).mapInArrow(run, RECORD)
+    ranges = store(locate(archives), "ranges")
+    size = F.aggregate("lengths", F.lit(0).cast("long"), lambda a, b: a + b)
+    n, total = ranges.agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
+    tasks = max(1, min(n, max(-(-total // TASK_BYTES), archives.sparkSession.sparkContext.defaultParallelism)))
+    return ranges.repartition(tasks, "path", "start").mapInArrow(run, RECORD)
 
 
 def op2(pages: DataFrame) -> DataFrame:
     """Per page, from the archives: page_id, payload_bytes, payload_digest, record_type, refers_to; and
     url."""
-    return read(write(pages).repartition(F.xxhash64("path")))
+    return read(write(pages))
