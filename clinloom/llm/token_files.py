@@ -6,8 +6,8 @@ wrote: ``.ids`` has the ids as little-endian unsigned integers (16 bits when the
 fit, else 32), ``.offsets`` the uint64 starts of the documents and the closing length, ``.docs`` the
 int64 doc_ids and then a byte for each that is 1 where the doc_id is not null. The rows that tasks return,
 one for each partition, are the manifest. Prefix sums over the manifest give each partition's base; a
-document's start is base plus local offset. Readers map the files into memory (a store that cannot be
-mapped is read by ranges).
+document's start is base plus local offset. Readers take ``READ_DOCS`` documents of a file and map the files into
+memory; where a store cannot be mapped, they read the ranges that the offsets give.
 
 Nulls and edge cases: a null text is empty and holds the end id alone; rows come in ascending doc_id,
 null doc_ids first, equal doc_ids by text hash and text; an empty table writes no files and reads back
@@ -27,27 +27,21 @@ from pyarrow import fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clinloom.llm.common import rows_in_slices
+from clinloom.llm.common import Memory, rows_in_slices
 from clinloom.session import shared_dir, ship_package, store
 
-#: Stretches, and pieces, that a Python worker remembers; past it a memory starts anew.
-CACHE_STRETCHES, CACHE_PIECES = 400_000, 900_000
+#: Stretches, and pieces, that a task remembers; past it a memory starts anew.
+CACHE_STRETCHES, CACHE_PIECES = 150_000, 300_000
+#: Documents of a file that a reading task takes, and those that it has in hand at once.
+READ_DOCS, READ_SLICE = 20_000, 512
 MANIFEST = "part int, path string, docs long, tokens long, width int"
 
 
-class _Memory(dict):
-    """From a stretch of text to its ids as little-endian uint32 bytes; fills itself."""
-
-    def __init__(self, make, most: int):
-        self.make, self.most = make, most
+@lru_cache(maxsize=2)
+def _tokenizer(path: str):
+    from tokenizers import Tokenizer
 
-    def __missing__(self, key):
-        if len(self) >= self.most:
-            self.clear()
-        ids = self.make(key)
-        if len(key) <= 64:
-            self[key] = ids
-        return ids
+    return Tokenizer.from_file(path)
 
 
 class WordEncoder:
@@ -59,9 +53,7 @@ class WordEncoder:
     whole."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_file(path)
+        tokenizer = _tokenizer(path)
         model = tokenizer.model
         pack = lambda ids: np.array(ids, "<u4").tobytes()
         # the byte alphabet: printable bytes stand for themselves, the others follow from 256 on
@@ -73,7 +65,7 @@ class WordEncoder:
             written = x if x.isascii() else "".join(map(table.__getitem__, x.encode("utf-8")))
             return pack([t.id for t in model.tokenize(written)])
 
-        piece = _Memory(merge, CACHE_PIECES)
+        piece = Memory(merge, CACHE_PIECES)
         plain = re.compile(r"[!-~\xc0-\xd6\xd8-\xf6\xf8-\xff]*").fullmatch
         # the vocabulary's own pattern, for lower-case letters of that kind
         pieces = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^a-z0-9\xdf-\xf6\xf8-\xff]+").findall
@@ -84,33 +76,27 @@ class WordEncoder:
                 return b"".join(map(piece.__getitem__, pieces(text.lower())))
             return pack(tokenizer.encode(text, add_special_tokens=False).ids)
 
-        self.stretches = _Memory(stretch, CACHE_STRETCHES)
+        self.stretches = Memory(stretch, CACHE_STRETCHES)
         self.vocabulary = tokenizer.get_vocab_size(with_added_tokens=True)
 
     def encode(self, text: str) -> bytes:
         return b"".join(map(self.stretches.__getitem__, text.encode("utf-8").split()))
 
 
-@lru_cache(maxsize=2)
-def _encoder(path: str) -> WordEncoder:
-    return WordEncoder(path)
-
-
-def write(documents: DataFrame, path: str, end_id: int, folder: str | None = None) -> DataFrame:
+def write(documents: DataFrame, path: str, end_id: int, folder: str | None = None, partitions: int | None = None) -> DataFrame:
     """Writes the files of ``documents`` (doc_id, text) into ``folder`` and returns the stored manifest,
-    one row for each partition."""
+    one row for each partition; Spark sizes the ``partitions`` if they aren't given."""
     spark = documents.sparkSession
     ship_package(spark)
     folder = folder or f"{shared_dir(spark)}/tokens-{uuid.uuid4().hex}"
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    ranged = rows.repartitionByRange(F.col("doc_id").asc_nulls_first(), F.xxhash64("text")).sortWithinPartitions(
-        F.col("doc_id").asc_nulls_first(), F.xxhash64("text"), "text"
-    )
+    order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
+    ranged = rows.repartitionByRange(*([partitions] if partitions else []), *order).sortWithinPartitions(*order, "text")
 
     def run(batches):
         from pyspark import TaskContext
 
-        task, encoder = TaskContext.get(), _encoder(path)
+        task, encoder = TaskContext.get(), WordEncoder(path)
         width = 2 if max(encoder.vocabulary - 1, end_id) < 1 << 16 else 4
         kind, closing = f"<u{width}", np.array([end_id], "<u4").tobytes()
         store_, base = pafs.FileSystem.from_uri(folder)
@@ -143,12 +129,21 @@ def write(documents: DataFrame, path: str, end_id: int, folder: str | None = Non
     return store(ranged.mapInArrow(run, MANIFEST), "manifest")
 
 
-def _open(store_: pafs.FileSystem, path: str, kind: str):
-    """The whole file as an array: mapped into memory where the store is local."""
-    if isinstance(store_, pafs.LocalFileSystem):
-        return np.memmap(path, dtype=kind, mode="r") if store_.get_file_info(path).size else np.empty(0, kind)
-    with store_.open_input_file(path) as file:
-        return np.frombuffer(file.read(), kind)
+class _Numbers:
+    """A file of unsigned integers, by ranges: mapped into memory where the store is local."""
+
+    def __init__(self, store_: pafs.FileSystem, path: str, kind: str):
+        self.kind = np.dtype(kind)
+        self.mapped = self.file = None
+        if isinstance(store_, pafs.LocalFileSystem):
+            self.mapped = np.memmap(path, dtype=kind, mode="r") if store_.get_file_info(path).size else np.empty(0, kind)
+        else:
+            self.file = store_.open_input_file(path)
+
+    def take(self, start: int, stop: int) -> np.ndarray:
+        if self.file is None:
+            return self.mapped[start:stop]
+        return np.frombuffer(self.file.read_at((stop - start) * self.kind.itemsize, start * self.kind.itemsize), self.kind)
 
 
 def read(manifest: DataFrame) -> DataFrame:
@@ -168,28 +163,29 @@ def _read(manifest: DataFrame, schema: str, of) -> DataFrame:
     parts = sorted(manifest.collect(), key=lambda r: r["part"])
     bases, total = [], 0
     for p in parts:
-        bases.append((p["path"], p["docs"], p["width"], total))
+        bases += [(p["path"], p["docs"], p["width"], total, at) for at in range(0, p["docs"], READ_DOCS)]
         total += p["tokens"]
-    placed = spark.createDataFrame(bases, "path string, docs long, width int, base long").repartition(max(1, len(bases)))
+    placed = spark.createDataFrame(bases, "path string, docs long, width int, base long, first long").repartition(max(1, len(bases)))
 
     def run(batches):
         for batch in batches:
             for one in batch.to_pylist():
                 store_, base = pafs.FileSystem.from_uri(one["path"])
-                ids = _open(store_, f"{base}.ids", f"<u{one['width']}")
-                starts = _open(store_, f"{base}.offsets", "<u8")
-                docs = _open(store_, f"{base}.docs", "u1")
+                ids = _Numbers(store_, f"{base}.ids", f"<u{one['width']}")
+                starts = _Numbers(store_, f"{base}.offsets", "<u8")
+                docs = _Numbers(store_, f"{base}.docs", "u1")
                 n = one["docs"]
-                numbers, valid = docs[: 8 * n].view("<i8"), docs[8 * n :]
-                for at in range(0, n, 512):
-                    to = min(n, at + 512)
-                    cut = [int(x) for x in starts[at : to + 1]]
+                stop = min(n, one["first"] + READ_DOCS)
+                for at in range(one["first"], stop, READ_SLICE):
+                    to = min(stop, at + READ_SLICE)
+                    cut = starts.take(at, to + 1).astype(np.int64)
+                    numbers, valid = docs.take(8 * at, 8 * to).view("<i8"), docs.take(8 * n + at, 8 * n + to)
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array(np.array(numbers[at:to]), mask=np.array(valid[at:to]) == 0),
-                            pa.array(np.array(cut[:-1], np.int64) + one["base"]),
-                            pa.array(np.diff(np.array(cut, np.int64))),
-                            pa.array([of(ids[a:b]) for a, b in zip(cut, cut[1:], strict=False)]),
+                            pa.array(np.array(numbers), mask=np.array(valid) == 0),
+                            pa.array(cut[:-1] + one["base"]),
+                            pa.array(np.diff(cut)),
+                            pa.array([of(ids.take(a, b)) for a, b in zip(cut.tolist(), cut[1:].tolist(), strict=False)]),
                         ],
                         names=[c.split()[0] for c in schema.split(", ")],
                     )
