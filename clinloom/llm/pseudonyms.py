@@ -1,8 +1,8 @@
 """Format-preserving pseudonyms by keyed Feistel permutations.
 
 Values are found by format and then validated: card numbers (13 to 19 digits, Luhn), IBANs (modulo 97),
-social security numbers, phone numbers of ten digits with area code, dates (ISO, day.month.year,
-month/day/year), IPv4 addresses and e-mail addresses. A valid value is numbered within the set of valid values of
+social security numbers, phone numbers of ten digits with area code, dates (ISO, a time may follow, day.month.year,
+month/day/year; those from 1900 to 2099 among themselves and so the others), IPv4 addresses and e-mail addresses. A valid value is numbered within the set of valid values of
 its own format, the number goes through a keyed permutation of that set (a balanced Feistel network over
 the next even number of bits, walked until it lands in the set again), and the image is written in the
 same format, with its check digits made anew. So a pseudonym is valid where the value was, equal values
@@ -15,7 +15,8 @@ taken, of its ends one of the country's IBAN length or else the last. So about o
 digits in rows of numbers passes for a card. Turning text back reads the pseudonyms in the same way; beside other
 digits it may take another end than was written, and there ``found`` tells the places.
 
-Nulls and edge cases: a null text stays null with no findings; empty texts stay; repeated and very long
+Nulls and edge cases: a null text stays null with no findings; empty texts stay; an empty table gives no rows;
+other columns pass through, but ``found`` replaces one of its name; repeated and very long
 texts are handled whole; overlapping finds go to the leftmost, then the kind first in ``KINDS``. A
 permutation may map a value to itself, with a probability of one by the size of its set (one in 10 ** 10
 for a phone number).
@@ -38,10 +39,10 @@ ROUNDS = 10
 KINDS = ("email", "iban", "ip", "date", "phone", "ssn", "card")
 _EDGE, _STOP = r"(?<![\w.+-])", r"(?![\w-])(?!\.\d)"
 PATTERNS = {
-    "email": re.compile(r"(?<![\w.+-])[A-Za-z0-9][A-Za-z0-9._+-]{0,63}@(?:[A-Za-z0-9-]{1,63}\.)+[A-Za-z]{2,24}(?![\w-])", re.A),
+    "email": re.compile(r"(?<![\w.+-])[A-Za-z0-9][A-Za-z0-9._+-]*@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}(?![\w-])", re.A),
     "iban": re.compile(_EDGE + r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?" + _STOP, re.A),
     "ip": re.compile(_EDGE + r"\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}" + _STOP, re.A),
-    "date": re.compile(_EDGE + r"(?:\d{4}-\d\d-\d\d|\d\d\.\d\d\.\d{4}|\d\d/\d\d/\d{4})" + _STOP, re.A),
+    "date": re.compile(_EDGE + r"(?:\d{4}-\d\d-\d\d(?=T\d\d:)|(?:\d{4}-\d\d-\d\d|\d\d\.\d\d\.\d{4}|\d\d/\d\d/\d{4})" + _STOP + ")", re.A),
     "phone": re.compile(r"(?<![\w.+(-])(?:\+\d{1,3}[ .-])?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}" + _STOP, re.A),
     "ssn": re.compile(_EDGE + r"\d{3}-\d\d-\d{4}" + _STOP, re.A),
     "card": re.compile(_EDGE + r"\d(?:[ -]?\d){12,18}" + _STOP, re.A),
@@ -65,6 +66,8 @@ IBAN_LENGTHS = {
     for c in countries
 }
 FIRST_DAY, LAST_DAY = date(1900, 1, 1).toordinal(), date(2099, 12, 31).toordinal()
+#: Characters that are permuted as one number.
+MOST_CHARS = 128
 _LETTERS = "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -118,6 +121,9 @@ def _radix(chars: str) -> list[str]:
 
 
 def _permute_chars(permute: Permutation, name: str, chars: str, back: bool) -> str:
+    if len(chars) > MOST_CHARS:  # piece by piece, each place with a permutation of its own
+        pieces = [chars[k : k + MOST_CHARS] for k in range(0, len(chars), MOST_CHARS)]
+        return "".join(_permute_chars(permute, f"{name}#{k}", x, back) for k, x in enumerate(pieces))
     kinds, x, size = _radix(chars), 0, 1
     for c, kind in zip(chars, kinds, strict=True):
         if kind:
@@ -188,9 +194,13 @@ def _date(permute, text, back):
         day = date(part["y"], part["m"], part["d"]).toordinal()
     except ValueError:
         return None
-    if not FIRST_DAY <= day <= LAST_DAY:
-        return None
-    to = date.fromordinal(FIRST_DAY + permute("date", day - FIRST_DAY, LAST_DAY - FIRST_DAY + 1, back))
+    span = LAST_DAY - FIRST_DAY + 1
+    if FIRST_DAY <= day <= LAST_DAY:
+        day = FIRST_DAY + permute("date", day - FIRST_DAY, span, back)
+    else:  # days of other centuries are permuted among themselves
+        y = permute("other date", day - 1 if day < FIRST_DAY else day - 1 - span, date.max.toordinal() - span, back)
+        day = 1 + y + (span if 1 + y >= FIRST_DAY else 0)
+    to = date.fromordinal(day)
     return sep.join(f"{to.year:04d}" if p == "y" else f"{to.month if p == 'm' else to.day:02d}" for p in order)
 
 
