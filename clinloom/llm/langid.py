@@ -8,7 +8,8 @@ the columns of a batch's n-grams and sums them by document, in numpy.
 
 Nulls and edge cases: a null or empty text, or one without letters, gives ``und`` with score 0; a null
 language is no label; without any labelled row every text gives ``und``; repeated rows repeat; very
-long texts are scored whole. Ties go to the language first in order.
+long texts are scored whole; an empty table gives no rows; other columns pass through, but ``lang_pred`` and
+``score`` replace those of their names. Ties go to the language first in order.
 """
 
 from __future__ import annotations
@@ -30,6 +31,8 @@ ORDERS = (1, 2, 3)
 SMOOTHING = 0.5
 MAX_LANGUAGES = 512
 UNDETERMINED = "und"
+#: Languages whose counts a task holds before it sends them on.
+HELD_LANGUAGES = 32
 #: Characters handled at once, so that temporary arrays stay small.
 CHUNK_CHARS = 1_000_000
 
@@ -120,6 +123,17 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Langua
     def count(batches):
         counts: dict[str, np.ndarray] = {}
         documents: dict[str, int] = {}
+
+        def send():
+            for name, one in counts.items():
+                at = np.flatnonzero(one)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([str(name)] * (len(at) + 1)), pa.array(np.append(at, -1).astype(np.int32)), pa.array(np.append(one[at], documents[name]).astype(np.int64))],
+                    names=["lang", "bucket", "n"],
+                )
+            counts.clear()
+            documents.clear()
+
         for part in rows_in_slices(batches):
             texts, langs = part.column(0).to_pylist(), np.array(part.column(1).to_pylist(), object)
             for at, some in _chunks(texts):
@@ -129,12 +143,9 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Langua
                 for k, name in enumerate(names):
                     counts[name] = counts.get(name, 0) + both[k * BUCKETS : (k + 1) * BUCKETS]
                     documents[name] = documents.get(name, 0) + int((code == k).sum())
-        for name, one in counts.items():
-            at = np.flatnonzero(one)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([str(name)] * (len(at) + 1)), pa.array(np.append(at, -1).astype(np.int32)), pa.array(np.append(one[at], documents[name]).astype(np.int64))],
-                names=["lang", "bucket", "n"],
-            )
+            if len(counts) > HELD_LANGUAGES:
+                yield from send()
+        yield from send()
 
     sums = rows.mapInArrow(count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     languages = sorted(r[0] for r in rows.select(lang).distinct().limit(MAX_LANGUAGES + 1).collect())

@@ -9,7 +9,9 @@ and a batch walks all of them level by level.
 
 Nulls and edge cases: a null or empty text has zero in every count, fails the base rule and is not
 kept; without labels the trees are absent and the base rule alone decides; repeated and very long
-texts are counted whole; other columns are not read.
+texts are counted whole; of several texts under one labelled doc_id the one with the least hash is learned from, of
+several labels the highest; other columns pass through, but those of the names of the counts, ``features``, ``score``,
+``base_failed`` and ``kept`` are replaced; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -179,9 +181,10 @@ def train(documents: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Tr
     chosen = labels.where("quality in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.max("quality").alias("quality"))
     chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     # bounded by ``rows``, so it may be broadcast
-    found = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    got = with_statistics(found).select("doc_id", "quality", "features").toPandas()
-    got = got.sort_values("doc_id", kind="stable").drop_duplicates("doc_id")
+    found = documents.select("doc_id", "text", F.xxhash64("text").alias("order")).join(F.broadcast(chosen), "doc_id")
+    # one row a document: of several texts under one doc_id, the one with the least hash
+    one = with_statistics(found).groupBy("doc_id", "quality").agg(F.min_by("features", "order").alias("features"))
+    got = one.toPandas().sort_values("doc_id", kind="stable")
     x = np.array(got["features"].tolist(), float).reshape(len(got), len(MONOTONE))
     return grow(x, got["quality"].to_numpy(float), list(MONOTONE.values()))
 

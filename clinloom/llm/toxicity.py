@@ -19,7 +19,8 @@ Features are the ``FEATURES`` ones that tell most, by count times log lift among
 
 Nulls and edge cases: a null or empty text, or one without words, scores the model's bias; without a
 positive every score is 0; null labels and ids train nothing; repeated and very long texts are
-scored whole.
+scored whole; of several texts under one doc_id the one with the least hash is learned from, of several labels the
+highest; other columns pass through, but ``score`` replaces one of its name; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -112,14 +113,16 @@ def train(documents: DataFrame, labels: DataFrame) -> ToxicityModel:
     confirmed = marked.where("toxic = 1").select("doc_id").orderBy(*by_hash).limit(POSITIVE_ROWS).withColumn("positive", F.lit(True))
     others = documents.where("doc_id is not null").select("doc_id").distinct().orderBy(*by_hash).limit(UNLABELLED_ROWS).withColumn("positive", F.lit(False))
     # both samples are bounded, so they may be broadcast
-    chosen = documents.select("doc_id", "text").join(F.broadcast(confirmed.unionByName(others)), "doc_id")
+    chosen = documents.select("doc_id", "text", F.xxhash64("text").alias("order")).join(F.broadcast(confirmed.unionByName(others)), "doc_id")
 
     def make():
         memory = Memory(lambda w: tuple(word_features(w)))
         return lambda part: [[sorted(document_features(t, memory)) for t in part.column(at).to_pylist()]]
 
     at = chosen.columns.index("text")
-    seen = store(add_columns(chosen, "features array<long>", make).drop("text"), "features")
+    # one row a document: of several texts under one doc_id, the one with the least hash
+    each = add_columns(chosen, "features array<long>", make).groupBy("doc_id", "positive").agg(F.min_by("features", "order").alias("features"))
+    seen = store(each, "features")
     shares = marked.agg(F.avg("toxic")).first()[0]
     sizes = {r["positive"]: r["n"] for r in seen.groupBy("positive").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not sizes.get(True):
