@@ -30,8 +30,9 @@ from pyspark.sql import functions as F
 from clinloom.llm.common import Memory, rows_in_slices
 from clinloom.session import shared_dir, ship_package, store
 
-#: Stretches, and pieces, that a task remembers; past it a memory starts anew.
-CACHE_STRETCHES, CACHE_PIECES = 150_000, 300_000
+#: Stretches, and pieces, that a Python worker remembers (some 170 MB together; a task alone meets each of its
+#: words too seldom for a memory of its own to pay); past it a memory starts anew.
+CACHE_STRETCHES, CACHE_PIECES = 300_000, 600_000
 #: Documents of a file that a reading task takes, and those that it has in hand at once.
 READ_DOCS, READ_SLICE = 20_000, 512
 MANIFEST = "part int, path string, docs long, tokens long, width int"
@@ -55,7 +56,9 @@ class WordEncoder:
     def __init__(self, path: str):
         tokenizer = _tokenizer(path)
         model = tokenizer.model
-        pack = lambda ids: np.array(ids, "<u4").tobytes()
+        four = [k.to_bytes(4, "little") for k in range(tokenizer.get_vocab_size(with_added_tokens=True))]
+        pack = lambda ids: b"".join([four[k] for k in ids])
+        tokenize = model.tokenize
         # the byte alphabet: printable bytes stand for themselves, the others follow from 256 on
         shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
         letter = {b: chr(b) for b in shown} | {b: chr(256 + n) for n, b in enumerate(b for b in range(256) if b not in shown)}
@@ -63,7 +66,7 @@ class WordEncoder:
 
         def merge(x: str) -> bytes:
             written = x if x.isascii() else "".join(map(table.__getitem__, x.encode("utf-8")))
-            return pack([t.id for t in model.tokenize(written)])
+            return b"".join([four[t.id] for t in tokenize(written)])
 
         piece = Memory(merge, CACHE_PIECES)
         plain = re.compile(r"[!-~\xc0-\xd6\xd8-\xf6\xf8-\xff]*").fullmatch
@@ -83,6 +86,11 @@ class WordEncoder:
         return b"".join(map(self.stretches.__getitem__, text.encode("utf-8").split()))
 
 
+@lru_cache(maxsize=1)
+def _encoder(path: str) -> WordEncoder:
+    return WordEncoder(path)
+
+
 def write(documents: DataFrame, path: str, end_id: int, folder: str | None = None, partitions: int | None = None) -> DataFrame:
     """Writes the files of ``documents`` (doc_id, text) into ``folder`` and returns the stored manifest,
     one row for each partition; Spark sizes the ``partitions`` if they aren't given."""
@@ -96,7 +104,7 @@ def write(documents: DataFrame, path: str, end_id: int, folder: str | None = Non
     def run(batches):
         from pyspark import TaskContext
 
-        task, encoder = TaskContext.get(), WordEncoder(path)
+        task, encoder = TaskContext.get(), _encoder(path)
         width = 2 if max(encoder.vocabulary - 1, end_id) < 1 << 16 else 4
         kind, closing = f"<u{width}", np.array([end_id], "<u4").tobytes()
         store_, base = pafs.FileSystem.from_uri(folder)
