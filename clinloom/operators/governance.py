@@ -6,8 +6,10 @@ Each batch gives accepted rows, rejected rows with the first reason against them
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 OPEN = ("PENDING", "LOW_CONFIDENCE")
 
@@ -17,24 +19,32 @@ def semantic_key(*parts) -> Column:
     return F.concat_ws("\x1f", *[F.coalesce(F.lower(F.trim(p.cast("string"))), F.lit("")) for p in parts])
 
 
-def _folded(df: DataFrame, key: str, order: list[str], fields: list[str], accept, keep) -> DataFrame:
-    """Rows of each key in order, each with ``reason``, null if accepted. ``accept(state, row)`` gives the
-    reason, given the structs that ``keep(row)`` made of the rows accepted so far. What a key accepts is a
-    state, so its rows are folded one after the other; a key's actions of one batch must fit in a row."""
-    row = F.struct(*order, *[f for f in fields if f not in order])
-    grouped = df.groupBy(key).agg(F.array_sort(F.collect_list(row)).alias("_rows"))
-    kind = df.select(F.array(keep({f: F.col(f) for f in fields + order})).alias("k")).schema["k"].dataType.simpleString()
-    reasons = F.array().cast("array<string>")
-    start = F.struct(F.array().cast(kind).alias("kept"), reasons.alias("reasons"))
-
-    def step(state, r):
-        reason = accept(state["kept"], r)
-        kept = F.when(reason.isNull(), F.concat(state["kept"], F.array(keep(r)))).otherwise(state["kept"])
-        return F.struct(kept.alias("kept"), F.concat(state["reasons"], F.array(reason)).alias("reasons"))
-
-    done = grouped.withColumn("_reasons", F.aggregate("_rows", start, step, lambda s: s["reasons"]))
-    pairs = F.explode(F.arrays_zip(F.col("_rows").alias("row"), F.col("_reasons").alias("reason")))
-    return done.select(key, pairs.alias("_p")).select(key, "_p.row.*", F.col("_p.reason").alias("reason"))
+def _admitted(votes: DataFrame, columns: list[str]) -> DataFrame:
+    """``votes`` (semantic_key and ``columns``) with ``reason``, null if admitted. The votes of a key stream through a
+    task in order; only what the key has admitted, two votes a decision at most, is held."""
+    ordered = votes.select("semantic_key", *columns).repartition("semantic_key").sortWithinPartitions("semantic_key", "submitted_at", "review_id")
+    schema = T.StructType([*ordered.schema.fields, T.StructField("reason", T.StringType())])
+    key_at, decision_at, actor_at = (ordered.columns.index(c) for c in ("semantic_key", "decision_id", "actor"))
+
+    def run(batches):
+        now, places, actors = None, {}, set()
+        for batch in batches:
+            reasons = []
+            for key, decision, actor in zip(*(batch.column(i).to_pylist() for i in (key_at, decision_at, actor_at)), strict=True):
+                if key != now:
+                    now, places, actors = key, {}, set()
+                if places.get(decision, 0) >= 2:
+                    reasons.append("TWO_REVIEWS_EXIST")
+                elif actor in actors:
+                    reasons.append("SAME_PERSON")
+                else:
+                    places[decision] = places.get(decision, 0) + 1
+                    if actor is not None:
+                        actors.add(actor)
+                    reasons.append(None)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(reasons, pa.string())], names=schema.fieldNames())
+
+    return ordered.mapInArrow(run, schema)
 
 
 def admit_reviews(decisions: DataFrame, actions: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -49,16 +59,8 @@ def admit_reviews(decisions: DataFrame, actions: DataFrame) -> tuple[DataFrame,
         .when(F.col("proposer") == F.col("actor"), "OWN_PROPOSAL")
     )
     judged = known.withColumn("reason", early)
-    fields = ["decision_id", "actor", "verdict"]
-
-    def accept(kept, r):
-        full = F.size(F.filter(kept, lambda k: k["decision_id"] == r["decision_id"])) >= 2
-        again = F.exists(kept, lambda k: k["actor"] == r["actor"])
-        return F.when(full, "TWO_REVIEWS_EXIST").when(again, "SAME_PERSON")
-
-    keep = lambda r: F.struct(r["decision_id"].alias("decision_id"), r["actor"].alias("actor"))
-    folded = _folded(judged.where("reason is null"), "semantic_key", ["submitted_at", "review_id"], fields, accept, keep)
     out = ["review_id", "decision_id", "actor", "verdict", "submitted_at"]
+    folded = _admitted(judged.where("reason is null"), out)
     rejected = judged.where("reason is not null").select(*out, "reason").unionByName(folded.where("reason is not null").select(*out, "reason"))
     return folded.where("reason is null").select(*out), rejected
 
@@ -194,26 +196,28 @@ def apply_registry(registry: DataFrame, actions: DataFrame) -> tuple[DataFrame,
     """Register and deactivate ``actions`` (action_id, adapter, system, vocabulary_id, kind) in order: the next
     registry, and (action_id, outcome). A pair has one active vocabulary at most. Only a pair's last
     change matters for the next state, so each action needs just the change before it."""
-    now = registry.where("active").select("adapter", "system", F.col("vocabulary_id").alias("_now"))
-    start = actions.select("adapter", "system").distinct().join(now, ["adapter", "system"], "left")
-    grouped = actions.groupBy("adapter", "system").agg(F.array_sort(F.collect_list(F.struct("action_id", "kind", "vocabulary_id"))).alias("_rows")).join(start, ["adapter", "system"])
-    empty = F.array().cast("array<struct<action_id:bigint,outcome:string>>")
-
-    def step(state, r):
-        held = state["held"]
-        outcome = (
-            F.when((r["kind"] == "REGISTER") & held.isNull(), "REGISTERED")
-            .when((r["kind"] == "REGISTER") & (held == r["vocabulary_id"]), "UNCHANGED")
-            .when(r["kind"] == "REGISTER", "CONFLICT")
-            .when(held.isNull(), "NOT_ACTIVE")
-            .otherwise("DEACTIVATED")
-        )
-        after = F.when(outcome == "REGISTERED", r["vocabulary_id"]).when(outcome == "DEACTIVATED", F.lit(None).cast("string")).otherwise(held)
-        return F.struct(after.alias("held"), F.concat(state["out"], F.array(F.struct(r["action_id"].alias("action_id"), outcome.alias("outcome")))).alias("out"))
-
-    done = grouped.withColumn("_s", F.aggregate("_rows", F.struct(F.col("_now").alias("held"), empty.alias("out")), step))
-    outcomes = done.select(F.explode("_s.out").alias("o")).select("o.*")
-    final = done.select("adapter", "system", F.col("_s.held").alias("_held"), F.lit(True).alias("_touched"))
+    pair = ["adapter", "system"]
+    now = registry.where("active").select(*pair, F.col("vocabulary_id").alias("_now"))
+    # between two deactivations, the first registration holds, or before any the one that was active
+    earlier = Window.partitionBy(*pair).orderBy("action_id").rowsBetween(Window.unboundedPreceding, -1)
+    ends = F.when(F.col("kind") == "DEACTIVATE", 1).otherwise(0)
+    rows = actions.join(now, pair, "left").withColumn("_part", F.coalesce(F.sum(ends).over(earlier), F.lit(0)))
+    within = Window.partitionBy(*pair, "_part").orderBy("action_id").rowsBetween(Window.unboundedPreceding, -1)
+    wanted = F.when(F.col("kind") == "REGISTER", F.col("vocabulary_id"))
+    start = F.when(F.col("_part") == 0, F.col("_now"))
+    rows = rows.withColumn("_held", F.coalesce(start, F.first(wanted, ignorenulls=True).over(within)))
+    held = F.col("_held")
+    outcome = (
+        F.when((F.col("kind") == "REGISTER") & held.isNull(), "REGISTERED")
+        .when((F.col("kind") == "REGISTER") & (held == F.col("vocabulary_id")), "UNCHANGED")
+        .when(F.col("kind") == "REGISTER", "CONFLICT")
+        .when(held.isNull(), "NOT_ACTIVE")
+        .otherwise("DEACTIVATED")
+    )
+    judged = rows.withColumn("outcome", outcome)
+    outcomes = judged.select("action_id", "outcome")
+    after = F.when(F.col("outcome") == "REGISTERED", F.col("vocabulary_id")).when(F.col("kind") == "REGISTER", held)
+    final = judged.groupBy(*pair).agg(F.max_by(after, "action_id").alias("_held"), F.lit(True).alias("_touched"))
     old = registry.join(final, ["adapter", "system"], "left").withColumn("active", F.when(F.col("_touched"), F.col("vocabulary_id").eqNullSafe(F.col("_held"))).otherwise(F.col("active"))).select(*registry.columns)
     fresh = final.where("_held is not null").select("adapter", "system", F.col("_held").alias("vocabulary_id"), F.lit(True).alias("active"))
     known = registry.select("adapter", "system", "vocabulary_id")

@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clinloom.functions.text import AXES, actor_key, alias_key, axes, jaro_winkler_of, sequence_ratio
+from clinloom.functions.text import AXES, actor_key, alias_key, axes, jaro_winkler, sequence_ratio
 
 #: Queries that a task holds at once.
 QUERY_BLOCK = 4_096
@@ -85,14 +85,75 @@ def rerank(candidates: DataFrame, k: int) -> DataFrame:
     return rows.withColumn("new_rank", F.row_number().over(order)).where(F.col("new_rank") <= k).drop("_s", "_c")
 
 
+#: Terms of a worklist, and names of a register, at most; more fails.
+MOST_TERMS, MOST_NAMES = 20_000, 50_000
+
+
+def _letters(words: list[str]) -> np.ndarray:
+    """How often each of 64 classes of characters stands in each word."""
+    points = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32) % 64
+    owner = np.repeat(np.arange(len(words)), [len(w) for w in words])
+    return np.bincount(owner * 64 + points, minlength=64 * len(words)).reshape(-1, 64).astype(np.int16)
+
+
+class _Nearest:
+    """The k best names of each term so far. A pair is scored only if letters in common, lengths and leading
+    characters leave it a chance against the term's k-th score."""
+
+    def __init__(self, terms: list[tuple[int, str]], k: int):
+        self.terms, self.k = terms, k
+        self.count, self.size = _letters([t for _, t in terms]), np.array([len(t) for _, t in terms])
+        self.best: list[list[tuple[float, int]]] = [[] for _ in terms]
+
+    def add(self, items: list[int], names: list[str]) -> None:
+        count, size = _letters(names), np.array([len(n) for n in names])
+        heads = [np.array([n[:j].ljust(j, "\0") for n in names], object) for j in range(1, 5)]
+        for t, (_, term) in enumerate(self.terms):
+            m = np.minimum(count, self.count[t]).sum(axis=1)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                most = np.where(m > 0, (m / size + m / max(1, self.size[t]) + 1) / 3, 0.0)
+            most = np.where((size == 0) & (self.size[t] == 0), 1.0, most)
+            lead = sum((heads[j - 1] == term[:j]).astype(int) if len(term) >= j else 0 for j in range(1, 5))
+            most = most + 0.1 * lead * (1 - most) + 1e-9
+            best = self.best[t]
+            for i in np.argsort(-most, kind="stable").tolist():
+                if len(best) >= self.k and most[i] < -best[self.k - 1][0] - 1e-6:
+                    break
+                best.append((-round(jaro_winkler(term, names[i]), 6), items[i]))
+                best.sort()
+                del best[self.k :]
+
+
+def _bounded(df: DataFrame, most: int, what: str) -> list:
+    rows = df.limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} {what}")
+    return rows
+
+
 def jaro_winkler_topk(terms: DataFrame, slice_: DataFrame, k: int) -> DataFrame:
     """(term_id, item_id, score, rank): the k most similar names of ``slice_`` (item_id, name) for each of
-    ``terms`` (term_id, term). ``terms`` is a worklist of bounded size, which each task meets with its part
-    of the slice."""
-    pairs = slice_.select("item_id", F.lower(F.trim("name")).alias("_n")).join(F.broadcast(terms.select("term_id", F.lower(F.trim("term")).alias("_t"))), how="cross")
-    scored = pairs.withColumn("score", F.round(jaro_winkler_of("_t", "_n"), 6))
+    ``terms`` (term_id, term), ties by item_id. ``terms`` is a worklist of ``MOST_TERMS`` at most, which meets each
+    task's part of the slice; a task sends on its k best of each term."""
+    spark = slice_.sparkSession
+    asked = _bounded(terms.select(F.col("term_id").cast("long"), F.lower(F.trim("term"))).where("term_id is not null"), MOST_TERMS, "terms")
+    shared = spark.sparkContext.broadcast([(r[0], r[1]) for r in asked if r[1] is not None])
+
+    def run(batches):
+        nearest = _Nearest(shared.value, k)
+        for batch in batches:
+            items, names = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            some = [(i, n) for i, n in zip(items, names, strict=True) if n is not None]
+            if some and nearest.terms:
+                nearest.add(*map(list, zip(*some, strict=True)))
+        rows = [(term, item, -score) for (term, _), best in zip(nearest.terms, nearest.best, strict=True) for score, item in best]
+        columns = list(zip(*rows, strict=True)) or [(), (), ()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.float64()), strict=True)], names=["term_id", "item_id", "score"])
+
+    named = slice_.select(F.col("item_id").cast("long").alias("item_id"), F.lower(F.trim("name")).alias("name"))
+    found = named.mapInArrow(run, "term_id long, item_id long, score double")
     order = Window.partitionBy("term_id").orderBy(F.desc("score"), "item_id")
-    return scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("term_id", "item_id", "score", "rank")
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
 def threshold_decision(exact: DataFrame, candidates: DataFrame, threshold: float) -> DataFrame:
@@ -211,12 +272,21 @@ def approved_examples(approved: DataFrame, n: int, exclude: DataFrame | None = N
 def suggest_actors(names: DataFrame, aliases: DataFrame, threshold: float = 0.84) -> DataFrame:
     """Possible identities (name, actor_id, similarity) of ``names`` among ``aliases`` (actor_id, alias): the
     sequence ratio of their keys, at least 0.96 with first and last token in common and 0.92 where one's
-    tokens are a part of the other's. ``aliases`` is the actor register, of bounded size."""
+    tokens are a part of the other's. ``aliases`` is the actor register, of ``MOST_NAMES`` keys at most."""
     left = names.select("name", actor_key("name").alias("_a")).where("_a <> ''")
     right = aliases.select("actor_id", actor_key("alias").alias("_b")).distinct()
-    both = left.join(F.broadcast(right), how="cross").withColumns({"_x": F.split("_a", " "), "_y": F.split("_b", " ")})
+    keys = right.select("_b").distinct()
+    known = names.sparkSession.createDataFrame(_bounded(keys, MOST_NAMES, "names in the register"), "_b string")
+    asked = left.select("_a").distinct()
+    both = asked.crossJoin(F.broadcast(known)).withColumns({"_x": F.split("_a", " "), "_y": F.split("_b", " ")})
     two = (F.size("_x") >= 2) & (F.size("_y") >= 2)
     edges = two & (F.get("_x", F.lit(0)) == F.get("_y", F.lit(0))) & (F.element_at("_x", -1) == F.element_at("_y", -1))
     inside = ((F.size("_x") >= 2) & (F.size(F.array_except("_x", "_y")) == 0)) | ((F.size("_y") >= 2) & (F.size(F.array_except("_y", "_x")) == 0))
-    score = F.greatest(sequence_ratio("_a", "_b"), F.when(edges, 0.96).otherwise(0.0), F.when(inside, 0.92).otherwise(0.0))
-    return both.withColumn("similarity", score).where(F.col("similarity") >= threshold).groupBy("name", "actor_id").agg(F.round(F.max("similarity"), 6).alias("similarity"))
+    # lengths alone bound the ratio, so most pairs are never compared
+    short, long_ = F.least(F.length("_a"), F.length("_b")), F.greatest(F.length("_a"), F.length("_b"))
+    chance = (2.0 * short / (short + long_) >= threshold) | edges | inside
+    near = both.where(chance).withColumns({"_edges": edges, "_inside": inside})
+    score = F.greatest(sequence_ratio("_a", "_b"), F.when(F.col("_edges"), 0.96).otherwise(0.0), F.when(F.col("_inside"), 0.92).otherwise(0.0))
+    scored = near.select("_a", "_b", score.alias("similarity")).where(F.col("similarity") >= threshold)
+    found = left.join(scored, "_a").join(right, "_b")
+    return found.groupBy("name", "actor_id").agg(F.round(F.max("similarity"), 6).alias("similarity"))

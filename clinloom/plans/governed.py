@@ -42,13 +42,26 @@ def _reviews(c):
     return c.raw("lineitem").where("l_linenumber <= 3").select(rid.alias("review_id"), F.col("l_orderkey").alias("decision_id"), (F.col("l_suppkey") % 40).alias("actor"), verdict.alias("verdict"), F.to_date("l_shipdate").alias("submitted_at"))
 
 
-@query("f1")
+# votes in order, each key's next one judged by what it has admitted so far
+ADMITTED = """, known as (select review_id, decision_id, actor, verdict, submitted_at, d.semantic_key, case when d.semantic_key is null then 'UNKNOWN_DECISION' when not eligible then 'NOT_PUBLISHABLE' when status not in ('PENDING', 'LOW_CONFIDENCE') then 'NOT_REVIEWABLE' when proposer = actor then 'OWN_PROPOSAL' end as early
+ from rev left join dec d using (decision_id)),
+numbered as (select *, row_number() over (partition by semantic_key order by submitted_at, review_id) as n from known where early is null),
+steps as (select semantic_key, n, review_id, case when true then null::varchar end as reason, [decision_id] as decisions, [actor] as actors from numbered where n = 1
+ union all select v.semantic_key, v.n, v.review_id, case when len(list_filter(s.decisions, lambda x: x = v.decision_id)) >= 2 then 'TWO_REVIEWS_EXIST' when list_contains(s.actors, v.actor) then 'SAME_PERSON' end as why,
+ case when why is null then list_append(s.decisions, v.decision_id) else s.decisions end, case when why is null then list_append(s.actors, v.actor) else s.actors end from steps s join numbered v on v.semantic_key = s.semantic_key and v.n = s.n + 1)"""
+
+
+def _recursive(body):
+    return _sql(ADMITTED + " " + body).replace("with ", "with recursive ", 1)
+
+
+@query("f1", _recursive("select k.review_id, k.decision_id, k.actor, k.verdict, k.submitted_at from known k join steps s using (review_id) where s.reason is null"))
 def f1(spark, sf_dir):
     c = Clinic(spark, sf_dir)
     return governance.admit_reviews(_decisions(c), _reviews(c))[0]
 
 
-@query("f1_rejected")
+@query("f1_rejected", _recursive("select coalesce(k.early, s.reason) as reason, count(*) as n from known k left join steps s using (review_id) where coalesce(k.early, s.reason) is not null group by 1"))
 def f1_rejected(spark, sf_dir):
     c = Clinic(spark, sf_dir)
     return governance.admit_reviews(_decisions(c), _reviews(c))[1].groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
@@ -174,7 +187,14 @@ def f11(spark, sf_dir):
     return governance.resolve_source(claims, _registry(c))[0]
 
 
-@query("f12")
+F12 = f"""with recursive a as (select c_custkey as action_id, 'adapter-' || (c_custkey % 30) as adapter, cast(c_nationkey as varchar) as system, 'V' || (c_custkey % 4) as vocabulary_id, c_custkey % 5 = 0 as ends, row_number() over (partition by c_custkey % 30, c_nationkey order by c_custkey) as n from customer),
+ g as (select adapter, system, min(vocabulary_id) as held from {_REG} group by 1, 2 having max(active)),
+ s as (select a.*, g.held as before from a left join g using (adapter, system) where n = 1
+ union all select a.*, case when s.ends then null else coalesce(s.before, s.vocabulary_id) end from s join a on a.adapter = s.adapter and a.system = s.system and a.n = s.n + 1)
+ select action_id, case when ends and before is null then 'NOT_ACTIVE' when ends then 'DEACTIVATED' when before is null then 'REGISTERED' when before = vocabulary_id then 'UNCHANGED' else 'CONFLICT' end as outcome from s"""
+
+
+@query("f12", F12)
 def f12(spark, sf_dir):
     c, key = Clinic(spark, sf_dir), F.col("c_custkey")
     actions = c.raw("customer").select(key.alias("action_id"), F.concat(F.lit("adapter-"), (key % 30).cast("string")).alias("adapter"), F.col("c_nationkey").cast("string").alias("system"), F.concat(F.lit("V"), (key % 4).cast("string")).alias("vocabulary_id"), F.when(key % 5 == 0, "DEACTIVATE").otherwise("REGISTER").alias("kind"))

@@ -47,7 +47,7 @@ _HOSPITAL = """(select *, row_number() over (partition by record_id order by sch
  case when p_partkey % 13 = 0 then '' else p_name end as source_value, case when p_partkey % 11 = 0 then repeat('u', 201) else 'mg' end as unit,
  case when p_partkey % 7 = 0 then '2024-02-30' when p_partkey % 5 = 0 then '2024-2-3' when p_partkey % 3 = 0 then '2024-02-03' else '' end as event_date from part))"""
 _VIOLATION = """case when schema_version <> 'hospital-csv-v1' then 'SCHEMA_VERSION' when record_id = '?bad' then 'RECORD_ID' when n > 1 then 'DUPLICATE_RECORD_ID' when domain = 'billing' then 'DOMAIN' when source_value = '' then 'EMPTY_SOURCE_VALUE'
- when length(unit) > 200 then 'TOO_LONG' when event_date not in ('', '2024-02-03') then 'EVENT_DATE' end"""
+ when event_date not in ('', '2024-02-03') then 'EVENT_DATE' when length(unit) > 200 then 'TOO_LONG' end"""
 
 
 @query("a3", f"select record_id, {_VIOLATION} as violation from {_HOSPITAL} where violation is not null")
@@ -60,16 +60,33 @@ def d22(spark, sf_dir):
     return files.hospital_summary(_hospital(spark, sf_dir)[0])
 
 
-@query("a4")
+A4 = """with r as (select o_orderkey as k, o_orderkey // 1000 as batch_id, row_number() over (partition by o_orderkey // 1000 order by o_orderkey) - 1 as pos from orders)
+select batch_id, cast(pos as int) as pos, case when k % 7 = 0 then 'FIELDS' when k % 31 = 0 then 'SCHEMA_VERSION' when k % 13 = 0 then 'RUN_ID' when k % 5 = 0 then 'MANIFEST_DIGEST' when k % 17 = 0 then 'TARGET_ID' when k % 19 = 0 then 'SOURCE_ADAPTER' when k % 23 = 0 then 'SOURCE_SYSTEM'
+ when k % 29 = 0 then 'SOURCE_CODE' when k % 11 = 0 then 'TARGET_TABLE' when k % 37 = 0 then 'RECORD_KEY' end as violation from r where violation is not null"""
+
+
+@query("a4", A4)
 def a4(spark, sf_dir):
     key = F.col("o_orderkey")
     digest = F.sha2(key.cast("string").cast("binary"), 256)
-    fields = {f: F.lit("x") for f in files.RECEIPT} | {"input_manifest_sha256": F.when(key % 5 == 0, "short").otherwise(digest), "source_record_key": digest, "target_id": key}
-    full = F.to_json(F.struct(*[v.alias(n) for n, v in fields.items()]))
+    odd = lambda n, bad, good: F.when(key % n == 0, bad).otherwise(good)
+    fields = {
+        "schema_version": odd(31, "v0", F.lit("receipt-v1")),
+        "ingestion_run_id": odd(13, "run 1", F.concat(F.lit("RUN-"), (key % 7).cast("string"))),
+        "input_manifest_sha256": odd(5, "short", digest),
+        "source_adapter": odd(19, "Bad Adapter", F.lit("csv")),
+        "source_system": odd(23, "lab", F.lit("LAB")),
+        "source_code": odd(29, " ", F.concat(F.lit("C"), key.cast("string"))),
+        "source_record_key": odd(37, F.upper(digest), digest),
+        "target_table": odd(11, "person", F.lit("measurement")),
+        "target_id": odd(17, -key, key),
+    }
+    full = F.to_json(F.struct(*[fields[n].alias(n) for n in files.RECEIPT]))
     cut = F.to_json(F.struct(key.alias("target_id"), F.lit("x").alias("target_table")))
-    rows = Clinic(spark, sf_dir).raw("orders").select((key % 50).alias("batch_id"), F.when(key % 7 == 0, cut).otherwise(full).alias("item"))
-    batches = rows.groupBy("batch_id").agg(F.concat(F.lit("["), F.array_join(F.collect_list("item"), ","), F.lit("]")).alias("json"))
-    return files.check_receipts(batches)[1]
+    rows = Clinic(spark, sf_dir).raw("orders").select(F.floor(key / 1000).alias("batch_id"), F.struct(key, F.when(key % 7 == 0, cut).otherwise(full).alias("item")).alias("row"))
+    items = F.transform(F.array_sort(F.collect_list("row")), lambda r: r["item"])
+    batches = rows.groupBy("batch_id").agg(F.concat(F.lit("["), F.array_join(items, ","), F.lit("]")).alias("json"))
+    return files.check_receipts(batches, "receipt-v1")[1]
 
 
 A5 = """with k as (select * replace (case when case_id % 20 = 1 then null else expected_id end as expected_id) from cases)
@@ -85,7 +102,11 @@ def a5(spark, sf_dir):
     return files.read_cases(spark, path)[1]
 
 
-@query("a6")
+A6 = """select 'visit_occurrence' as table_name, field, violation, n from (select 'start_date' as field, 'NULL' as violation, count(*) filter (where visit_id % 9 = 0) + count(*) filter (where visit_id % 900 = 0) as n from visit
+ union all select 'visit_id', 'DUPLICATE_KEY', count(*) filter (where visit_id % 100 = 0) from visit union all select 'visit_concept_id', 'TYPE', 1)"""
+
+
+@query("a6", oracle(A6, "visit"))
 def a6(spark, sf_dir):
     c = Clinic(spark, sf_dir)
     visits = c.visit.select("visit_id", "person_id", F.lit(0).alias("visit_concept_id"), F.when(F.col("visit_id") % 9 != 0, F.col("start_date")).alias("start_date"), "end_date")

@@ -58,8 +58,12 @@ def read_hospital_csv(spark: SparkSession, path: str) -> tuple[DataFrame, DataFr
     """Rows of a hospital file (comma, semicolon or tab, told by the header; a byte-order mark is
     dropped) under its contract: valid rows with target_table, and (record_id, violation) for the others,
     by the first rule that a row breaks. A header that breaks the contract fails."""
-    first = spark.read.text(path).limit(1).collect()
-    header = first[0][0].removeprefix("﻿") if first else ""
+    # the first line of every file; all files of a folder have the same header
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"))
+    first = lines.where("block = 0").groupBy("file").agg(F.min_by("value", "at").alias("header")).select(F.ltrim("header", F.lit("\ufeff")).alias("header")).distinct().limit(2).collect()
+    if len(first) > 1:
+        raise ValueError("files with different headers")
+    header = first[0][0] if first else ""
     sep = max((",", ";", "\t"), key=header.count)
     names = [n.strip().strip('"') for n in header.split(sep)]
     if len(names) != len(set(names)):
@@ -67,34 +71,43 @@ def read_hospital_csv(spark: SparkSession, path: str) -> tuple[DataFrame, DataFr
     if set(HOSPITAL_REQUIRED) - set(names) or set(names) - set(_HOSPITAL):
         raise ValueError("columns missing or unknown")
     schema = ", ".join(f"`{n}` string" for n in names) + ", _corrupt string"
-    rows = spark.read.csv(path, schema=schema, sep=sep, header=True, mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt", enforceSchema=True)
-    return check_hospital_rows(rows)
+    rows = spark.read.csv(path, schema=schema, sep=sep, header=True, escape='"', mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt", enforceSchema=True)
+    # a short line counts as damaged for Spark too, but is read with blanks here
+    fields = F.size(F.split(F.regexp_replace("_corrupt", '"[^"]*"', ""), sep, -1))
+    return check_hospital_rows(rows.withColumn("_corrupt", F.when(fields > len(names), F.col("_corrupt"))))
 
 
 def check_hospital_rows(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """As above, for rows that are parsed already; ``_corrupt`` holds a line with extra fields."""
     present = [c for c in _HOSPITAL if c in rows.columns]
     clean = rows.select(*[F.trim(F.coalesce(F.col(c), F.lit(""))).alias(c) for c in present], F.col("_corrupt"))
-    domain = F.coalesce(*[F.when(F.lower("domain") == d, t) for d, t in HOSPITAL_DOMAINS.items()])
-    # stable where ids repeat: the row with the least content stays
+    key = F.replace(F.lower("domain"), F.lit(" "), F.lit("_"))
+    domain = F.coalesce(*[F.when(key == d, t) for d, t in HOSPITAL_DOMAINS.items()])
+    early = (
+        F.when(F.col("_corrupt").isNotNull(), "EXTRA_FIELDS")
+        .when(F.col("schema_version") != HOSPITAL_VERSION, "SCHEMA_VERSION")
+        .when(~F.col("record_id").rlike(RECORD_ID), "RECORD_ID")
+    )
+    clean = clean.withColumn("target_table", domain).withColumn("_early", early)
+    # stable where ids repeat: the row with the least content stays; rows without a valid id aren't ranked
     order = Window.partitionBy("record_id").orderBy(*present)
-    clean = clean.withColumn("target_table", domain).withColumn("_n", F.row_number().over(order))
+    ranked = clean.where("_early is null").withColumn("_n", F.row_number().over(order))
+    clean = ranked.unionByName(clean.where("_early is not null").withColumn("_n", F.lit(1)))
     long_ = F.lit(False)
     for c in HOSPITAL_CONTEXT:
         if c in present:
             long_ = long_ | (F.length(c) > LONGEST_CONTEXT)
     rule = (
-        F.when(F.col("_corrupt").isNotNull(), "EXTRA_FIELDS")
-        .when(F.col("schema_version") != HOSPITAL_VERSION, "SCHEMA_VERSION")
-        .when(~F.col("record_id").rlike(RECORD_ID), "RECORD_ID")
+        F.when(F.col("_early").isNotNull(), F.col("_early"))
         .when(F.col("_n") > 1, "DUPLICATE_RECORD_ID")
         .when(F.col("target_table").isNull(), "DOMAIN")
         .when(F.col("source_value") == "", "EMPTY_SOURCE_VALUE")
-        .when((F.length("source_value") > LONGEST_SOURCE) | long_, "TOO_LONG")
+        .when(F.length("source_value") > LONGEST_SOURCE, "TOO_LONG")
     )
     if "event_date" in present:
         good = F.col("event_date").rlike(r"^\d{4}-\d\d-\d\d$") & F.try_to_timestamp("event_date", F.lit("yyyy-MM-dd")).isNotNull()
         rule = rule.when((F.col("event_date") != "") & ~good, "EVENT_DATE")
+    rule = rule.when(long_, "TOO_LONG")
     judged = clean.withColumn("violation", rule)
     valid = judged.where("violation is null").select(*present, "target_table")
     return valid, judged.where("violation is not null").select("record_id", "violation")
@@ -107,26 +120,45 @@ def hospital_summary(valid: DataFrame) -> DataFrame:
     return valid.groupBy("target_table").agg(F.count(F.lit(1)).alias("n"), F.array_join(present, ",").alias("fields"))
 
 
+# The receipts' contract.
 RECEIPT = ("schema_version", "ingestion_run_id", "input_manifest_sha256", "source_adapter", "source_system", "source_code", "source_record_key", "target_table", "target_id")
+RUN_ID, ADAPTER, DIGEST = "^RUN-[A-Za-z0-9][A-Za-z0-9._-]{0,95}$", "^[a-z0-9][a-z0-9._-]{0,49}$", "^[0-9a-f]{64}$"
+SYSTEM, LONGEST_CODE = "^[A-Z0-9][A-Z0-9._:-]{0,99}$", 50
 MOST_RECEIPTS = 10_000
 
 
-def check_receipts(batches: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Receipts in ``batches`` (batch_id, json: an array of objects): valid rows, and (batch_id, pos,
-    violation). A receipt has exactly the fields of ``RECEIPT``; a batch holds 10,000 at most."""
+def read_receipts(spark: SparkSession, path: str, version: str) -> tuple[DataFrame, DataFrame]:
+    """Receipt files, a batch (a JSON array) each, named by their place; as ``check_receipts`` judges them."""
+    files = spark.read.text(path, wholetext=True)
+    return check_receipts(files.select(F.col("_metadata.file_path").alias("batch_id"), F.col("value").alias("json")), version)
+
+
+def check_receipts(batches: DataFrame, version: str) -> tuple[DataFrame, DataFrame]:
+    """Receipts of the schema ``version`` in ``batches`` (batch_id, json: an array of objects): valid rows with receipt_id, the digest of
+    their canonical JSON, and (batch_id, pos, violation) by the first rule that a receipt breaks. A receipt has
+    exactly the fields of ``RECEIPT``; a batch holds 10,000 at most."""
     items = batches.select("batch_id", F.from_json("json", "array<string>").alias("items"))
     whole = items.where(F.col("items").isNull() | (F.size("items") > MOST_RECEIPTS)).select("batch_id", F.lit(None).cast("int").alias("pos"), F.when(F.col("items").isNull(), "NOT_AN_ARRAY").otherwise("TOO_MANY").alias("violation"))
     each = items.where(F.size("items") <= MOST_RECEIPTS).select("batch_id", F.posexplode("items").alias("pos", "item"))
     schema = ", ".join(f"{f} {'long' if f == 'target_id' else 'string'}" for f in RECEIPT)
     parsed = each.withColumn("r", F.from_json("item", schema)).withColumn("keys", F.array_sort(F.json_object_keys("item")))
+    fits = lambda field, pattern: F.coalesce(F.col(f"r.{field}").rlike(pattern), F.lit(False))
     violation = (
         F.when(~F.col("keys").eqNullSafe(F.array(*[F.lit(k) for k in sorted(RECEIPT)])), "FIELDS")
-        .when(~F.coalesce(F.col("r.input_manifest_sha256").rlike("^[0-9a-f]{64}$"), F.lit(False)), "MANIFEST_DIGEST")
-        .when(~F.coalesce(F.col("r.source_record_key").rlike("^[0-9a-f]{64}$"), F.lit(False)), "RECORD_KEY")
-        .when(F.col("r.target_id").isNull(), "TARGET_ID")
+        .when(~F.col("r.schema_version").eqNullSafe(F.lit(version)), "SCHEMA_VERSION")
+        .when(~fits("ingestion_run_id", RUN_ID), "RUN_ID")
+        .when(~fits("input_manifest_sha256", DIGEST), "MANIFEST_DIGEST")
+        .when(~F.coalesce(F.col("r.target_id") > 0, F.lit(False)), "TARGET_ID")
+        .when(~fits("source_adapter", ADAPTER), "SOURCE_ADAPTER")
+        .when(~fits("source_system", SYSTEM), "SOURCE_SYSTEM")
+        .when(~F.coalesce(F.length(F.trim("r.source_code")).between(1, LONGEST_CODE), F.lit(False)), "SOURCE_CODE")
+        .when(~F.coalesce(F.col("r.target_table").isin(*sorted(set(HOSPITAL_DOMAINS.values()))), F.lit(False)), "TARGET_TABLE")
+        .when(~fits("source_record_key", DIGEST), "RECORD_KEY")
     )
     judged = parsed.withColumn("violation", violation)
-    return judged.where("violation is null").select("batch_id", "pos", "r.*"), whole.unionByName(judged.where("violation is not null").select("batch_id", "pos", "violation"))
+    canonical = F.to_json(F.struct(*[F.col(f"r.{k}").alias(k) for k in sorted(RECEIPT)]))
+    valid = judged.where("violation is null").select("batch_id", "pos", F.sha2(canonical.cast("binary"), 256).alias("receipt_id"), "r.*")
+    return valid, whole.unionByName(judged.where("violation is not null").select("batch_id", "pos", "violation"))
 
 
 CASE = "case_id long, family_id string, split string, domain string, decision string, concept_id long"

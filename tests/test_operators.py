@@ -138,3 +138,96 @@ def test_hospital_header_is_checked(spark, tmp_path):
     (tmp_path / "x.csv").write_text("record_id,domain\n")
     with pytest.raises(ValueError):
         files.read_hospital_csv(spark, str(tmp_path / "x.csv"))
+
+
+def test_hospital_rows_by_the_first_broken_rule(spark, tmp_path):
+    head = "schema_version,record_id,domain,source_value,unit,event_date\n"
+    v = "hospital-csv-v1"
+    lines = [
+        f"{v},r1,Drug Exposure,aspirin,mg,2024-02-03",
+        f"{v},r2,lab,glucose",  # a short line is read with blanks
+        f"{v},r3,lab,glucose,mg,2024-02-03,more",
+        f'{v},r4,lab,"a, quoted ""name""",mg,2024-02-03',
+        f"{v},r5,lab,glucose,{'u' * 201},2024-02-30",
+        f"{v},r6,lab,glucose,{'u' * 201},2024-02-03",
+        f"{v},r1,lab,other,,",
+        f"{v},,lab,blank id,,",
+        f"{v},,lab,blank id,,",
+        "v0,r7,lab,x,,",
+    ]
+    (tmp_path / "a.csv").write_text(head + "\n".join(lines[:5]) + "\n")
+    (tmp_path / "b.csv").write_text(head + "\n".join(lines[5:]) + "\n")
+    valid, bad = files.read_hospital_csv(spark, str(tmp_path))
+    assert rows(valid.select("record_id", "target_table", "source_value", "event_date"), "record_id") == [
+        ("r1", "drug_exposure", "aspirin", "2024-02-03"), ("r2", "measurement", "glucose", ""), ("r4", "measurement", 'a, quoted "name"', "2024-02-03"),
+    ]
+    assert rows(bad, "record_id", "violation") == [
+        ("", "RECORD_ID"), ("", "RECORD_ID"), ("r1", "DUPLICATE_RECORD_ID"), ("r3", "EXTRA_FIELDS"), ("r5", "EVENT_DATE"), ("r6", "TOO_LONG"), ("r7", "SCHEMA_VERSION"),
+    ]
+    (tmp_path / "c.csv").write_text("record_id,schema_version,domain,source_value\n")
+    with pytest.raises(ValueError, match="different headers"):
+        files.read_hospital_csv(spark, str(tmp_path))
+
+
+def test_receipt_files(spark, tmp_path):
+    import json
+
+    good = dict(schema_version="v", ingestion_run_id="RUN-1", input_manifest_sha256="0" * 64, source_adapter="csv", source_system="LAB", source_code="C", source_record_key="a" * 64, target_table="measurement", target_id=7)
+    odd = [good, good | {"target_id": 0}, good | {"schema_version": "w"}, good | {"ingestion_run_id": "RUN-"}, good | {"target_table": "person"}, {k: v for k, v in good.items() if k != "target_id"}, good | {"more": 1}]
+    (tmp_path / "one.json").write_text(json.dumps(odd, indent=1))
+    (tmp_path / "two.json").write_text("{}")
+    (tmp_path / "three.json").write_text(json.dumps([good] * 10_001))
+    valid, bad = files.read_receipts(spark, str(tmp_path), "v")
+    digest = hashlib.sha256(json.dumps(good, sort_keys=True, separators=(",", ":")).encode()).hexdigest()
+    assert [(r.pos, r.receipt_id, r.target_id) for r in valid.collect()] == [(0, digest, 7)]
+    assert rows(bad.select("pos", "violation"), F.col("pos").asc_nulls_first(), "violation") == [
+        (None, "NOT_AN_ARRAY"), (None, "TOO_MANY"), (1, "TARGET_ID"), (2, "SCHEMA_VERSION"), (3, "RUN_ID"), (4, "TARGET_TABLE"), (5, "FIELDS"), (6, "FIELDS"),
+    ]
+
+
+def test_fuzzy_search_scores_what_brute_force_scores(spark):
+    import random
+
+    r = random.Random(3)
+    word = lambda: "".join(r.choice("abcdeé ") for _ in range(r.randint(0, 9)))
+    terms, names = [(i, word()) for i in range(40)] + [(90, None)], [(i, word()) for i in range(300)] + [(900, None), (901, "abc"), (902, "abc")]
+    got = retrieval.jaro_winkler_topk(spark.createDataFrame(terms, "term_id long, term string"), spark.createDataFrame(names, "item_id long, name string").repartition(5), 4)
+    want = []
+    for t, term in terms[:-1]:
+        scored = sorted((-round(text.jaro_winkler(term.strip(" ").lower(), n.strip(" ").lower()), 6), i) for i, n in names if n is not None)[:4]
+        want += [(t, i, -s, k) for k, (s, i) in enumerate(scored, 1)]
+    assert rows(got, "term_id", "rank") == want
+    assert retrieval.jaro_winkler_topk(spark.createDataFrame(terms, "term_id long, term string").limit(0), spark.createDataFrame(names, "item_id long, name string"), 4).count() == 0
+
+
+def test_slices_have_their_own_fingerprints(spark):
+    from clinloom.operators import worklist
+
+    frame = spark.createDataFrame([(1, "a", "x"), (2, "b", "y")], "concept_id long, concept_name string, concept_code string")
+    one = worklist.slice_fingerprint(frame).first()
+    assert (one.n, one.low, one.high) == (2, 1, 2)
+    assert worklist.slice_fingerprint(frame.orderBy(F.desc("concept_id")).repartition(3)).first() == one
+    others = [frame.where("concept_id = 1"), frame.withColumn("concept_name", F.upper("concept_name")), frame.withColumn("concept_code", F.lit("x"))]
+    assert all(worklist.slice_fingerprint(x).first() != one for x in others)
+
+
+def test_registry_of_random_actions(spark):
+    import random
+
+    r = random.Random(4)
+    actions = [(i, r.choice("ab"), "s", r.choice(["V1", "V2"]), r.choice(["REGISTER", "DEACTIVATE"])) for i in range(80)]
+    registry = [("a", "s", "V2", True), ("a", "s", "V1", False)]
+    held, want = {("a", "s"): "V2"}, []
+    for i, adapter, system, vocabulary, kind in actions:
+        now = held.get((adapter, system))
+        if kind == "REGISTER":
+            want.append((i, "REGISTERED" if now is None else "UNCHANGED" if now == vocabulary else "CONFLICT"))
+            held[adapter, system] = now or vocabulary
+        else:
+            want.append((i, "DEACTIVATED" if now else "NOT_ACTIVE"))
+            held[adapter, system] = None
+    after, outcomes = governance.apply_registry(
+        spark.createDataFrame(registry, "adapter string, system string, vocabulary_id string, active boolean"), spark.createDataFrame(actions, "action_id long, adapter string, system string, vocabulary_id string, kind string")
+    )
+    assert rows(outcomes, "action_id") == want
+    assert {(x.adapter, x.system): x.vocabulary_id for x in after.where("active").collect()} == {k: v for k, v in held.items() if v}
