@@ -35,9 +35,9 @@ from clinloom.llm.common import add_columns
 
 #: Bytes, as estimated, of the pieces that a task remembers. Past it the memory starts anew; results do not
 #: change.
-MEMORY_BYTES = 48 << 20
+MEMORY_BYTES = 40 << 20
 #: Pieces of a text that are in hand at once.
-CHUNK_PIECES = 500_000
+CHUNK_PIECES = 200_000
 #: Bytes of the longest pieces that are merged as rows of an array; least rows of an array; most leaves of one.
 ROW_BYTES, LEAST_ROWS, MOST_LEAVES = 128, 8, 1 << 17
 NO_PAIR = 1 << 62

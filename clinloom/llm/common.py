@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -10,8 +11,8 @@ from pyspark.sql import functions as F
 
 from clinloom.session import ship_package
 
-#: Rows handled at once inside a task, so that a batch of very long texts stays small.
-SLICE_ROWS = 512
+#: Rows, and bytes of them, handled at once inside a task, so that a batch of very long texts stays small.
+SLICE_ROWS, SLICE_BYTES = 512, 1 << 20
 
 
 class Memory(dict):
@@ -33,7 +34,24 @@ class Memory(dict):
 def rows_in_slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
-            yield batch.slice(at, rows)
+            yield from _halves(batch.slice(at, rows))
+
+
+def _halves(part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    if part.num_rows > 1 and part.nbytes > SLICE_BYTES:
+        half = part.num_rows // 2
+        yield from _halves(part.slice(0, half))
+        yield from _halves(part.slice(half))
+    else:
+        yield part
+
+
+def give_back() -> None:
+    """Returns the memory that a task has freed to the system; a reused worker would keep it through later stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def add_columns(
@@ -59,6 +77,8 @@ def add_columns(
         for part in rows_in_slices(batches):
             out = [pa.array(x, type=t) if not isinstance(x, (pa.Array, pa.ChunkedArray)) else x for x, t in zip(work(part), types, strict=True)]
             yield pa.RecordBatch.from_arrays([part.column(i) for i in keep] + out, names=names)
+        del work
+        give_back()
 
     return df.mapInArrow(run, schema)
 

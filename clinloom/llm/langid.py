@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clinloom.llm.common import add_columns, crc32_mod, rows_in_slices
+from clinloom.llm.common import add_columns, crc32_mod, give_back, rows_in_slices
 from clinloom.session import ship_package
 
 BUCKETS = 1 << 16
@@ -34,7 +34,7 @@ UNDETERMINED = "und"
 #: Languages whose counts a task holds before it sends them on.
 HELD_LANGUAGES = 32
 #: Characters handled at once, so that temporary arrays stay small.
-CHUNK_CHARS = 1_000_000
+CHUNK_CHARS = 250_000
 
 
 @lru_cache(maxsize=1)
@@ -146,6 +146,7 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Langua
             if len(counts) > HELD_LANGUAGES:
                 yield from send()
         yield from send()
+        give_back()
 
     sums = rows.mapInArrow(count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     languages = sorted(r[0] for r in rows.select(lang).distinct().limit(MAX_LANGUAGES + 1).collect())
