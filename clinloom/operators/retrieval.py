@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,6 +24,14 @@ def expand_aliases(terms: DataFrame, lexicon: DataFrame, synthetic: bool = True)
     return joined.select(*terms.columns, F.coalesce("expansion", "term").alias("retrieval_text"), "alias_id")
 
 
+def _matrix(column: pa.ListArray, width: int) -> np.ndarray:
+    """The vectors as rows; null ones and those of another length are zero."""
+    fits = pc.fill_null(pc.equal(pc.list_value_length(column), width), False)
+    rows = np.zeros((len(column), width))
+    rows[fits.to_numpy(zero_copy_only=False)] = column.filter(fits).flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+    return rows
+
+
 def cosine_topk(queries: DataFrame, index: DataFrame, k: int) -> DataFrame:
     """(query_id, item_id, distance, rank): the k nearest rows of ``index`` (item_id, vector) to each of
     ``queries`` (query_id, vector), by cosine, ties by id. Queries go block by block to every task, which
@@ -39,8 +48,7 @@ def cosine_topk(queries: DataFrame, index: DataFrame, k: int) -> DataFrame:
             best_s = np.full((len(ids), 0), 0.0)
             best_i = np.zeros((len(ids), 0), np.int64)
             for batch in batches:
-                rows = batch.column(1).to_pylist()
-                v = np.array([x if x is not None and len(x) == q.shape[1] else [0.0] * q.shape[1] for x in rows], float).reshape(len(rows), q.shape[1])
+                v = _matrix(batch.column(1), q.shape[1])
                 norm = np.linalg.norm(v, axis=1, keepdims=True)
                 s = q @ (v / np.where(norm == 0, 1, norm)).T
                 best_s = np.concatenate([best_s, s], axis=1)

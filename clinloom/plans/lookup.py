@@ -26,13 +26,13 @@ def e1(spark, sf_dir):
 
 
 E2 = """select query_id, item_id, round(distance, 6) as distance, cast(rank as int) as rank from (select *, row_number() over (partition by query_id order by round(distance, 12), item_id) as rank
- from (select q.vec_id as query_id, i.vec_id as item_id, 1 - list_cosine_similarity(q.embedding::double[], i.embedding::double[]) as distance from embeddings q join embeddings i on i.vec_id % 50 <> 0 where q.vec_id % 50 = 0)) where rank <= 5"""
+ from (select q.vec_id as query_id, i.vec_id as item_id, 1 - list_cosine_similarity(q.embedding::double[], i.embedding::double[]) as distance from embeddings q join embeddings i on true where q.vec_id % 50 = 0)) where rank <= 5"""
 
 
 def _nearest(spark, sf_dir):
     rows = Clinic(spark, sf_dir).raw("embeddings")
     pick = lambda where, name: rows.where(where).select(F.col("vec_id").alias(name), F.col("embedding").alias("vector"))
-    return retrieval.cosine_topk(pick("vec_id % 50 = 0", "query_id"), pick("vec_id % 50 <> 0", "item_id"), 5)
+    return retrieval.cosine_topk(pick("vec_id % 50 = 0", "query_id"), pick("true", "item_id"), 5)
 
 
 @query("e2", E2)
@@ -40,7 +40,7 @@ def e2(spark, sf_dir):
     return _nearest(spark, sf_dir).select("query_id", "item_id", F.round("distance", 6).alias("distance"), "rank")
 
 
-#: As E2, over every row; only a query's own id is left out.
+#: As E2, but a query's own id is left out.
 E2_ALL = """select query_id, item_id, round(distance, 6) as distance, cast(rank as int) as rank from (select *, row_number() over (partition by query_id order by round(distance, 12), item_id) as rank
  from (select q.vec_id as query_id, i.vec_id as item_id, 1 - list_cosine_similarity(q.embedding::double[], i.embedding::double[]) as distance from embeddings q join embeddings i on i.vec_id <> q.vec_id where q.vec_id % 50 = 0)) where rank <= 5"""
 
@@ -70,7 +70,7 @@ def e4(spark, sf_dir):
     return rows.select("p_partkey", *[F.array_join(f"a.{x}", ",").alias(x) for x in text.AXES])
 
 
-E5 = """with t as (select p_partkey as term_id, specimen, property, method from ({axes}) where p_partkey % 5 = 0), c as (select p_partkey as item_id, specimen, property, method from ({axes}))
+E5 = """with t as (select p_partkey as term_id, specimen, property, method from ({axes})), c as (select p_partkey as item_id, specimen, property, method from ({axes}))
 select term_id, item_id, rerank_score, cast(new_rank as int) as new_rank from (select *, row_number() over (partition by term_id order by rerank_score desc, rank) as new_rank from (select t.term_id, c.item_id, k as rank,
  round(k / 20.0 + case when t.specimen = '' then 0 when t.specimen = c.specimen then 0.08 when c.specimen <> '' then -0.35 else 0 end + case when t.property = '' then 0 when t.property = c.property then 0.08 when c.property <> '' then -0.35 else 0 end
  + case when t.method = '' then 0 when t.method = c.method then 0.08 when c.method <> '' then -0.35 else 0 end, 6)::double as rerank_score from t, (select unnest(range(1, 8)) as k) join c on c.item_id = t.term_id + k)) where new_rank <= 3""".format(axes=E4)
@@ -79,18 +79,19 @@ select term_id, item_id, rerank_score, cast(new_rank as int) as new_rank from (s
 @query("e5", E5)
 def e5(spark, sf_dir):
     part = Clinic(spark, sf_dir).raw("part").select("p_partkey", F.expr(_NAMES).alias("name"))
-    asks = part.where("p_partkey % 5 = 0").select(F.col("p_partkey").alias("term_id"), F.col("name").alias("term"), F.explode(F.sequence(F.lit(1), F.lit(7))).alias("rank"))
+    asks = part.select(F.col("p_partkey").alias("term_id"), F.col("name").alias("term"), F.explode(F.sequence(F.lit(1), F.lit(7))).alias("rank"))
     found = asks.join(part, F.col("p_partkey") == F.col("term_id") + F.col("rank")).withColumnRenamed("p_partkey", "item_id").withColumn("similarity", F.col("rank") / 20.0)
     return retrieval.rerank(found, 3).select("term_id", "item_id", "rerank_score", "new_rank")
 
 
-E6 = """select term_id, item_id, score, cast(rank as int) as rank from (select *, row_number() over (partition by term_id order by score desc, item_id) as rank from (select t.p_partkey as term_id, i.p_partkey as item_id,
- round(jaro_winkler_similarity(lower(trim(substr(t.p_name, 2))), lower(trim(i.p_name))), 6) as score from part t, part i where t.p_partkey < 20)) where rank <= 5"""
+_E6 = """select term_id, item_id, score, cast(rank as int) as rank from (select *, row_number() over (partition by term_id order by score desc, item_id) as rank from (select t.p_partkey as term_id, i.p_partkey as item_id,
+ round(jaro_winkler_similarity(lower(trim(substr(t.p_name, 2))), lower(trim(i.p_name))), 6) as score from part t, part i where t.p_partkey % 50 = {of})) where rank <= 5"""
+E6 = _E6.format(of=0)
 
 
-def _fuzzy(spark, sf_dir):
+def _fuzzy(spark, sf_dir, of=0):
     part = Clinic(spark, sf_dir).raw("part")
-    terms = part.where("p_partkey < 20").select(F.col("p_partkey").alias("term_id"), F.expr("substr(p_name, 2)").alias("term"))
+    terms = part.where(F.col("p_partkey") % 50 == of).select(F.col("p_partkey").alias("term_id"), F.expr("substr(p_name, 2)").alias("term"))
     return retrieval.jaro_winkler_topk(terms, part.select(F.col("p_partkey").alias("item_id"), F.col("p_name").alias("name")), 5)
 
 
@@ -100,14 +101,14 @@ def e6(spark, sf_dir):
 
 
 E7 = f"""select p_partkey as case_id, case when p_partkey % 2 = 0 or coalesce(score >= 0.9, false) then 'MAP' else 'ABSTAIN' end as decision, case when p_partkey % 2 = 0 then 7 when score >= 0.9 then item_id end as concept_id,
- case when p_partkey % 2 = 0 then 1.0 else coalesce(score, 0.0) end::double as score, case when p_partkey % 2 = 0 then 'EXACT_CODE' when score >= 0.9 then 'CANDIDATE' else 'NONE' end as method from part left join (select * from ({E6}) where rank = 1) f on f.term_id = p_partkey"""
+ case when p_partkey % 2 = 0 then 1.0 else coalesce(score, 0.0) end::double as score, case when p_partkey % 2 = 0 then 'EXACT_CODE' when score >= 0.9 then 'CANDIDATE' else 'NONE' end as method from part left join (select * from ({_E6.format(of=25)}) where rank = 1) f on f.term_id = p_partkey"""
 
 
 @query("e7", E7)
 def e7(spark, sf_dir):
     even = F.col("p_partkey") % 2 == 0
     exact = Clinic(spark, sf_dir).raw("part").select(F.col("p_partkey").alias("case_id"), F.when(even, "MAP").otherwise("ABSTAIN").alias("decision"), F.when(even, 7).cast("long").alias("concept_id"))
-    return retrieval.threshold_decision(exact, _fuzzy(spark, sf_dir).withColumnRenamed("term_id", "case_id"), 0.9)
+    return retrieval.threshold_decision(exact, _fuzzy(spark, sf_dir, 25).withColumnRenamed("term_id", "case_id"), 0.9)
 
 
 @query(
