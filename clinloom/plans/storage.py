@@ -27,6 +27,41 @@ def a2(spark, sf_dir):
     return files.read_vocabulary(spark, path, "concept").select("concept_id", "concept_name", "domain_id", "concept_code", "valid_start_date", "valid_end_date", "invalid_reason")
 
 
+A2_TABLES = oracle("""select 'concept' as table_name, concept_id as id, concept_name as name from concept union all select 'concept_relationship', concept_id_1, relationship_id || concept_id_2 from relationship
+union all select 'concept_ancestor', ancestor_id, cast(descendant_id as varchar) from ancestor union all select 'vocabulary', s_suppkey, s_name from supplier union all select 'domain', c_custkey, c_name from customer
+union all select 'concept_class', p_partkey, p_name || p_partkey from part""", "concept", "relationship", "ancestor")
+
+
+@query("a2_tables", A2_TABLES)
+def a2_tables(spark, sf_dir):
+    """All six files of a vocabulary release, written first and read together."""
+    c, folder = Clinic(spark, sf_dir), _folder(spark, "release")
+    day, none = F.lit("20200101"), F.lit(None).cast("string")
+    days = {"valid_start_date": day, "valid_end_date": F.lit("20991231")}
+    of = lambda name, **columns: c.raw(name).select(*[F.expr(e).alias(k) for k, e in columns.items()])
+    made = {
+        "concept": c.concept.withColumns(days),
+        "concept_relationship": c.relationship.withColumns(days),
+        "concept_ancestor": c.ancestor.select(F.col("ancestor_id").alias("ancestor_concept_id"), F.col("descendant_id").alias("descendant_concept_id"), F.lit(0).alias("min_levels_of_separation"), F.lit(1).alias("max_levels_of_separation")),
+        "vocabulary": of("supplier", vocabulary_id="concat('V', s_suppkey)", vocabulary_name="s_name", vocabulary_concept_id="s_suppkey").withColumns({"vocabulary_reference": none, "vocabulary_version": day}),
+        "domain": of("customer", domain_id="concat('D', c_custkey)", domain_name="c_name", domain_concept_id="c_custkey"),
+        "concept_class": of("part", concept_class_id="concat('C', p_partkey)", concept_class_name="concat(p_name, p_partkey)", concept_class_concept_id="p_partkey"),
+    }
+    for table, rows in made.items():
+        names = [f.split()[0] for f in files.VOCABULARY[table].split(", ")]
+        rows.select(*[F.col(n).cast("string") for n in names]).write.csv(f"{folder}/{table.upper()}.csv", sep="\t", header=True, quote="", nullValue="")
+    keys = {
+        "concept": ("concept_id", "concept_name"), "concept_relationship": ("concept_id_1", "concat(relationship_id, concept_id_2)"), "concept_ancestor": ("ancestor_concept_id", "cast(descendant_concept_id as string)"),
+        "vocabulary": ("vocabulary_concept_id", "vocabulary_name"), "domain": ("domain_concept_id", "domain_name"), "concept_class": ("concept_class_concept_id", "concept_class_name"),
+    }
+    out = None
+    for table, rows in files.read_vocabularies(spark, folder).items():
+        key, name = keys[table]
+        one = rows.select(F.lit(table).alias("table_name"), F.expr(key).alias("id"), F.expr(name).alias("name"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def _hospital(spark, sf_dir):
     key = F.col("p_partkey")
     rows = Clinic(spark, sf_dir).raw("part").select(

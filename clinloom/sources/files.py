@@ -5,17 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-#: Columns of the vocabulary files; dates are ISO or yyyyMMdd.
+# The columns of the vocabulary files; dates are ISO or yyyyMMdd.
 VOCABULARY = {
     "concept": "concept_id long, concept_name string, domain_id string, vocabulary_id string, concept_class_id string, standard_concept string, concept_code string, valid_start_date date, valid_end_date date, invalid_reason string",
     "concept_relationship": "concept_id_1 long, concept_id_2 long, relationship_id string, valid_start_date date, valid_end_date date, invalid_reason string",
     "concept_ancestor": "ancestor_concept_id long, descendant_concept_id long, min_levels_of_separation int, max_levels_of_separation int",
+    "vocabulary": "vocabulary_id string, vocabulary_name string, vocabulary_reference string, vocabulary_version string, vocabulary_concept_id long",
+    "domain": "domain_id string, domain_name string, domain_concept_id long",
+    "concept_class": "concept_class_id string, concept_class_name string, concept_class_concept_id long",
 }
 
 
 def read_vocabulary(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """A tab-delimited vocabulary file or folder without quotes, empty fields null. A missing file or an
-    empty table fails."""
+    """A tab-delimited vocabulary file or folder without quotes, empty fields null. A missing file, an empty
+    table or a number that is none fails; a date that is none is null."""
     fields = [f.split() for f in VOCABULARY[table].split(", ")]
     text = spark.read.csv(path, schema=", ".join(f"{n} string" for n, _ in fields), sep="\t", header=True, quote="", escape="", nullValue="", enforceSchema=False)
 
@@ -23,13 +26,28 @@ def read_vocabulary(spark: SparkSession, path: str, table: str) -> DataFrame:
         if kind == "date":
             value = F.coalesce(F.try_to_timestamp(name, F.lit("yyyy-MM-dd")), F.try_to_timestamp(name, F.lit("yyyyMMdd")))
             return value.cast("date").alias(name)
-        return F.expr(f"try_cast({name} as {kind})").alias(name)
+        if kind == "string":
+            return F.col(name)
+        value = F.expr(f"try_cast({name} as {kind})")
+        bad = F.raise_error(F.concat(F.lit(f"{table}.{name} is no number: "), name)).cast(kind)
+        return F.when(value.isNull() & F.col(name).isNotNull(), bad).otherwise(value).alias(name)
 
     if text.isEmpty():
         raise ValueError(f"{table} has no rows")
     return text.select(*[typed(*f) for f in fields])
 
 
+def read_vocabularies(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """Every table of ``VOCABULARY`` from ``folder``, whose files are named after the tables in capitals; all must be
+    there before any is read. Publish them as one version, so that a reader never sees tables of two releases."""
+    paths = {table: f"{folder.rstrip('/')}/{table.upper()}.csv" for table in VOCABULARY}
+    jvm = spark._jvm.org.apache.hadoop.fs.Path
+    missing = [p for p in paths.values() if not jvm(p).getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm(p))]
+    if missing:
+        raise FileNotFoundError("vocabulary files are missing: " + ", ".join(missing))
+    return {table: read_vocabulary(spark, path, table) for table, path in paths.items()}
+
+
 # The hospital file's contract.
 HOSPITAL_VERSION = "hospital-csv-v1"
 HOSPITAL_REQUIRED = ("schema_version", "record_id", "domain", "source_value")
