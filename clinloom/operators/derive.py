@@ -30,9 +30,13 @@ def condition_era(events: DataFrame, gap_days: int = 30) -> DataFrame:
     return eras.select(hash_id(F.concat_ws("|", F.lit("condition"), *keys, "start_date")).alias("era_id"), *keys, "start_date", "end_date", "occurrences")
 
 
+#: A current standard ingredient.
+_INGREDIENT = "domain_id = 'Drug' and concept_class_id = 'Ingredient' and standard_concept = 'S' and invalid_reason is null"
+
+
 def ingredient_exposures(exposures: DataFrame, ancestor: DataFrame, concept: DataFrame) -> DataFrame:
     """A row for each exposure and each of its ingredients."""
-    ingredient = concept.where("concept_class_id = 'Ingredient'").select(F.col("concept_id").alias("ancestor_id"))
+    ingredient = concept.where(_INGREDIENT).select(F.col("concept_id").alias("ancestor_id"))
     above = ancestor.join(ingredient, "ancestor_id", "left_semi").select("ancestor_id", F.col("descendant_id").alias("concept_id")).distinct()
     return exposures.where("concept_id <> 0").join(above, "concept_id")
 
@@ -51,16 +55,38 @@ def drug_era(exposures: DataFrame, ancestor: DataFrame, concept: DataFrame, gap_
     return out.select(hash_id(F.concat_ws("|", F.lit("drug"), *keys, "start_date")).alias("era_id"), *keys, "start_date", "end_date", "exposures", "gap_days")
 
 
+def _gates(eras: DataFrame, bad_range: Column, *counted: tuple[str, DataFrame]) -> DataFrame:
+    """(check_name, n): eras of a bad range, doubled ids, and the rows of each further check."""
+    row = lambda df, name, n: df.agg(n.cast("long").alias("n")).select(F.lit(name).alias("check_name"), "n")
+    out = row(eras, "invalid_range", F.count_if(bad_range)).unionByName(row(eras, "duplicate_id", F.count("era_id") - F.count_distinct("era_id")))
+    for name, df in counted:
+        out = out.unionByName(row(df, name, F.count(F.lit(1))))
+    return out
+
+
+def _uncovered(rows: DataFrame, eras: DataFrame, concept: str) -> DataFrame:
+    """``rows`` that lie whole in no era of their person and concept."""
+    o, e = "o.", "e."
+    inside = (F.col(o + "start_date") >= F.col(e + "start_date")) & (F.col(o + "end_date") <= F.col(e + "end_date"))
+    same = (F.col(e + "person_id") == F.col(o + "person_id")) & (F.col(e + concept) == F.col(o + concept))
+    return rows.alias("o").join(eras.alias("e"), same & inside, "left_anti")
+
+
+_BAD_RANGE = "start_date is null or end_date is null or end_date < start_date"
+
+
 def era_violations(conditions: DataFrame, eras: DataFrame) -> DataFrame:
     """(check_name, n): era ranges, doubled ids, and mapped events that no era covers."""
-    covered = (F.col("e.person_id") == F.col("o.person_id")) & (F.col("e.concept_id") == F.col("o.concept_id")) & F.col("o.start_date").between(F.col("e.start_date"), F.col("e.end_date"))
-    bare = conditions.where("concept_id <> 0").alias("o").join(eras.alias("e"), covered, "left_anti")
-    row = lambda df, name, n: df.agg(n.cast("long").alias("n")).select(F.lit(name).alias("check_name"), "n")
-    return (
-        row(eras, "invalid_range", F.count_if(F.col("end_date") < F.col("start_date")))
-        .unionByName(row(eras, "duplicate_id", F.count("era_id") - F.count_distinct("era_id")))
-        .unionByName(row(bare, "uncovered_event", F.count(F.lit(1))))
-    )
+    rows = conditions.where("concept_id <> 0").withColumn("end_date", _lifted(F.col("end_date")))
+    return _gates(eras, F.expr(_BAD_RANGE), ("uncovered_event", _uncovered(rows, eras, "concept_id")))
+
+
+def drug_era_violations(exposures: DataFrame, eras: DataFrame, ancestor: DataFrame, concept: DataFrame) -> DataFrame:
+    """(check_name, n): era ranges and gaps, doubled ids, mapped exposures without any ingredient, and pairs of
+    exposure and ingredient that no era covers."""
+    pairs = ingredient_exposures(exposures, ancestor, concept).withColumnRenamed("ancestor_id", "ingredient_id").withColumn("end_date", _lifted(F.col("end_date")))
+    bare = hierarchy_violations(exposures, ancestor, concept)
+    return _gates(eras, F.expr(f"{_BAD_RANGE} or gap_days < 0"), ("no_ingredient", bare), ("uncovered_pair", _uncovered(pairs, eras, "ingredient_id")))
 
 
 def observation_period(visits: DataFrame, events: list[DataFrame]) -> DataFrame:
