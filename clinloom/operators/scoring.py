@@ -25,6 +25,19 @@ def mapping_coverage(tables: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
+def decision_counts(decisions: DataFrame, reviews: DataFrame, adjudications: DataFrame, run_id: str) -> DataFrame:
+    """(kind, target_table, status, n) of a run: its ``decisions`` (decision_id, run_id, target_table, status) by table
+    and status, and in a row each the active ``reviews`` (decision_id, active; null is active) and the
+    ``adjudications`` (decision_id) of them."""
+    own = decisions.where(F.col("run_id") == run_id)
+    counts = own.groupBy("target_table", "status").agg(F.count(F.lit(1)).alias("n")).select(F.lit("decision").alias("kind"), "target_table", "status", "n")
+    ids, none = own.select("decision_id").distinct(), F.lit(None).cast("string")
+    for kind, rows in (("review", reviews.where(F.coalesce("active", F.lit(True)))), ("adjudication", adjudications)):
+        n = rows.join(ids, "decision_id", "left_semi").agg(F.count(F.lit(1)).alias("n"))
+        counts = counts.unionByName(n.select(F.lit(kind).alias("kind"), none.alias("target_table"), none.alias("status"), "n"))
+    return counts
+
+
 def mapping_accuracy(truth: DataFrame, events: DataFrame) -> DataFrame:
     """Coverage, precision and recall in percent against every row of ``truth`` (event_id, true_id)."""
     both = truth.join(events.select("event_id", "concept_id"), "event_id", "left")
@@ -163,6 +176,32 @@ def metric_deltas(before: DataFrame, after: DataFrame) -> DataFrame:
     return both.withColumn("delta", F.round(F.col("after") - F.col("before"), 6))
 
 
+def threshold_deltas(before: DataFrame, after: DataFrame) -> DataFrame:
+    """(threshold, metric, before, after, delta) of two threshold analyses. Unlike grids fail."""
+    metrics = ["admitted", "correct", "incorrect", "precision", "recall"]
+    as_double = [F.col(m).cast("double").alias(m) for m in metrics]
+    long = lambda df, name: df.select("threshold", *as_double).unpivot(["threshold"], metrics, "metric", name).withColumn(f"_{name}", F.lit(True))
+    both = long(before, "before").join(long(after, "after"), ["threshold", "metric"], "full")
+    unlike = F.col("_before").isNull() | F.col("_after").isNull()
+    delta = F.when(unlike, F.raise_error(F.lit("the runs have different threshold grids")).cast("double")).otherwise(F.round(F.col("after") - F.col("before"), 6))
+    return both.select("threshold", "metric", "before", "after", delta.alias("delta"))
+
+
+def require_comparable(before: DataFrame, after: DataFrame) -> None:
+    """Fails unless both runs hold the same cases, each once, with the same labels."""
+    labels = ("domain", "split", "expected_decision", "expected_id")
+    b = before.select("case_id", *[F.col(f).alias(f"b_{f}") for f in labels], F.lit(1).alias("_b"))
+    a = after.select("case_id", *[F.col(f).alias(f"a_{f}") for f in labels], F.lit(1).alias("_a"))
+    same = F.lit(True)
+    for f in labels:
+        same = same & F.col(f"b_{f}").eqNullSafe(F.col(f"a_{f}"))
+    both = b.join(a, b["case_id"].eqNullSafe(a["case_id"]), "full")
+    found = both.agg(F.count_if(F.col("_b").isNull() | F.col("_a").isNull()).alias("alone"), F.count_if(~same).alias("unlike"), F.count(F.lit(1)).alias("n")).first()
+    twice = before.groupBy("case_id").count().where("count > 1").unionByName(after.groupBy("case_id").count().where("count > 1"))
+    if found["alone"] or found["unlike"] or not twice.isEmpty():
+        raise ValueError(f"the runs differ: {found['alone']} cases on one side alone, {found['unlike']} with other labels, or cases twice")
+
+
 def exclusion_reasons(truth: DataFrame, concept: DataFrame) -> DataFrame:
     """Distinct (term, true_id) pairs by the first reason against using them."""
     target = concept.select(F.col("concept_id").alias("true_id"), "standard_concept", "invalid_reason", "domain_id", F.lit(True).alias("_known"))

@@ -91,6 +91,20 @@ def d9(spark, sf_dir):
     return scoring.mapping_coverage({"condition": _conditions(c), "drug": standardise.map_drugs(c.event, c.concept, c.relationship)})
 
 
+D9D = """select 'decision' as kind, o_orderpriority as target_table, o_orderstatus as status, count(*) as n from orders where o_custkey % 3 = 1 group by 2, 3
+union all select 'review', null, null, count(*) from lineitem join orders on o_orderkey = l_orderkey where o_custkey % 3 = 1 and l_linenumber % 3 <> 1
+union all select 'adjudication', null, null, count(*) from lineitem join orders on o_orderkey = l_orderkey where o_custkey % 3 = 1 and l_returnflag = 'R'"""
+
+
+@query("d9_decisions", D9D)
+def d9_decisions(spark, sf_dir):
+    c = Clinic(spark, sf_dir)
+    decisions = c.raw("orders").select(F.col("o_orderkey").alias("decision_id"), F.concat(F.lit("run-"), (F.col("o_custkey") % 3).cast("string")).alias("run_id"), F.col("o_orderpriority").alias("target_table"), F.col("o_orderstatus").alias("status"))
+    third, decision = F.col("l_linenumber") % 3, F.col("l_orderkey").alias("decision_id")
+    reviews = c.raw("lineitem").select(decision, F.when(third == 0, True).when(third == 1, False).alias("active"))
+    return scoring.decision_counts(decisions, reviews, c.raw("lineitem").where("l_returnflag = 'R'").select(decision), "run-1")
+
+
 D10 = """select *, coalesce(round(100.0 * mapped / nullif(total, 0), 6), 0) as coverage, coalesce(round(100.0 * correct / nullif(mapped, 0), 6), 0) as precision, coalesce(round(100.0 * correct / nullif(total, 0), 6), 0) as recall
 from (select count(*) as total, count(*) filter (c.concept_id <> 0) as mapped, count(*) filter (c.concept_id = t.true_id) as correct from (select event_id, 2000000 + (cast(code as bigint) % 25 + 1) * 10 as true_id from event where line_number <= 3) t left join condition c using (event_id))"""
 
@@ -215,6 +229,17 @@ def d17_deltas(spark, sf_dir):
     return scoring.metric_deltas(scoring.score(_decided(c)), scoring.score(_after(c)))
 
 
+D17T = f"""with b as (unpivot (select * replace (admitted::double as admitted, correct::double as correct, incorrect::double as incorrect) from ({D16})) on admitted, correct, incorrect, precision, recall into name metric value x),
+a as (unpivot (select * replace (admitted::double as admitted, correct::double as correct, incorrect::double as incorrect) from ({D16.replace(_DECIDED, _AFTER)})) on admitted, correct, incorrect, precision, recall into name metric value x)
+select threshold, metric, b.x as before, a.x as after, round(a.x - b.x, 6) as delta from b full join a using (threshold, metric)"""
+
+
+@query("d17_thresholds", oracle(D17T, "cases"))
+def d17_thresholds(spark, sf_dir):
+    c = Clinic(spark, sf_dir)
+    return scoring.threshold_deltas(scoring.threshold_analysis(_decided(c), GRID), scoring.threshold_analysis(_after(c), GRID))
+
+
 _TRUTH = "(select event_id, case when supplier_id % 40 = 0 then ' ' else code end as term, case when supplier_id % 3 = 0 then 7 when supplier_id % 3 = 1 then 2000000 + (supplier_id % 25 + 1) * 10 + 2 else 1000000 + cast(code as bigint) end as true_id from event where line_number = 1)"
 
 
