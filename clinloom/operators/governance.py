@@ -6,12 +6,21 @@ Each batch gives accepted rows, rejected rows with the first reason against them
 
 from __future__ import annotations
 
+import uuid
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from clinloom.functions.ids import uuid5
+
 OPEN = ("PENDING", "LOW_CONFIDENCE")
+# Marks of provenance rows, those still open and those that a decision leaves.
+OPEN_MARKS = ("Pending_Human_Review", "Below_Confidence_Threshold", "REJECTED_BY_POLICY")
+MARKS = {"APPROVED": "Approved_by_Human", "REJECTED": "Rejected_by_Human", "SUPERSEDED": "Superseded_By_Canonical_Decision"}
+# States of a decision made before its record was ingested.
+BEFORE_INGESTION = ("PRE_INGESTION", "PRE_INGESTION_LOW_CONFIDENCE")
 
 
 def semantic_key(*parts) -> Column:
@@ -156,18 +165,45 @@ def adjudicate(decisions: DataFrame, reviews: DataFrame, actions: DataFrame, con
 
 def publish_decisions(accepted: DataFrame, decisions: DataFrame, code_map: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Next decisions and next code map (semantic_key, concept_id): a settled decision takes its status, open
-    ones that mean the same are superseded, an approval replaces the key's mapping and a rejection of that
+    ones of the same meaning and concept are superseded, an approval replaces the key's mapping and a rejection of that
     mapping deletes it."""
     mine = accepted.select("decision_id", F.col("status").alias("_own"))
-    keys = accepted.select("semantic_key", F.lit(True).alias("_settled")).distinct()
+    keys = accepted.select("semantic_key", "concept_id", F.lit(True).alias("_settled")).distinct()
     status = F.coalesce("_own", F.when(F.col("_settled") & F.col("status").isin(*OPEN), "SUPERSEDED"), "status")
-    after = decisions.join(mine, "decision_id", "left").join(keys, "semantic_key", "left").withColumn("status", status).select(*decisions.columns)
+    after = decisions.join(mine, "decision_id", "left").join(keys, ["semantic_key", "concept_id"], "left").withColumn("status", status).select(*decisions.columns)
     approved = accepted.where("status = 'APPROVED'").select("semantic_key", "concept_id")
     rejected = accepted.where("status = 'REJECTED'").select("semantic_key", "concept_id")
     kept = code_map.join(approved, "semantic_key", "left_anti").join(rejected, ["semantic_key", "concept_id"], "left_anti")
     return after, kept.unionByName(approved)
 
 
+def publish_policies(accepted: DataFrame, approved: DataFrame, policies: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Next approved set (semantic_key, concept_id, decision_id, active) and next rejection policies (semantic_key,
+    concept_id, active). An approval takes its key's place in the set and rests the policy against its concept; a
+    rejection makes or wakes that policy and rests the approved row of its concept."""
+    on, off, pair = F.lit(True), F.lit(False), ["semantic_key", "concept_id"]
+    yes, no = accepted.where("status = 'APPROVED'"), accepted.where("status = 'REJECTED'")
+
+    def rested(rows: DataFrame, by: DataFrame) -> DataFrame:
+        hit = by.select(*pair, on.alias("_hit")).distinct()
+        return rows.join(hit, pair, "left").withColumn("active", F.when(F.col("_hit"), off).otherwise(F.col("active"))).select(*rows.columns)
+
+    kept = rested(approved.join(yes, "semantic_key", "left_anti"), no)
+    next_approved = kept.unionByName(yes.select(*pair, "decision_id", on.alias("active")))
+    next_policies = rested(policies.join(no, pair, "left_anti"), yes).unionByName(no.select(*pair, on.alias("active")).distinct())
+    return next_approved, next_policies
+
+
+def publish_provenance(accepted: DataFrame, published: DataFrame, provenance: DataFrame) -> DataFrame:
+    """``provenance`` (decision_id, reviewed_by) after ``publish_decisions`` gave ``published``: open marks of settled
+    and superseded decisions change, others stay."""
+    own = accepted.select("decision_id", "status")
+    over = published.where("status = 'SUPERSEDED'").select("decision_id", "status").join(own, "decision_id", "left_anti")
+    mark = F.coalesce(*[F.when(F.col("_status") == s, F.lit(m)) for s, m in MARKS.items()])
+    rows = provenance.join(own.unionByName(over).withColumnRenamed("status", "_status"), "decision_id", "left")
+    return rows.withColumn("reviewed_by", F.when(F.col("reviewed_by").isin(*OPEN_MARKS), F.coalesce(mark, "reviewed_by")).otherwise(F.col("reviewed_by"))).select(*provenance.columns)
+
+
 def counterproposals(decisions: DataFrame, reviews: DataFrame, claims: DataFrame, events: DataFrame, concept: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``claims`` (decision_id, actor, new_concept_id) on rejected decisions by a person who voted to reject,
     with another, current concept: new decisions, and the events (decision_id, event_id) that they
@@ -265,6 +301,37 @@ def handoff(receipts: DataFrame, runs: DataFrame, bound: DataFrame, refused: Dat
     return out, out.groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
 
 
+def handoff_batches(receipts: DataFrame, most: int, namespace: uuid.UUID, prefix: str) -> DataFrame:
+    """(batch, n, violation, batch_id) of ``receipts`` (batch, receipt_id, run_id, manifest, record_key, target_table,
+    target_id): the first fault of a batch, or else its id, the version 5 UUID of ``prefix`` and its sorted receipt ids.
+    Ids are gathered only where the batch has ``most`` receipts at most."""
+    several = lambda *c: F.count_distinct(F.struct(*c))
+    counts = receipts.groupBy("batch").agg(
+        F.count(F.lit(1)).alias("n"), several("run_id", "manifest").alias("_runs"), several("record_key").alias("_records"), several("target_table", "target_id").alias("_events")
+    )
+    violation = (
+        F.when(F.col("n") > most, "TOO_MANY")
+        .when(F.col("_runs") > 1, "MANY_RUNS")
+        .when(F.col("_records") < F.col("n"), "DUPLICATE_RECORD")
+        .when(F.col("_events") < F.col("n"), "DUPLICATE_EVENT")
+    )
+    judged = counts.select("batch", "n", violation.alias("violation"))
+    good = receipts.join(judged.where("violation is null"), "batch", "left_semi")
+    named = good.groupBy("batch").agg(F.array_join(F.array_sort(F.collect_list(F.col("receipt_id").cast("string"))), "|").alias("_ids"))
+    return judged.join(named.select("batch", uuid5(namespace, F.concat(F.lit(prefix), "_ids")).alias("batch_id")), "batch", "left")
+
+
+def bindable_decisions(receipts: DataFrame, decisions: DataFrame) -> DataFrame:
+    """(receipt_id, decision_id, reason): the one decision of a receipt's source, record and table that selects a concept
+    before ingestion and isn't eligible yet; none and several are reasons."""
+    keys = ["source_adapter", "record_key", "target_table"]
+    open_ = decisions.where(F.col("status").isin(*BEFORE_INGESTION) & ~F.coalesce("eligible", F.lit(False)) & (F.col("model_decision") == "SELECT"))
+    one = open_.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("decision_id").alias("_id"))
+    n = F.coalesce("_n", F.lit(0))
+    reason = F.when(n == 0, "NO_DECISION").when(n > 1, "MANY_DECISIONS")
+    return receipts.join(one, keys, "left").select("receipt_id", F.when(n == 1, F.col("_id")).alias("decision_id"), reason.alias("reason"))
+
+
 def resolve_actors(names: DataFrame, aliases: DataFrame, roles: DataFrame, role: str) -> DataFrame:
     """``names`` (name) with the actor whose exact alias it is, if they have the role."""
     a = aliases.select("alias", "actor_id")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from clinloom.operators import governance
@@ -144,7 +146,7 @@ def _published(c):
     return governance.publish_decisions(_adjudicated(c)[0], decisions, code_map)
 
 
-@query("f9", _sql(f", {ADJ} select d.decision_id, coalesce(a.status, case when d.semantic_key in (select semantic_key from accepted) and d.status in ('PENDING', 'LOW_CONFIDENCE') then 'SUPERSEDED' end, d.status) as status from dec d left join accepted a using (decision_id)"))
+@query("f9", _sql(f", {ADJ} select d.decision_id, coalesce(a.status, case when (d.semantic_key, d.concept_id) in (select (semantic_key, concept_id) from accepted) and d.status in ('PENDING', 'LOW_CONFIDENCE') then 'SUPERSEDED' end, d.status) as status from dec d left join accepted a using (decision_id)"))
 def f9(spark, sf_dir):
     return _published(Clinic(spark, sf_dir))[0].select("decision_id", "status")
 
@@ -158,6 +160,47 @@ def f9_map(spark, sf_dir):
     return _published(Clinic(spark, sf_dir))[1]
 
 
+_APPROVED = "oldset as (select semantic_key, max(concept_id) as concept_id, max(decision_id) as decision_id, true as active from dec where decision_id % 3 = 0 group by 1), oldpol as (select distinct semantic_key, concept_id, true as active from dec where decision_id % 4 <> 1)"
+
+
+def _policies(c):
+    d, on = _decisions(c), F.lit(True).alias("active")
+    approved = d.where("decision_id % 3 = 0").groupBy("semantic_key").agg(F.max("concept_id").alias("concept_id"), F.max("decision_id").alias("decision_id")).select("*", on)
+    return governance.publish_policies(_adjudicated(c)[0], approved, d.where("decision_id % 4 <> 1").select("semantic_key", "concept_id").distinct().select("*", on))
+
+
+F9A = f""", {ADJ}, {_APPROVED} select semantic_key, concept_id, decision_id, not exists (select 1 from accepted a where a.status = 'REJECTED' and a.semantic_key = oldset.semantic_key and a.concept_id = oldset.concept_id) as active
+ from oldset where semantic_key not in (select semantic_key from accepted where status = 'APPROVED') union all select semantic_key, concept_id, decision_id, true from accepted where status = 'APPROVED'"""
+
+
+@query("f9_approved", _sql(F9A))
+def f9_approved(spark, sf_dir):
+    return _policies(Clinic(spark, sf_dir))[0]
+
+
+F9P = f""", {ADJ}, {_APPROVED} select semantic_key, concept_id, bool_or(coalesce(a.status, 'REJECTED') <> 'APPROVED') as active from oldpol full join accepted a using (semantic_key, concept_id)
+ where oldpol.active or a.status = 'REJECTED' group by 1, 2"""
+
+
+@query("f9_policies", _sql(F9P))
+def f9_policies(spark, sf_dir):
+    return _policies(Clinic(spark, sf_dir))[1]
+
+
+F9V = f""", {ADJ}, prov as (select o_orderkey as decision_id, case o_custkey % 4 when 0 then 'Pending_Human_Review' when 1 then 'Below_Confidence_Threshold' when 2 then 'REJECTED_BY_POLICY' else 'Auto' end as reviewed_by from orders)
+select p.decision_id, case when reviewed_by = 'Auto' then reviewed_by when a.status = 'APPROVED' then 'Approved_by_Human' when a.status = 'REJECTED' then 'Rejected_by_Human'
+ when d.status in ('PENDING', 'LOW_CONFIDENCE') and (d.semantic_key, d.concept_id) in (select (semantic_key, concept_id) from accepted) then 'Superseded_By_Canonical_Decision' else reviewed_by end as reviewed_by
+from prov p join dec d using (decision_id) left join accepted a using (decision_id)"""
+
+
+@query("f9_provenance", _sql(F9V))
+def f9_provenance(spark, sf_dir):
+    c, four = Clinic(spark, sf_dir), F.col("o_custkey") % 4
+    mark = F.when(four == 0, governance.OPEN_MARKS[0]).when(four == 1, governance.OPEN_MARKS[1]).when(four == 2, governance.OPEN_MARKS[2]).otherwise("Auto")
+    provenance = c.raw("orders").select(F.col("o_orderkey").alias("decision_id"), mark.alias("reviewed_by"))
+    return governance.publish_provenance(_adjudicated(c)[0], _published(c)[0], provenance)
+
+
 F10 = f"""select event_id, decision_id, actor, new_concept_id from (select e.review_id as event_id, m.*, row_number() over (partition by e.review_id, m.new_concept_id order by m.decision_id, m.actor) as k
  from (select distinct c.decision_id, c.actor, c.new_concept_id from (select decision_id, actor, 3000000 + decision_id % 28 as new_concept_id from rev) c join dec d using (decision_id) where d.status = 'REJECTED' and c.new_concept_id <> d.concept_id
   and exists (select 1 from rev v where v.decision_id = c.decision_id and v.actor = c.actor and v.verdict = 'REJECT') and c.new_concept_id in (select concept_id from {_CUR})) m join rev e on e.decision_id = m.decision_id) where k = 1"""
@@ -245,6 +288,37 @@ def f14(spark, sf_dir):
     return governance.handoff(receipts, runs, *_bound(c))[0]
 
 
+F14B = """select batch, n, case when n > 6 then 'TOO_MANY' when runs > 1 then 'MANY_RUNS' when records < n then 'DUPLICATE_RECORD' when events < n then 'DUPLICATE_EVENT' end as violation
+from (select l_orderkey as batch, count(*) as n, count(distinct case when l_orderkey % 9 = 0 then l_linenumber % 2 else 0 end) as runs, count(distinct l_partkey % 50) as records, count(distinct l_suppkey) as events from lineitem group by 1)"""
+
+
+@query("f14_batches", F14B)
+def f14_batches(spark, sf_dir):
+    run = F.when(F.col("l_orderkey") % 9 == 0, F.col("l_linenumber") % 2).otherwise(0)
+    receipts = Clinic(spark, sf_dir).raw("lineitem").select(
+        F.col("l_orderkey").alias("batch"), F.concat_ws("-", "l_orderkey", "l_linenumber").alias("receipt_id"), F.concat(F.lit("run-"), run.cast("string")).alias("run_id"), F.lit("m1").alias("manifest"),
+        (F.col("l_partkey") % 50).cast("string").alias("record_key"), F.lit("drug_exposure").alias("target_table"), F.col("l_suppkey").alias("target_id"),
+    )
+    return governance.handoff_batches(receipts, 6, uuid.NAMESPACE_URL, "handoff:").select("batch", "n", "violation")
+
+
+F14D = """select p_partkey as receipt_id, case when n = 1 then id end as decision_id, case when coalesce(n, 0) = 0 then 'NO_DECISION' when n > 1 then 'MANY_DECISIONS' end as reason from part left join (select l_partkey, count(*) as n, min(l_orderkey * 10 + l_linenumber) as id
+ from lineitem where l_orderkey % 29 = 0 and l_returnflag <> 'R' and l_linenumber <> 7 group by 1) d on d.l_partkey = p_partkey"""
+
+
+@query("f14_decisions", F14D)
+def f14_decisions(spark, sf_dir):
+    c, adapter, table = Clinic(spark, sf_dir), F.lit("adapter-1").alias("source_adapter"), F.lit("drug_exposure").alias("target_table")
+    key = lambda name: F.concat(F.lit("k"), F.col(name).cast("string")).alias("record_key")
+    decisions = c.raw("lineitem").select(
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("decision_id"), adapter, table, key("l_partkey"), (F.col("l_linenumber") == 7).alias("eligible"),
+        F.when(F.col("l_returnflag") == "R", "APPROVED").when(F.col("l_returnflag") == "A", governance.BEFORE_INGESTION[1]).otherwise(governance.BEFORE_INGESTION[0]).alias("status"),
+        F.when(F.col("l_orderkey") % 29 == 0, "SELECT").otherwise("ABSTAIN").alias("model_decision"),
+    )
+    receipts = c.raw("part").select(F.col("p_partkey").alias("receipt_id"), adapter, table, key("p_partkey"))
+    return governance.bindable_decisions(receipts, decisions)
+
+
 @query("f15", "select c_name as name, c_custkey as actor_id from customer where c_custkey % 3 = 0")
 def f15(spark, sf_dir):
     c = Clinic(spark, sf_dir).raw("customer")
