@@ -243,7 +243,7 @@ def event_contexts(entries: DataFrame) -> tuple[DataFrame, DataFrame]:
 def bundle_violations(entries: DataFrame) -> DataFrame:
     """(bundle_id, full_url, violation) for structural faults: full URLs missing, relative or doubled, doubled
     identities, no patient, subjects and encounters that resolve to nothing, no usable concept, quantities
-    without a number."""
+    without a number or a unit."""
     one = lambda df, what: df.select("bundle_id", "full_url", F.lit(what).alias("violation"))
     url, identity = Window.partitionBy("bundle_id", "full_url"), Window.partitionBy("bundle_id", "resource_type", "id")
     counted = entries.withColumn("_url", F.count(F.lit(1)).over(url)).withColumn("_same", F.count(F.lit(1)).over(identity))
@@ -260,6 +260,7 @@ def bundle_violations(entries: DataFrame) -> DataFrame:
         out = out.unionByName(one(p.where(select_coding(F.col("r.code")).isNull()), "NO_CONCEPT"))
         if kind == "Observation":
             out = out.unionByName(one(p.where("r.valueQuantity is not null and r.valueQuantity.value is null"), "NO_NUMBER"))
+            out = out.unionByName(one(p.where("r.valueQuantity is not null and coalesce(r.valueQuantity.unit, '') = '' and coalesce(r.valueQuantity.code, '') = ''"), "NO_UNIT"))
     return out
 
 

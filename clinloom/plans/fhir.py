@@ -269,6 +269,16 @@ def b19(spark, sf_dir):
     return extract.bundle_violations(e.where("not (resource_type = 'Patient' and bundle_id % 10 = 3)"))
 
 
+@query("b19_quantity", _sql("select order_key as bundle_id, full_url, 'NO_UNIT' as violation from res where line = 1 and order_key % 7 = 0 union all select order_key, full_url, 'NO_NUMBER' from res where line = 1 and order_key % 11 = 0" + _DOUBLED))
+def b19_quantity(spark, sf_dir):
+    """Bundles whose quantities lack a unit or a number, by order."""
+    body, gone = F.col("resource"), lambda text, old, new: F.replace(text, F.lit(old), F.lit(new))
+    bare = gone(gone(body, '"unit":"ng per dl"', '"unit":""'), '"code":"ng/dl"', '"code":""')
+    body = F.when(F.col("bundle_id") % 7 == 0, bare).otherwise(body)
+    body = F.when(F.col("bundle_id") % 11 == 0, gone(body, '"valueQuantity":{"value":', '"valueQuantity":{"was":')).otherwise(body)
+    return extract.bundle_violations(_entries(spark, sf_dir).withColumn("resource", body))
+
+
 @query("b19_counts", _sql("select resource_type, count(*) as n from res group by 1 union all select 'Medication', count(*) from res where line = 3 union all select k, count(*) from orders, (select unnest(['Patient', 'Encounter']) as k) where o_orderkey % 97 <> 0 group by 1"))
 def b19_counts(spark, sf_dir):
     return extract.resource_counts(_entries(spark, sf_dir))
