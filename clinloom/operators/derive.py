@@ -30,13 +30,14 @@ def condition_era(events: DataFrame, gap_days: int = 30) -> DataFrame:
     return eras.select(hash_id(F.concat_ws("|", F.lit("condition"), *keys, "start_date")).alias("era_id"), *keys, "start_date", "end_date", "occurrences")
 
 
-#: A current standard ingredient.
-_INGREDIENT = "domain_id = 'Drug' and concept_class_id = 'Ingredient' and standard_concept = 'S' and invalid_reason is null"
+#: What a current standard ingredient is, by column.
+_INGREDIENT = {"domain_id": "= 'Drug'", "concept_class_id": "= 'Ingredient'", "standard_concept": "= 'S'", "invalid_reason": "is null"}
 
 
 def ingredient_exposures(exposures: DataFrame, ancestor: DataFrame, concept: DataFrame) -> DataFrame:
-    """A row for each exposure and each of its ingredients."""
-    ingredient = concept.where(_INGREDIENT).select(F.col("concept_id").alias("ancestor_id"))
+    """A row for each exposure and each of its current standard ingredients. A ``concept`` without the columns of domain,
+    standard or validity is taken to hold current standard drugs alone."""
+    ingredient = concept.where(" and ".join(f"{c} {rule}" for c, rule in _INGREDIENT.items() if c in concept.columns or c == "concept_class_id")).select(F.col("concept_id").alias("ancestor_id"))
     above = ancestor.join(ingredient, "ancestor_id", "left_semi").select("ancestor_id", F.col("descendant_id").alias("concept_id")).distinct()
     return exposures.where("concept_id <> 0").join(above, "concept_id")
 
