@@ -66,6 +66,20 @@ def resolve_refs(df: DataFrame, index: DataFrame, ref: str, out: str) -> DataFra
     return df.withColumn("_ref", value).join(index.withColumnRenamed("ref", "_ref"), ["bundle_id", "_ref"], "left").withColumn(out, F.coalesce("resolved", "_ref")).drop("_ref", "resolved")
 
 
+def with_references(entries: DataFrame) -> DataFrame:
+    """``entries`` with subject_url and encounter_url, resolved once for every extractor, which then read these. An entry
+    without a full URL gets its resource's text for one, so that ids made from it are those of the payload."""
+    index = reference_index(entries)
+    for field in ("subject", "encounter"):
+        refs = entries.withColumn("_said", F.get_json_object("resource", f"$.{field}.reference"))
+        entries = resolve_refs(refs, index, "_said", f"{field}_url").drop("_said").withColumn(f"{field}_url", F.nullif(f"{field}_url", F.lit("")))
+    return entries.withColumn("full_url", F.coalesce(F.nullif("full_url", F.lit("")), F.concat(F.lit("urn:uuid:"), "resource")))
+
+
+def _reference(df: DataFrame, field: str) -> Column:
+    return F.col(f"{field}_url" if f"{field}_url" in df.columns else f"r.{field}.reference")
+
+
 def verification_codes(codeable: Column) -> Column:
     codes = F.transform(F.coalesce(codeable["coding"], F.array()), lambda c: F.lower(F.trim(F.coalesce(c["code"], F.lit("")))))
     return F.filter(codes, lambda c: c != "")
@@ -132,7 +146,7 @@ def extract_visits(entries: DataFrame) -> DataFrame:
     start, end = fhir_datetime(F.col("r.period.start")), fhir_datetime(F.col("r.period.end"))
     return v.select(
         F.col("full_url").alias("visit_ref"),
-        F.col("r.subject.reference").alias("person_ref"),
+        _reference(v, "subject").alias("person_ref"),
         _lookup(VISIT_CONCEPTS, F.upper(F.trim("r.class.code")), 0).alias("visit_concept_id"),
         start["date"].alias("start_date"),
         F.coalesce(end["date"], start["date"]).alias("end_date"),
@@ -151,7 +165,7 @@ def _events(df: DataFrame, start: Column, end: Column | None, *more: str) -> Dat
     s = fhir_datetime(start)
     e = fhir_datetime(end) if end is not None else s
     dated = df.withColumns(
-        {"person_ref": F.col("r.subject.reference"), "encounter_ref": F.col("r.encounter.reference"), "start_date": s["date"], "end_date": F.coalesce(e["date"], s["date"])}
+        {"person_ref": _reference(df, "subject"), "encounter_ref": _reference(df, "encounter"), "start_date": s["date"], "end_date": F.coalesce(e["date"], s["date"])}
     )
     return dated.where("start_date is not null").select(*_EVENT, *more)
 

@@ -152,7 +152,7 @@ def a6(spark, sf_dir):
 def a7(spark, sf_dir):
     path, visits = _folder(spark, "published"), Clinic(spark, sf_dir).visit.select("visit_id", "person_id", "start_date", "end_date")
     tables.publish(visits.where("visit_id % 2 = 0"), path)
-    tables.publish(visits, path, visits.where("end_date < start_date"))
+    tables.publish(visits, path, lambda written: written.where("end_date < start_date"))
     return tables.read_published(spark, path)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,33 +57,59 @@ def schema_violations(df: DataFrame, table: str) -> DataFrame:
     return fixed.unionByName(counted)
 
 
-def publish(df: DataFrame, path: str, violations: DataFrame | None = None) -> str:
-    """Writes a new version below ``path`` and, if ``violations`` has no rows, points the table to it; a
-    version that fails its checks is never pointed to. Pointers are numbered files that are made once, so
-    a reader sees the old version or the new one whole."""
-    spark = df.sparkSession
-    version = f"{path}/version-{uuid.uuid4().hex}"
-    df.write.parquet(version)
-    if violations is not None and not violations.isEmpty():
-        raise ValueError("the new version fails its checks")
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+def conform(df: DataFrame, table: str) -> DataFrame:
+    """The columns of a table of ``CDM``, in order and typed."""
+    return df.select(*[F.col(f.name).cast(f.dataType) for f in cdm_schema(table).fields])
+
+
+def _files(spark: SparkSession, path: str):
+    """A folder and its file system."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def new_version(path: str) -> str:
+    return f"{path}/version-{uuid.uuid4().hex}"
+
+
+def point(spark: SparkSession, path: str, version: str) -> None:
+    """Makes ``version`` the one that readers of ``path`` see. Pointers are numbered files that are made once, so a
+    reader sees the old version or the new one whole."""
+    folder, fs = _files(spark, path)
     numbers = [int(s.getPath().getName().split("-")[1]) for s in fs.listStatus(folder) if s.getPath().getName().startswith("pointer-")]
-    draft = jvm.org.apache.hadoop.fs.Path(f"{path}/draft-{uuid.uuid4().hex}")
+    draft = _files(spark, f"{path}/draft-{uuid.uuid4().hex}")[0]
     out = fs.create(draft)
     out.write(bytearray(version.encode("utf-8")))
     out.close()
-    if not fs.rename(draft, jvm.org.apache.hadoop.fs.Path(f"{path}/pointer-{max(numbers, default=0) + 1:08d}")):
+    if not fs.rename(draft, _files(spark, f"{path}/pointer-{max(numbers, default=0) + 1:08d}")[0]):
         raise RuntimeError("another writer published at the same time")
+
+
+def require_clean(spark: SparkSession, version: str, violations: DataFrame) -> None:
+    """Deletes ``version`` and fails if ``violations`` has rows."""
+    found = violations.limit(5).collect()
+    if found:
+        folder, fs = _files(spark, version)
+        fs.delete(folder, True)
+        raise ValueError(f"the new version fails its checks: {[r.asDict() for r in found]}")
+
+
+def publish(df: DataFrame, path: str, violations: DataFrame | Callable[[DataFrame], DataFrame] | None = None) -> str:
+    """Writes a new version below ``path`` and, if ``violations`` has no rows, points the table to it; a version that
+    fails is deleted. A function gets the version as it was written."""
+    spark, version = df.sparkSession, new_version(path)
+    df.write.parquet(version)
+    if violations is not None:
+        require_clean(spark, version, violations(spark.read.parquet(version)) if callable(violations) else violations)
+    point(spark, path, version)
     return version
 
 
-def read_published(spark: SparkSession, path: str) -> DataFrame:
-    """The version that the newest pointer names."""
+def read_published(spark: SparkSession, path: str, table: str | None = None) -> DataFrame:
+    """The version that the newest pointer names, or a table of it where it is a folder of tables."""
     pointers = spark.read.text(f"{path}/pointer-*").select(F.col("_metadata.file_name").alias("name"), "value")
     newest = pointers.agg(F.max_by("value", "name")).first()[0]
-    return spark.read.parquet(newest)
+    return spark.read.parquet(f"{newest}/{table}" if table else newest)
 
 
 def replace_slice(current: DataFrame, incoming: DataFrame, slice_cols: list[str]) -> DataFrame:
