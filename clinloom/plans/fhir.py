@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clinloom import flow
 from clinloom.functions import coding, dates, ids, units
 from clinloom.operators import derive, extract, standardise
 from clinloom.plans.binding import VIEWS, Clinic
@@ -139,6 +140,49 @@ def b3(spark, sf_dir):
     return e.select("full_url", ids.person_id(F.col("full_url"), KEY).alias("person_id"), ids.event_id(F.col("full_url"), KEY).alias("event_id"), ids.payload_event_id(F.col("resource"), KEY, F.lit("component[0]")).alias("payload_id"), ids.fingerprint(F.col("resource"), KEY).alias("fingerprint"))
 
 
+def _hmac_sql(text: str) -> str:
+    """HMAC-SHA256 of a text under KEY, in hex."""
+    pad = lambda mask: "from_hex('" + bytes(k ^ mask for k in KEY.ljust(64, b"\0")).hex() + "')"
+    return f"sha256({pad(0x5C)} || from_hex(sha256({pad(0x36)} || encode({text}))))"
+
+
+def _event_sql(digest: str) -> str:
+    return f"cast('0x' || substr({digest}, 1, 15) as bigint)"
+
+
+def _person_sql(digest: str) -> str:
+    return f"((cast('0x' || substr({digest}, 49, 1) as bigint) % 4) * 1152921504606846976 + cast('0x' || substr({digest}, 50, 15) as bigint))"
+
+
+# the identity of urn:uuid: URLs is what follows
+_IDS = f"""select full_url, {_person_sql('h')} as person_id, {_event_sql('h')} as event_id from (select full_url, {_hmac_sql("substr(full_url, 10)")} as h
+ from (select full_url from res union all select 'urn:uuid:m-' || substr(full_url, 10) from res where line = 3
+  union all select 'urn:uuid:p-' || o_custkey from orders where o_orderkey % 97 <> 0 union all select 'urn:uuid:v-' || o_orderkey from orders where o_orderkey % 97 <> 0))"""
+
+
+@query("b3_ids", _sql(_IDS))
+def b3_ids(spark, sf_dir):
+    e = _entries(spark, sf_dir)
+    return e.select("full_url", ids.person_id(F.col("full_url"), KEY).alias("person_id"), ids.event_id(F.col("full_url"), KEY).alias("event_id"))
+
+
+def _flow(spark, sf_dir, table):
+    c = Clinic(spark, sf_dir)
+    return flow.cdm_tables(source.entries(bundles(c)), c.concept, c.relationship, c.ancestor, KEY)[table]
+
+
+_SEEN = "orders where o_orderkey % 97 <> 0"
+FLOW_PERSON = f"""select {_person_sql('h')} as person_id, case when k % 2 = 0 then 8507 else 8532 end as gender_concept_id, cast(1930 + k % 80 as int) as year_of_birth,
+ cast(case when k % 3 = 0 then 5 end as int) as month_of_birth, cast(case when k % 3 = 0 then 17 end as int) as day_of_birth, 'R' || (k % 5) as race, cast(null as varchar) as ethnicity
+ from (select o_custkey as k, {_hmac_sql("'p-' || o_custkey")} as h from (select distinct o_custkey from {_SEEN}))"""
+
+
+@query("flow_person", FLOW_PERSON)
+def flow_person(spark, sf_dir):
+    """Persons of the whole flow, with keyed ids."""
+    return _flow(spark, sf_dir, "person")
+
+
 @query("b4", _sql("select full_url, system, code, source_value as display from (select * replace (case when line = 1 then null else source_value end as source_value) from res where line <> 3 and line <> 1 and line <> 6) union all select full_url, system, code, code from res where line = 6 union all select full_url, system, code, '' from res where line = 1"))
 def b4(spark, sf_dir):
     found = None
