@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from clinloom.llm import byte_bpe, langid, leaks, minhash, pseudonyms, quality, secrets, token_files, toxicity, web_archive
+from clinloom.llm import byte_bpe, langid, leaks, merkle, minhash, pseudonyms, quality, secrets, token_files, toxicity, web_archive
 from clinloom.session import read_table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -58,6 +58,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.op10(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.op13(read_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_pseudonyms": op1_pseudonyms,
@@ -70,6 +74,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_token_files": op8_token_files,
         "op9_byte_bpe": op9_byte_bpe,
         "op10_quality": op10_quality,
+        "op13_merkle": op13_merkle,
     }
 
 
