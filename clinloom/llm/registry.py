@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from clinloom.llm import byte_bpe, langid, leaks, lexical, merkle, minhash, pseudonyms, quality, secrets, token_files, toxicity, web_archive
+from clinloom.llm import attention, byte_bpe, langid, leaks, lexical, merkle, minhash, pseudonyms, quality, secrets, token_files, toxicity, web_archive
 from clinloom.session import read_table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -58,6 +58,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.op10(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op11_attention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return attention.op11(read_table(spark, sf_dir, "documents"), BYTE_RANKS, public_tokenizers.PATTERN)
+
+
 def op12_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.op12(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
@@ -78,6 +82,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_token_files": op8_token_files,
         "op9_byte_bpe": op9_byte_bpe,
         "op10_quality": op10_quality,
+        "op11_attention": op11_attention,
         "op12_lexical": op12_lexical,
         "op13_merkle": op13_merkle,
     }
