@@ -6,15 +6,28 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clinloom.functions.ids import hash_id
+from clinloom.operators import intervals
 
 
-def _islands(df: DataFrame, keys: list[str], gap_days: int) -> DataFrame:
-    """Rows (start_date, end_date) with an ``era`` number: a start more than ``gap_days`` after all ends
-    before it, in its keys, begins another."""
-    order = Window.partitionBy(*keys).orderBy("start_date", "end_date", "event_id")
-    reach = F.max("end_date").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    begins = F.when(F.col("start_date") > F.date_add(reach, gap_days), 1).otherwise(0)
-    return df.withColumn("_begins", begins).withColumn("era", F.sum("_begins").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+def _eras(df: DataFrame, keys: list[str], gap_days: int) -> DataFrame:
+    """(keys, start_date, end_date, n, gap_days) of eras of rows (start_date, end_date): a start more than ``gap_days`` after all
+    ends before it, in its keys, begins another; gap_days counts the days of an era that no row covers.
+
+    States that merge, so that a person with much of the rows is not one task: rows of one day are one, with the
+    greatest end, before any shuffle; days become the unbroken stretches of their year; the stretches of a key, of which
+    every one but the last is followed by a day that its year leaves open (183 a year at most), become eras."""
+    days = df.groupBy(*keys, "start_date").agg(F.max("end_date").alias("end_date"), F.count(F.lit(1)).alias("n"))
+
+    def merged(rows: DataFrame, part: list[str], apart: int, *more: Column) -> DataFrame:
+        order = Window.partitionBy(*part).orderBy("start_date")
+        rows = rows.withColumn("_reach", F.max("end_date").over(order.rowsBetween(Window.unboundedPreceding, -1)))
+        begins = F.when(F.col("start_date") > F.date_add("_reach", apart), 1).otherwise(0)
+        between = F.when(begins == 0, F.greatest(F.datediff("start_date", "_reach") - 1, F.lit(0)))
+        rows = rows.withColumns({"_era": F.sum(begins).over(order.rowsBetween(Window.unboundedPreceding, 0)), "_between": F.coalesce(between, F.lit(0))})
+        return rows.groupBy(*part, "_era").agg(F.min("start_date").alias("start_date"), F.max("end_date").alias("end_date"), F.sum("n").alias("n"), *more)
+
+    stretches = merged(days.withColumn("_year", F.year("start_date")), [*keys, "_year"], min(gap_days, 1))
+    return merged(stretches.drop("_era"), keys, gap_days, F.sum("_between").alias("gap_days")).drop("_era")
 
 
 def _lifted(end: Column) -> Column:
@@ -26,7 +39,7 @@ def condition_era(events: DataFrame, gap_days: int = 30) -> DataFrame:
     """Eras of mapped events by person and concept."""
     rows = events.where("concept_id <> 0").select("event_id", "person_id", "concept_id", "start_date", _lifted(F.col("end_date")).alias("end_date"))
     keys = ["person_id", "concept_id"]
-    eras = _islands(rows, keys, gap_days).groupBy(*keys, "era").agg(F.min("start_date").alias("start_date"), F.max("end_date").alias("end_date"), F.count(F.lit(1)).alias("occurrences"))
+    eras = _eras(rows, keys, gap_days).withColumnRenamed("n", "occurrences")
     return eras.select(hash_id(F.concat_ws("|", F.lit("condition"), *keys, "start_date")).alias("era_id"), *keys, "start_date", "end_date", "occurrences")
 
 
@@ -46,13 +59,7 @@ def drug_era(exposures: DataFrame, ancestor: DataFrame, concept: DataFrame, gap_
     """Eras by person and ingredient; gap_days counts the days strictly between exposures within an era."""
     rows = ingredient_exposures(exposures, ancestor, concept).select("event_id", "person_id", F.col("ancestor_id").alias("ingredient_id"), "start_date", _lifted(F.col("end_date")).alias("end_date"))
     keys = ["person_id", "ingredient_id"]
-    order = Window.partitionBy(*keys).orderBy("start_date", "end_date", "event_id")
-    reach = F.max("end_date").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    between = F.when(F.col("_begins") == 0, F.greatest(F.datediff("start_date", "_reach") - 1, F.lit(0)))
-    eras = _islands(rows.withColumn("_reach", reach), keys, gap_days).withColumn("_between", F.coalesce(between, F.lit(0)))
-    out = eras.groupBy(*keys, "era").agg(
-        F.min("start_date").alias("start_date"), F.max("end_date").alias("end_date"), F.count(F.lit(1)).alias("exposures"), F.sum("_between").alias("gap_days")
-    )
+    out = _eras(rows, keys, gap_days).withColumnRenamed("n", "exposures")
     return out.select(hash_id(F.concat_ws("|", F.lit("drug"), *keys, "start_date")).alias("era_id"), *keys, "start_date", "end_date", "exposures", "gap_days")
 
 
@@ -67,10 +74,7 @@ def _gates(eras: DataFrame, bad_range: Column, *counted: tuple[str, DataFrame])
 
 def _uncovered(rows: DataFrame, eras: DataFrame, concept: str) -> DataFrame:
     """``rows`` that lie whole in no era of their person and concept."""
-    o, e = "o.", "e."
-    inside = (F.col(o + "start_date") >= F.col(e + "start_date")) & (F.col(o + "end_date") <= F.col(e + "end_date"))
-    same = (F.col(e + "person_id") == F.col(o + "person_id")) & (F.col(e + concept) == F.col(o + concept))
-    return rows.alias("o").join(eras.alias("e"), same & inside, "left_anti")
+    return intervals.inside_none(rows, eras, ["person_id", concept])
 
 
 _BAD_RANGE = "start_date is null or end_date is null or end_date < start_date"

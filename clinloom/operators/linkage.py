@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clinloom.operators import intervals
+
 
 def link_visits(events: DataFrame, visits: DataFrame) -> DataFrame:
     """``events`` (event_id, person_id, start_date, encounter_ref) with visit_id, link_method, status,
     reason and candidates. An explicit reference counts only if its visit has the same person and covers the
     date, and a bad one never falls back on time; without a reference a single covering visit links.
-    The range join goes by person, with the dates as its rest condition, and is reduced to counts by
-    event before anything else happens."""
+    Covering visits are counted by cells of person and month (``intervals``); no pair of event and visit is made."""
     e = events.select("event_id", "person_id", "start_date", "encounter_ref")
     v = visits.select("visit_id", F.col("person_id").alias("v_person"), F.col("start_date").alias("v_start"), F.col("end_date").alias("v_end"))
     covers = (F.col("start_date") >= F.col("v_start")) & (F.col("start_date") <= F.col("v_end"))
@@ -29,13 +30,12 @@ def link_visits(events: DataFrame, visits: DataFrame) -> DataFrame:
         F.when(reason.isNull(), 1).otherwise(0).cast("long").alias("candidates"),
     )
     free = e.where("encounter_ref is null")
-    found = free.join(v, (F.col("person_id") == F.col("v_person")) & covers).groupBy("event_id").agg(F.count(F.lit(1)).alias("candidates"), F.min("visit_id").alias("only"))
-    timed = free.join(found, "event_id", "left").select(
+    timed = intervals.with_coverage(free, visits, ["person_id"], id="visit_id").select(
         "event_id",
-        F.when(F.col("candidates") == 1, F.col("only")).alias("visit_id"),
+        F.col("only").alias("visit_id"),
         F.lit("TEMPORAL").alias("link_method"),
-        F.when(F.col("candidates").isNull(), "NO_COVERING_VISIT").when(F.col("candidates") > 1, "AMBIGUOUS").alias("reason"),
-        F.coalesce("candidates", F.lit(0)).cast("long").alias("candidates"),
+        F.when(F.col("candidates") == 0, "NO_COVERING_VISIT").when(F.col("candidates") > 1, "AMBIGUOUS").alias("reason"),
+        F.col("candidates").cast("long").alias("candidates"),
     )
     both = named.unionByName(timed)
     return both.withColumn("status", F.when(F.col("reason").isNull(), "LINKED").otherwise("QUARANTINED"))

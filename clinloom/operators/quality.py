@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clinloom.operators import intervals
+
 
 def result(df: DataFrame, check: str, table: str, n: Column | None = None) -> DataFrame:
     """``n`` over ``df``, or its rows."""
@@ -32,8 +34,8 @@ def future_dates(df: DataFrame, as_of: str, table: str) -> DataFrame:
 
 def outside_period(df: DataFrame, periods: DataFrame, table: str) -> DataFrame:
     """Events in no observation period of their person."""
-    p = periods.select(F.col("person_id").alias("_p"), F.col("start_date").alias("_s"), F.col("end_date").alias("_e"))
-    return result(df.join(p, (F.col("person_id") == F.col("_p")) & F.col("start_date").between(F.col("_s"), F.col("_e")), "left_anti"), "outside_period", table)
+    met = intervals.with_coverage(df.select("person_id", "start_date"), periods, ["person_id"])
+    return result(met.where("candidates = 0"), "outside_period", table)
 
 
 def concept_validity(df: DataFrame, concept: DataFrame, domain: str, table: str) -> DataFrame:
@@ -65,13 +67,12 @@ def unrouted_targets(mapped: DataFrame, with_target: DataFrame, table: str) -> D
 
 def era_checks(eras: DataFrame, conditions: DataFrame, table: str) -> DataFrame:
     """Ranges turned round, eras without occurrences, and mapped events in no era of theirs."""
-    covered = (
-        (F.col("o.person_id") == F.col("e.person_id")) & (F.col("o.concept_id") == F.col("e.concept_id")) & F.col("o.start_date").between(F.col("e.start_date"), F.col("e.end_date"))
-    )
+    keys = ["person_id", "concept_id"]
+    met = intervals.with_coverage(conditions.where("concept_id <> 0").select(*keys, "start_date"), eras, keys)
     return (
         result(eras, "era_range", table, F.count_if(F.col("end_date") < F.col("start_date")))
         .unionByName(result(eras, "era_count", table, F.count_if(F.col("occurrences") < 1)))
-        .unionByName(result(conditions.where("concept_id <> 0").alias("o").join(eras.alias("e"), covered, "left_anti"), "era_coverage", table))
+        .unionByName(result(met.where("candidates = 0"), "era_coverage", table))
     )
 
 
