@@ -123,7 +123,7 @@ def build_cdm(spark: SparkSession, bundle_path: str, vocabulary_path: str, out:
     concept, relationship = vocabulary["concept"], vocabulary["concept_relationship"]
     ancestor = vocabulary["concept_ancestor"].withColumnsRenamed({"ancestor_concept_id": "ancestor_id", "descendant_concept_id": "descendant_id"})
     version = tables.new_version(out)
-    entries, staged = store(bundles.read_bundles(spark, bundle_path), "entries"), []
+    entries, staged = store(bundles.linked_entries(bundles.read_json(spark, bundle_path)), "entries"), []
 
     def keep(name: str, df: DataFrame) -> DataFrame:
         if name.startswith("staged_"):

@@ -1,4 +1,5 @@
-"""Typed rows from the resources of bundles. ``entries`` is what clinloom.sources.bundles gives."""
+"""Typed rows from the resources of bundles. ``entries`` is what clinloom.sources.bundles gives; ``resource`` may be JSON
+text as well, which is then parsed."""
 
 from __future__ import annotations
 
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from clinloom.functions.coding import CODEABLE, LOINC, RXNORM, SNOMED, select_coding, source_value, vocabulary_id
 from clinloom.functions.dates import fhir_datetime
 from clinloom.functions.units import canonical_unit
+from clinloom.sources.bundles import path
 
 _REF = "struct<reference:string>"
 _PERIOD = "struct<start:string,end:string>"
@@ -44,9 +46,22 @@ TARGETS = {
 }
 
 
+def _is_text(entries: DataFrame) -> bool:
+    return dict(entries.dtypes)["resource"] == "string"
+
+
+def _resource(entries: DataFrame) -> Column:
+    return F.try_parse_json("resource") if _is_text(entries) else F.col("resource")
+
+
+def payload(entries: DataFrame) -> Column:
+    """A resource's text: as it was given, or of a VARIANT the one with sorted keys and without blanks."""
+    return F.col("resource") if _is_text(entries) else F.to_json("resource")
+
+
 def parsed(entries: DataFrame, kind: str) -> DataFrame:
     """Entries of one resource type with ``r``, the resource as a struct."""
-    return entries.where(F.col("resource_type") == kind).withColumn("r", F.from_json("resource", f"struct<{SCHEMAS[kind]}>"))
+    return entries.where(F.col("resource_type") == kind).withColumn("r", path(_resource(entries), "$", f"struct<{SCHEMAS[kind]}>"))
 
 
 def _lookup(values: dict, key: Column, other=None) -> Column:
@@ -67,13 +82,17 @@ def resolve_refs(df: DataFrame, index: DataFrame, ref: str, out: str) -> DataFra
 
 
 def with_references(entries: DataFrame) -> DataFrame:
-    """``entries`` with subject_url and encounter_url, resolved once for every extractor, which then read these. An entry
-    without a full URL gets its resource's text for one, so that ids made from it are those of the payload."""
-    index = reference_index(entries)
+    """``entries`` with subject_url and encounter_url, resolved once for every extractor, which then read these: entries that
+    are ``linked_entries`` have them, others are joined with their bundles' index. An entry without a full URL gets its
+    resource's text for one, so that ids made from it are those of the payload."""
+    index = None
     for field in ("subject", "encounter"):
-        refs = entries.withColumn("_said", F.get_json_object("resource", f"$.{field}.reference"))
+        if f"{field}_url" in entries.columns:
+            continue
+        index = index if index is not None else reference_index(entries)
+        refs = entries.withColumn("_said", path(_resource(entries), f"$.{field}.reference", "string"))
         entries = resolve_refs(refs, index, "_said", f"{field}_url").drop("_said").withColumn(f"{field}_url", F.nullif(f"{field}_url", F.lit("")))
-    return entries.withColumn("full_url", F.coalesce(F.nullif("full_url", F.lit("")), F.concat(F.lit("urn:uuid:"), "resource")))
+    return entries.withColumn("full_url", F.coalesce(F.nullif("full_url", F.lit("")), F.concat(F.lit("urn:uuid:"), payload(entries))))
 
 
 def _reference(df: DataFrame, field: str) -> Column:
@@ -101,9 +120,10 @@ def exclusion_reason(kind: Column, status: Column, verification: Column) -> Colu
 
 def with_reason(entries: DataFrame) -> DataFrame:
     """``entries`` with status and reason."""
-    codes = F.from_json(F.get_json_object("resource", "$.verificationStatus"), CODEABLE)
+    resource = _resource(entries)
+    codes = path(resource, "$.verificationStatus", CODEABLE)
     verification = F.coalesce(verification_codes(codes), F.array().cast("array<string>"))
-    own = F.trim(F.coalesce(F.get_json_object("resource", "$.status"), F.lit("")))
+    own = F.trim(F.coalesce(path(resource, "$.status", "string"), F.lit("")))
     status = F.when(F.col("resource_type") == "Condition", F.array_join(F.array_sort(F.array_distinct(verification)), ",")).otherwise(own)
     return entries.withColumn("status", status).withColumn("reason", exclusion_reason(F.col("resource_type"), own, verification))
 
@@ -114,7 +134,7 @@ def publishable(entries: DataFrame) -> DataFrame:
 
 def exclusions(entries: DataFrame) -> DataFrame:
     """(resource_type, event_key, status, reason) of events kept back; without a URL the key is a digest."""
-    key = F.coalesce(F.nullif("full_url", F.lit("")), F.concat(F.lit("sha256:"), F.sha2(F.col("resource").cast("binary"), 256)))
+    key = F.coalesce(F.nullif("full_url", F.lit("")), F.concat(F.lit("sha256:"), F.sha2(payload(entries).cast("binary"), 256)))
     return with_reason(entries).where("reason is not null").select("resource_type", key.alias("event_key"), "status", "reason")
 
 
@@ -178,9 +198,13 @@ def extract_conditions(entries: DataFrame) -> DataFrame:
 def extract_drugs(entries: DataFrame) -> DataFrame:
     """Requests with their own concept, or that of the Medication they refer to in the bundle."""
     m = parsed(publishable(entries), "MedicationRequest")
-    medication = resolve_refs(m.withColumn("_med", F.col("r.medicationReference.reference")), reference_index(entries), "_med", "_med_url")
-    known = parsed(entries, "Medication").select("bundle_id", F.col("full_url").alias("_med_url"), F.col("r.code").alias("_med_code")).dropDuplicates(["bundle_id", "_med_url"])
-    both = medication.join(known, ["bundle_id", "_med_url"], "left").withColumn("_code", F.coalesce("r.medicationCodeableConcept", "_med_code"))
+    if "medication_code" in m.columns:
+        both = m.withColumn("_med_code", path(F.col("medication_code"), "$", CODEABLE))
+    else:
+        medication = resolve_refs(m.withColumn("_med", F.col("r.medicationReference.reference")), reference_index(entries), "_med", "_med_url")
+        known = parsed(entries, "Medication").select("bundle_id", F.col("full_url").alias("_med_url"), F.col("r.code").alias("_med_code")).dropDuplicates(["bundle_id", "_med_url"])
+        both = medication.join(known, ["bundle_id", "_med_url"], "left")
+    both = both.withColumn("_code", F.coalesce("r.medicationCodeableConcept", "_med_code"))
     period = "r.dispenseRequest.validityPeriod"
     return _events(_coded(both, "_code", PREFERRED["MedicationRequest"]), F.coalesce(f"{period}.start", "r.authoredOn"), F.col(f"{period}.end"))
 
@@ -247,7 +271,7 @@ def event_contexts(entries: DataFrame) -> tuple[DataFrame, DataFrame]:
     several references."""
     kind = F.coalesce(*[F.when(F.col("resource_type") == k, F.array(*map(F.lit, t))) for k, t in TARGETS.items()])
     rows = entries.where(F.col("resource_type").isin(*TARGETS)).select(
-        F.explode(kind).alias("target_table"), "full_url", F.trim(F.get_json_object("resource", "$.encounter.reference")).alias("encounter_ref")
+        F.explode(kind).alias("target_table"), "full_url", F.trim(path(_resource(entries), "$.encounter.reference", "string")).alias("encounter_ref")
     )
     rows = rows.where("encounter_ref <> ''").distinct()
     clash = rows.groupBy("target_table", "full_url").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -267,7 +291,7 @@ def bundle_violations(entries: DataFrame) -> DataFrame:
     out = out.unionByName(one(patients.where("_n = 0").withColumn("full_url", F.lit(None).cast("string")), "NO_PATIENT"))
     index = reference_index(entries)
     for field in ("subject", "encounter"):
-        refs = entries.where(F.col("resource_type").isin(*TARGETS)).withColumn("ref", F.trim(F.get_json_object("resource", f"$.{field}.reference")))
+        refs = entries.where(F.col("resource_type").isin(*TARGETS)).withColumn("ref", F.trim(path(_resource(entries), f"$.{field}.reference", "string")))
         out = out.unionByName(one(refs.where("ref <> ''").join(index, ["bundle_id", "ref"], "left_anti"), f"UNRESOLVED_{field.upper()}"))
     for kind in ("Condition", "Observation", "Procedure"):
         p = parsed(entries, kind)

@@ -1,29 +1,78 @@
-"""FHIR bundles."""
+"""FHIR bundles. A document is parsed once, into a VARIANT; everything else reads paths of that."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-ENVELOPE = "struct<resourceType:string,entry:array<struct<fullUrl:string,resource:string>>>"
+
+def path(value: Column, at: str, kind: str) -> Column:
+    """What stands at a path of a VARIANT; null where it is missing or of another shape."""
+    return F.try_variant_get(value, at, kind)
+
+
+def _members(bundles: DataFrame) -> DataFrame:
+    """(bundle_id, members): the entries of each Bundle as VARIANTs; null for documents that are none, or no JSON."""
+    parsed = bundles.select("bundle_id", F.try_parse_json("json").alias("_doc"))
+    doc = F.col("_doc")
+    return parsed.select("bundle_id", F.when(path(doc, "$.resourceType", "string") == "Bundle", path(doc, "$.entry", "array<variant>")).alias("members"))
+
+
+def _fields(e: Column) -> dict[str, Column]:
+    return {
+        "full_url": F.trim(path(e, "$.fullUrl", "string")),
+        "resource_type": F.trim(path(e, "$.resource.resourceType", "string")),
+        "id": F.trim(path(e, "$.resource.id", "string")),
+        "resource": path(e, "$.resource", "variant"),
+    }
 
 
 def entries(bundles: DataFrame) -> DataFrame:
-    """A row for each entry of ``bundles`` (bundle_id, json): bundle_id, pos, full_url, resource_type, id and
-    the resource as JSON text. Documents that are no Bundle, or no JSON, give none."""
-    parsed = bundles.select("bundle_id", F.from_json("json", ENVELOPE).alias("b")).where("b.resourceType = 'Bundle'")
-    each = parsed.select("bundle_id", F.posexplode("b.entry").alias("pos", "e"))
-    return each.select(
-        "bundle_id",
-        "pos",
-        F.trim("e.fullUrl").alias("full_url"),
-        F.trim(F.get_json_object("e.resource", "$.resourceType")).alias("resource_type"),
-        F.trim(F.get_json_object("e.resource", "$.id")).alias("id"),
-        F.col("e.resource").alias("resource"),
+    """A row for each entry of ``bundles`` (bundle_id, json): bundle_id, pos, full_url, resource_type, id and the resource as a
+    VARIANT. Documents that are no Bundle, or no JSON, give none."""
+    # the outer form, as the plain one would have its array, and with it the parse, computed once more in a filter
+    each = _members(bundles).select("bundle_id", F.posexplode_outer("members").alias("pos", "_e")).where("pos is not null")
+    return each.select("bundle_id", "pos", *[c.alias(name) for name, c in _fields(F.col("_e")).items()])
+
+
+def linked_entries(bundles: DataFrame) -> DataFrame:
+    """``entries`` with subject_url, encounter_url and medication_code, the CodeableConcept (a VARIANT) of the Medication that
+    is referred to. References are looked up in the bundle's own map while it is still one row, so nothing is joined or
+    shuffled, and the map is not carried by its entries. A reference is a Type/id or a full URL of the bundle; another stays
+    as it is. Of resources with one name, that with the greatest full URL counts."""
+    found = _members(bundles).select("bundle_id", F.transform("members", lambda e: F.struct(*[c.alias(n) for n, c in _fields(e).items()])).alias("_es"))
+    good = F.filter("_es", lambda e: (e["resource_type"] != "") & (e["id"] != "") & (e["full_url"] != ""))
+    pair = lambda ref, url: F.struct(ref.alias("ref"), url.alias("url"))
+    names = F.flatten(F.transform(good, lambda e: F.array(pair(e["full_url"], e["full_url"]), pair(F.concat_ws("/", e["resource_type"], e["id"]), e["full_url"]))))
+    found = found.withColumn("_names", F.array_sort(F.array_distinct(names)))
+    # sorted by name and URL, the last of each name; what stands for itself need not be looked up
+    last = F.filter("_names", lambda x, i: ~F.coalesce(F.get("_names", i + 1)["ref"] == x["ref"], F.lit(False)))
+    drugs = F.filter("_es", lambda e: (e["resource_type"] == "Medication") & (e["full_url"] != ""))
+    drugs = F.transform(drugs, lambda e: F.struct(e["full_url"].alias("url"), path(e["resource"], "$.code", "variant").alias("code")))
+    found = found.select(
+        "bundle_id", "_es", F.map_from_entries(F.filter(last, lambda x: x["ref"] != x["url"])).alias("_map"), drugs.alias("_drugs")
     )
 
+    def resolved(e: Column, field: str) -> Column:
+        said = F.trim(path(e["resource"], f"$.{field}.reference", "string"))
+        return F.nullif(F.when(said.startswith("urn:"), said).otherwise(F.coalesce(F.try_element_at("_map", said), said)), F.lit(""))
 
-def read_bundles(spark: SparkSession, path: str) -> DataFrame:
-    """Entries of every JSON file below ``path``; a file's name is its bundle_id."""
+    def medication(e: Column) -> Column:
+        url = resolved(e, "medicationReference")
+        asked = F.filter("_drugs", lambda d: d["url"] == url)
+        return F.when(e["resource_type"] == "MedicationRequest", F.get(asked, F.lit(0))["code"])
+
+    more = lambda e: {"subject_url": resolved(e, "subject"), "encounter_url": resolved(e, "encounter"), "medication_code": medication(e)}
+    full = F.transform("_es", lambda e: F.struct(*[e[n].alias(n) for n in ("full_url", "resource_type", "id", "resource")], *[c.alias(n) for n, c in more(e).items()]))
+    return found.select("bundle_id", full.alias("_es")).select("bundle_id", F.posexplode_outer("_es").alias("pos", "_e")).where("pos is not null").select("bundle_id", "pos", "_e.*")
+
+
+def read_json(spark: SparkSession, path: str) -> DataFrame:
+    """(bundle_id, json) of every JSON file below ``path``; a file's name is its bundle_id."""
     files = spark.read.option("pathGlobFilter", "*.json").option("recursiveFileLookup", "true").text(path, wholetext=True)
-    return entries(files.select(F.input_file_name().alias("bundle_id"), F.col("value").alias("json")))
+    return files.select(F.input_file_name().alias("bundle_id"), F.col("value").alias("json"))
+
+
+def read_bundles(spark: SparkSession, path: str) -> DataFrame:
+    """Entries of every JSON file below ``path``."""
+    return entries(read_json(spark, path))
