@@ -109,7 +109,7 @@ def release_violations(made: dict[str, DataFrame], ancestor: DataFrame, concept:
         out.append(lost.select(F.lit(name).alias("table_name"), F.lit("NO_PERSON").alias("violation"), "n"))
     gates = {
         "condition_era": derive.era_violations(made["condition_occurrence"], made["condition_era"]),
-        "drug_era": derive.drug_era_violations(made["drug_exposure"], made["drug_era"], ancestor, concept).where("check_name <> 'no_ingredient'"),
+        "drug_era": derive.drug_era_violations(made["drug_exposure"], made["drug_era"], ancestor, concept),
     }
     out += [df.select(F.lit(name).alias("table_name"), F.col("check_name").alias("violation"), "n") for name, df in gates.items()]
     return _union(out).where("n > 0")
@@ -122,19 +122,28 @@ def build_cdm(spark: SparkSession, bundle_path: str, vocabulary_path: str, out:
     vocabulary = files.read_vocabularies(spark, vocabulary_path)
     concept, relationship = vocabulary["concept"], vocabulary["concept_relationship"]
     ancestor = vocabulary["concept_ancestor"].withColumnsRenamed({"ancestor_concept_id": "ancestor_id", "descendant_concept_id": "descendant_id"})
-    version = tables.new_version(out)
-    entries, staged = store(bundles.linked_entries(bundles.read_json(spark, bundle_path)), "entries"), []
+    version, staged = tables.new_version(out), []
+
+    def staged_as(name: str, df: DataFrame) -> DataFrame:
+        staged.append(store(df, name))
+        return staged[-1]
 
     def keep(name: str, df: DataFrame) -> DataFrame:
         if name.startswith("staged_"):
-            staged.append(store(df, name))
-            return staged[-1]
+            return staged_as(name, df)
         df.write.parquet(f"{version}/{name}")
         return spark.read.parquet(f"{version}/{name}")
 
-    made = cdm_tables(entries, concept, relationship, ancestor, key, keep)
-    tables.require_clean(spark, version, release_violations(made, ancestor, concept))
-    tables.point(spark, out, version)
-    for table in (entries, *staged):
-        discard(table)
+    try:
+        entries = staged_as("entries", bundles.linked_entries(bundles.read_json(spark, bundle_path)))
+        made = cdm_tables(entries, concept, relationship, ancestor, key, keep)
+        tables.require_clean(spark, version, release_violations(made, ancestor, concept))
+        tables.point(spark, out, version)
+    except BaseException:
+        tables.drop(spark, version)
+        raise
+    finally:
+        # what was staged holds patients' data; it goes whether the version stands or not
+        for table in staged:
+            discard(table)
     return version

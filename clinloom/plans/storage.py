@@ -68,18 +68,18 @@ def _hospital(spark, sf_dir):
         F.when(key % 23 == 0, "v0").otherwise(files.HOSPITAL_VERSION).alias("schema_version"),
         F.when(key % 19 == 0, "?bad").when(key % 41 == 0, F.concat(F.lit("r"), (key - 41).cast("string"))).otherwise(F.concat(F.lit("r"), key.cast("string"))).alias("record_id"),
         F.when(key % 17 == 0, "billing").when(key % 2 == 0, "LAB").otherwise("medication").alias("domain"),
-        F.when(key % 13 == 0, " ").otherwise(F.col("p_name")).alias("source_value"),
+        F.when(key % 13 == 0, " ").when(key % 31 == 0, F.concat("p_name", F.lit('\nsecond "line"; 1'))).otherwise(F.col("p_name")).alias("source_value"),
         F.when(key % 11 == 0, F.repeat(F.lit("u"), 201)).otherwise("mg").alias("unit"),
         F.when(key % 7 == 0, "2024-02-30").when(key % 5 == 0, "2024-2-3").when(key % 3 == 0, "2024-02-03").alias("event_date"),
     )
     path = _folder(spark, "hospital")
-    rows.write.csv(path, sep=";", header=True)
+    rows.write.csv(path, sep=";", header=True, escape='"')
     return files.read_hospital_csv(spark, path)
 
 
 _HOSPITAL = """(select *, row_number() over (partition by record_id order by schema_version, record_id, domain, source_value, unit, event_date) as n from (select case when p_partkey % 23 = 0 then 'v0' else 'hospital-csv-v1' end as schema_version,
  case when p_partkey % 19 = 0 then '?bad' when p_partkey % 41 = 0 then 'r' || (p_partkey - 41) else 'r' || p_partkey end as record_id, case when p_partkey % 17 = 0 then 'billing' when p_partkey % 2 = 0 then 'LAB' else 'medication' end as domain,
- case when p_partkey % 13 = 0 then '' else p_name end as source_value, case when p_partkey % 11 = 0 then repeat('u', 201) else 'mg' end as unit,
+ case when p_partkey % 13 = 0 then '' when p_partkey % 31 = 0 then p_name || chr(10) || 'second "line"; 1' else p_name end as source_value, case when p_partkey % 11 = 0 then repeat('u', 201) else 'mg' end as unit,
  case when p_partkey % 7 = 0 then '2024-02-30' when p_partkey % 5 = 0 then '2024-2-3' when p_partkey % 3 = 0 then '2024-02-03' else '' end as event_date from part))"""
 _VIOLATION = """case when schema_version <> 'hospital-csv-v1' then 'SCHEMA_VERSION' when record_id = '?bad' then 'RECORD_ID' when n > 1 then 'DUPLICATE_RECORD_ID' when domain = 'billing' then 'DOMAIN' when source_value = '' then 'EMPTY_SOURCE_VALUE'
  when event_date not in ('', '2024-02-03') then 'EVENT_DATE' when length(unit) > 200 then 'TOO_LONG' end"""
@@ -90,6 +90,12 @@ def a3(spark, sf_dir):
     return _hospital(spark, sf_dir)[1]
 
 
+@query("a3_valid", f"select record_id, domain, source_value, unit, case domain when 'LAB' then 'measurement' else 'drug_exposure' end as target_table from {_HOSPITAL} where {_VIOLATION} is null")
+def a3_valid(spark, sf_dir):
+    """Rows that keep the contract, some with line breaks, quotes and separators inside their fields."""
+    return _hospital(spark, sf_dir)[0].select("record_id", "domain", "source_value", "unit", "target_table")
+
+
 @query("d22", f"select target_table, count(*) as n, 'unit' || case when max(event_date) <> '' then ',event_date' else '' end as fields from (select *, case domain when 'LAB' then 'measurement' else 'drug_exposure' end as target_table from {_HOSPITAL} where {_VIOLATION} is null) group by 1")
 def d22(spark, sf_dir):
     return files.hospital_summary(_hospital(spark, sf_dir)[0])

@@ -47,10 +47,14 @@ def shared_dir(spark: SparkSession) -> str:
 
 def store(df: DataFrame, name: str) -> DataFrame:
     """Writes ``df`` as Parquet into the shared folder and reads it back: lineage is cut, and a lost
-    executor costs a re-read instead of a recomputation."""
+    executor costs a re-read instead of a recomputation. A table whose writing fails leaves nothing."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    try:
+        df.write.parquet(path)
+    except BaseException:
+        _delete(spark, path)
+        raise
     stored = spark.read.schema(df.schema).parquet(path)
     stored._stored_at = path
     return stored
@@ -58,9 +62,12 @@ def store(df: DataFrame, name: str) -> DataFrame:
 
 def discard(stored: DataFrame) -> None:
     """Deletes a table that ``store`` wrote; nothing may read it any more."""
-    spark = stored.sparkSession
-    path = spark._jvm.org.apache.hadoop.fs.Path(stored._stored_at)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(stored.sparkSession, stored._stored_at)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

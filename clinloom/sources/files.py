@@ -70,12 +70,15 @@ HOSPITAL_DOMAINS = {
 RECORD_ID = "^[A-Za-z0-9][A-Za-z0-9._:-]{0,99}$"
 LONGEST_SOURCE, LONGEST_CONTEXT = 500, 200
 _HOSPITAL = (*HOSPITAL_REQUIRED, *HOSPITAL_CONTEXT)
+#: What stands around a value and is no part of it.
+_BLANKS = "".join(filter(str.isspace, map(chr, range(0x3001))))
 
 
 def read_hospital_csv(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """Rows of a hospital file (comma, semicolon or tab, told by the header; a byte-order mark is
     dropped) under its contract: valid rows with target_table, and (record_id, violation) for the others,
-    by the first rule that a row breaks. A header that breaks the contract fails."""
+    by the first rule that a row breaks. A header that breaks the contract fails. A quoted field may hold line breaks and
+    doubled quotes, so a record is no line and a file is one task: many files are read side by side, one is not split."""
     # the first line of every file; all files of a folder have the same header
     lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"))
     first = lines.where("block = 0").groupBy("file").agg(F.min_by("value", "at").alias("header")).select(F.ltrim("header", F.lit("\ufeff")).alias("header")).distinct().limit(2).collect()
@@ -89,7 +92,7 @@ def read_hospital_csv(spark: SparkSession, path: str) -> tuple[DataFrame, DataFr
     if set(HOSPITAL_REQUIRED) - set(names) or set(names) - set(_HOSPITAL):
         raise ValueError("columns missing or unknown")
     schema = ", ".join(f"`{n}` string" for n in names) + ", _corrupt string"
-    rows = spark.read.csv(path, schema=schema, sep=sep, header=True, escape='"', mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt", enforceSchema=True)
+    rows = spark.read.csv(path, schema=schema, sep=sep, header=True, escape='"', multiLine=True, mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt", enforceSchema=True)
     # a short line counts as damaged for Spark too, but is read with blanks here
     fields = F.size(F.split(F.regexp_replace("_corrupt", '"[^"]*"', ""), sep, -1))
     return check_hospital_rows(rows.withColumn("_corrupt", F.when(fields > len(names), F.col("_corrupt"))))
@@ -98,11 +101,12 @@ def read_hospital_csv(spark: SparkSession, path: str) -> tuple[DataFrame, DataFr
 def check_hospital_rows(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """As above, for rows that are parsed already; ``_corrupt`` holds a line with extra fields."""
     present = [c for c in _HOSPITAL if c in rows.columns]
-    clean = rows.select(*[F.trim(F.coalesce(F.col(c), F.lit(""))).alias(c) for c in present], F.col("_corrupt"))
+    clean = rows.select(*[F.trim(F.coalesce(F.col(c), F.lit("")), F.lit(_BLANKS)).alias(c) for c in present], F.col("_corrupt"))
     key = F.replace(F.lower("domain"), F.lit(" "), F.lit("_"))
     domain = F.coalesce(*[F.when(key == d, t) for d, t in HOSPITAL_DOMAINS.items()])
     early = (
         F.when(F.col("_corrupt").isNotNull(), "EXTRA_FIELDS")
+        .when(F.contains(F.concat(*present), F.lit("\0")), "NUL_BYTE")
         .when(F.col("schema_version") != HOSPITAL_VERSION, "SCHEMA_VERSION")
         .when(~F.col("record_id").rlike(RECORD_ID), "RECORD_ID")
     )

@@ -85,12 +85,17 @@ def point(spark: SparkSession, path: str, version: str) -> None:
         raise RuntimeError("another writer published at the same time")
 
 
+def drop(spark: SparkSession, version: str) -> None:
+    """Deletes a version, if it is there."""
+    folder, fs = _files(spark, version)
+    fs.delete(folder, True)
+
+
 def require_clean(spark: SparkSession, version: str, violations: DataFrame) -> None:
     """Deletes ``version`` and fails if ``violations`` has rows."""
     found = violations.limit(5).collect()
     if found:
-        folder, fs = _files(spark, version)
-        fs.delete(folder, True)
+        drop(spark, version)
         raise ValueError(f"the new version fails its checks: {[r.asDict() for r in found]}")
 
 

@@ -114,6 +114,23 @@ def test_golden_case_and_a_failing_release_that_keeps_the_old(spark, places):
     assert len(list((places["folder"] / "out").glob("version-*"))) == 1
 
 
+def test_an_exposure_without_ingredient_keeps_the_old_version(spark, places):
+    from clinloom.session import shared_dir
+
+    read = build(spark, places)
+    before = read("drug_era")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
+    names = lambda: {s.getPath().getName() for s in folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)}
+    held = names()
+    path = places["folder"] / "vocabulary/CONCEPT_ANCESTOR.csv"
+    path.write_text(path.read_text().replace("104\t104", "105\t105"))
+    with pytest.raises(ValueError, match="no_ingredient"):
+        build(spark, places)
+    assert [tuple(r) for r in tables.read_published(spark, places["out"], "drug_era").collect()] == before
+    assert len(list((places["folder"] / "out").glob("version-*"))) == 1
+    assert names() == held  # nothing staged is left
+
+
 def test_resources_without_url_get_their_payloads_id(spark):
     payload = json.dumps(bundle()["entry"][2]["resource"])
     patient = json.dumps(bundle()["entry"][0]["resource"])

@@ -231,3 +231,12 @@ def test_registry_of_random_actions(spark):
     )
     assert rows(outcomes, "action_id") == want
     assert {(x.adapter, x.system): x.vocabulary_id for x in after.where("active").collect()} == {k: v for k, v in held.items() if v}
+
+
+def test_hospital_fields_over_several_lines(spark, tmp_path):
+    v = "hospital-csv-v1"
+    lines = [f'{v},r1,lab,"two\nlines",mg', f'{v},r2,lab,"a ""b"", c\r\n",mg', f'{v},r3,lab,x,"u\n",more,"even\nmore"', f'{v},r4,lab,nul\0,mg', f'{v},r5,lab,last\t,']
+    (tmp_path / "h.csv").write_bytes(("schema_version,record_id,domain,source_value,unit\n" + "\n".join(lines) + "\n").encode())
+    valid, bad = files.read_hospital_csv(spark, str(tmp_path / "h.csv"))
+    assert rows(valid.select("record_id", "source_value", "unit"), "record_id") == [("r1", "two\nlines", "mg"), ("r2", 'a "b", c', "mg"), ("r5", "last", "")]
+    assert rows(bad, "record_id") == [("r3", "EXTRA_FIELDS"), ("r4", "NUL_BYTE")]
