@@ -105,6 +105,21 @@ def corpus(seed, n=150):
     return rows + [rows[0]] * 2 + [(n + 5 + i, f"word{i} of") for i in range(40)]
 
 
+def test_words_at_once_as_one_by_one():
+    r = random.Random(6)
+    letters = "ab cÉ1-'.!\u00a0日xs\u3000"
+    words = {"".join(r.choices(letters, k=r.randint(1, 9))).encode() for _ in range(3000)} | {b"x" * 300, b"\xff\xfe", b"'s", b"a\x00b"}
+    words = {x for w in words for x in w.split()}
+    found = A.WordIds(BYTE_RANKS, PATTERN)
+    found.learn(words)
+    for w in words:
+        assert found[w] == found.one(w)
+    small = A.WordIds(BYTE_RANKS, PATTERN, 100)
+    for some in ([b"a", b"bc"], list(words)[:500], [b"a"]):
+        small.learn(set(some))
+        assert small.ids(some).tobytes() == b"".join(found[w] for w in some)
+
+
 @pytest.mark.parametrize("known", [200_000, 3])
 def test_counts_and_scores(spark, monkeypatch, known):
     monkeypatch.setattr(A, "KNOWN_WORDS", known)
