@@ -52,6 +52,8 @@ SEGMENT = 16
 MAX_SHARE = 0.005
 RANK = 64
 COSINE = 0.45
+#: Cosines that a task holds at once (16 MB): passages by the item passages of a block.
+CELLS = 4_000_000
 #: Least share of an item passage's squared weights that a candidate must hold; a word that it repeats counts
 #: again, which only lets more through.
 OVERLAP = 0.25
@@ -261,9 +263,10 @@ def _latent(numbers: DataFrame, block: _Block, weight: np.ndarray, seed: int = 7
     items = np.zeros((size, rank))
     energy = 0.0
     for _, words in block.passages():
-        v = np.bincount(words, weight[words], minlength=size)
-        items += np.outer(v, v @ omega)
-        energy += v @ v
+        own, n = np.unique(words, return_counts=True)  # of the block's words a passage has a few
+        v = weight[own] * n
+        items[own] += np.outer(v, v @ omega[own])
+        energy += float(v @ v)
     whole = float((omega * product).sum()) / rank  # of A'A's trace, by Hutchinson's estimate
     product += items * (whole / energy if whole > 0 and energy > 0 else 1.0)
     # Nystroem: A'A is near P (O'P)^+ P', so its directions are those of P (O'P)^(-1/2)
@@ -389,8 +392,9 @@ def _search(numbers: DataFrame, block: _Block, weight: np.ndarray, directions: n
             near[:-1] += hits[1:] * piece.goes_on()[:-1].astype(near.dtype)
             some = np.flatnonzero(near >= least)
             best: dict[tuple[int, int], tuple] = {k: (1.0, 1.0, -1.0, *place) for k, place in runs.found(piece.words).items()}
-            for at in range(0, len(some), 4096):
-                chunk = some[at : at + 4096]
+            side = max(16, CELLS // items.shape[1])
+            for at in range(0, len(some), side):
+                chunk = some[at : at + side]
                 cosines = _unit(sums[:, chunk].T) @ items
                 p, q = np.nonzero(cosines >= COSINE)
                 p, q = overlap.keep(piece, chunk, p, q)

@@ -16,6 +16,7 @@ as no rows; very long texts are whole; columns besides doc_id and text are not r
 
 from __future__ import annotations
 
+import json
 import re
 import uuid
 import zlib
@@ -45,8 +46,26 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+#: The settings of a tokenizer file that the short cut of ``WordEncoder`` holds for.
+NORMALIZER = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+SPLIT = {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True}
+BYTES = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+MODEL = {"type": "BPE", "dropout": None, "continuing_subword_prefix": None, "end_of_word_suffix": "</w>", "byte_fallback": False, "ignore_merges": False}
+
+
+def is_known(path: str) -> bool:
+    """Whether a tokenizer file cuts texts as the short cut does; added tokens must begin with ``<|``."""
+    with open(path, encoding="utf-8") as f:
+        given = json.load(f)
+    parts = [(given.get("normalizer") or {}).get("normalizers"), (given.get("pre_tokenizer") or {}).get("pretokenizers")]
+    model = {k: given["model"].get(k) for k in MODEL}
+    tokens = all(t["content"].startswith("<|") and not (t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"]) for t in given.get("added_tokens") or [])
+    return parts == [NORMALIZER, [SPLIT, BYTES]] and model == MODEL and tokens and not given.get("truncation") and not given.get("padding")
+
+
 class WordEncoder:
-    """Encodes whole texts as the tokenizers library does with this vocabulary. White space separates
+    """Encodes whole texts as the tokenizers library does. With a vocabulary whose settings are not those of ``is_known``
+    each text goes through the library whole. With those, white space separates
     pieces there and is dropped, so stretches between white space are encoded apart and remembered. In a
     stretch of printable ASCII and Latin-1 letters, which its normaliser only lower-cases, the vocabulary's
     pattern is applied here and only the pieces go to the library's model, their bytes written as its byte
@@ -59,6 +78,7 @@ class WordEncoder:
         four = [k.to_bytes(4, "little") for k in range(tokenizer.get_vocab_size(with_added_tokens=True))]
         pack = lambda ids: b"".join([four[k] for k in ids])
         tokenize = model.tokenize
+        self.whole = None if is_known(path) else lambda text: pack(tokenizer.encode(text, add_special_tokens=False).ids)
         # the byte alphabet: printable bytes stand for themselves, the others follow from 256 on
         shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
         letter = {b: chr(b) for b in shown} | {b: chr(256 + n) for n, b in enumerate(b for b in range(256) if b not in shown)}
@@ -83,7 +103,7 @@ class WordEncoder:
         self.vocabulary = tokenizer.get_vocab_size(with_added_tokens=True)
 
     def encode(self, text: str) -> bytes:
-        return b"".join(map(self.stretches.__getitem__, text.encode("utf-8").split()))
+        return self.whole(text) if self.whole else b"".join(map(self.stretches.__getitem__, text.encode("utf-8").split()))
 
 
 @lru_cache(maxsize=1)

@@ -368,3 +368,56 @@ def test_pipeline_of_odd_tables(spark, tmp_path):
 def test_minhash_of_clashing_columns(spark):
     rows = spark.createDataFrame([(1, prose(1, 30), 5, True), (2, prose(1, 30), 6, False), (2, prose(1, 30), 6, False)], "doc_id long, text string, component_id long, kept boolean")
     assert sorted((x.doc_id, x.component_id, x.kept) for x in minhash.near_duplicates(rows).collect()) == [(1, 1, True), (2, 1, False), (2, 1, False)]
+
+
+# ---- 8, other tokenizer files
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_encoder_equals_the_library_for_any_file(name):
+    import public_tokenizers
+
+    path = public_tokenizers.path(name)
+    assert token_files.is_known(path) == (name == "word_bpe_49k.json")
+    library, own, r = Tokenizer.from_file(path), token_files.WordEncoder(path), random.Random(8)
+    letters = "abcÀÉß 日\t\n'sT1<|>-._\u00a0e\u0301"
+    for _ in range(300):
+        text = "".join(r.choices(letters, k=r.randint(0, 40)))
+        assert np.frombuffer(own.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_a_file_with_other_settings_gets_no_short_cut(tmp_path):
+    import json
+
+    with open(WORD_BPE, encoding="utf-8") as f:
+        given = json.load(f)
+    changes = [
+        lambda d: d["normalizer"]["normalizers"].pop(),
+        lambda d: d["pre_tokenizer"]["pretokenizers"][0]["pattern"].update(Regex="[a-z]+"),
+        lambda d: d["model"].update(end_of_word_suffix="</x>"),
+        lambda d: d["added_tokens"][0].update(content="start"),
+        lambda d: d.update(truncation={"max_length": 5}),
+    ]
+    for n, change in enumerate(changes):
+        other = json.loads(json.dumps(given))
+        change(other)
+        (tmp_path / f"{n}.json").write_text(json.dumps(other))
+        assert not token_files.is_known(str(tmp_path / f"{n}.json"))
+
+
+# ---- 5, a passage's share of the items' sums
+
+
+def test_sparse_sums_are_the_dense_ones():
+    r = np.random.default_rng(3)
+    size, rank = 500, 16
+    omega, weight = r.standard_normal((size, rank)), np.where(r.random(size) < 0.2, 0, r.random(size))
+    dense, sparse = np.zeros((size, rank)), np.zeros((size, rank))
+    for _ in range(50):
+        words = r.integers(0, size, 24)
+        v = np.bincount(words, weight[words], minlength=size)
+        dense += np.outer(v, v @ omega)
+        own, n = np.unique(words, return_counts=True)
+        v = weight[own] * n
+        sparse[own] += np.outer(v, v @ omega[own])
+    assert np.allclose(dense, sparse)
