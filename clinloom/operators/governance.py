@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clinloom.functions.ids import uuid5
+from clinloom.session import discard, store
 
 OPEN = ("PENDING", "LOW_CONFIDENCE")
 # Marks of provenance rows, those still open and those that a decision leaves.
@@ -56,9 +57,50 @@ def _admitted(votes: DataFrame, columns: list[str]) -> DataFrame:
     return ordered.mapInArrow(run, schema)
 
 
-def admit_reviews(decisions: DataFrame, actions: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _admitted_by_rounds(votes: DataFrame, columns: list[str]) -> DataFrame:
+    """As ``_admitted``, in rounds over all keys together, so that a key's votes lie in many tasks. Of the votes still open, one
+    that is the earliest of its decision and of its actor in its key depends on no other and is admitted; then the votes of
+    the actors admitted and of the decisions with two such votes fall out. Only a decision's first vote of each actor can be
+    admitted, so others never enter. The second vote admitted tells the reason of those refused."""
+    rows = store(votes.select("semantic_key", *columns).withColumn("_at", F.struct("submitted_at", "review_id", F.monotonically_increasing_id().alias("row"))), "votes")
+    place, actor = ["semantic_key", "decision_id"], ["semantic_key", "actor"]
+    least = lambda df, keys, name: df.groupBy(*keys).agg(F.min("_at").alias(name))
+    named = rows.where("actor is not null").groupBy("semantic_key", "decision_id", "actor").agg(F.min("_at").alias("_at"))
+    left = store(named.unionByName(rows.where("actor is null").select("semantic_key", "decision_id", "actor", "_at")), "votes-open")
+    settled = None
+    while not left.isEmpty():
+        both = left.join(least(left, place, "_place"), place).join(least(left.where("actor is not null"), actor, "_actor"), actor, "left")
+        first = store(both.where("_at = _place and (actor is null or _at = _actor)").select(*left.columns), "votes-first")
+        now = first if settled is None else settled.unionByName(first)
+        full = now.groupBy(*place).agg(F.count(F.lit(1)).alias("n")).where("n >= 2").select(*place)
+        taken = first.where("actor is not null").select(*actor).distinct()
+        rest = left.join(first.select("semantic_key", "_at"), ["semantic_key", "_at"], "left_anti").join(taken, actor, "left_anti").join(full, place, "left_anti")
+        before, left, settled = left, store(rest, "votes-open"), now
+        discard(before)
+    if settled is None:
+        return rows.withColumn("reason", F.lit(None).cast("string")).drop("_at")
+    second = settled.groupBy(*place).agg(F.max("_at").alias("_second"), F.count(F.lit(1)).alias("_n")).where("_n = 2").select(*place, "_second")
+    judged = rows.join(settled.select("semantic_key", "_at", F.lit(True).alias("_in")), ["semantic_key", "_at"], "left").join(second, place, "left")
+    reason = F.when(F.col("_in"), None).when(F.col("_second") < F.col("_at"), "TWO_REVIEWS_EXIST").otherwise("SAME_PERSON")
+    return judged.select("semantic_key", *columns, reason.alias("reason"))
+
+
+#: A key with more votes than this is judged in rounds, not by one task.
+FOLDED_VOTES = 10_000
+
+
+def _judged(votes: DataFrame, columns: list[str], most: int) -> DataFrame:
+    """Each key's votes with ``reason``: those of a key with ``most`` votes or fewer by a fold, of others in rounds."""
+    busy = votes.groupBy("semantic_key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > most).select("semantic_key")
+    if busy.isEmpty():
+        return _admitted(votes, columns)
+    busy = store(busy, "busy-keys")
+    return _admitted(votes.join(busy, "semantic_key", "left_anti"), columns).unionByName(_admitted_by_rounds(votes.join(busy, "semantic_key", "left_semi"), columns))
+
+
+def admit_reviews(decisions: DataFrame, actions: DataFrame, folded: int = FOLDED_VOTES) -> tuple[DataFrame, DataFrame]:
     """Votes of ``actions`` in order of (submitted_at, review_id). A refused vote counts neither for the two
-    places of a decision nor as a vote of its actor."""
+    places of a decision nor as a vote of its actor. Keys of more than ``folded`` votes are judged in rounds."""
     d = decisions.select("decision_id", "semantic_key", "proposer", "status", "eligible")
     known = actions.join(d, "decision_id", "left")
     early = (
@@ -69,9 +111,9 @@ def admit_reviews(decisions: DataFrame, actions: DataFrame) -> tuple[DataFrame,
     )
     judged = known.withColumn("reason", early)
     out = ["review_id", "decision_id", "actor", "verdict", "submitted_at"]
-    folded = _admitted(judged.where("reason is null"), out)
-    rejected = judged.where("reason is not null").select(*out, "reason").unionByName(folded.where("reason is not null").select(*out, "reason"))
-    return folded.where("reason is null").select(*out), rejected
+    done = _judged(judged.where("reason is null"), out, folded)
+    rejected = judged.where("reason is not null").select(*out, "reason").unionByName(done.where("reason is not null").select(*out, "reason"))
+    return done.where("reason is null").select(*out), rejected
 
 
 def dedupe_votes(reviews: DataFrame, decisions: DataFrame) -> DataFrame:
