@@ -24,7 +24,7 @@ def expand_aliases(terms: DataFrame, lexicon: DataFrame, synthetic: bool = True)
     return joined.select(*terms.columns, F.coalesce("expansion", "term").alias("retrieval_text"), "alias_id")
 
 
-def _matrix(column: pa.ListArray, width: int) -> np.ndarray:
+def as_matrix(column: pa.ListArray, width: int) -> np.ndarray:
     """The vectors as rows; null ones and those of another length are zero."""
     fits = pc.fill_null(pc.equal(pc.list_value_length(column), width), False)
     rows = np.zeros((len(column), width))
@@ -48,7 +48,7 @@ def cosine_topk(queries: DataFrame, index: DataFrame, k: int) -> DataFrame:
             best_s = np.full((len(ids), 0), 0.0)
             best_i = np.zeros((len(ids), 0), np.int64)
             for batch in batches:
-                v = _matrix(batch.column(1), q.shape[1])
+                v = as_matrix(batch.column(1), q.shape[1])
                 norm = np.linalg.norm(v, axis=1, keepdims=True)
                 s = q @ (v / np.where(norm == 0, 1, norm)).T
                 best_s = np.concatenate([best_s, s], axis=1)
