@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clinloom.functions.text import AXES, actor_key, alias_key, axes, jaro_winkler, sequence_ratio
+from clinloom.session import store
 
 #: Queries that a task holds at once.
 QUERY_BLOCK = 4_096
@@ -93,8 +97,8 @@ def rerank(candidates: DataFrame, k: int) -> DataFrame:
     return rows.withColumn("new_rank", F.row_number().over(order)).where(F.col("new_rank") <= k).drop("_s", "_c")
 
 
-#: Terms of a worklist, and names of a register, at most; more fails.
-MOST_TERMS, MOST_NAMES = 20_000, 50_000
+#: Terms of a worklist, and names of a register, that meet all rows at once, about; more come in blocks.
+BLOCK_TERMS, BLOCK_NAMES = 20_000, 50_000
 
 
 def _letters(words: list[str]) -> np.ndarray:
@@ -132,36 +136,39 @@ class _Nearest:
                 del best[self.k :]
 
 
-def _bounded(df: DataFrame, most: int, what: str) -> list:
-    rows = df.limit(most + 1).collect()
-    if len(rows) > most:
-        raise ValueError(f"more than {most} {what}")
-    return rows
+def _blocks(rows: DataFrame, key: str, size: int) -> Iterator[list]:
+    """``rows`` in blocks of about ``size``, by a hash of ``key``, one at a time on the driver."""
+    rows = store(rows, "worklist")
+    many = -(-rows.count() // size)
+    for b in range(many):
+        yield rows.where(F.pmod(F.xxhash64(key), F.lit(many)) == b).collect()
 
 
 def jaro_winkler_topk(terms: DataFrame, slice_: DataFrame, k: int) -> DataFrame:
     """(term_id, item_id, score, rank): the k most similar names of ``slice_`` (item_id, name) for each of
-    ``terms`` (term_id, term), ties by item_id. ``terms`` is a worklist of ``MOST_TERMS`` at most, which meets each
-    task's part of the slice; a task sends on its k best of each term."""
+    ``terms`` (term_id, term), ties by item_id. Terms go in blocks of about ``BLOCK_TERMS``, each of which meets all of the
+    slice in one pass; a task sends on its k best of each term."""
     spark = slice_.sparkSession
-    asked = _bounded(terms.select(F.col("term_id").cast("long"), F.lower(F.trim("term"))).where("term_id is not null"), MOST_TERMS, "terms")
-    shared = spark.sparkContext.broadcast([(r[0], r[1]) for r in asked if r[1] is not None])
+    named = slice_.select(F.col("item_id").cast("long").alias("item_id"), F.lower(F.trim("name")).alias("name")).where("name is not null")
+    asked = terms.select(F.col("term_id").cast("long").alias("term_id"), F.lower(F.trim("term")).alias("term")).where("term_id is not null and term is not null")
+    found = spark.createDataFrame([], "term_id long, item_id long, score double")
+    for block in _blocks(asked, "term_id", BLOCK_TERMS):
+        found = found.unionByName(_nearest_names(spark.sparkContext.broadcast([(r[0], r[1]) for r in block]), named, k))
+    order = Window.partitionBy("term_id").orderBy(F.desc("score"), "item_id")
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
+
+def _nearest_names(shared: Broadcast, named: DataFrame, k: int) -> DataFrame:
     def run(batches):
         nearest = _Nearest(shared.value, k)
         for batch in batches:
-            items, names = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            some = [(i, n) for i, n in zip(items, names, strict=True) if n is not None]
-            if some and nearest.terms:
-                nearest.add(*map(list, zip(*some, strict=True)))
+            if batch.num_rows and nearest.terms:
+                nearest.add(batch.column(0).to_pylist(), batch.column(1).to_pylist())
         rows = [(term, item, -score) for (term, _), best in zip(nearest.terms, nearest.best, strict=True) for score, item in best]
         columns = list(zip(*rows, strict=True)) or [(), (), ()]
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.float64()), strict=True)], names=["term_id", "item_id", "score"])
 
-    named = slice_.select(F.col("item_id").cast("long").alias("item_id"), F.lower(F.trim("name")).alias("name"))
-    found = named.mapInArrow(run, "term_id long, item_id long, score double")
-    order = Window.partitionBy("term_id").orderBy(F.desc("score"), "item_id")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return named.mapInArrow(run, "term_id long, item_id long, score double")
 
 
 def threshold_decision(exact: DataFrame, candidates: DataFrame, threshold: float) -> DataFrame:
@@ -280,12 +287,19 @@ def approved_examples(approved: DataFrame, n: int, exclude: DataFrame | None = N
 def suggest_actors(names: DataFrame, aliases: DataFrame, threshold: float = 0.84) -> DataFrame:
     """Possible identities (name, actor_id, similarity) of ``names`` among ``aliases`` (actor_id, alias): the
     sequence ratio of their keys, at least 0.96 with first and last token in common and 0.92 where one's
-    tokens are a part of the other's. ``aliases`` is the actor register, of ``MOST_NAMES`` keys at most."""
+    tokens are a part of the other's. The register's keys are sent in blocks of about ``BLOCK_NAMES``, each of which meets
+    every distinct name once; lengths, compared in the JVM, leave fewer pairs to match."""
     left = names.select("name", actor_key("name").alias("_a")).where("_a <> ''")
     right = aliases.select("actor_id", actor_key("alias").alias("_b")).distinct()
-    keys = right.select("_b").distinct()
-    known = names.sparkSession.createDataFrame(_bounded(keys, MOST_NAMES, "names in the register"), "_b string")
-    asked = left.select("_a").distinct()
+    asked = store(left.select("_a").distinct(), "names")
+    scored = names.sparkSession.createDataFrame([], "_a string, _b string, similarity double")
+    for block in _blocks(right.select("_b").distinct(), "_b", BLOCK_NAMES):
+        scored = scored.unionByName(_alike(asked, names.sparkSession.createDataFrame(block, "_b string"), threshold))
+    found = left.join(scored, "_a").join(right, "_b")
+    return found.groupBy("name", "actor_id").agg(F.round(F.max("similarity"), 6).alias("similarity"))
+
+
+def _alike(asked: DataFrame, known: DataFrame, threshold: float) -> DataFrame:
     both = asked.crossJoin(F.broadcast(known)).withColumns({"_x": F.split("_a", " "), "_y": F.split("_b", " ")})
     two = (F.size("_x") >= 2) & (F.size("_y") >= 2)
     edges = two & (F.get("_x", F.lit(0)) == F.get("_y", F.lit(0))) & (F.element_at("_x", -1) == F.element_at("_y", -1))
@@ -295,6 +309,4 @@ def suggest_actors(names: DataFrame, aliases: DataFrame, threshold: float = 0.84
     chance = (2.0 * short / (short + long_) >= threshold) | edges | inside
     near = both.where(chance).withColumns({"_edges": edges, "_inside": inside})
     score = F.greatest(sequence_ratio("_a", "_b"), F.when(F.col("_edges"), 0.96).otherwise(0.0), F.when(F.col("_inside"), 0.92).otherwise(0.0))
-    scored = near.select("_a", "_b", score.alias("similarity")).where(F.col("similarity") >= threshold)
-    found = left.join(scored, "_a").join(right, "_b")
-    return found.groupBy("name", "actor_id").agg(F.round(F.max("similarity"), 6).alias("similarity"))
+    return near.select("_a", "_b", score.alias("similarity")).where(F.col("similarity") >= threshold)

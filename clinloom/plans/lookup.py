@@ -94,13 +94,13 @@ def e5(spark, sf_dir):
 
 
 _E6 = """select term_id, item_id, score, cast(rank as int) as rank from (select *, row_number() over (partition by term_id order by score desc, item_id) as rank from (select t.p_partkey as term_id, i.p_partkey as item_id,
- round(jaro_winkler_similarity(lower(trim(substr(t.p_name, 2))), lower(trim(i.p_name))), 6) as score from part t, part i where t.p_partkey % 50 = {of})) where rank <= 5"""
-E6 = _E6.format(of=0)
+ round(jaro_winkler_similarity(lower(trim(substr(t.p_name, 2))), lower(trim(i.p_name))), 6) as score from part t, part i where t.p_partkey % {by} = {of})) where rank <= 5"""
+E6 = _E6.format(by=50, of=0)
 
 
-def _fuzzy(spark, sf_dir, of=0):
+def _fuzzy(spark, sf_dir, by=50, of=0):
     part = Clinic(spark, sf_dir).raw("part")
-    terms = part.where(F.col("p_partkey") % 50 == of).select(F.col("p_partkey").alias("term_id"), F.expr("substr(p_name, 2)").alias("term"))
+    terms = part.where(F.col("p_partkey") % by == of).select(F.col("p_partkey").alias("term_id"), F.expr("substr(p_name, 2)").alias("term"))
     return retrieval.jaro_winkler_topk(terms, part.select(F.col("p_partkey").alias("item_id"), F.col("p_name").alias("name")), 5)
 
 
@@ -110,14 +110,14 @@ def e6(spark, sf_dir):
 
 
 E7 = f"""select p_partkey as case_id, case when p_partkey % 2 = 0 or coalesce(score >= 0.9, false) then 'MAP' else 'ABSTAIN' end as decision, case when p_partkey % 2 = 0 then 7 when score >= 0.9 then item_id end as concept_id,
- case when p_partkey % 2 = 0 then 1.0 else coalesce(score, 0.0) end::double as score, case when p_partkey % 2 = 0 then 'EXACT_CODE' when score >= 0.9 then 'CANDIDATE' else 'NONE' end as method from part left join (select * from ({_E6.format(of=25)}) where rank = 1) f on f.term_id = p_partkey"""
+ case when p_partkey % 2 = 0 then 1.0 else coalesce(score, 0.0) end::double as score, case when p_partkey % 2 = 0 then 'EXACT_CODE' when score >= 0.9 then 'CANDIDATE' else 'NONE' end as method from part left join (select * from ({_E6.format(by=2, of=1)}) where rank = 1) f on f.term_id = p_partkey"""
 
 
 @query("e7", E7)
 def e7(spark, sf_dir):
     even = F.col("p_partkey") % 2 == 0
     exact = Clinic(spark, sf_dir).raw("part").select(F.col("p_partkey").alias("case_id"), F.when(even, "MAP").otherwise("ABSTAIN").alias("decision"), F.when(even, 7).cast("long").alias("concept_id"))
-    return retrieval.threshold_decision(exact, _fuzzy(spark, sf_dir, 25).withColumnRenamed("term_id", "case_id"), 0.9)
+    return retrieval.threshold_decision(exact, _fuzzy(spark, sf_dir, 2, 1).withColumnRenamed("term_id", "case_id"), 0.9)
 
 
 @query(

@@ -240,3 +240,45 @@ def test_hospital_fields_over_several_lines(spark, tmp_path):
     valid, bad = files.read_hospital_csv(spark, str(tmp_path / "h.csv"))
     assert rows(valid.select("record_id", "source_value", "unit"), "record_id") == [("r1", "two\nlines", "mg"), ("r2", 'a "b", c', "mg"), ("r5", "last", "")]
     assert rows(bad, "record_id") == [("r3", "EXTRA_FIELDS"), ("r4", "NUL_BYTE")]
+
+
+def test_fuzzy_search_and_names_in_blocks(spark, monkeypatch):
+    """Several blocks give what one gives, which is what all pairs give."""
+    import random
+    from difflib import SequenceMatcher
+
+    r = random.Random(12)
+    word = lambda: "".join(r.choices("abcde", k=r.randint(0, 7)))
+    names, terms = [(i, r.choice([word(), word() + " " + word()])) for i in range(120)] + [(500, None)], [(i, word()) for i in range(50)] + [(77, None), (None, "x")]
+    slice_ = spark.createDataFrame(names, "item_id long, name string").repartition(3)
+    asked = spark.createDataFrame(terms, "term_id long, term string")
+    monkeypatch.setattr(retrieval, "BLOCK_TERMS", 9)
+    got = sorted((x.term_id, x["rank"], x.item_id, x.score) for x in retrieval.jaro_winkler_topk(asked, slice_, 4).collect())
+    want = []
+    for i, t in terms:
+        if i is not None and t is not None:
+            near = sorted((-round(text.jaro_winkler(t.strip(), n.strip()), 6), k) for k, n in names if n is not None)[:4]
+            want += [(i, rank, k, -s) for rank, (s, k) in enumerate(near, 1)]
+    assert [x[:3] for x in got] == [x[:3] for x in sorted(want)] and all(abs(x[3] - y[3]) < 1e-6 for x, y in zip(got, sorted(want), strict=True))
+
+    people = [f"{r.choice(['Ann', 'anne', 'Bo', 'Jörg'])} {r.choice(['Li', 'Lee', 'Miller', 'Müller', 'Mueller'])}{r.choice(['', ' Jr'])}" for _ in range(40)]
+    register = [(i, f"{r.choice(['ann', 'Anna', 'jorg', 'Bob'])} {r.choice(['lee', 'Muller', 'Miler'])}") for i in range(40)]
+    monkeypatch.setattr(retrieval, "BLOCK_NAMES", 3)
+    found = retrieval.suggest_actors(spark.createDataFrame([(p,) for p in people], "name string"), spark.createDataFrame(register, "actor_id long, alias string"))
+    got = {(x.name, x.actor_id): x.similarity for x in found.collect()}
+    import pandas as pd
+
+    key = lambda s: text._actor_keys(pd.Series([s]))[0]
+    want = {}
+    for p in set(people):
+        for i, alias in register:
+            a, b = key(p), key(alias)
+            x, y = a.split(), b.split()
+            score = SequenceMatcher(None, a, b).ratio()
+            if len(x) >= 2 and len(y) >= 2 and x[0] == y[0] and x[-1] == y[-1]:
+                score = max(score, 0.96)
+            if (len(x) >= 2 and set(x) <= set(y)) or (len(y) >= 2 and set(y) <= set(x)):
+                score = max(score, 0.92)
+            if score >= 0.84:
+                want[p, i] = round(score, 6)
+    assert got == want
