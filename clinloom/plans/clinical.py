@@ -249,22 +249,42 @@ def d3_drug(spark, sf_dir):
 
 D4 = """select coalesce(v.person_id, e.person_id) as person_id, least(v.s, e.s) as start_date, greatest(v.f, e.f) as end_date,
  case when e.s is null then 'FHIR_ENCOUNTER_COVERAGE' when v.s is null then 'CLINICAL_EVENT_ENVELOPE' else 'ENCOUNTER_PLUS_EVENT_ENVELOPE' end as method
-from (select person_id, min(start_date) as s, max(end_date) as f from visit where visit_id % 3 = 0 group by 1) v
-full join (select person_id, min(start_date) as s, max(end_date) as f from (select * from condition union all select * from drug where concept_id <> 0) where person_id % 7 <> 0 group by 1) e on v.person_id = e.person_id"""
+from (select person_id, min(start_date) as s, max(end_date) as f from visit where person_id % 5 <> 0 group by 1) v
+full join (select person_id, min(s) as s, max(f) as f from (select person_id, start_date as s, end_date as f from condition union all select person_id, start_date, end_date from drug where concept_id <> 0
+ union all select person_id, start_date, start_date from mapped_any where target_id is null or target_domain in ('Measurement', 'Observation', 'Procedure', 'Device')) where person_id % 7 <> 0 group by 1) e on v.person_id = e.person_id"""
+
+
+def six_tables(c):
+    """The events of every domain's table, as one standardisation gives them."""
+    stg = c.event.withColumn("value", F.when(F.col("line_number") != 1, F.col("value")))
+    routed = standardise.route_procedures(c.event, c.concept, c.relationship)
+    return {
+        "condition": _conditions(c),
+        "drug": standardise.map_drugs(c.event, c.concept, c.relationship),
+        "measurement": standardise.map_measurements(c.event, c.concept, c.relationship),
+        "observation": standardise.map_observations(stg, c.concept, c.relationship),
+        "procedure": routed.where("target_table = 'procedure_occurrence'"),
+        "device": routed.where("target_table = 'device_exposure'"),
+    }
 
 
 def _periods(c):
-    kept = lambda df: df.where("person_id % 7 <> 0")  # noqa: E731  so that each method occurs
-    events = [kept(_conditions(c)), kept(standardise.map_drugs(c.event, c.concept, c.relationship).where("concept_id <> 0"))]
-    return derive.observation_period(c.visit.where("visit_id % 3 = 0"), events)
+    """Periods over all six tables; some persons are left without events, some without visits, so that each method occurs."""
+    t = six_tables(c)
+    spans = [t["condition"], t["drug"].where("concept_id <> 0")]
+    points = [t[name].withColumn("end_date", F.col("start_date")) for name in ("measurement", "observation", "procedure", "device")]
+    return derive.observation_period(c.visit.where("person_id % 5 <> 0"), [df.where("person_id % 7 <> 0") for df in spans + points])
+
+
+_PERIOD_VIEWS = ("condition", "drug", "mapped_any", "visit")
 
 
-@query("d4", oracle(D4, "condition", "drug", "visit"))
+@query("d4", oracle(D4, *_PERIOD_VIEWS))
 def d4(spark, sf_dir):
     return _periods(Clinic(spark, sf_dir))
 
 
-@query("d5", oracle(f"select round(avg(days) / 365.25, 6) as mean_years from (select person_id, sum(date_diff('day', start_date, end_date) + 1) as days from ({D4}) group by 1)", "condition", "drug", "visit"))
+@query("d5", oracle(f"select round(avg(days) / 365.25, 6) as mean_years from (select person_id, sum(date_diff('day', start_date, end_date) + 1) as days from ({D4}) group by 1)", *_PERIOD_VIEWS))
 def d5(spark, sf_dir):
     return derive.average_observation_years(_periods(Clinic(spark, sf_dir)))
 

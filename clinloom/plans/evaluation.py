@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from clinloom.operators import derive, linkage, quality, scoring, standardise, worklist
 from clinloom.plans.binding import Clinic, oracle
-from clinloom.plans.clinical import CONDITION_ERAS, D4, LINKED, _conditions, _periods
+from clinloom.plans.clinical import C3, C4, CONDITION_ERAS, D4, LINKED, ROUTED, _conditions, _periods, six_tables
 from clinloom.plans.registry import query
 
 GRID = [0.1, 0.3, 0.5, 0.7, 0.8, 0.9]
@@ -52,14 +52,14 @@ def c18(spark, sf_dir):
 
 
 C19 = """select event_id as proposal_id, event_id, case when status = 'PENDING' and event_id in (select event_id from condition where concept_id <> 0) then 'RETIRED' else status end as status
-from (select event_id, case when line_number <= 3 then 'PENDING' else 'APPROVED' end as status from event where line_number in (1, 2, 3, 4, 5))"""
+from (select event_id, case when line_number <= 3 then 'PENDING' else 'APPROVED' end as status from event)"""
 
 
 @query("c19", oracle(C19, "condition"))
 def c19(spark, sf_dir):
     c = Clinic(spark, sf_dir)
     status = F.when(F.col("line_number") <= 3, "PENDING").otherwise("APPROVED")
-    proposals = c.event.where("line_number <= 5").select(F.col("event_id").alias("proposal_id"), "event_id", status.alias("status"))
+    proposals = c.event.select(F.col("event_id").alias("proposal_id"), "event_id", status.alias("status"))
     return worklist.reconcile(proposals, _conditions(c)).select("proposal_id", "event_id", "status")
 
 
@@ -85,10 +85,14 @@ def c21(spark, sf_dir):
     return scoring.invalid_references(cases, c.concept)
 
 
-@query("d9", oracle("select 'condition' as table_name, count(*) as total, count(*) filter (concept_id <> 0) as mapped from condition union all select 'drug', count(*), count(*) filter (concept_id <> 0) from drug", "condition", "drug"))
+_COVERAGE = "select '{name}' as table_name, count(*) as total, count(*) filter (concept_id <> 0) as mapped from {rows}"
+_ROUTED = [f"(select * from ({ROUTED}) where target_table = '{t}')" for t in ("procedure_occurrence", "device_exposure")]
+_SIX = {"condition": "condition", "drug": "drug", "measurement": f"({C3})", "observation": f"({C4})", "procedure": _ROUTED[0], "device": _ROUTED[1]}
+
+
+@query("d9", oracle(" union all ".join(_COVERAGE.format(name=n, rows=r) for n, r in _SIX.items()), "condition", "drug", "mapped_any"))
 def d9(spark, sf_dir):
-    c = Clinic(spark, sf_dir)
-    return scoring.mapping_coverage({"condition": _conditions(c), "drug": standardise.map_drugs(c.event, c.concept, c.relationship)})
+    return scoring.mapping_coverage(six_tables(Clinic(spark, sf_dir)))
 
 
 D9D = """select 'decision' as kind, o_orderpriority as target_table, o_orderstatus as status, count(*) as n from orders where o_custkey % 3 = 1 group by 2, 3
@@ -106,13 +110,13 @@ def d9_decisions(spark, sf_dir):
 
 
 D10 = """select *, coalesce(round(100.0 * mapped / nullif(total, 0), 6), 0) as coverage, coalesce(round(100.0 * correct / nullif(mapped, 0), 6), 0) as precision, coalesce(round(100.0 * correct / nullif(total, 0), 6), 0) as recall
-from (select count(*) as total, count(*) filter (c.concept_id <> 0) as mapped, count(*) filter (c.concept_id = t.true_id) as correct from (select event_id, 2000000 + (cast(code as bigint) % 25 + 1) * 10 as true_id from event where line_number <= 3) t left join condition c using (event_id))"""
+from (select count(*) as total, count(*) filter (c.concept_id <> 0) as mapped, count(*) filter (c.concept_id = t.true_id) as correct from (select event_id, 2000000 + (cast(code as bigint) % 25 + 1) * 10 as true_id from event) t left join condition c using (event_id))"""
 
 
 @query("d10", oracle(D10, "condition"))
 def d10(spark, sf_dir):
     c = Clinic(spark, sf_dir)
-    truth = c.event.where("line_number <= 3").select("event_id", (2000000 + (F.col("code").cast("long") % 25 + 1) * 10).alias("true_id"))
+    truth = c.event.select("event_id", (2000000 + (F.col("code").cast("long") % 25 + 1) * 10).alias("true_id"))
     return scoring.mapping_accuracy(truth, _conditions(c))
 
 
@@ -240,13 +244,13 @@ def d17_thresholds(spark, sf_dir):
     return scoring.threshold_deltas(scoring.threshold_analysis(_decided(c), GRID), scoring.threshold_analysis(_after(c), GRID))
 
 
-_TRUTH = "(select event_id, case when supplier_id % 40 = 0 then ' ' else code end as term, case when supplier_id % 3 = 0 then 7 when supplier_id % 3 = 1 then 2000000 + (supplier_id % 25 + 1) * 10 + 2 else 1000000 + cast(code as bigint) end as true_id from event where line_number = 1)"
+_TRUTH = "(select event_id, case when supplier_id % 40 = 0 then ' ' else code end as term, case when supplier_id % 3 = 0 then 7 when supplier_id % 3 = 1 then 2000000 + (supplier_id % 25 + 1) * 10 + 2 else 1000000 + cast(code as bigint) end as true_id from event)"
 
 
 def _truth(c):
     s = F.col("supplier_id")
     true_id = F.when(s % 3 == 0, 7).when(s % 3 == 1, 2000000 + (s % 25 + 1) * 10 + 2).otherwise(1000000 + F.col("code").cast("long"))
-    return c.event.where("line_number = 1").select("event_id", F.when(s % 40 == 0, " ").otherwise(F.col("code")).alias("term"), true_id.alias("true_id"))
+    return c.event.select("event_id", F.when(s % 40 == 0, " ").otherwise(F.col("code")).alias("term"), true_id.alias("true_id"))
 
 
 D18 = f"""select case when trim(term) = '' then 'EMPTY_TERM' when c.concept_id is null then 'UNKNOWN_CONCEPT' when c.standard_concept is distinct from 'S' then 'NOT_STANDARD' when c.invalid_reason is not null then 'INVALID'
@@ -311,7 +315,7 @@ def g4(spark, sf_dir):
     return quality.future_dates(Clinic(spark, sf_dir).event, "1999-06-01", "event")
 
 
-@query("g5", _g(f"with p as ({D4}) select 'outside_period' as check_name, 'event' as table_name, count(*) as n_violations from event e where not exists (select 1 from p where p.person_id = e.person_id and e.start_date between p.start_date and p.end_date)", "condition", "drug", "visit"))
+@query("g5", _g(f"with p as ({D4}) select 'outside_period' as check_name, 'event' as table_name, count(*) as n_violations from event e where not exists (select 1 from p where p.person_id = e.person_id and e.start_date between p.start_date and p.end_date)", "condition", "drug", "mapped_any", "visit"))
 def g5(spark, sf_dir):
     c = Clinic(spark, sf_dir)
     return quality.outside_period(c.event, _periods(c), "event")

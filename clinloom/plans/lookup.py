@@ -162,7 +162,7 @@ _STATUS = f"(select *, case when term_id % 10 = 1 then 'REJECTED' when governed_
 
 def _proposals(c):
     policy = c.raw("part").where("p_partkey % 10 = 1").select(F.col("p_partkey").alias("term_id"), (F.col("p_partkey") * 3).alias("concept_id"))
-    affected = c.event.where("line_number = 2").select(F.col("code").cast("long").alias("term_id"), "event_id")
+    affected = c.event.select(F.col("code").cast("long").alias("term_id"), "event_id")
     return retrieval.record_proposals(_governed(c), affected, policy)
 
 
@@ -171,15 +171,15 @@ def e10(spark, sf_dir):
     return _proposals(Clinic(spark, sf_dir))[0]
 
 
-@query("e10_provenance", oracle(f"select event_id, term_id, concept_id, s.status from event join {_STATUS} s on s.term_id = cast(code as bigint) where line_number = 2", "event"))
+@query("e10_provenance", oracle(f"select event_id, term_id, concept_id, s.status from event join {_STATUS} s on s.term_id = cast(code as bigint)", "event"))
 def e10_provenance(spark, sf_dir):
     return _proposals(Clinic(spark, sf_dir))[1]
 
 
-@query("e11", oracle("select event_id, cast(code as bigint) as term_id, 'ABSTAINED' as status from event where line_number = 2 and cast(code as bigint) % 3 = 0", "event"))
+@query("e11", oracle("select event_id, cast(code as bigint) as term_id, 'ABSTAINED' as status from event where cast(code as bigint) % 3 = 0", "event"))
 def e11(spark, sf_dir):
     c = Clinic(spark, sf_dir)
-    affected = c.event.where("line_number = 2").select(F.col("code").cast("long").alias("term_id"), "event_id")
+    affected = c.event.select(F.col("code").cast("long").alias("term_id"), "event_id")
     return retrieval.record_abstentions(c.raw("part").where("p_partkey % 3 = 0").select(F.col("p_partkey").alias("term_id")), affected)[1]
 
 
