@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from clinloom.plans.binding import Clinic, oracle
 from clinloom.plans.registry import query
 from clinloom.session import shared_dir
-from clinloom.sources import files, tables
+from clinloom.sources import files, slices, tables
 
 
 def _folder(spark, name):
@@ -177,11 +177,35 @@ def a8(spark, sf_dir):
     return tables.replace_slice(orders, orders.where("o_orderstatus = 'F' and o_orderkey % 4 = 0").withColumn("o_orderpriority", F.lit("again")), ["o_orderstatus"])
 
 
+A8_DISK = "select o_orderkey, o_orderstatus, o_orderpriority from orders where o_orderstatus <> 'F' or o_orderpriority <> '1-URGENT' union all select o_orderkey, o_orderstatus, 'again' from orders where o_orderstatus = 'F' and o_orderpriority = '1-URGENT' and o_orderkey % 4 = 0"
+
+
+@query("a8_disk", A8_DISK)
+def a8_disk(spark, sf_dir):
+    """Slices by status and priority on disk; one is replaced, the others' files are carried."""
+    orders = Clinic(spark, sf_dir).raw("orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    path, name = _folder(spark, "slices"), slices.slice_name(["o_orderstatus", "o_orderkind"])
+    slices.replace_slices(path, orders.withColumn("o_orderkind", F.col("o_orderpriority")), name)
+    new = orders.where("o_orderstatus = 'F' and o_orderpriority = '1-URGENT' and o_orderkey % 4 = 0")
+    slices.replace_slices(path, new.withColumns({"o_orderkind": F.col("o_orderpriority"), "o_orderpriority": F.lit("again")}), name)
+    return slices.read(spark, path).drop("o_orderkind")
+
+
 @query("a9", f"select coalesce(l.o_orderkey, r.o_orderkey) as o_orderkey, case when l.o_orderkey is null then r.o_custkey else l.o_custkey end as o_custkey, coalesce(r.o_orderstatus, l.o_orderstatus) as o_orderstatus, coalesce(r.o_orderpriority, l.o_orderpriority) as o_orderpriority from {_LEFT} l full join {_RIGHT} r on l.o_orderkey = r.o_orderkey")
 def a9(spark, sf_dir):
     return tables.upsert(*_sides(spark, sf_dir), ["o_orderkey"], ["o_orderstatus", "o_orderpriority"])
 
 
+@query("a9_disk", f"select coalesce(l.o_orderkey, r.o_orderkey) as o_orderkey, case when l.o_orderkey is null then r.o_custkey else l.o_custkey end as o_custkey, coalesce(r.o_orderstatus, l.o_orderstatus) as o_orderstatus, coalesce(r.o_orderpriority, l.o_orderpriority) as o_orderpriority from {_LEFT} l full join {_RIGHT} r on l.o_orderkey = r.o_orderkey")
+def a9_disk(spark, sf_dir):
+    """The upsert of a9 on a table on disk, in sixteen slices by key."""
+    old, new = _sides(spark, sf_dir)
+    path, name = _folder(spark, "upserts"), slices.bucket_name(["o_orderkey"], 16)
+    slices.replace_slices(path, old, name)
+    slices.upsert_slices(path, new, ["o_orderkey"], ["o_orderstatus", "o_orderpriority"], name)
+    return slices.read(spark, path)
+
+
 @query("a10", f"select * from {_LEFT} union all select * from {_RIGHT} where o_orderkey not in (select o_orderkey from {_LEFT})")
 def a10(spark, sf_dir):
     return tables.append_absent(*_sides(spark, sf_dir), ["o_orderkey"])
