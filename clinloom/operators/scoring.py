@@ -48,22 +48,28 @@ def mapping_accuracy(truth: DataFrame, events: DataFrame) -> DataFrame:
     return counts.select("*", percent("mapped", "total").alias("coverage"), percent("correct", "mapped").alias("precision"), percent("correct", "total").alias("recall"))
 
 
-def flags(cases: DataFrame, decision: Column | None = None, concept: Column | None = None) -> DataFrame:
-    """``cases`` with the nine outcome flags."""
-    decision = F.col("decision") if decision is None else decision
-    concept = F.col("concept_id") if concept is None else concept
+def flag_columns(decision: Column, concept: Column) -> dict[str, Column]:
+    """The nine outcome flags of a case (expected_decision, expected_id)."""
     expected, accepted = F.col("expected_decision") == "MAP", decision == "MAP"
     right = F.coalesce(concept == F.col("expected_id"), F.lit(False))
     values = (
         expected, ~expected, accepted, expected & accepted & right, expected & accepted & ~right, ~expected & accepted, ~expected & ~accepted, expected & ~accepted,
         (expected & accepted & right) | (~expected & ~accepted),
     )
-    return cases.withColumns(dict(zip(FLAGS, values, strict=True)))
+    return dict(zip(FLAGS, values, strict=True))
+
+
+def flags(cases: DataFrame) -> DataFrame:
+    """``cases`` with the nine outcome flags."""
+    return cases.withColumns(flag_columns(F.col("decision"), F.col("concept_id")))
 
 
 def summed(flagged: DataFrame, *keys: str) -> DataFrame:
     """Counts and rates of flagged cases by ``keys``."""
-    counts = flagged.groupBy(*keys).agg(F.count(F.lit(1)).alias("total"), *[F.count_if(f).alias(f) for f in FLAGS])
+    return with_rates(flagged.groupBy(*keys).agg(F.count(F.lit(1)).alias("total"), *[F.count_if(f).alias(f) for f in FLAGS]))
+
+
+def with_rates(counts: DataFrame) -> DataFrame:
     c = F.col
     return counts.withColumns(
         {
@@ -112,12 +118,26 @@ def calibration_bins(cases: DataFrame, edges: tuple[float, ...] = BIN_EDGES) ->
     return bins.join(accepted, "bin", "left").select("lower", "upper", F.coalesce("_n", F.lit(0)).alias("n"), "mean_score", share(F.col("_right"), F.col("_n")).alias("accuracy"))
 
 
+def _by_score(cases: DataFrame, grid: list[float], mapped: Column, counts: dict[str, tuple[Column, Column]], *keys: str) -> DataFrame:
+    """(keys, threshold, total, counts): at each threshold the sums of the first condition of a count over the cases that reach
+    it, and of its second over the others; ``mapped`` says whether a case can. A case is counted once, in the interval
+    of the grid that its score lies in; only that histogram, a row an interval and key, meets the grid."""
+    levels = sorted({float(t) for t in grid})
+    score = F.coalesce(F.col("score").cast("double"), F.lit(0.0))
+    passed = F.when(mapped, F.size(F.filter(F.array(*map(F.lit, levels)), lambda t: t <= score))).otherwise(0)
+    sums = [F.count_if(c).alias(f"_{k}_{name}") for name, pair in counts.items() for k, c in enumerate(pair)]
+    bins = cases.withColumn("_passed", passed).groupBy(*keys, "_passed").agg(F.count(F.lit(1)).alias("_n"), *sums)
+    at = bins.withColumn("_level", F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(t).alias("threshold")) for i, t in enumerate(levels)])))
+    reached = F.col("_passed") > F.col("_level.i")
+    total = [F.sum(F.when(reached, F.col(f"_0_{name}")).otherwise(F.col(f"_1_{name}"))).alias(name) for name in counts]
+    return at.withColumn("threshold", F.col("_level.threshold")).groupBy(*keys, "threshold").agg(F.sum("_n").alias("total"), *total)
+
+
 def threshold_curve(cases: DataFrame, grid: list[float], *keys: str) -> DataFrame:
-    """Counts and rates of the raw predictions at each threshold of a fixed grid, by ``keys``. The grid is an
-    array literal that each case meets, so it needs no join."""
-    at = cases.withColumn("threshold", F.explode(F.array(*[F.lit(float(t)) for t in grid])))
-    accepted = (F.col("raw_decision") == "MAP") & (F.coalesce(F.col("score"), F.lit(0.0)) >= F.col("threshold"))
-    return summed(flags(at, F.when(accepted, "MAP").otherwise("ABSTAIN"), F.when(accepted, F.col("raw_id"))), *keys, "threshold")
+    """Counts and rates of the raw predictions at each threshold of a fixed grid, by ``keys``."""
+    held = flag_columns(F.lit("MAP"), F.col("raw_id"))
+    left = flag_columns(F.lit("ABSTAIN"), F.lit(None).cast("long"))
+    return with_rates(_by_score(cases, grid, F.col("raw_decision") == "MAP", {f: (held[f], left[f]) for f in FLAGS}, *keys))
 
 
 def select_thresholds(cases: DataFrame, grid: list[float], min_precision: float, max_false: int) -> DataFrame:
@@ -134,12 +154,10 @@ def select_thresholds(cases: DataFrame, grid: list[float], min_precision: float,
 
 def threshold_analysis(cases: DataFrame, grid: list[float]) -> DataFrame:
     """Review queue by threshold: admitted, correct and incorrect proposals, precision, recall of positives."""
-    at = cases.withColumn("threshold", F.explode(F.array(*[F.lit(float(t)) for t in grid])))
-    admitted = (F.col("decision") == "MAP") & (F.coalesce(F.col("score"), F.lit(0.0)) >= F.col("threshold"))
-    right = F.coalesce(F.col("concept_id") == F.col("expected_id"), F.lit(False))
-    counts = at.groupBy("threshold").agg(
-        F.count_if(admitted).alias("admitted"), F.count_if(admitted & right).alias("correct"), F.count_if(admitted & ~right).alias("incorrect"), F.count_if(F.col("expected_decision") == "MAP").alias("_positive")
-    )
+    right, no = F.coalesce(F.col("concept_id") == F.col("expected_id"), F.lit(False)), F.lit(False)
+    positive = F.col("expected_decision") == "MAP"
+    wanted = {"admitted": (F.lit(True), no), "correct": (right, no), "incorrect": (~right, no), "_positive": (positive, positive)}
+    counts = _by_score(cases, grid, F.col("decision") == "MAP", wanted)
     return counts.select("threshold", "admitted", "correct", "incorrect", share(F.col("correct"), F.col("admitted")).alias("precision"), share(F.col("correct"), F.col("_positive")).alias("recall"))
 
 
