@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,6 +18,19 @@ from clinloom.sources import bundles, files, tables
 EVENTS = ("condition_occurrence", "drug_exposure", "measurement", "observation", "procedure_occurrence", "device_exposure")
 
 
+DOMAINS = dict(zip(EVENTS, ("Condition", "Drug", "Measurement", "Observation", "Procedure", "Device"), strict=True))
+# Codes whose results mean something else in another unit, (vocabulary, code, unit).
+UNIT_RULES = (("LOINC", "788-0", "%"),)
+
+
+@dataclass(frozen=True)
+class Approved:
+    """Approved mappings: ``by_term`` (vocabulary_id, code, approved) and ``by_event`` (event_id, approved)."""
+
+    by_term: DataFrame
+    by_event: DataFrame
+
+
 def _one_each(df: DataFrame, key: str) -> DataFrame:
     """One row a key, the least by its other columns: copies of a resource in several bundles count once."""
     rest = [c for c in df.columns if c != key]
@@ -41,12 +55,21 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 
 
 def cdm_tables(
-    entries: DataFrame, concept: DataFrame, relationship: DataFrame, ancestor: DataFrame, key: bytes, keep: Callable[[str, DataFrame], DataFrame] = lambda _, df: df
+    entries: DataFrame,
+    concept: DataFrame,
+    relationship: DataFrame,
+    ancestor: DataFrame,
+    key: bytes,
+    keep: Callable[[str, DataFrame], DataFrame] = lambda _, df: df,
+    approved: Approved | None = None,
+    unit_rules: Sequence[tuple[str, str, str]] = UNIT_RULES,
+    run_id: str = "flow",
 ) -> dict[str, DataFrame]:
-    """Every table of ``tables.CDM`` from ``entries``, and the quarantine (target_table, event_id, reason). ``keep`` gets
+    """Every table of ``tables.CDM`` from ``entries``, and beside them the visit links, the quarantines of routes and of units,
+    the ambiguous events, the bundles' violations and the provenance of mapped events. ``keep`` gets
     each table as it is made and gives what later steps read, such as its written form. Persons without a year of birth are
-    left out. Observations and procedures go where their targets' domains send them; of several targets in one domain the
-    lowest concept counts."""
+    left out. Observations and procedures go where their targets' domains send them. Measurements whose unit breaks one of
+    ``unit_rules`` are held back; events that the vocabulary leaves at 0 take an ``approved`` mapping of their domain."""
     made = {}
 
     def add(name: str, df: DataFrame) -> DataFrame:
@@ -62,17 +85,21 @@ def cdm_tables(
     stage = lambda name, df: keep(f"staged_{name}", _staged(df, key))
     conditions, drugs = stage("conditions", extract.extract_conditions(e)), stage("drugs", extract.extract_drugs(e))
     measures, procedures = stage("measurements", extract.extract_measurements(e)), stage("procedures", extract.extract_procedures(e))
+    rules = entries.sparkSession.createDataFrame(list(unit_rules), "vocabulary_id string, code string, unit string")
+    bad_units = standardise.unit_mismatch(measures, rules)
+    held = add("unit_quarantine", bad_units.select("event_id", "vocabulary_id", "code", "unit_code", "expected_unit"))
+    publishable = measures.join(held.select("event_id"), "event_id", "left_anti")
     said = lambda kind: F.when(F.col("value_kind") == kind, F.col("value_text"))
     candidates = stage("candidates", extract.extract_observation_candidates(e)).withColumns({"value": said("quantity"), "value_code": said("coded")})
 
     routed = standardise.route_procedures(procedures, concept, relationship).groupBy("event_id", "target_table").agg(F.min("concept_id").alias("concept_id"))
     routed = routed.join(procedures, "event_id")
-    columns = ("event_id", "person_id", "concept_id", "start_date")
+    columns = ("event_id", "person_id", "concept_id", "start_date", "vocabulary_id", "code")
     sent = lambda table: routed.where(F.col("target_table") == table).select(*columns)
     found = {
         "condition_occurrence": [standardise.map_conditions(conditions, concept, relationship)],
         "drug_exposure": [standardise.map_drugs(drugs, concept, relationship)],
-        "measurement": [standardise.map_measurements(measures, concept, relationship), sent("measurement")],
+        "measurement": [standardise.map_measurements(publishable, concept, relationship), sent("measurement")],
         "observation": [standardise.map_observations(candidates, concept, relationship), sent("observation")],
         "procedure_occurrence": [sent("procedure_occurrence")],
         "device_exposure": [sent("device_exposure")],
@@ -82,7 +109,17 @@ def cdm_tables(
     decisions = keep("event_visit_linkage", linkage.link_visits(_one_each(_union(staged), "event_id"), visits))
     made["event_visit_linkage"] = decisions
     links = decisions.select("event_id", "visit_id")
-    events = {name: add(name, _union(parts).join(links, "event_id", "left")) for name, parts in found.items()}
+    events, provenance = {}, []
+    for name, parts in found.items():
+        rows = _union(parts).withColumn("_vocabulary_concept", F.col("concept_id"))
+        if approved is not None:
+            rows = standardise.apply_approved(rows, approved.by_term, approved.by_event, concept, DOMAINS[name])
+        rows = keep(f"staged_{name}", rows)
+        events[name] = add(name, rows.join(links, "event_id", "left"))
+        method = F.when(F.col("_vocabulary_concept") == 0, "APPROVED").otherwise("VOCABULARY")
+        mapped = rows.where("concept_id <> 0").select("event_id", "concept_id", "vocabulary_id", "code", method.alias("mapping_method"))
+        provenance.append(mapped.select(F.lit(name).alias("target_table"), "*", F.lit(run_id).alias("run_id")))
+    add("mapping_provenance", _union(provenance))
 
     add("observation_period", derive.observation_period(visits, [_dated(df) for df in events.values()]))
     add("condition_era", derive.condition_era(events["condition_occurrence"]))
@@ -92,6 +129,11 @@ def cdm_tables(
     domains = {"Observation": ("Measurement", "Observation"), "Condition": ("Condition", "Observation"), "Procedure": tuple(standardise.ROUTES)}
     lost = [standardise.unsupported_routes(kinds.where(F.col("resource_type") == kind), concept, relationship, ok) for kind, ok in domains.items()]
     add("quarantine", _union(lost).select("resource_type", "event_id", "target_id", "target_domain"))
+    # the tables whose events must not have several targets
+    several = {"measurement": publishable, "observation": candidates.where("resource_type = 'Observation'"), "procedure_occurrence": procedures}
+    many = [standardise.ambiguous_targets(df, concept, relationship).select(F.lit(name).alias("table_name"), "*") for name, df in several.items()]
+    add("ambiguous_targets", _union(many))
+    add("bundle_violations", extract.bundle_violations(entries))
     return made
 
 
@@ -100,8 +142,9 @@ def _dated(events: DataFrame) -> DataFrame:
     return events.select("person_id", "start_date", end.alias("end_date"))
 
 
-def release_violations(made: dict[str, DataFrame], ancestor: DataFrame, concept: DataFrame) -> DataFrame:
-    """(table_name, violation, n) of a set of tables: schemas and keys, persons that are not there, eras."""
+def release_violations(made: dict[str, DataFrame], ancestor: DataFrame, concept: DataFrame, strict: bool = False) -> DataFrame:
+    """(table_name, violation, n) of a set of tables: schemas and keys, persons that are not there, eras, events with several
+    targets where they need a review first; and if ``strict``, the bundles' violations."""
     out = [tables.schema_violations(made[name], name).select("table_name", F.concat_ws(" ", "field", "violation").alias("violation"), "n") for name in tables.CDM]
     person = made["person"].select("person_id")
     for name in ("visit_occurrence", *EVENTS):
@@ -112,13 +155,25 @@ def release_violations(made: dict[str, DataFrame], ancestor: DataFrame, concept:
         "drug_era": derive.drug_era_violations(made["drug_exposure"], made["drug_era"], ancestor, concept),
     }
     out += [df.select(F.lit(name).alias("table_name"), F.col("check_name").alias("violation"), "n") for name, df in gates.items()]
+    out.append(made["ambiguous_targets"].groupBy("table_name").agg(F.count(F.lit(1)).alias("n")).select("table_name", F.lit("AMBIGUOUS_TARGETS").alias("violation"), "n"))
+    if strict:
+        out.append(made["bundle_violations"].groupBy("violation").agg(F.count(F.lit(1)).alias("n")).select(F.lit("bundles").alias("table_name"), "violation", "n"))
     return _union(out).where("n > 0")
 
 
-def build_cdm(spark: SparkSession, bundle_path: str, vocabulary_path: str, out: str, key: bytes) -> str:
+def build_cdm(
+    spark: SparkSession,
+    bundle_path: str,
+    vocabulary_path: str,
+    out: str,
+    key: bytes,
+    approved: Approved | None = None,
+    unit_rules: Sequence[tuple[str, str, str]] = UNIT_RULES,
+    strict: bool = False,
+) -> str:
     """Reads the bundles and the vocabulary release, writes every table as one new version below ``out``, checks what was
     written, and points readers to it; ``tables.read_published(spark, out, name)`` reads a table. A version that fails is
-    deleted and the one before stays. Bundles are parsed once, and each table is computed from written ones."""
+    deleted and the one before stays, and ``strict`` fails on the bundles' own violations too. Bundles are parsed once, and each table is computed from written ones."""
     vocabulary = files.read_vocabularies(spark, vocabulary_path)
     concept, relationship = vocabulary["concept"], vocabulary["concept_relationship"]
     ancestor = vocabulary["concept_ancestor"].withColumnsRenamed({"ancestor_concept_id": "ancestor_id", "descendant_concept_id": "descendant_id"})
@@ -136,8 +191,8 @@ def build_cdm(spark: SparkSession, bundle_path: str, vocabulary_path: str, out:
 
     try:
         entries = staged_as("entries", bundles.linked_entries(bundles.read_json(spark, bundle_path)))
-        made = cdm_tables(entries, concept, relationship, ancestor, key, keep)
-        tables.require_clean(spark, version, release_violations(made, ancestor, concept))
+        made = cdm_tables(entries, concept, relationship, ancestor, key, keep, approved, unit_rules, version.rsplit("-", 1)[1])
+        tables.require_clean(spark, version, release_violations(made, ancestor, concept, strict))
         tables.point(spark, out, version)
     except BaseException:
         tables.drop(spark, version)

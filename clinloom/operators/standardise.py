@@ -109,10 +109,13 @@ def unsupported_routes(stg: DataFrame, concept: DataFrame, relationship: DataFra
 
 
 def unit_mismatch(stg: DataFrame, rules: DataFrame) -> DataFrame:
-    """Events whose unit differs, nulls counting as a value, from the one that ``rules`` (code, unit)
-    asks of their code."""
-    rule = rules.select(F.col("code").alias("_c"), F.col("unit").alias("expected_unit"))
-    return stg.join(rule, F.col("code") == F.col("_c")).where(~F.col("unit_code").eqNullSafe(F.col("expected_unit"))).drop("_c")
+    """Events whose unit differs, nulls counting as a value, from the one that ``rules`` (code, unit, and vocabulary_id if
+    they have it) asks of their code."""
+    rule = rules.select(F.col("code").alias("_c"), F.col("unit").alias("expected_unit"), *[F.col(c).alias("_v") for c in rules.columns if c == "vocabulary_id"])
+    same = F.col("code") == F.col("_c")
+    if "_v" in rule.columns:
+        same = same & (F.col("vocabulary_id") == F.col("_v"))
+    return stg.join(rule, same).drop("_v").where(~F.col("unit_code").eqNullSafe(F.col("expected_unit"))).drop("_c")
 
 
 def routing_collisions(target: DataFrame, routed: DataFrame, provenance: DataFrame) -> DataFrame:

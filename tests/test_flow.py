@@ -114,6 +114,50 @@ def test_golden_case_and_a_failing_release_that_keeps_the_old(spark, places):
     assert len(list((places["folder"] / "out").glob("version-*"))) == 1
 
 
+def changed(places, change, vocabulary_change=None):
+    b = bundle()
+    change(b["entry"])
+    for name in ("a.json", "below/copy.json"):
+        (places["folder"] / "bundles" / name).write_text(json.dumps(b))
+    if vocabulary_change:
+        for table, (old, new) in vocabulary_change.items():
+            path = places["folder"] / f"vocabulary/{table}.csv"
+            assert old in path.read_text()
+            path.write_text(path.read_text().replace(old, new))
+
+
+def test_units_approvals_and_provenance(spark, places):
+    def change(entries):
+        wrong = {"resourceType": "Observation", "id": "rdw", "status": "final", "code": coded(LOINC, "788-0"), "effectiveDateTime": "2020-02-02",
+                 "valueQuantity": {"value": 40, "unit": "fL", "system": UCUM, "code": "fL"}, "subject": {"reference": "Patient/p"}, "encounter": {"reference": "Encounter/v"}}
+        right = wrong | {"id": "ok", "valueQuantity": {"value": 13, "unit": "%", "system": UCUM, "code": "%"}}
+        unknown = {"resourceType": "Condition", "id": "u", "code": coded(SNOMED, "UNKNOWN"), "onsetDateTime": "2020-02-02", "subject": {"reference": "Patient/p"}}
+        entries += [{"fullUrl": f"urn:uuid:{r['id']}", "resource": r} for r in (wrong, right, unknown)]
+
+    changed(places, change)
+    terms = spark.createDataFrame([("SNOMED", "UNKNOWN", 101), ("LOINC", "788-0", 101)], "vocabulary_id string, code string, approved long")
+    events = spark.createDataFrame([], "event_id long, approved long")
+    flow.build_cdm(spark, places["bundles"], places["vocabulary"], places["out"], KEY, flow.Approved(terms, events))
+    read = lambda name: {r.event_id: r for r in tables.read_published(spark, places["out"], name).collect()}
+    assert [(k, r.unit_code, r.expected_unit) for k, r in read("unit_quarantine").items()] == [(own_id("rdw"), "fL", "%")]
+    measured = read("measurement")
+    assert own_id("rdw") not in measured and measured[own_id("ok")].concept_id == 0  # 101 is no measurement
+    assert read("condition_occurrence")[own_id("u")].concept_id == 101
+    marks = read("mapping_provenance")
+    assert (marks[own_id("u")].mapping_method, marks[own_id("c")].mapping_method, marks[own_id("u")].target_table) == ("APPROVED", "VOCABULARY", "condition_occurrence")
+    assert own_id("ok") not in marks
+
+
+def test_ambiguous_targets_and_strict_bundles_fail(spark, places):
+    changed(places, lambda entries: entries[2]["resource"].update(encounter={"reference": "Encounter/nowhere"}))
+    with pytest.raises(ValueError, match="UNRESOLVED_ENCOUNTER"):
+        flow.build_cdm(spark, places["bundles"], places["vocabulary"], places["out"], KEY, strict=True)
+    path = places["folder"] / "vocabulary/CONCEPT_RELATIONSHIP.csv"
+    path.write_text(path.read_text() + "2\t103\tMaps to\t1970-01-01\t2099-12-31\t\n")  # M maps to the observation's concept too
+    with pytest.raises(ValueError, match="AMBIGUOUS_TARGETS"):
+        build(spark, places)
+
+
 def test_an_exposure_without_ingredient_keeps_the_old_version(spark, places):
     from clinloom.session import shared_dir
 
