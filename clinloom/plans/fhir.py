@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from clinloom import flow
 from clinloom.functions import coding, dates, ids, units
 from clinloom.operators import derive, extract, standardise
-from clinloom.plans.binding import VIEWS, Clinic
+from clinloom.plans.binding import VIEWS, Clinic, oracle
 from clinloom.plans.clinical import CONDITION_ERAS
 from clinloom.plans.registry import query
 from clinloom.session import store
@@ -195,8 +195,10 @@ def b3_ids(spark, sf_dir):
 
 
 def _flow(spark, sf_dir, table):
+    """A table of the whole flow; the parts' codes are SNOMED's there, so that conditions are mapped."""
     c = Clinic(spark, sf_dir)
-    return flow.cdm_tables(_linked(spark, sf_dir), c.concept, c.relationship, c.ancestor, KEY)[table]
+    concept = c.concept.withColumn("vocabulary_id", F.when(F.col("vocabulary_id") == "PART", "SNOMED").otherwise(F.col("vocabulary_id")))
+    return flow.cdm_tables(_linked(spark, sf_dir), concept, c.relationship, c.ancestor, KEY)[table]
 
 
 _SEEN = "orders where o_orderkey % 97 <> 0"
@@ -211,6 +213,37 @@ def flow_person(spark, sf_dir):
     return _flow(spark, sf_dir, "person")
 
 
+# conditions with the day of their visit; copies of a resource count once, by the earliest day
+_COND = """cond as (select full_url, substr(any_value(person_ref), 9) as person, substr(any_value(encounter_ref), 11) as visit, any_value(system) as system, any_value(code) as code, min(day) as day, any_value(line) as line
+ from res where published and resource_type = 'Condition' group by 1),
+linked as (select c.*, case when day between cast(o_orderdate as date) and cast(o_orderdate as date) + case when o_orderkey % 2 = 0 then 2 else 0 end then visit end as held from cond c join orders on o_orderkey = cast(visit as bigint))"""
+_FLOW_CONDITION = f"""with {{views}}, {_COND},
+found as (select l.*, s.concept_id as source_id, t.concept_id as target_id, t.domain_id as target_domain from linked l
+ left join concept s on s.vocabulary_id = 'PART' and l.system = '{coding.SNOMED}' and s.concept_code = l.code and s.invalid_reason is null
+ left join relationship r on r.concept_id_1 = s.concept_id and r.relationship_id = 'Maps to' and r.invalid_reason is null
+ left join concept t on t.concept_id = r.concept_id_2 and t.standard_concept = 'S' and t.invalid_reason is null),
+one as (select * from found where target_domain = 'Condition' or target_id is null qualify row_number() over (partition by full_url order by case when target_domain = 'Condition' then 0 else 1 end, target_id nulls last) = 1),
+made as (select {_event_sql(_hmac_sql("substr(full_url, 10)"))} as event_id, {_person_sql(_hmac_sql("'p-' || person"))} as person_id, coalesce(target_id, 0) as concept_id, coalesce(source_id, 0) as source_concept_id,
+ day as start_date, case when line = 2 then day + 5 else day end as end_date, case when held is not null then {_event_sql(_hmac_sql("'v-' || held"))} end as visit_id from one)"""
+
+
+def _flow_sql(body):
+    views = oracle("select 1", "concept", "relationship").removeprefix("with ").removesuffix(" select 1")
+    return _FLOW_CONDITION.format(views=f"{RES}, {views}") + " " + body
+
+
+@query("flow_condition_occurrence", _flow_sql("select * from made"))
+def flow_condition_occurrence(spark, sf_dir):
+    """Conditions of the whole flow: extracted, identified, mapped and linked."""
+    return _flow(spark, sf_dir, "condition_occurrence")
+
+
+@query("flow_condition_era", _flow_sql("select e.person_id, e.concept_id, e.start_date, e.end_date, e.occurrences from (" + CONDITION_ERAS.replace("from condition where", "from made where") + ") e"))
+def flow_condition_era(spark, sf_dir):
+    """Eras of the conditions of the whole flow."""
+    return _flow(spark, sf_dir, "condition_era").select("person_id", "concept_id", "start_date", "end_date", "occurrences")
+
+
 @query("b4", _sql("select full_url, system, code, source_value as display from (select * replace (case when line = 1 then null else source_value end as source_value) from res where line <> 3 and line <> 1 and line <> 6) union all select full_url, system, code, code from res where line = 6 union all select full_url, system, code, '' from res where line = 1"))
 def b4(spark, sf_dir):
     found = None
