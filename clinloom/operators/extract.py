@@ -3,7 +3,7 @@ text as well, which is then parsed."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clinloom.functions.coding import CODEABLE, LOINC, RXNORM, SNOMED, select_coding, source_value, vocabulary_id
@@ -281,25 +281,45 @@ def event_contexts(entries: DataFrame) -> tuple[DataFrame, DataFrame]:
 def bundle_violations(entries: DataFrame) -> DataFrame:
     """(bundle_id, full_url, violation) for structural faults: full URLs missing, relative or doubled, doubled
     identities, no patient, subjects and encounters that resolve to nothing, no usable concept, quantities
-    without a number or a unit."""
-    one = lambda df, what: df.select("bundle_id", "full_url", F.lit(what).alias("violation"))
-    url, identity = Window.partitionBy("bundle_id", "full_url"), Window.partitionBy("bundle_id", "resource_type", "id")
-    counted = entries.withColumn("_url", F.count(F.lit(1)).over(url)).withColumn("_same", F.count(F.lit(1)).over(identity))
-    out = one(counted.where(~F.coalesce(F.col("full_url").rlike(r"^(urn:uuid:|https?://)."), F.lit(False))), "BAD_FULL_URL")
-    out = out.unionByName(one(counted.where("_url > 1"), "DUPLICATE_FULL_URL")).unionByName(one(counted.where("_same > 1 and id <> ''"), "DUPLICATE_IDENTITY"))
-    patients = entries.groupBy("bundle_id").agg(F.count_if(F.col("resource_type") == "Patient").alias("_n"))
-    out = out.unionByName(one(patients.where("_n = 0").withColumn("full_url", F.lit(None).cast("string")), "NO_PATIENT"))
-    index = reference_index(entries)
-    for field in ("subject", "encounter"):
-        refs = entries.where(F.col("resource_type").isin(*TARGETS)).withColumn("ref", F.trim(path(_resource(entries), f"$.{field}.reference", "string")))
-        out = out.unionByName(one(refs.where("ref <> ''").join(index, ["bundle_id", "ref"], "left_anti"), f"UNRESOLVED_{field.upper()}"))
-    for kind in ("Condition", "Observation", "Procedure"):
-        p = parsed(entries, kind)
-        out = out.unionByName(one(p.where(select_coding(F.col("r.code")).isNull()), "NO_CONCEPT"))
-        if kind == "Observation":
-            out = out.unionByName(one(p.where("r.valueQuantity is not null and r.valueQuantity.value is null"), "NO_NUMBER"))
-            out = out.unionByName(one(p.where("r.valueQuantity is not null and coalesce(r.valueQuantity.unit, '') = '' and coalesce(r.valueQuantity.code, '') = ''"), "NO_UNIT"))
-    return out
+    without a number or a unit. Resources are read once; what is shuffled, once, are names, references and an entry's own faults."""
+    kind, resource = F.col("resource_type"), _resource(entries)
+    body = path(resource, "$", f"struct<code:{CODEABLE},valueQuantity:struct<value:double,unit:string,code:string>>")
+    said = lambda field: F.when(kind.isin(*TARGETS), F.nullif(F.trim(path(resource, f"$.{field}.reference", "string")), F.lit("")))
+    read = entries.select("bundle_id", "full_url", "resource_type", "id", said("subject").alias("subject"), said("encounter").alias("encounter"), F.when(kind.isin("Condition", "Observation", "Procedure"), body).alias("_r"))
+    quantity = F.when(kind == "Observation", F.col("_r.valueQuantity"))
+    empty = lambda part: F.coalesce(quantity[part], F.lit("")) == ""
+    faults = {
+        "BAD_FULL_URL": ~F.coalesce(F.col("full_url").rlike(r"^(urn:uuid:|https?://)."), F.lit(False)),
+        "NO_CONCEPT": kind.isin("Condition", "Observation", "Procedure") & select_coding(F.col("_r.code")).isNull(),
+        "NO_NUMBER": quantity.isNotNull() & quantity["value"].isNull(),
+        "NO_UNIT": quantity.isNotNull() & empty("unit") & empty("code"),
+    }
+    own = F.array_compact(F.array(*[F.when(fault, name) for name, fault in faults.items()]))
+    facts = read.select("bundle_id", F.struct("full_url", "resource_type", "id", "subject", "encounter", own.alias("own")).alias("_e"))
+    bundle = facts.repartition("bundle_id").groupBy("bundle_id").agg(F.collect_list("_e").alias("_es"))
+
+    url, identity = lambda e: F.struct(e["full_url"]), lambda e: F.struct(e["resource_type"], e["id"])
+
+    sorted_ = bundle.withColumns({"_urls": F.array_sort(F.transform("_es", url)), "_ids": F.array_sort(F.transform("_es", identity))})
+    again = lambda name: F.array_distinct(F.filter(name, lambda x, i: F.get(name, i + 1).eqNullSafe(x)))
+    good = F.filter("_es", lambda e: (e["resource_type"] != "") & (e["id"] != "") & (e["full_url"] != ""))
+    names = F.flatten(F.transform(good, lambda e: F.array(e["full_url"], F.concat_ws("/", e["resource_type"], e["id"]))))
+    asked = F.array_compact(F.flatten(F.transform("_es", lambda e: F.array(e["subject"], e["encounter"]))))
+    lone = F.when(~F.exists("_es", lambda e: F.coalesce(e["resource_type"] == "Patient", F.lit(False))), True)
+    judged = sorted_.select("bundle_id", "_es", again("_urls").alias("_url_twice"), again("_ids").alias("_id_twice"), F.array_except(asked, names).alias("_lost"), lone.alias("_lone"))
+    e = F.col("_e")
+    each = judged.select("bundle_id", F.posexplode_outer("_es").alias("_n", "_e"), "_url_twice", "_id_twice", "_lost", "_lone")
+    more = F.array(
+        F.when(F.array_contains("_url_twice", url(e)), "DUPLICATE_FULL_URL"),
+        F.when((e["id"] != "") & F.array_contains("_id_twice", identity(e)), "DUPLICATE_IDENTITY"),
+        F.when(F.array_contains("_lost", e["subject"]), "UNRESOLVED_SUBJECT"),
+        F.when(F.array_contains("_lost", e["encounter"]), "UNRESOLVED_ENCOUNTER"),
+    )
+    # the bundle's own fault goes with its first entry
+    told = F.transform(F.concat(e["own"], F.array_compact(more)), lambda v: F.struct(e["full_url"].alias("full_url"), v.alias("violation")))
+    whole = F.when((F.col("_n") == 0) & F.col("_lone"), F.array(F.struct(F.lit(None).cast("string").alias("full_url"), F.lit("NO_PATIENT").alias("violation"))))
+    found = each.select("bundle_id", F.explode_outer(F.concat(told, F.coalesce(whole, F.array().cast("array<struct<full_url:string,violation:string>>")))).alias("_v"))
+    return found.where("_v is not null").select("bundle_id", "_v.full_url", "_v.violation")
 
 
 def resource_counts(entries: DataFrame) -> DataFrame:
