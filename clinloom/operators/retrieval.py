@@ -115,7 +115,7 @@ class _Nearest:
     def __init__(self, terms: list[tuple[int, str]], k: int):
         self.terms, self.k = terms, k
         self.count, self.size = _letters([t for _, t in terms]), np.array([len(t) for _, t in terms])
-        self.best: list[list[tuple[float, int]]] = [[] for _ in terms]
+        self.best: list[list[tuple[float, int, str]]] = [[] for _ in terms]
 
     def add(self, items: list[int], names: list[str]) -> None:
         count, size = _letters(names), np.array([len(n) for n in names])
@@ -131,7 +131,7 @@ class _Nearest:
             for i in np.argsort(-most, kind="stable").tolist():
                 if len(best) >= self.k and most[i] < -best[self.k - 1][0] - 1e-6:
                     break
-                best.append((-round(jaro_winkler(term, names[i]), 6), items[i]))
+                best.append((-round(jaro_winkler(term, names[i]), 6), items[i], names[i]))
                 best.sort()
                 del best[self.k :]
 
@@ -146,29 +146,35 @@ def _blocks(rows: DataFrame, key: str, size: int) -> Iterator[list]:
 
 def jaro_winkler_topk(terms: DataFrame, slice_: DataFrame, k: int) -> DataFrame:
     """(term_id, item_id, score, rank): the k most similar names of ``slice_`` (item_id, name) for each of
-    ``terms`` (term_id, term), ties by item_id. Terms go in blocks of about ``BLOCK_TERMS``, each of which meets all of the
-    slice in one pass; a task sends on its k best of each term."""
+    ``terms`` (term_id, term), ties by item_id. Each distinct term meets each distinct name once; of a name's items only
+    the k least can be among the best. Distinct terms go in blocks of about ``BLOCK_TERMS``, each of which meets all distinct
+    names in one pass; a task sends on its k best names of each."""
     spark = slice_.sparkSession
     named = slice_.select(F.col("item_id").cast("long").alias("item_id"), F.lower(F.trim("name")).alias("name")).where("name is not null")
     asked = terms.select(F.col("term_id").cast("long").alias("term_id"), F.lower(F.trim("term")).alias("term")).where("term_id is not null and term is not null")
-    found = spark.createDataFrame([], "term_id long, item_id long, score double")
-    for block in _blocks(asked, "term_id", BLOCK_TERMS):
-        found = found.unionByName(_nearest_names(spark.sparkContext.broadcast([(r[0], r[1]) for r in block]), named, k))
-    order = Window.partitionBy("term_id").orderBy(F.desc("score"), "item_id")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    least = Window.partitionBy("name").orderBy("item_id")
+    items = store(named.withColumn("_n", F.row_number().over(least)).where(F.col("_n") <= k), "items")
+    # a name stands for its least item: the k best items are those of the k best names, ties by that item
+    heads = items.where("_n = 1").select("item_id", "name")
+    found = spark.createDataFrame([], "term string, name string, score double")
+    for block in _blocks(asked.select("term").distinct(), "term", BLOCK_TERMS):
+        found = found.unionByName(_nearest_names(spark.sparkContext.broadcast([r[0] for r in block]), heads, k))
+    order = Window.partitionBy("term").orderBy(F.desc("score"), "item_id")
+    best = found.join(items.drop("_n"), "name").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return asked.join(best, "term").select("term_id", "item_id", "score", "rank")
 
 
 def _nearest_names(shared: Broadcast, named: DataFrame, k: int) -> DataFrame:
     def run(batches):
-        nearest = _Nearest(shared.value, k)
+        nearest = _Nearest(list(enumerate(shared.value)), k)
         for batch in batches:
             if batch.num_rows and nearest.terms:
                 nearest.add(batch.column(0).to_pylist(), batch.column(1).to_pylist())
-        rows = [(term, item, -score) for (term, _), best in zip(nearest.terms, nearest.best, strict=True) for score, item in best]
+        rows = [(term, name, -score) for (_, term), best in zip(nearest.terms, nearest.best, strict=True) for score, _, name in best]
         columns = list(zip(*rows, strict=True)) or [(), (), ()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.float64()), strict=True)], names=["term_id", "item_id", "score"])
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), pa.float64()), strict=True)], names=["term", "name", "score"])
 
-    return named.mapInArrow(run, "term_id long, item_id long, score double")
+    return named.mapInArrow(run, "term string, name string, score double")
 
 
 def threshold_decision(exact: DataFrame, candidates: DataFrame, threshold: float) -> DataFrame:

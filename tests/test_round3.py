@@ -19,6 +19,23 @@ def plan(df, of="executedPlan") -> str:
         df.sparkSession.conf.unset("spark.sql.debug.maxToStringFields")
 
 
+def test_names_in_many_copies_are_scored_once(spark, monkeypatch):
+    met = []
+    score = retrieval._nearest_names
+    monkeypatch.setattr(retrieval, "_nearest_names", lambda shared, named, k: met.append((len(shared.value), named.count())) or score(shared, named, k))
+    names = ["red bolt", "Red Bolt ", "blue ring", "green nut", "red bold"]
+    items = [(100 - i, names[i % 5]) for i in range(60)] + [(7, None)]
+    terms = [(i, ("red bolt", "blue rng", " RED BOLT")[i % 3]) for i in range(30)]
+    got = retrieval.jaro_winkler_topk(spark.createDataFrame(terms, "term_id long, term string"), spark.createDataFrame(items, "item_id long, name string"), 4)
+    got = sorted((r.term_id, r["rank"], r.item_id, r.score) for r in got.collect())
+    want = []
+    for i, term in terms:
+        scored = [(-round(retrieval.jaro_winkler(term.strip().lower(), n.strip().lower()), 6), item) for item, n in items if n is not None]
+        want += [(i, k + 1, item, -s) for k, (s, item) in enumerate(sorted(scored)[:4])]
+    assert got == sorted(want)
+    assert met == [(2, 4)]
+
+
 def _violations(rows):
     """By loops over (bundle_id, full_url, resource_type, id, subject)."""
     out = []
