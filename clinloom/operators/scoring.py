@@ -275,8 +275,8 @@ def predict_by_code(cases: DataFrame, concept: DataFrame, relationship: DataFram
     )
 
 
-def invalid_references(cases: DataFrame, concept: DataFrame) -> DataFrame:
-    """Labelled cases whose expected concept is unknown, not a current standard one, or of another domain."""
+def invalid_references(cases: DataFrame, concept: DataFrame, current: bool = True) -> DataFrame:
+    """Labelled cases whose expected concept is unknown, not a current standard one (unless ``current`` is false), or of another domain."""
     c = concept.select(F.col("concept_id").alias("expected_id"), F.col("domain_id"), F.col("standard_concept"), F.col("invalid_reason"), F.lit(True).alias("_known"))
-    reason = F.when(F.col("_known").isNull(), "UNKNOWN").when(~(F.col("standard_concept").eqNullSafe("S") & F.col("invalid_reason").isNull()), "NOT_CURRENT").when(~F.col("domain_id").eqNullSafe(F.col("domain")), "OTHER_DOMAIN")
+    reason = F.when(F.col("_known").isNull(), "UNKNOWN").when(F.lit(current) & ~(F.col("standard_concept").eqNullSafe("S") & F.col("invalid_reason").isNull()), "NOT_CURRENT").when(~F.col("domain_id").eqNullSafe(F.col("domain")), "OTHER_DOMAIN")
     return cases.where("expected_decision = 'MAP'").join(c, "expected_id", "left").withColumn("reason", reason).where("reason is not null").select("case_id", "expected_id", "reason")

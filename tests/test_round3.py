@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+
+import duckdb
 import numpy as np
 
 from clinloom.operators import extract, retrieval
@@ -19,6 +22,20 @@ def plan(df, of="executedPlan") -> str:
         df.sparkSession.conf.unset("spark.sql.debug.maxToStringFields")
 
 
+def test_c21_where_source_concepts_take_standard_ids(spark, tmp_path):
+    """Part keys beyond a million give source concepts the ids of standard ones."""
+    for t in os.listdir(DATA):
+        os.symlink(f"{DATA}/{t}", tmp_path / t)
+    os.unlink(tmp_path / "part.parquet")
+    con = duckdb.connect()
+    con.sql(f"copy (select p.* replace (cast(p_partkey + i as bigint) as p_partkey) from '{DATA}/part.parquet' p, (select unnest([0, 1000000, 1000300]) as i)) to '{tmp_path}/part.parquet' (format parquet)")
+    for t in os.listdir(tmp_path):
+        con.sql(f"create view {t.removesuffix('.parquet')} as select * from '{tmp_path}/{t}'")
+    want = sorted(con.sql(registry.oracle_sql()["c21"]).fetchall(), key=repr)
+    got = registry.queries()["c21"](spark, str(tmp_path)).select("case_id", "expected_id", "reason")
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == want
+
+
 def test_names_in_many_copies_are_scored_once(spark, monkeypatch):
     met = []
     score = retrieval._nearest_names
