@@ -85,3 +85,11 @@ def test_bundle_violations_by_loops_and_one_exchange(spark):
     got = sorted((tuple(x) for x in found.collect()), key=repr)
     assert got == _violations(rows)
     assert plan(extract.bundle_violations(entries)).count("Exchange") == 1
+
+
+def test_flow_writes_its_entries_once(spark, monkeypatch):
+    names = []
+    stored = fhir.store
+    monkeypatch.setattr(fhir, "store", lambda df, name: names.append(name) or stored(df, name))
+    registry.queries()["flow_condition_occurrence"](spark, DATA)
+    assert names.count("staged_entries") == 1
