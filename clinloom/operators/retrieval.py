@@ -87,7 +87,11 @@ def cosine_topk(queries: DataFrame, index: DataFrame, k: int) -> DataFrame:
 def rerank(candidates: DataFrame, k: int) -> DataFrame:
     """``candidates`` (term_id, term, item_id, name, similarity, rank) reranked by axes: 0.08 more for each
     axis in common, 0.35 less for each in conflict; ties keep their order, and the similarity stays."""
-    rows = candidates.withColumn("_s", axes(F.col("term"))).withColumn("_c", axes(F.col("name")))
+    # the patterns run once a distinct text, over all tasks
+    texts = candidates.select(F.explode(F.array("term", "name")).alias("_text")).where("_text is not null").distinct()
+    known = store(texts.select("_text", axes(F.col("_text")).alias("_axes")), "axes")
+    of = lambda text, axis: known.withColumnsRenamed({"_text": text, "_axes": axis})
+    rows = candidates.join(of("term", "_s"), "term", "left").join(of("name", "_c"), "name", "left")
     score = F.col("similarity")
     for axis in AXES:
         ours, theirs = F.col(f"_s.{axis}"), F.col(f"_c.{axis}")

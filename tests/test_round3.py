@@ -53,6 +53,25 @@ def test_names_in_many_copies_are_scored_once(spark, monkeypatch):
     assert met == [(2, 4)]
 
 
+def test_axes_run_once_a_distinct_text(spark, monkeypatch):
+    counts = {}
+    stored = retrieval.store
+
+    def counted(df, name):
+        table = stored(df, name)
+        counts[name] = table.count()
+        return table
+
+    monkeypatch.setattr(retrieval, "store", counted)
+    rows = [(t, ("Glucose in Serum", None)[t == 9], t + r, ("x in Urine", "y in Serum", None)[r % 3], r / 10, r) for t in range(10) for r in range(6)]
+    df = spark.createDataFrame(rows, "term_id long, term string, item_id long, name string, similarity double, rank int")
+    best = retrieval.rerank(df, 2).collect()
+    assert counts == {"axes": 3}
+    assert len(best) == 20
+    # a term without a text keeps the order of its similarities
+    assert [r["rank"] for r in sorted(best, key=lambda r: r.new_rank) if r.term_id == 9] == [5, 4]
+
+
 def _violations(rows):
     """By loops over (bundle_id, full_url, resource_type, id, subject)."""
     out = []
