@@ -3,7 +3,9 @@ with its patient, its encounter and a resource for each line; some documents are
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clinloom import flow
@@ -44,47 +46,58 @@ def _coding(system=None, code=None, display=None):
     return _struct(**{k: v for k, v in parts.items() if v is not None})
 
 
-def bundles(c: Clinic) -> DataFrame:
-    """(bundle_id, json)."""
-    lines = c.raw("lineitem").join(c.raw("orders").select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
-    line, part, flag = F.col("l_linenumber"), F.col("l_partkey").cast("string"), F.col("l_returnflag")
-    key = F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
-    day = F.date_format("l_shipdate", "yyyy-MM-dd")
+def _resource_json(l: Callable[[str], Column]) -> tuple[Column, Column, Column]:
+    """A line's key, its resource and that of the Medication of its third line, from the line's columns."""
+    line, part, flag = l("l_linenumber"), l("l_partkey").cast("string"), l("l_returnflag")
+    key, date = l("key"), l("l_shipdate")
+    day = F.date_format(date, "yyyy-MM-dd")
     label = F.concat(F.lit("Part "), part)
     shared = dict(
         id=key,
-        subject=_struct(reference=F.concat(F.lit("Patient/"), F.col("o_custkey").cast("string"))),
-        encounter=_struct(reference=F.concat(F.lit("Encounter/"), F.col("l_orderkey").cast("string"))),
+        subject=_struct(reference=F.concat(F.lit("Patient/"), l("o_custkey").cast("string"))),
+        encounter=_struct(reference=F.concat(F.lit("Encounter/"), l("l_orderkey").cast("string"))),
     )
     state = lambda n, a, r: F.when(flag == "N", n).when(flag == "A", a).otherwise(r)
     observed = state("final", "amended", "entered-in-error")
     local = _coding(F.lit(LOCAL + "/"), part, label)
-    quantity = dict(value=F.col("l_quantity"), unit=F.lit("ng per dl"), system=F.lit(coding.UCUM), code=F.lit("ng/dl"))
-    quantity["comparator"] = F.when(F.col("l_partkey") % 4 == 0, "<")
-    component = _struct(code=_struct(coding=F.array(_coding(F.lit(coding.LOINC), F.lit("C1"), F.lit("Component")))), valueQuantity=_struct(value=F.col("l_quantity") * 2))
+    quantity = dict(value=l("l_quantity"), unit=F.lit("ng per dl"), system=F.lit(coding.UCUM), code=F.lit("ng/dl"))
+    quantity["comparator"] = F.when(l("l_partkey") % 4 == 0, "<")
+    component = _struct(code=_struct(coding=F.array(_coding(F.lit(coding.LOINC), F.lit("C1"), F.lit("Component")))), valueQuantity=_struct(value=l("l_quantity") * 2))
     verification = _struct(coding=F.array(_coding(None, state("confirmed", "refuted", "entered-in-error"))))
     json = {
         1: _struct(resourceType=F.lit("Observation"), status=observed, code=_struct(coding=F.array(_coding(F.lit(LOCAL + "/"), part, label), _coding(F.lit(coding.LOINC), F.concat(F.lit("L"), part), F.lit(None).cast("string")))),
                    effectiveDateTime=F.concat(day, F.lit("T10:30:00+02:00")), valueQuantity=_struct(**quantity), component=F.array(component), **shared),
         2: _struct(resourceType=F.lit("Condition"), verificationStatus=verification, code=_struct(coding=F.array(_coding(F.lit(coding.SNOMED), part, label))), onsetDateTime=day,
-                   abatementDateTime=F.date_format(F.date_add("l_shipdate", 5), "yyyy-MM-dd"), **shared),
+                   abatementDateTime=F.date_format(F.date_add(date, 5), "yyyy-MM-dd"), **shared),
         3: _struct(resourceType=F.lit("MedicationRequest"), status=state("active", "stopped", "cancelled"), medicationReference=_struct(reference=F.concat(F.lit("Medication/m-"), key)), authoredOn=day,
-                   dispenseRequest=_struct(validityPeriod=_struct(end=F.date_format(F.date_add("l_shipdate", 30), "yyyy-MM-dd"))), **shared),
+                   dispenseRequest=_struct(validityPeriod=_struct(end=F.date_format(F.date_add(date, 30), "yyyy-MM-dd"))), **shared),
         4: _struct(resourceType=F.lit("Procedure"), status=state("completed", "in-progress", "entered-in-error"), code=_struct(coding=F.array(local)), performedPeriod=_struct(start=day), **shared),
-        5: _struct(resourceType=F.lit("Observation"), status=observed, code=_struct(text=F.concat(F.lit("Term "), part)), effectiveDateTime=F.date_format("l_shipdate", "yyyy-MM"), valueString=F.lit("positive"), **shared),
+        5: _struct(resourceType=F.lit("Observation"), status=observed, code=_struct(text=F.concat(F.lit("Term "), part)), effectiveDateTime=F.date_format(date, "yyyy-MM"), valueString=F.lit("positive"), **shared),
         6: _struct(resourceType=F.lit("Condition"), verificationStatus=verification, code=_struct(coding=F.array(_coding(None, part))), onsetPeriod=_struct(start=day), **shared),
         7: _struct(resourceType=F.lit("Observation"), status=observed, code=_struct(coding=F.array(local)), effectivePeriod=_struct(start=day),
-                   valueCodeableConcept=_struct(coding=F.array(_coding(F.lit(LOCAL), F.col("l_suppkey").cast("string")))), **shared),
+                   valueCodeableConcept=_struct(coding=F.array(_coding(F.lit(LOCAL), l("l_suppkey").cast("string")))), **shared),
     }
     resource = F.coalesce(*[F.when(line == n, F.to_json(j)) for n, j in json.items()])
-    entry = lambda url, body: F.concat(F.lit('{"fullUrl":"'), url, F.lit('","resource":'), body, F.lit("}"))
-    url = F.concat(F.lit("urn:uuid:"), key)
     medicine = F.to_json(_struct(resourceType=F.lit("Medication"), id=F.concat(F.lit("m-"), key), code=_struct(coding=F.array(_coding(F.lit(coding.RXNORM), part, label)))))
-    own = F.array(F.struct(url.alias("u"), entry(url, resource).alias("j")))
-    med_url = F.concat(F.lit("urn:uuid:m-"), key)
-    both = F.when(line == 3, F.concat(own, F.array(F.struct(med_url.alias("u"), entry(med_url, medicine).alias("j"))))).otherwise(own)
-    per_order = lines.select("l_orderkey", F.explode(both).alias("x")).groupBy("l_orderkey").agg(F.array_sort(F.collect_list("x")).alias("xs"))
-    orders = c.raw("orders").join(per_order, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    return key, resource, F.when(line == 3, medicine)
+
+
+def bundles(c: Clinic) -> DataFrame:
+    """(bundle_id, json). What is shuffled are the lines' few columns; texts are made when an order's lines are together."""
+    used = ("l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag", "l_shipdate")
+    # dealt out before they are collected, so that no half-made lists are sorted and sent
+    lines = c.raw("lineitem").select("l_orderkey", *used).repartition("l_orderkey")
+    per_order = lines.groupBy("l_orderkey").agg(F.collect_list(F.struct(*used)).alias("lines"))
+    orders = c.raw("orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority").join(per_order, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    entry = lambda url, body: F.concat(F.lit('{"fullUrl":"urn:uuid:'), url, F.lit('","resource":'), body, F.lit("}"))
+
+    def members(x: Column) -> Column:
+        key, resource, medicine = _resource_json(lambda name: F.col(name) if name in ("o_custkey", "l_orderkey") else x[name])
+        own, med = F.struct(key.alias("u"), entry(key, resource).alias("j")), F.concat(F.lit("m-"), key)
+        return F.when(medicine.isNotNull(), F.array(own, F.struct(med.alias("u"), entry(med, medicine).alias("j")))).otherwise(F.array(own))
+
+    keyed = F.transform("lines", lambda x: F.struct(F.concat_ws("-", "l_orderkey", x["l_partkey"], x["l_suppkey"], x["l_linenumber"]).alias("key"), *[x[c].alias(c) for c in used]))
+    xs = F.array_sort(F.flatten(F.transform(keyed, members)))
     customer, order = F.col("o_custkey").cast("string"), F.col("o_orderkey").cast("string")
     birth = F.when(F.col("o_custkey") % 3 == 0, F.concat((1930 + F.col("o_custkey") % 80).cast("string"), F.lit("-05-17"))).otherwise((1930 + F.col("o_custkey") % 80).cast("string"))
     race = _struct(url=F.lit("http://example.org/us-core-race"), extension=F.array(_struct(url=F.lit("text"), valueString=F.concat(F.lit("R"), (F.col("o_custkey") % 5).cast("string")))))
@@ -93,8 +106,8 @@ def bundles(c: Clinic) -> DataFrame:
     stay = _struct(start=start, end=F.when(F.col("o_orderkey") % 2 == 0, F.date_format(F.date_add("o_orderdate", 2), "yyyy-MM-dd")))
     klass = _struct(code=F.when(F.col("o_orderpriority").startswith("1"), "EMER").when(F.col("o_orderpriority").startswith("2"), "IMP").otherwise("AMB"))
     visit = F.to_json(_struct(**{"resourceType": F.lit("Encounter"), "id": order, "status": F.lit("finished"), "subject": _struct(reference=F.concat(F.lit("Patient/"), customer)), "class": klass, "period": stay}))
-    head = F.array(entry(F.concat(F.lit("urn:uuid:p-"), customer), patient), entry(F.concat(F.lit("urn:uuid:v-"), order), visit))
-    every = F.concat(head, F.coalesce(F.transform("xs", lambda x: x["j"]), F.array().cast("array<string>")))
+    head = F.array(entry(F.concat(F.lit("p-"), customer), patient), entry(F.concat(F.lit("v-"), order), visit))
+    every = F.concat(head, F.coalesce(F.transform(xs, lambda x: x["j"]), F.array().cast("array<string>")))
     kind = F.when(F.col("o_orderkey") % 97 == 0, "Library").otherwise("Bundle")
     text = F.concat(F.lit('{"resourceType":"'), kind, F.lit('","entry":['), F.array_join(every, ","), F.lit("]}"))
     return orders.select(F.col("o_orderkey").alias("bundle_id"), text.alias("json"))

@@ -40,7 +40,9 @@ def linked_entries(bundles: DataFrame) -> DataFrame:
     is referred to. References are looked up in the bundle's own map while it is still one row, so nothing is joined or
     shuffled, and the map is not carried by its entries. A reference is a Type/id or a full URL of the bundle; another stays
     as it is. Of resources with one name, that with the greatest full URL counts."""
-    found = _members(bundles).select("bundle_id", F.transform("members", lambda e: F.struct(*[c.alias(n) for n, c in _fields(e).items()])).alias("_es"))
+    said = lambda e, field: F.trim(path(e, f"$.resource.{field}.reference", "string"))
+    asked = lambda e: {"_subject": said(e, "subject"), "_encounter": said(e, "encounter"), "_medication": said(e, "medicationReference")}
+    found = _members(bundles).select("bundle_id", F.transform("members", lambda e: F.struct(*[c.alias(n) for n, c in (_fields(e) | asked(e)).items()])).alias("_es"))
     good = F.filter("_es", lambda e: (e["resource_type"] != "") & (e["id"] != "") & (e["full_url"] != ""))
     pair = lambda ref, url: F.struct(ref.alias("ref"), url.alias("url"))
     names = F.flatten(F.transform(good, lambda e: F.array(pair(e["full_url"], e["full_url"]), pair(F.concat_ws("/", e["resource_type"], e["id"]), e["full_url"]))))
@@ -53,17 +55,19 @@ def linked_entries(bundles: DataFrame) -> DataFrame:
         "bundle_id", "_es", F.map_from_entries(F.filter(last, lambda x: x["ref"] != x["url"])).alias("_map"), drugs.alias("_drugs")
     )
 
-    def resolved(e: Column, field: str) -> Column:
-        said = F.trim(path(e["resource"], f"$.{field}.reference", "string"))
-        return F.nullif(F.when(said.startswith("urn:"), said).otherwise(F.coalesce(F.try_element_at("_map", said), said)), F.lit(""))
+    def resolved(ref: Column) -> Column:
+        return F.nullif(F.when(ref.startswith("urn:"), ref).otherwise(F.coalesce(F.try_element_at("_map", ref), ref)), F.lit(""))
+
+    # references are read once, resolved once, and then met with the medications
+    more = lambda e: {"subject_url": resolved(e["_subject"]), "encounter_url": resolved(e["_encounter"]), "_url": resolved(e["_medication"])}
+    own = ("full_url", "resource_type", "id", "resource")
+    full = F.transform("_es", lambda e: F.struct(*[e[n].alias(n) for n in own], *[c.alias(n) for n, c in more(e).items()]))
 
     def medication(e: Column) -> Column:
-        url = resolved(e, "medicationReference")
-        asked = F.filter("_drugs", lambda d: d["url"] == url)
-        return F.when(e["resource_type"] == "MedicationRequest", F.get(asked, F.lit(0))["code"])
+        code = F.get(F.filter("_drugs", lambda d: d["url"] == e["_url"]), F.lit(0))["code"]
+        return F.when(e["resource_type"] == "MedicationRequest", code)
 
-    more = lambda e: {"subject_url": resolved(e, "subject"), "encounter_url": resolved(e, "encounter"), "medication_code": medication(e)}
-    full = F.transform("_es", lambda e: F.struct(*[e[n].alias(n) for n in ("full_url", "resource_type", "id", "resource")], *[c.alias(n) for n, c in more(e).items()]))
+    full = F.transform(full, lambda e: F.struct(*[e[n].alias(n) for n in (*own, "subject_url", "encounter_url")], medication(e).alias("medication_code")))
     return found.select("bundle_id", full.alias("_es")).select("bundle_id", F.posexplode_outer("_es").alias("pos", "_e")).where("pos is not null").select("bundle_id", "pos", "_e.*")
 
 

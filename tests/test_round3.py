@@ -22,6 +22,13 @@ def plan(df, of="executedPlan") -> str:
         df.sparkSession.conf.unset("spark.sql.debug.maxToStringFields")
 
 
+def test_bundles_send_columns_not_texts(spark):
+    """Texts are made above the last exchange."""
+    text = plan(fhir.bundles(Clinic(spark, DATA)))
+    assert "resourceType" in text
+    assert "resourceType" not in text[text.index("Exchange") :]
+
+
 def test_c21_where_source_concepts_take_standard_ids(spark, tmp_path):
     """Part keys beyond a million give source concepts the ids of standard ones."""
     for t in os.listdir(DATA):
