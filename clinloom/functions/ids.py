@@ -50,7 +50,10 @@ def _required(text: Column, what: str) -> Column:
 
 def person_id(ref: Column, key: bytes) -> Column:
     """A person's id: the keyed digest of the identity, modulo 2 ** 62. An empty identity fails."""
-    digest = hmac_sha256(_required(canonical_identity(ref), "a patient's identity"), key)
+    return person_of(identity_digest(ref, key, "a patient's identity"))
+
+
+def person_of(digest: Column) -> Column:
     # the last 62 bits: the last 15 hex digits and two bits of the one before
     low = F.conv(F.substring(digest, 50, 15), 16, 10).cast("long")
     high = F.conv(F.substring(digest, 49, 1), 16, 10).cast("long")
@@ -59,7 +62,15 @@ def person_id(ref: Column, key: bytes) -> Column:
 
 def event_id(ref: Column, key: bytes) -> Column:
     """An event's id: the first 15 hex digits of the keyed digest. An empty identity fails."""
-    digest = hmac_sha256(_required(canonical_identity(ref), "an event's identity"), key)
+    return event_of(identity_digest(ref, key, "an event's identity"))
+
+
+def identity_digest(ref: Column, key: bytes, what: str = "an identity") -> Column:
+    """The keyed digest that both a person's and an event's id are made of. An empty identity fails."""
+    return hmac_sha256(_required(canonical_identity(ref), what), key)
+
+
+def event_of(digest: Column) -> Column:
     return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
 
 

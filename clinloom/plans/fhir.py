@@ -178,7 +178,9 @@ def b2(spark, sf_dir):
 @query("b3")
 def b3(spark, sf_dir):
     e = _entries(spark, sf_dir)
-    return e.select("full_url", ids.person_id(F.col("full_url"), KEY).alias("person_id"), ids.event_id(F.col("full_url"), KEY).alias("event_id"), ids.payload_event_id(extract.payload(e), KEY, F.lit("component[0]")).alias("payload_id"), ids.fingerprint(extract.payload(e), KEY).alias("fingerprint"))
+    # a resource's text and the digest of its identity are made once
+    e = e.select("full_url", extract.payload(e).alias("text"), ids.identity_digest(F.col("full_url"), KEY).alias("digest"))
+    return e.select("full_url", ids.person_of(F.col("digest")).alias("person_id"), ids.event_of(F.col("digest")).alias("event_id"), ids.payload_event_id(F.col("text"), KEY, F.lit("component[0]")).alias("payload_id"), ids.fingerprint(F.col("text"), KEY).alias("fingerprint"))
 
 
 def _hmac_sql(text: str) -> str:
@@ -203,8 +205,8 @@ _IDS = f"""select full_url, {_person_sql('h')} as person_id, {_event_sql('h')} a
 
 @query("b3_ids", _sql(_IDS))
 def b3_ids(spark, sf_dir):
-    e = _entries(spark, sf_dir)
-    return e.select("full_url", ids.person_id(F.col("full_url"), KEY).alias("person_id"), ids.event_id(F.col("full_url"), KEY).alias("event_id"))
+    e = _entries(spark, sf_dir).select("full_url", ids.identity_digest(F.col("full_url"), KEY).alias("digest"))
+    return e.select("full_url", ids.person_of(F.col("digest")).alias("person_id"), ids.event_of(F.col("digest")).alias("event_id"))
 
 
 def _flow(spark, sf_dir, table):

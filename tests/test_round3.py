@@ -119,3 +119,8 @@ def test_flow_writes_its_entries_once(spark, monkeypatch):
     monkeypatch.setattr(fhir, "store", lambda df, name: names.append(name) or stored(df, name))
     registry.queries()["flow_condition_occurrence"](spark, DATA)
     assert names.count("staged_entries") == 1
+
+
+def test_ids_read_their_identity_once(spark):
+    """One chain of digests for a person's and an event's id."""
+    assert plan(registry.queries()["b3_ids"](spark, DATA), "optimizedPlan").count("sha2(") == 2
