@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from clinloom.functions.text import AXES, actor_key, alias_key, axes, jaro_winkler, sequence_ratio
 from clinloom.session import store
 
-#: Queries that a task holds at once.
-QUERY_BLOCK = 4_096
+#: Queries that a task holds at once, and rows that they meet at once.
+QUERY_BLOCK, ROWS_AT_ONCE = 4_096, 512
 
 
 def expand_aliases(terms: DataFrame, lexicon: DataFrame, synthetic: bool = True) -> DataFrame:
@@ -51,7 +51,7 @@ def cosine_topk(queries: DataFrame, index: DataFrame, k: int) -> DataFrame:
             ids, q = shared.value
             best_s = np.full((len(ids), 0), 0.0)
             best_i = np.zeros((len(ids), 0), np.int64)
-            for batch in batches:
+            for batch in (b.slice(at, ROWS_AT_ONCE) for b in batches for at in range(0, b.num_rows, ROWS_AT_ONCE)):
                 v = as_matrix(batch.column(1), q.shape[1])
                 norm = np.linalg.norm(v, axis=1, keepdims=True)
                 s = q @ (v / np.where(norm == 0, 1, norm)).T

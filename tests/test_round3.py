@@ -6,6 +6,7 @@ import os
 
 import duckdb
 import numpy as np
+import pytest
 
 from clinloom.operators import extract, retrieval
 from clinloom.plans import fhir, registry
@@ -79,6 +80,20 @@ def test_axes_run_once_a_distinct_text(spark, monkeypatch):
     assert [r["rank"] for r in sorted(best, key=lambda r: r.new_rank) if r.term_id == 9] == [5, 4]
 
 
+@pytest.mark.parametrize("rows", [3, 512])
+def test_search_meets_few_rows_at_once(spark, monkeypatch, rows):
+    monkeypatch.setattr(retrieval, "ROWS_AT_ONCE", rows)
+    r = np.random.default_rng(5)
+    v = [(i, r.standard_normal(4).tolist()) for i in range(80)] + [(90 + i, [1.0, 0.0, 0.0, 0.0]) for i in range(9)]
+    df = spark.createDataFrame(v, "item_id long, vector array<double>")
+    got = retrieval.cosine_topk(df.where("item_id < 5").withColumnRenamed("item_id", "query_id"), df, 6)
+    got = {(x.query_id, x["rank"]): x.item_id for x in got.collect()}
+    unit = {i: np.array(x) / np.linalg.norm(x) for i, x in v}
+    for q in range(5):
+        best = sorted(unit, key=lambda i: (round(1 - float(unit[q] @ unit[i]), 12), i))[:6]
+        assert [got[q, k + 1] for k in range(6)] == best
+
+
 def _violations(rows):
     """By loops over (bundle_id, full_url, resource_type, id, subject)."""
     out = []
