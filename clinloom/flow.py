@@ -64,12 +64,14 @@ def cdm_tables(
     approved: Approved | None = None,
     unit_rules: Sequence[tuple[str, str, str]] = UNIT_RULES,
     run_id: str = "flow",
+    until: str | None = None,
 ) -> dict[str, DataFrame]:
     """Every table of ``tables.CDM`` from ``entries``, and beside them the visit links, the quarantines of routes and of units,
     the ambiguous events, the bundles' violations and the provenance of mapped events. ``keep`` gets
     each table as it is made and gives what later steps read, such as its written form. Persons without a year of birth are
     left out. Observations and procedures go where their targets' domains send them. Measurements whose unit breaks one of
-    ``unit_rules`` are held back; events that the vocabulary leaves at 0 take an ``approved`` mapping of their domain."""
+    ``unit_rules`` are held back; events that the vocabulary leaves at 0 take an ``approved`` mapping of their domain. No more is
+    made than ``until``, the name of a table, needs: plans of all tables together take long to build."""
     made = {}
 
     def add(name: str, df: DataFrame) -> DataFrame:
@@ -79,6 +81,8 @@ def cdm_tables(
     e = keep("staged_entries", extract.with_references(entries))
     persons = extract.extract_persons(e).where("year_of_birth > 0").withColumn("person_id", person_id(F.col("person_ref"), key))
     add("person", _one_each(persons.drop("person_ref"), "person_id"))
+    if until == "person":
+        return made
     visits = extract.extract_visits(e).withColumns({"visit_id": event_id(F.col("visit_ref"), key), "person_id": person_id(F.col("person_ref"), key)})
     visits = add("visit_occurrence", _one_each(visits.drop("visit_ref", "person_ref"), "visit_id"))
 
@@ -97,12 +101,12 @@ def cdm_tables(
     columns = ("event_id", "person_id", "concept_id", "start_date", "vocabulary_id", "code")
     sent = lambda table: routed.where(F.col("target_table") == table).select(*columns)
     found = {
-        "condition_occurrence": [standardise.map_conditions(conditions, concept, relationship)],
-        "drug_exposure": [standardise.map_drugs(drugs, concept, relationship)],
-        "measurement": [standardise.map_measurements(publishable, concept, relationship), sent("measurement")],
-        "observation": [standardise.map_observations(candidates, concept, relationship), sent("observation")],
-        "procedure_occurrence": [sent("procedure_occurrence")],
-        "device_exposure": [sent("device_exposure")],
+        "condition_occurrence": lambda: [standardise.map_conditions(conditions, concept, relationship)],
+        "drug_exposure": lambda: [standardise.map_drugs(drugs, concept, relationship)],
+        "measurement": lambda: [standardise.map_measurements(publishable, concept, relationship), sent("measurement")],
+        "observation": lambda: [standardise.map_observations(candidates, concept, relationship), sent("observation")],
+        "procedure_occurrence": lambda: [sent("procedure_occurrence")],
+        "device_exposure": lambda: [sent("device_exposure")],
     }
     linkable = ("event_id", "person_id", "start_date", "encounter_ref")
     staged = [df.select(*linkable) for df in (conditions, drugs, measures, procedures, candidates)]
@@ -111,18 +115,21 @@ def cdm_tables(
     links = decisions.select("event_id", "visit_id")
     events, provenance = {}, []
     for name, parts in found.items():
-        rows = _union(parts).withColumn("_vocabulary_concept", F.col("concept_id"))
+        rows = _union(parts()).withColumn("_vocabulary_concept", F.col("concept_id"))
         if approved is not None:
             rows = standardise.apply_approved(rows, approved.by_term, approved.by_event, concept, DOMAINS[name])
         rows = keep(f"staged_{name}", rows)
         events[name] = add(name, rows.join(links, "event_id", "left"))
+        if name == "condition_occurrence" and until != name:
+            add("condition_era", derive.condition_era(events[name]))
+        if until in made:
+            return made
         method = F.when(F.col("_vocabulary_concept") == 0, "APPROVED").otherwise("VOCABULARY")
         mapped = rows.where("concept_id <> 0").select("event_id", "concept_id", "vocabulary_id", "code", method.alias("mapping_method"))
         provenance.append(mapped.select(F.lit(name).alias("target_table"), "*", F.lit(run_id).alias("run_id")))
     add("mapping_provenance", _union(provenance))
 
     add("observation_period", derive.observation_period(visits, [_dated(df) for df in events.values()]))
-    add("condition_era", derive.condition_era(events["condition_occurrence"]))
     add("drug_era", derive.drug_era(events["drug_exposure"], ancestor, concept))
 
     kinds = candidates.select("event_id", "resource_type", "vocabulary_id", "code").unionByName(procedures.select("event_id", F.lit("Procedure").alias("resource_type"), "vocabulary_id", "code"))

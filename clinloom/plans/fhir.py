@@ -215,7 +215,7 @@ def _flow(spark, sf_dir, table):
     concept = c.concept.withColumn("vocabulary_id", F.when(F.col("vocabulary_id") == "PART", "SNOMED").otherwise(F.col("vocabulary_id")))
     # events read the entries several times, so these are written once, as build_cdm does; persons read them once
     kept = ("staged_entries",) if table != "person" else ()
-    return flow.cdm_tables(_linked(spark, sf_dir), concept, c.relationship, c.ancestor, KEY, lambda name, df: store(df, name) if name in kept else df)[table]
+    return flow.cdm_tables(_linked(spark, sf_dir), concept, c.relationship, c.ancestor, KEY, lambda name, df: store(df, name) if name in kept else df, until=table)[table]
 
 
 _SEEN = "orders where o_orderkey % 97 <> 0"

@@ -8,9 +8,11 @@ import duckdb
 import numpy as np
 import pytest
 
+from clinloom import flow
 from clinloom.operators import extract, retrieval
 from clinloom.plans import fhir, registry
 from clinloom.plans.binding import Clinic
+from clinloom.sources import bundles
 
 DATA = "/root/testdata/sf0.001"
 
@@ -139,3 +141,10 @@ def test_flow_writes_its_entries_once(spark, monkeypatch):
 def test_ids_read_their_identity_once(spark):
     """One chain of digests for a person's and an event's id."""
     assert plan(registry.queries()["b3_ids"](spark, DATA), "optimizedPlan").count("sha2(") == 2
+
+
+@pytest.mark.parametrize("name", ["person", "condition_occurrence", "condition_era"])
+def test_flow_makes_no_more_than_is_asked(spark, name):
+    c = Clinic(spark, DATA)
+    made = flow.cdm_tables(bundles.linked_entries(fhir.bundles(c)), c.concept, c.relationship, c.ancestor, fhir.KEY, until=name)
+    assert name in made and not {"drug_exposure", "mapping_provenance", "bundle_violations"} & set(made)
