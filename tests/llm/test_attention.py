@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 
 from clinloom.llm import attention as A
@@ -157,6 +158,39 @@ def test_counts_and_scores(spark, monkeypatch, known):
     assert A.id_counts(fitted.counts, BYTE_RANKS, PATTERN) == dict(ids)
 
 
+def test_words_of_many_texts_at_once():
+    texts = ["  The\tCat\x0bthe ", "", None, " \n", "É\u00a0É\x1cx \u2028 THE", "a b a", "x" * 70]
+    found = A.Words.of(pa.array(texts))
+    want = [A.words_of((t or "").encode()) for t in texts]
+    for words in (found, A.Words.of_lists(want)):
+        cut = np.split(words.codes, words.ends[:-1])
+        assert [[words.kinds[c] for c in some] for some in cut] == want
+    ids, many = A.WordIds(BYTE_RANKS, PATTERN).ids_of(found)
+    assert ids.tolist() == [i for words in want for w in words for i in ids_of(w)]
+    assert many.tolist() == [sum(len(ids_of(w)) for w in words) for words in want]
+    assert [len(x) for x in A.WordIds(BYTE_RANKS, PATTERN).ids_of(A.Words.of(pa.array([], pa.string())))] == [0, 0]
+
+
+def test_one_rule_takes_the_stretches_of_any_corpus(spark, monkeypatch):
+    """Every fourth stretch of each text, and 20 others, however large the corpus is; all of one with no more."""
+    taken = []
+    monkeypatch.setattr(A, "one_round", lambda stretches, start, *rest: taken.extend(bytes(r.stretch) for r in stretches.collect()) or start)
+    monkeypatch.setattr(A, "SHARE", 4)
+    monkeypatch.setattr(A, "FIRST", 20)
+    small = [(i, " ".join(f"own{i}x{k}" for k in range(640))) for i in range(40)]  # ten stretches each
+    for more in ([], [(100 + i, "a b c " * 1_000_000) for i in range(3)]):
+        taken.clear()
+        A.fit(spark.createDataFrame(small + more, COLUMNS), BYTE_RANKS, PATTERN)
+        texts = Counter(s.split(b"x")[0] for s in taken)
+        fourths = sum(min(2, texts[b"own%d" % i]) for i in range(40))
+        assert fourths == 80 and 80 <= sum(texts[b"own%d" % i] for i in range(40)) <= 140
+        large = sum(n for text, n in texts.items() if not text.startswith(b"own"))
+        assert abs(large - len(more) * 46_875 / 4) <= 23
+    taken.clear()
+    A.fit(spark.createDataFrame(small[:2], COLUMNS), BYTE_RANKS, PATTERN)
+    assert sorted(w for s in taken for w in s.split()) == sorted(w.encode() for _, text in small[:2] for w in text.split())
+
+
 def test_learns(spark):
     """Held-out texts of the same making are likelier than their ids' shares make them."""
     rows = [(i, t) for i, t in corpus(4, 400) if i is not None and i < 400]
