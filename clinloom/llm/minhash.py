@@ -7,7 +7,7 @@
 2. Texts with equal shingle sets form one class (a grouped minimum). Only classes go on.
 3. Bands put classes into buckets. Two classes of a bucket are compared by size and by both XOR counts;
    the first estimates similarities near one precisely, whatever the sets' sizes. What may reach the
-   threshold is confirmed on the full sets.
+   threshold is confirmed on the full sets, which are made once, of the classes that share a bucket.
 4. Each class first meets one class of each of its buckets, and the nearest of those by the bitmaps is
    confirmed. These links give provisional groups, which some turns of delegates, one of a group in a
    bucket against one of the bucket's largest group, join further. Then, in each bucket, every class outside the bucket's
@@ -50,6 +50,8 @@ ESTIMATE_FLOOR = 0.52
 TURNS = 2
 #: Classes of a bucket that share a partition of the second step.
 CHUNK = 256
+#: Bits of the bitmap by which rows that are not asked for are dropped where they are read.
+MARKS = 1 << 23
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
@@ -167,10 +169,20 @@ def _possible(a: str, b: str):
     return (100 * small >= 75 * large) & apart & (_estimate(a, b) >= ESTIMATE_FLOOR)
 
 
-def _confirmed(pairs: DataFrame, documents: DataFrame) -> DataFrame:
-    """Those of the pairs (u, v: doc_id) whose full sets link."""
-    wanted = pairs.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct()
-    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, "doc_id", "left_semi")
+def _among(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows whose doc_id is among ``ids`` (doc_id, a stored table of distinct ids). A bitmap of the ids' hashes, of ``MARKS`` bits whatever
+    their number, goes to every task and drops most other rows before any is sent; the join settles what it lets through."""
+    at = F.pmod(F.xxhash64("doc_id"), F.lit(MARKS))
+    word, bit = F.shiftright(at, 6).alias("_word"), at.bitwiseAND(F.lit(63)).cast("int").alias("_bit")
+    marks = ids.select(word, bit).groupBy("_word").agg(F.bit_or(F.expr("shiftleft(1L, _bit)")).alias("_mask"))
+    met = rows.select("*", word, bit).join(F.broadcast(marks), "_word").where(F.bit_get("_mask", "_bit") == 1)
+    # an inner join, as a semi-join would be moved below the bitmap
+    return met.select(*rows.columns).join(ids, "doc_id")
+
+
+def full_sets(reps: DataFrame, documents: DataFrame) -> DataFrame:
+    """(doc_id, hashes): the whole sets of the documents ``reps`` (doc_id), sent and hashed once for all comparisons."""
+    docs = _among(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), reps)
 
     def make():
         words = Memory(xxhash.xxh3_64_intdigest)
@@ -181,7 +193,13 @@ def _confirmed(pairs: DataFrame, documents: DataFrame) -> DataFrame:
 
         return work
 
-    sets = store(add_columns(docs, "hashes array<long>", make).select("doc_id", "hashes").where("size(hashes) > 0"), "sets")
+    return store(add_columns(docs, "hashes array<long>", make).select("doc_id", "hashes").where("size(hashes) > 0"), "sets")
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Those of the pairs (u, v: doc_id) whose full sets link."""
+    wanted = store(pairs.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct(), "wanted")
+    sets = _among(sets, wanted)
     left = pairs.join(sets.select(F.col("doc_id").alias("u"), F.col("hashes").alias("hu")), "u")
     both = left.join(sets.select(F.col("doc_id").alias("v"), F.col("hashes").alias("hv")), "v")
     common = F.size(F.array_intersect("hu", "hv"))
@@ -246,13 +264,15 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     words = range(SKETCH_WORDS + PARITY_WORDS)
     slim = classes.select("rep", "n_shingles", *[F.col("sketch")[k].alias(f"s{k}") for k in words])
     shared = store(laid.join(hubs, "bucket"), "buckets")
+    # every pair is of classes that share a bucket
+    sets = full_sets(store(shared.select(F.col("rep").alias("doc_id")).distinct(), "reps"), documents)
     a, b = slim.alias("a"), slim.alias("b")
     first = shared.where("rep <> hub").select("rep", "hub").distinct()
     first = first.alias("p").join(a, F.col("p.rep") == F.col("a.rep")).join(b, F.col("p.hub") == F.col("b.rep"))
     first = first.where(_possible("a", "b")).select(F.col("p.rep").alias("rep"), F.col("p.hub").alias("hub"), _distance("a", "b").alias("far"))
     first = first.groupBy("rep").agg(F.min(F.struct("far", "hub")).alias("best"))
     first = store(first.select(F.least("rep", "best.hub").alias("u"), F.greatest("rep", "best.hub").alias("v")).distinct(), "pairs")
-    links = store(_confirmed(first, documents), "links").unionByName(same_id)
+    links = store(_confirmed(first, sets), "links").unionByName(same_id)
 
     # groups that share a bucket are joined by delegates, each to its nearest one, before all pairs are
     # settled; joining moves a group under another's label, which may be one step behind but never unites
@@ -271,7 +291,7 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
         ask = ask.join(tried, ["u", "v"], "left_anti").groupBy("label").agg(F.min(F.struct("far", "u", "v", "to")).alias("best"))
         ask = store(ask.select("label", "best.u", "best.v", "best.to"), "pairs")
         pairs = ask.select("u", "v").distinct()
-        more = store(_confirmed(pairs, documents), "links")
+        more = store(_confirmed(pairs, sets), "links")
         links, tried = links.unionByName(more), tried.unionByName(pairs)
         joined = ask.join(more, ["u", "v"], "left_semi").select(F.col("label").alias("x"), F.col("to").alias("y"))
         label_of = _moved(label_of, _lower(joined, "moves"))
@@ -293,12 +313,12 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     ends = met.select("u", "v", "far", "lu", "lv", F.explode(F.array("u", "v")).alias("of"))
     nearest = ends.groupBy("of").agg(F.min(F.struct("far", "u", "v", "lu", "lv")).alias("best")).select("best.u", "best.v", "best.lu", "best.lv").distinct()
     nearest = store(nearest, "pairs")
-    found = store(_confirmed(nearest.select("u", "v"), documents), "links")
+    found = store(_confirmed(nearest.select("u", "v"), sets), "links")
     moves = _lower(nearest.join(found, ["u", "v"], "left_semi").select(F.col("lu").alias("x"), F.col("lv").alias("y")), "moves")
     left = met.join(nearest.select("u", "v"), ["u", "v"], "left_anti")
     left = left.join(moves.select(F.col("label").alias("lu"), F.col("to").alias("mu")), "lu", "left").join(moves.select(F.col("label").alias("lv"), F.col("to").alias("mv")), "lv", "left")
     left = left.where(F.coalesce("mu", "lu") != F.coalesce("mv", "lv")).select("u", "v")
-    links = links.unionByName(found).unionByName(store(_confirmed(store(left, "pairs"), documents), "links"))
+    links = links.unionByName(found).unionByName(store(_confirmed(store(left, "pairs"), sets), "links"))
 
     group = connected_components(links)
     named = member.join(group, member["rep"] == group["node"], "left")

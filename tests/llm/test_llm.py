@@ -19,6 +19,7 @@ from tokenizers import Tokenizer
 
 from clinloom.llm import byte_bpe, components, langid, leaks, minhash, pseudonyms, quality, secrets, token_files, toxicity, web_archive
 from clinloom.llm.registry import BYTE_RANKS, QUERY_KEY, WORD_BPE
+from clinloom.session import store
 
 WORDS = "alpha beta gamma delta river stone cloud amber quiet seven lemon north copper velvet signal harbor".split()
 
@@ -105,6 +106,37 @@ def test_minhash_against_all_pairs(spark):
     assert minhash.near_duplicates(odd_rows(spark, texts).limit(0)).count() == 0
 
 
+def test_minhash_sends_texts_once(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr(minhash, "store", lambda df, name: made.append(name) or store(df, name))
+    texts = [prose(seed % 9, 40) + (" x" * (seed % 4)) for seed in range(60)]
+    want = linked_components(list(enumerate(texts)))
+    got = minhash.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want
+    assert made.count("sets") == 1  # one table of full sets for all comparisons
+
+
+def test_minhash_bitmap_drops_no_wanted_row(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "MARKS", 128)  # so few that most rows share a bit
+    rows = spark.createDataFrame([(i % 700 if i % 11 else None, str(i)) for i in range(1000)], "doc_id long, text string")
+    ids = store(spark.range(0, 2000, 3).select(F.col("id").alias("doc_id")), "ids")
+    got = sorted((r.doc_id, r.text) for r in minhash._among(rows, ids).collect())
+    assert got == sorted((i % 700, str(i)) for i in range(1000) if i % 11 and i % 700 % 3 == 0)
+    assert minhash._among(rows, ids.limit(0)).count() == 0
+
+
+def test_minhash_bitmap_comes_before_what_is_sent(spark):
+    broadcast = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        ids = store(spark.range(5).select(F.col("id").alias("doc_id")), "ids")
+        rows = store(spark.createDataFrame([(1, "a")], "doc_id long, text string"), "rows")
+        plan = minhash._among(rows, ids)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    assert 0 <= plan.index("SortMergeJoin") < plan.index("bit_get")  # what is printed later is done earlier
+
+
 def test_odd_sketch_estimates_high_similarity():
     r = np.random.default_rng(1)
     base = r.integers(0, 2**63, 400).astype(np.uint64)
