@@ -19,6 +19,8 @@ from clinloom.sources import bundles as source
 
 KEY = b"key of the registered queries"
 LOCAL = "http://hospital.example/parts"
+#: Lines whose bundles one task makes.
+TASK_LINES = 50_000
 
 #: The resources as SQL: what the bundles hold, by line.
 RES = f"""res as (select *, case when line in (1, 5, 7) then 'Observation' when line in (2, 6) then 'Condition' when line = 3 then 'MedicationRequest' else 'Procedure' end as resource_type,
@@ -83,12 +85,16 @@ def _resource_json(l: Callable[[str], Column]) -> tuple[Column, Column, Column]:
 
 
 def bundles(c: Clinic) -> DataFrame:
-    """(bundle_id, json). What is shuffled are the lines' few columns; texts are made when an order's lines are together."""
+    """(bundle_id, json). What is shuffled are the lines' few columns; texts are made when an order's lines are together. These
+    are far larger than those columns, so the number of tasks follows the lines, not the bytes shuffled, and a task stays small."""
     used = ("l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag", "l_shipdate")
     # dealt out before they are collected, so that no half-made lists are sorted and sent
-    lines = c.raw("lineitem").select("l_orderkey", *used).repartition("l_orderkey")
+    lines = c.raw("lineitem").select("l_orderkey", *used)
+    tasks = max(1, -(-lines.count() // TASK_LINES))
+    lines = lines.repartition(tasks, "l_orderkey")
     per_order = lines.groupBy("l_orderkey").agg(F.collect_list(F.struct(*used)).alias("lines"))
-    orders = c.raw("orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority").join(per_order, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    orders = c.raw("orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority").repartition(tasks, "o_orderkey")
+    orders = orders.join(per_order, F.col("o_orderkey") == F.col("l_orderkey"), "left")
     entry = lambda url, body: F.concat(F.lit('{"fullUrl":"urn:uuid:'), url, F.lit('","resource":'), body, F.lit("}"))
 
     def members(x: Column) -> Column:

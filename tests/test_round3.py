@@ -148,3 +148,10 @@ def test_flow_makes_no_more_than_is_asked(spark, name):
     c = Clinic(spark, DATA)
     made = flow.cdm_tables(bundles.linked_entries(fhir.bundles(c)), c.concept, c.relationship, c.ancestor, fhir.KEY, until=name)
     assert name in made and not {"drug_exposure", "mapping_provenance", "bundle_violations"} & set(made)
+
+
+def test_bundles_are_made_by_tasks_that_follow_the_lines(spark, monkeypatch):
+    """The bytes shuffled are few, so that by them one task would make all texts."""
+    monkeypatch.setattr(fhir, "TASK_LINES", 500, raising=False)
+    lines = spark.read.parquet(f"{DATA}/lineitem.parquet").count()
+    assert fhir.bundles(Clinic(spark, DATA)).rdd.getNumPartitions() == -(-lines // 500) > 4
