@@ -7,6 +7,7 @@ import os
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from clinloom import flow
 from clinloom.operators import extract, retrieval
@@ -155,3 +156,18 @@ def test_bundles_are_made_by_tasks_that_follow_the_lines(spark, monkeypatch):
     monkeypatch.setattr(fhir, "TASK_LINES", 500, raising=False)
     lines = spark.read.parquet(f"{DATA}/lineitem.parquet").count()
     assert fhir.bundles(Clinic(spark, DATA)).rdd.getNumPartitions() == -(-lines // 500) > 4
+
+
+def test_bundles_are_written_small(spark):
+    """What is written of the bundles is a small part of their texts, which repeat themselves."""
+    made = fhir._bundles(spark, DATA)
+    written = sum(os.path.getsize(f.removeprefix("file://")) for f in made.inputFiles())
+    assert written < made.agg(F.sum(F.octet_length("json"))).first()[0] / 9
+
+
+@pytest.mark.parametrize("name", ["b5", "b7", "b8", "b12", "b13"])
+def test_bundles_are_read_without_an_exchange(spark, name):
+    """Beyond the making of the bundles these send and sort nothing, so that they can't spill either."""
+    text = plan(registry.queries()[name](spark, DATA))
+    assert "Scan parquet" in text
+    assert not any(step in text for step in ("Exchange", "Sort", "Aggregate", "Window", "Join"))
