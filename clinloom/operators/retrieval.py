@@ -12,10 +12,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clinloom.functions.text import AXES, actor_key, alias_key, axes, jaro_winkler, sequence_ratio
-from clinloom.session import store
+from clinloom.session import ship_package, store
 
 #: Queries that a task holds at once, and rows that they meet at once.
 QUERY_BLOCK, ROWS_AT_ONCE = 4_096, 512
+#: Rows, about, of each side of a cell where every row is a query.
+CELL_ROWS = 32_768
 
 
 def expand_aliases(terms: DataFrame, lexicon: DataFrame, synthetic: bool = True) -> DataFrame:
@@ -84,6 +86,47 @@ def cosine_topk(queries: DataFrame, index: DataFrame, k: int) -> DataFrame:
     return result.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
+def nearest_others(rows: DataFrame, k: int) -> DataFrame:
+    """(query_id, item_id, distance, rank): as ``cosine_topk`` with each of ``rows`` (item_id, vector) for a query, but for the rows
+    of its own id. Every pair is met: both sides are cut into parts of about ``CELL_ROWS``, and a task meets a part of the
+    queries with a part of the rows. So the work is quadratic, a task holds two parts and some pairs of them, nothing goes
+    through the driver, and what is shuffled is each row twice a part and k rows a query and part."""
+    ship_package(rows.sparkSession)
+    rows = rows.where("item_id is not null").select(F.col("item_id").cast("long").alias("item_id"), "vector")
+    parts = max(1, -(-rows.count() // CELL_ROWS))
+    cells = min(parts * parts, 10_000)
+    rows = rows.withColumn("_part", F.pmod(F.xxhash64("item_id", "vector"), F.lit(parts)).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
+    asked = rows.where("vector is not null").withColumnRenamed("_part", "_q").withColumn("_i", other).repartition(cells, "_q", "_i")
+    met = rows.withColumnRenamed("_part", "_i").withColumn("_q", other).repartition(cells, "_q", "_i")
+
+    def search(asked: pa.Table, met: pa.Table) -> pa.Table:
+        ids, items = (t.column("item_id").to_numpy() for t in (asked, met))
+        width = pc.max(pc.list_value_length(asked.column("vector"))).as_py() or 0
+        q, v = (as_matrix(t.column("vector").combine_chunks(), width) for t in (asked, met))
+        for m in (q, v):
+            norm = np.linalg.norm(m, axis=1, keepdims=True)
+            m /= np.where(norm == 0, 1, norm)
+        most, step = min(k, len(items)), max(1, QUERY_BLOCK * ROWS_AT_ONCE // max(1, len(items)))
+        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+        for at in range(0, len(ids) if most else 0, step):
+            own = ids[at : at + step]
+            d = np.round(1 - q[at : at + step] @ v.T, 12)
+            d[own[:, None] == items] = np.inf
+            # the k best of each and what ties with the last of them, in order; no number comes after all others
+            row, col = np.nonzero(~(d > np.partition(d, most - 1, axis=1)[:, most - 1, None]) & (d != np.inf))
+            order = np.lexsort((items[col], d[row, col], row))
+            row, col = row[order], col[order]
+            best = np.arange(len(row)) - np.searchsorted(row, row) < k
+            row, col = row[best], col[best]
+            found.append((own[row], items[col], d[row, col]))
+        return pa.table(dict(zip(("query_id", "item_id", "distance"), map(np.concatenate, zip(*found, strict=True)), strict=True)))
+
+    best = asked.groupBy("_q", "_i").cogroup(met.groupBy("_q", "_i")).applyInArrow(search, "query_id long, item_id long, distance double")
+    order = Window.partitionBy("query_id").orderBy("distance", "item_id")
+    return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+
 def rerank(candidates: DataFrame, k: int) -> DataFrame:
     """``candidates`` (term_id, term, item_id, name, similarity, rank) reranked by axes: 0.08 more for each
     axis in common, 0.35 less for each in conflict; ties keep their order, and the similarity stays."""

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from clinloom.functions import ids, text
@@ -40,18 +39,15 @@ def e2(spark, sf_dir):
     return _nearest(spark, sf_dir).select("query_id", "item_id", F.round("distance", 6).alias("distance"), "rank")
 
 
-#: As E2, but a query's own id is left out.
+#: As E2, but every row is a query, and its own id is left out.
 E2_ALL = """select query_id, item_id, round(distance, 6) as distance, cast(rank as int) as rank from (select *, row_number() over (partition by query_id order by round(distance, 12), item_id) as rank
- from (select q.vec_id as query_id, i.vec_id as item_id, 1 - list_cosine_similarity(q.embedding::double[], i.embedding::double[]) as distance from embeddings q join embeddings i on i.vec_id <> q.vec_id where q.vec_id % 50 = 0)) where rank <= 5"""
+ from (select q.vec_id as query_id, i.vec_id as item_id, 1 - list_cosine_similarity(q.embedding::double[], i.embedding::double[]) as distance from embeddings q join embeddings i on i.vec_id <> q.vec_id)) where rank <= 5"""
 
 
 @query("e2_all", E2_ALL)
 def e2_all(spark, sf_dir):
-    rows = Clinic(spark, sf_dir).raw("embeddings").select("vec_id", F.col("embedding").alias("vector"))
-    found = retrieval.cosine_topk(rows.where("vec_id % 50 = 0").withColumnRenamed("vec_id", "query_id"), rows.withColumnRenamed("vec_id", "item_id"), 6)
-    order = Window.partitionBy("query_id").orderBy(F.round("distance", 12), "item_id")
-    others = found.where("item_id <> query_id").withColumn("rank", F.row_number().over(order)).where("rank <= 5")
-    return others.select("query_id", "item_id", F.round("distance", 6).alias("distance"), "rank")
+    rows = Clinic(spark, sf_dir).raw("embeddings").select(F.col("vec_id").alias("item_id"), F.col("embedding").alias("vector"))
+    return retrieval.nearest_others(rows, 5).select("query_id", "item_id", F.round("distance", 6).alias("distance"), "rank")
 
 
 @query("e2_ivf")

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 
 from clinloom.operators import retrieval, vectors
+from clinloom.plans import lookup
 from clinloom.session import read_table
 
 
@@ -28,6 +29,30 @@ def test_all_cells_give_the_exhaustive_result(spark, monkeypatch, part):
     assert got == want
 
 
+@pytest.mark.parametrize("cell", [32_768, 40])
+def test_every_row_asks(spark, monkeypatch, cell):
+    """All pairs, in one cell and in several: copies and ties, zero and null vectors, a query's own id left out."""
+    monkeypatch.setattr(retrieval, "CELL_ROWS", cell)
+    monkeypatch.setattr(retrieval, "ROWS_AT_ONCE", 1)
+    r = np.random.default_rng(3)
+    rows = [(i, r.standard_normal(6).tolist()) for i in range(90)]
+    rows += [(200 + i, rows[7][1]) for i in range(12)] + [(300, [0.0] * 6), (301, None)]
+    got = retrieval.nearest_others(spark.createDataFrame(rows, "item_id long, vector array<double>"), 5)
+    got = {(x.query_id, x["rank"]): x.item_id for x in got.collect()}
+    unit = {i: np.array(v or [0.0] * 6) / (np.linalg.norm(v or [0.0]) or 1) for i, v in rows}
+    want = {}
+    for q, v in rows:
+        best = sorted((i for i in unit if i != q), key=lambda i: (round(1 - float(unit[q] @ unit[i]), 12), i))[:5]
+        want |= {(q, n + 1): i for n, i in enumerate(best) if v is not None}
+    assert got == want
+
+
+def test_all_embeddings_ask(spark):
+    rows = read_table(spark, "/root/testdata/sf0.001", "embeddings")
+    found = lookup.e2_all(spark, "/root/testdata/sf0.001").select("query_id").distinct()
+    assert found.count() == rows.where("embedding is not null").count() > 50
+
+
 def test_few_cells_where_vectors_lie_in_clusters():
     r = np.random.default_rng(4)
     heads = r.standard_normal((40, 16))
