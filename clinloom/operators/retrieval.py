@@ -138,7 +138,8 @@ def rerank(candidates: DataFrame, k: int) -> DataFrame:
     score = F.col("similarity")
     for axis in AXES:
         ours, theirs = F.col(f"_s.{axis}"), F.col(f"_c.{axis}")
-        score = score + F.when(F.size(ours) == 0, 0.0).when(F.arrays_overlap(ours, theirs), 0.08).when(F.size(theirs) > 0, -0.35).otherwise(0.0)
+        # a term without a text has no axes
+        score = score + F.when(ours.isNull() | (F.size(ours) == 0), 0.0).when(F.arrays_overlap(ours, theirs), 0.08).when(F.size(theirs) > 0, -0.35).otherwise(0.0)
     rows = rows.withColumn("rerank_score", F.round(score, 6))
     order = Window.partitionBy("term_id").orderBy(F.desc("rerank_score"), "rank")
     return rows.withColumn("new_rank", F.row_number().over(order)).where(F.col("new_rank") <= k).drop("_s", "_c")
