@@ -64,6 +64,26 @@ def parsed(entries: DataFrame, kind: str) -> DataFrame:
     return entries.where(F.col("resource_type") == kind).withColumn("r", path(_resource(entries), "$", f"struct<{SCHEMAS[kind]}>"))
 
 
+def _once(df: DataFrame, **columns: Column) -> DataFrame:
+    """``df`` with ``columns``, which are computed once a row: a filter on them stays above the generator, where one above a plain
+    column would take its expression along and compute it again."""
+    made = F.explode_outer(F.array(F.struct(*[c.alias(name) for name, c in columns.items()])))
+    return df.select("*", made.alias("_once")).select("*", "_once.*").drop("_once")
+
+
+def published(entries: DataFrame, kind: str) -> DataFrame:
+    """``parsed`` entries of one type that may be published; the resource is read once, and its state with it."""
+    read = _once(entries.where(F.col("resource_type") == kind), r=path(_resource(entries), "$", f"struct<{SCHEMAS[kind]}>"))
+    return read.where(_reason(F.lit(kind), *(F.col("r") if f in SCHEMAS[kind] else None for f in ("status", "verificationStatus"))).isNull())
+
+
+def _reason(kind: Column, state: Column | None, verification: Column | None) -> Column:
+    """``exclusion_reason`` from resources that have been read, those with a status and those with a verificationStatus."""
+    none = F.array().cast("array<string>")
+    codes = none if verification is None else F.coalesce(verification_codes(verification["verificationStatus"]), none)
+    return exclusion_reason(kind, F.lit("") if state is None else state["status"], codes)
+
+
 def _lookup(values: dict, key: Column, other=None) -> Column:
     return F.coalesce(*[F.when(key == k, v) for k, v in values.items()], F.lit(other))
 
@@ -174,30 +194,32 @@ def extract_visits(entries: DataFrame) -> DataFrame:
 
 
 def _coded(df: DataFrame, codeable: str, preferred: tuple[str, ...]) -> DataFrame:
-    with_code = df.withColumn("coding", select_coding(F.col(codeable), preferred)).where("coding is not null")
-    return with_code.withColumns({"vocabulary_id": vocabulary_id(F.col("coding.system")), "code": F.col("coding.code"), "source_value": source_value(F.col("coding"))})
+    return _with_code(_once(df, coding=select_coding(F.col(codeable), preferred)))
+
+
+def _with_code(df: DataFrame) -> DataFrame:
+    return df.where("coding is not null").withColumns({"vocabulary_id": vocabulary_id(F.col("coding.system")), "code": F.col("coding.code"), "source_value": source_value(F.col("coding"))})
 
 
 _EVENT = ("full_url", "person_ref", "encounter_ref", "vocabulary_id", "code", "source_value", "start_date", "end_date")
 
 
 def _events(df: DataFrame, start: Column, end: Column | None, *more: str) -> DataFrame:
-    s = fhir_datetime(start)
-    e = fhir_datetime(end) if end is not None else s
-    dated = df.withColumns(
-        {"person_ref": _reference(df, "subject"), "encounter_ref": _reference(df, "encounter"), "start_date": s["date"], "end_date": F.coalesce(e["date"], s["date"])}
-    )
-    return dated.where("start_date is not null").select(*_EVENT, *more)
+    dated = _once(df, _start=fhir_datetime(start)["date"]).where("_start is not null")
+    last = F.col("_start") if end is None else F.coalesce(fhir_datetime(end)["date"], F.col("_start"))
+    return dated.withColumns(
+        {"person_ref": _reference(df, "subject"), "encounter_ref": _reference(df, "encounter"), "start_date": F.col("_start"), "end_date": last}
+    ).select(*_EVENT, *more)
 
 
 def extract_conditions(entries: DataFrame) -> DataFrame:
-    c = _coded(parsed(publishable(entries), "Condition"), "r.code", PREFERRED["Condition"])
+    c = _coded(published(entries, "Condition"), "r.code", PREFERRED["Condition"])
     return _events(c, F.coalesce("r.onsetDateTime", "r.onsetPeriod.start"), F.coalesce("r.abatementDateTime", "r.abatementPeriod.end"))
 
 
 def extract_drugs(entries: DataFrame) -> DataFrame:
     """Requests with their own concept, or that of the Medication they refer to in the bundle."""
-    m = parsed(publishable(entries), "MedicationRequest")
+    m = published(entries, "MedicationRequest")
     if "medication_code" in m.columns:
         both = m.withColumn("_med_code", path(F.col("medication_code"), "$", CODEABLE))
     else:
@@ -210,19 +232,27 @@ def extract_drugs(entries: DataFrame) -> DataFrame:
 
 
 def extract_procedures(entries: DataFrame) -> DataFrame:
-    p = _coded(parsed(publishable(entries), "Procedure"), "r.code", PREFERRED["Procedure"])
+    p = _coded(published(entries, "Procedure"), "r.code", PREFERRED["Procedure"])
     return _events(p, F.coalesce("r.performedDateTime", "r.performedPeriod.start"), None)
 
 
-def explode_components(entries: DataFrame) -> DataFrame:
-    """Observations with ``path`` and ``e``: the resource itself (empty path) and each of its components."""
-    o = parsed(publishable(entries), "Observation")
-    fields = ("code", "valueQuantity", "valueString", "valueBoolean", "valueCodeableConcept")
-    whole = F.struct(F.lit("").alias("path"), *[F.col(f"r.{f}").alias(f) for f in fields])
+_RESULT = ("code", "valueQuantity", "valueString", "valueBoolean", "valueCodeableConcept")
+
+
+def _parts(r: Column) -> tuple[Column, Column]:
+    """An Observation itself, with an empty path, and the array of its components."""
+    whole = F.struct(F.lit("").alias("path"), *[r[f].alias(f) for f in _RESULT])
     parts = F.transform(
-        F.coalesce("r.component", F.array()), lambda c, i: F.struct(F.concat(F.lit("component["), i.cast("string"), F.lit("]")).alias("path"), *[c[f].alias(f) for f in fields])
+        F.coalesce(r["component"], F.array()), lambda c, i: F.struct(F.concat(F.lit("component["), i.cast("string"), F.lit("]")).alias("path"), *[c[f].alias(f) for f in _RESULT])
     )
-    return o.withColumn("e", F.explode(F.concat(F.array(whole), parts))).withColumn("path", F.col("e.path"))
+    return whole, parts
+
+
+def explode_components(entries: DataFrame) -> DataFrame:
+    """Observations with ``path`` and ``e``: the resource itself (empty path) and each of its components."""
+    whole, parts = _parts(F.col("r"))
+    # the outer form, as the plain one would have its array computed once more in a filter
+    return published(entries, "Observation").withColumn("e", F.explode_outer(F.concat(F.array(whole), parts))).withColumn("path", F.col("e.path"))
 
 
 def _effective() -> Column:
@@ -249,21 +279,32 @@ def extract_measurements(entries: DataFrame) -> DataFrame:
 
 def extract_observation_candidates(entries: DataFrame) -> DataFrame:
     """Conditions and observations that may become observations, with the value that counts: quantity, then
-    text, then truth value, then coded."""
-    found = _coded(explode_components(entries), "e.code", PREFERRED["Observation"]).withColumn(
-        "value_kind",
+    text, then truth value, then coded. Entries are read in one pass, as conditions (``c``) or observations (``r``)."""
+    kind = F.col("resource_type")
+    observed, stated = kind == "Observation", kind == "Condition"
+    shape = lambda of: path(_resource(entries), "$", f"struct<{SCHEMAS[of]}>")
+    read = _once(entries.where(observed | stated), r=F.when(observed, shape("Observation")), c=F.when(stated, shape("Condition")))
+    read = read.where(_reason(kind, F.col("r"), F.col("c")).isNull())
+    whole, parts = _parts(F.col("r"))
+    own = F.struct(F.lit("").alias("path"), F.col("c.code").alias("code"), *[whole[f].alias(f) for f in _RESULT[1:]])
+    each = read.withColumn("e", F.explode_outer(F.when(stated, F.array(own)).otherwise(F.concat(F.array(whole), parts))))
+    coding = F.when(stated, select_coding(F.col("e.code"), PREFERRED["Condition"])).otherwise(select_coding(F.col("e.code"), PREFERRED["Observation"]))
+    value_kind = (
         F.when(F.col("e.valueQuantity.value").isNotNull(), "quantity")
         .when(F.col("e.valueString").isNotNull(), "string")
         .when(F.col("e.valueBoolean").isNotNull(), "boolean")
-        .when(F.col("e.valueCodeableConcept").isNotNull(), "coded"),
+        .when(F.col("e.valueCodeableConcept").isNotNull(), "coded")
     )
     value = F.coalesce(
         F.col("e.valueQuantity.value").cast("string"), F.col("e.valueString"), F.col("e.valueBoolean").cast("string"), select_coding(F.col("e.valueCodeableConcept"))["code"]
     )
-    observed = _events(found.withColumn("value_text", value), _effective(), None, "path", "value_kind", "value_text").withColumn("resource_type", F.lit("Observation"))
-    none = F.lit(None).cast("string")
-    stated = extract_conditions(entries).withColumns({"path": F.lit(""), "value_kind": none, "value_text": none, "resource_type": F.lit("Condition")})
-    return observed.unionByName(stated)
+    found = _with_code(_once(each, coding=coding)).withColumns({"path": F.col("e.path"), "value_kind": value_kind, "value_text": value})
+    start = F.when(stated, F.coalesce("c.onsetDateTime", "c.onsetPeriod.start")).otherwise(_effective())
+    end = F.when(stated, F.coalesce("c.abatementDateTime", "c.abatementPeriod.end"))
+    for field in ("subject", "encounter"):
+        if f"{field}_url" not in found.columns:
+            found = found.withColumn(f"{field}_url", F.coalesce(f"r.{field}.reference", f"c.{field}.reference"))
+    return _events(found, start, end, "path", "value_kind", "value_text", "resource_type")
 
 
 def event_contexts(entries: DataFrame) -> tuple[DataFrame, DataFrame]:
