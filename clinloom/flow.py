@@ -17,7 +17,8 @@ from clinloom.sources import bundles, files, tables
 #: The tables that hold events.
 EVENTS = ("condition_occurrence", "drug_exposure", "measurement", "observation", "procedure_occurrence", "device_exposure")
 
-
+#: The types of resources that a table is made of, where these are few.
+KINDS = {"person": ("Patient",), "condition_occurrence": ("Encounter", "Condition"), "condition_era": ("Condition",)}
 DOMAINS = dict(zip(EVENTS, ("Condition", "Drug", "Measurement", "Observation", "Procedure", "Device"), strict=True))
 # Codes whose results mean something else in another unit, (vocabulary, code, unit).
 UNIT_RULES = (("LOINC", "788-0", "%"),)
@@ -71,23 +72,43 @@ def cdm_tables(
     each table as it is made and gives what later steps read, such as its written form. Persons without a year of birth are
     left out. Observations and procedures go where their targets' domains send them. Measurements whose unit breaks one of
     ``unit_rules`` are held back; events that the vocabulary leaves at 0 take an ``approved`` mapping of their domain. No more is
-    made than ``until``, the name of a table, needs: plans of all tables together take long to build."""
+    made than ``until``, the name of a table, needs: for conditions and their eras no other events are read, and eras need no visits."""
     made = {}
 
     def add(name: str, df: DataFrame) -> DataFrame:
         made[name] = keep(name, tables.conform(df, name) if name in tables.CDM else df)
         return made[name]
 
-    e = keep("staged_entries", extract.with_references(entries))
+    e = extract.with_references(entries)
+    if until in KINDS:
+        e = e.where(F.col("resource_type").isin(*KINDS[until]))
+    e = keep("staged_entries", e)
     persons = extract.extract_persons(e).where("year_of_birth > 0").withColumn("person_id", person_id(F.col("person_ref"), key))
     add("person", _one_each(persons.drop("person_ref"), "person_id"))
     if until == "person":
         return made
+    stage = lambda name, df: keep(f"staged_{name}", _staged(df, key))
+    conditions = stage("conditions", extract.extract_conditions(e))
+    mapped_conditions = lambda: standardise.map_conditions(conditions, concept, relationship)
+
+    def coded(name: str, parts: list[DataFrame]) -> DataFrame:
+        rows = _union(parts).withColumn("_vocabulary_concept", F.col("concept_id"))
+        if approved is not None:
+            rows = standardise.apply_approved(rows, approved.by_term, approved.by_event, concept, DOMAINS[name])
+        return keep(f"staged_{name}", rows)
+
+    if until == "condition_era":
+        add(until, derive.condition_era(coded("condition_occurrence", [mapped_conditions()])))
+        return made
     visits = extract.extract_visits(e).withColumns({"visit_id": event_id(F.col("visit_ref"), key), "person_id": person_id(F.col("person_ref"), key)})
     visits = add("visit_occurrence", _one_each(visits.drop("visit_ref", "person_ref"), "visit_id"))
 
-    stage = lambda name, df: keep(f"staged_{name}", _staged(df, key))
-    conditions, drugs = stage("conditions", extract.extract_conditions(e)), stage("drugs", extract.extract_drugs(e))
+    linkable = ("event_id", "person_id", "start_date", "encounter_ref")
+    if until == "condition_occurrence":
+        rows, links = coded(until, [mapped_conditions()]), linkage.link_visits(conditions.select(*linkable), visits)
+        add(until, rows.join(links.select("event_id", "visit_id"), "event_id", "left"))
+        return made
+    drugs = stage("drugs", extract.extract_drugs(e))
     measures, procedures = stage("measurements", extract.extract_measurements(e)), stage("procedures", extract.extract_procedures(e))
     rules = entries.sparkSession.createDataFrame(list(unit_rules), "vocabulary_id string, code string, unit string")
     bad_units = standardise.unit_mismatch(measures, rules)
@@ -101,26 +122,22 @@ def cdm_tables(
     columns = ("event_id", "person_id", "concept_id", "start_date", "vocabulary_id", "code")
     sent = lambda table: routed.where(F.col("target_table") == table).select(*columns)
     found = {
-        "condition_occurrence": lambda: [standardise.map_conditions(conditions, concept, relationship)],
+        "condition_occurrence": lambda: [mapped_conditions()],
         "drug_exposure": lambda: [standardise.map_drugs(drugs, concept, relationship)],
         "measurement": lambda: [standardise.map_measurements(publishable, concept, relationship), sent("measurement")],
         "observation": lambda: [standardise.map_observations(candidates, concept, relationship), sent("observation")],
         "procedure_occurrence": lambda: [sent("procedure_occurrence")],
         "device_exposure": lambda: [sent("device_exposure")],
     }
-    linkable = ("event_id", "person_id", "start_date", "encounter_ref")
     staged = [df.select(*linkable) for df in (conditions, drugs, measures, procedures, candidates)]
     decisions = keep("event_visit_linkage", linkage.link_visits(_one_each(_union(staged), "event_id"), visits))
     made["event_visit_linkage"] = decisions
     links = decisions.select("event_id", "visit_id")
     events, provenance = {}, []
     for name, parts in found.items():
-        rows = _union(parts()).withColumn("_vocabulary_concept", F.col("concept_id"))
-        if approved is not None:
-            rows = standardise.apply_approved(rows, approved.by_term, approved.by_event, concept, DOMAINS[name])
-        rows = keep(f"staged_{name}", rows)
+        rows = coded(name, parts())
         events[name] = add(name, rows.join(links, "event_id", "left"))
-        if name == "condition_occurrence" and until != name:
+        if name == "condition_occurrence":
             add("condition_era", derive.condition_era(events[name]))
         if until in made:
             return made

@@ -220,9 +220,10 @@ def _flow(spark, sf_dir, table):
     """A table of the whole flow; the parts' codes are SNOMED's there, so that conditions are mapped."""
     c = Clinic(spark, sf_dir)
     concept = c.concept.withColumn("vocabulary_id", F.when(F.col("vocabulary_id") == "PART", "SNOMED").otherwise(F.col("vocabulary_id")))
-    # events read the entries several times, so these are written once, as build_cdm does; persons read them once
-    kept = ("staged_entries",) if table != "person" else ()
-    return flow.cdm_tables(_linked(spark, sf_dir), concept, c.relationship, c.ancestor, KEY, lambda name, df: store(df, name) if name in kept else df, until=table)[table]
+    # conditions and visits both read the entries, and links and targets both read these, so they are written once, as
+    # build_cdm does; persons and eras read the entries once
+    kept = ("staged_entries", "staged_conditions", "visit_occurrence") if table == "condition_occurrence" else ()
+    return flow.cdm_tables(source.linked_entries(_bundles(spark, sf_dir), flow.KINDS[table]), concept, c.relationship, c.ancestor, KEY, lambda name, df: store(df, name) if name in kept else df, until=table)[table]
 
 
 _SEEN = "orders where o_orderkey % 97 <> 0"

@@ -35,32 +35,39 @@ def entries(bundles: DataFrame) -> DataFrame:
     return each.select("bundle_id", "pos", *[c.alias(name) for name, c in _fields(F.col("_e")).items()])
 
 
-def linked_entries(bundles: DataFrame) -> DataFrame:
+def linked_entries(bundles: DataFrame, kinds: tuple[str, ...] | None = None) -> DataFrame:
     """``entries`` with subject_url, encounter_url and medication_code, the CodeableConcept (a VARIANT) of the Medication that
-    is referred to. References are looked up in the bundle's own map while it is still one row, so nothing is joined or
+    is referred to; of the ``kinds`` of resources alone, if they are given. References are looked up in the bundle's own map
+    while it is still one row, so nothing is joined or
     shuffled, and the map is not carried by its entries. A reference is a Type/id or a full URL of the bundle; another stays
     as it is. Of resources with one name, that with the greatest full URL counts."""
     said = lambda e, field: F.trim(path(e, f"$.resource.{field}.reference", "string"))
-    asked = lambda e: {"_subject": said(e, "subject"), "_encounter": said(e, "encounter"), "_medication": said(e, "medicationReference")}
-    found = _members(bundles).select("bundle_id", F.transform("members", lambda e: F.struct(*[c.alias(n) for n, c in (_fields(e) | asked(e)).items()])).alias("_es"))
-    good = F.filter("_es", lambda e: (e["resource_type"] != "") & (e["id"] != "") & (e["full_url"] != ""))
+    # names are those of all entries, the rest is read of those that are asked for
+    named = F.transform("members", lambda e: F.struct(*[c.alias(n) for n, c in _fields(e).items() if n != "resource"]))
+    good = F.filter(named, lambda e: (e["resource_type"] != "") & (e["id"] != "") & (e["full_url"] != ""))
     pair = lambda ref, url: F.struct(ref.alias("ref"), url.alias("url"))
     names = F.flatten(F.transform(good, lambda e: F.array(pair(e["full_url"], e["full_url"]), pair(F.concat_ws("/", e["resource_type"], e["id"]), e["full_url"]))))
-    found = found.withColumn("_names", F.array_sort(F.array_distinct(names)))
+    asked = lambda e: {"_subject": said(e, "subject"), "_encounter": said(e, "encounter"), "_medication": said(e, "medicationReference")}
+    drugs = F.array().cast("array<struct<url:string,code:variant>>")
+    if kinds is None or "MedicationRequest" in kinds:
+        drug = lambda e: {"url": _fields(e)["full_url"], "code": path(e, "$.resource.code", "variant")}
+        drugs = F.filter("members", lambda e: (_fields(e)["resource_type"] == "Medication") & (_fields(e)["full_url"] != ""))
+        drugs = F.transform(drugs, lambda e: F.struct(*[c.alias(n) for n, c in drug(e).items()]))
+    numbered = F.transform("members", lambda e, i: F.struct(i.alias("pos"), e.alias("e")))
+    if kinds is not None:
+        numbered = F.filter(numbered, lambda x: _fields(x["e"])["resource_type"].isin(*kinds))
+    read = F.transform(numbered, lambda x: F.struct(x["pos"].alias("pos"), *[c.alias(n) for n, c in (_fields(x["e"]) | asked(x["e"])).items()]))
+    found = _members(bundles).select("bundle_id", read.alias("_es"), F.array_sort(F.array_distinct(names)).alias("_names"), drugs.alias("_drugs"))
     # sorted by name and URL, the last of each name; what stands for itself need not be looked up
     last = F.filter("_names", lambda x, i: ~F.coalesce(F.get("_names", i + 1)["ref"] == x["ref"], F.lit(False)))
-    drugs = F.filter("_es", lambda e: (e["resource_type"] == "Medication") & (e["full_url"] != ""))
-    drugs = F.transform(drugs, lambda e: F.struct(e["full_url"].alias("url"), path(e["resource"], "$.code", "variant").alias("code")))
-    found = found.select(
-        "bundle_id", "_es", F.map_from_entries(F.filter(last, lambda x: x["ref"] != x["url"])).alias("_map"), drugs.alias("_drugs")
-    )
+    found = found.select("bundle_id", "_es", F.map_from_entries(F.filter(last, lambda x: x["ref"] != x["url"])).alias("_map"), "_drugs")
 
     def resolved(ref: Column) -> Column:
         return F.nullif(F.when(ref.startswith("urn:"), ref).otherwise(F.coalesce(F.try_element_at("_map", ref), ref)), F.lit(""))
 
     # references are read once, resolved once, and then met with the medications
     more = lambda e: {"subject_url": resolved(e["_subject"]), "encounter_url": resolved(e["_encounter"]), "_url": resolved(e["_medication"])}
-    own = ("full_url", "resource_type", "id", "resource")
+    own = ("pos", "full_url", "resource_type", "id", "resource")
     full = F.transform("_es", lambda e: F.struct(*[e[n].alias(n) for n in own], *[c.alias(n) for n, c in more(e).items()]))
 
     def medication(e: Column) -> Column:
@@ -68,7 +75,7 @@ def linked_entries(bundles: DataFrame) -> DataFrame:
         return F.when(e["resource_type"] == "MedicationRequest", code)
 
     full = F.transform(full, lambda e: F.struct(*[e[n].alias(n) for n in (*own, "subject_url", "encounter_url")], medication(e).alias("medication_code")))
-    return found.select("bundle_id", full.alias("_es")).select("bundle_id", F.posexplode_outer("_es").alias("pos", "_e")).where("pos is not null").select("bundle_id", "pos", "_e.*")
+    return found.select("bundle_id", F.explode_outer(full).alias("_e")).where("_e is not null").select("bundle_id", "_e.*")
 
 
 def read_json(spark: SparkSession, path: str) -> DataFrame:

@@ -1,4 +1,4 @@
-"""What is read once and what is not read at all."""
+"""What is read once and what is not read at all, for extraction in one pass and the flow's condition tables."""
 
 from __future__ import annotations
 
@@ -7,9 +7,12 @@ import json
 
 from pyspark.sql import functions as F
 
+from clinloom import flow
 from clinloom.functions.dates import fhir_datetime
 from clinloom.operators import extract
-from clinloom.plans import registry
+from clinloom.plans import fhir, registry
+from clinloom.plans.binding import Clinic
+from clinloom.sources import bundles
 from tests.test_round3 import DATA, plan
 
 
@@ -49,3 +52,21 @@ def test_days_at_the_edge_of_the_pattern(spark):
     want = [day(2024, 2, 29), day(2024, 2, 29), None, None, day(1, 1, 1), None, None, day(2024, 1, 2), day(2024, 1, 2), None]
     assert [r.d and r.d.date for r in got] == want
     assert got[7].d.ts == datetime.datetime(2024, 1, 3, 1, 30) and got[0].d.ts == datetime.datetime(2024, 2, 29)
+
+
+def test_entries_of_some_types_are_linked_as_all_are(spark):
+    made = fhir.bundles(Clinic(spark, DATA)).limit(40)
+    kinds = ("Encounter", "Condition")
+    rows = lambda df: sorted((r.bundle_id, r.pos, r.full_url, r.id, r.subject_url, r.encounter_url, r.text) for r in df.withColumn("text", F.to_json("resource")).drop("resource", "medication_code").collect())
+    some = rows(bundles.linked_entries(made, kinds))
+    assert some == rows(bundles.linked_entries(made).where(F.col("resource_type").isin(*kinds))) and len(some) > 40
+
+
+def test_conditions_read_no_other_events(spark):
+    """No other event's fields are read; eras read the bundles once, without visits."""
+    c = Clinic(spark, DATA)
+    for name in ("condition_occurrence", "condition_era"):
+        made = flow.cdm_tables(bundles.linked_entries(fhir._bundles(spark, DATA), flow.KINDS[name]), c.concept, c.relationship, c.ancestor, fhir.KEY, until=name)
+        text = plan(made[name], "optimizedPlan")
+        assert not any(field in text for field in ("valueQuantity", "performedPeriod", "authoredOn"))
+    assert text.count("Relation [bundle_id") == 1
