@@ -191,6 +191,17 @@ def test_one_rule_takes_the_stretches_of_any_corpus(spark, monkeypatch):
     assert sorted(w for s in taken for w in s.split()) == sorted(w.encode() for _, text in small[:2] for w in text.split())
 
 
+def test_every_stretch_of_a_large_corpus_is_trained_on(spark, monkeypatch):
+    """Each once, in one of the rounds, whatever the number of stretches."""
+    taken = []
+    monkeypatch.setattr(A, "one_round", lambda stretches, start, *rest: taken.append([bytes(r.stretch) for r in stretches.collect()]) or start)
+    texts = [" ".join(f"t{i}x{k}" for k in range(64 * 4_000)) for i in range(4)] + ["a b c", None]
+    A.fit(spark.createDataFrame(list(enumerate(texts)), COLUMNS), BYTE_RANKS, PATTERN)
+    assert len(taken) == A.ROUNDS and all(2_500 < len(some) < 2_900 for some in taken)
+    words = Counter(w for some in taken for s in some for w in s.split())
+    assert words == Counter(w.encode() for t in texts for w in (t or "").split())
+
+
 def test_learns(spark):
     """Held-out texts of the same making are likelier than their ids' shares make them."""
     rows = [(i, t) for i, t in corpus(4, 400) if i is not None and i < 400]
