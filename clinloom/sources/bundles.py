@@ -38,9 +38,8 @@ def entries(bundles: DataFrame) -> DataFrame:
 def linked_entries(bundles: DataFrame, kinds: tuple[str, ...] | None = None) -> DataFrame:
     """``entries`` with subject_url, encounter_url and medication_code, the CodeableConcept (a VARIANT) of the Medication that
     is referred to; of the ``kinds`` of resources alone, if they are given. References are looked up in the bundle's own map
-    while it is still one row, so nothing is joined or
-    shuffled, and the map is not carried by its entries. A reference is a Type/id or a full URL of the bundle; another stays
-    as it is. Of resources with one name, that with the greatest full URL counts."""
+    while it is still one row, so nothing is joined or shuffled, and the map is not carried by its entries. A reference is a
+    Type/id or a full URL of the bundle; another stays as it is. Of resources with one name, that with the greatest full URL counts."""
     said = lambda e, field: F.trim(path(e, f"$.resource.{field}.reference", "string"))
     # names are those of all entries, the rest is read of those that are asked for
     named = F.transform("members", lambda e: F.struct(*[c.alias(n) for n, c in _fields(e).items() if n != "resource"]))
